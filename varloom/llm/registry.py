@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from varloom.llm import mixing
+from varloom.llm import mixing, warc
 
 
 def queries() -> dict:
-    return {"op2_mix_sources": mixing.op2_mix_sources}
+    return {
+        "op2_mix_sources": mixing.op2_mix_sources,
+        "op7_warc": warc.op7_warc,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op7_warc": warc.ORACLE,
+    }
