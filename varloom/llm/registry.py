@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-from varloom.llm import mixing, warc
+from varloom.llm import mixing, quality, warc
 
 
 def queries() -> dict:
     return {
         "op2_mix_sources": mixing.op2_mix_sources,
         "op7_warc": warc.op7_warc,
+        "op10_quality_rules": quality.op10_quality_rules,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     return {
         "op7_warc": warc.ORACLE,
+        "op10_quality_rules": quality.ORACLE,
     }
