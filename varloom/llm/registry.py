@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from varloom.llm import mixing, quality, warc
+from varloom.llm import mixing, quality, toxicity, warc
 
 
 def queries() -> dict:
     return {
         "op2_mix_sources": mixing.op2_mix_sources,
+        "op6_toxicity": toxicity.op6_toxicity,
         "op7_warc": warc.op7_warc,
         "op10_quality_rules": quality.op10_quality_rules,
     }
