@@ -104,11 +104,13 @@ def _field(name: str) -> Column:
     return F.when(value != "", F.trim(value))
 
 
+def _length() -> Column:
+    return F.regexp_extract("head", r"(?im)^Content-Length:[ \t]*(\d{1,15})[ \t]*\r?$", 1).try_cast("long")
+
+
 def _places(lines: DataFrame) -> DataFrame:
     """file, block, i, n, start, body, next of each candidate: where its header starts and its body, and its successor's start."""
-    length = F.regexp_extract("head", r"(?im)^Content-Length:[ \t]*(\d{1,15})[ \t]*\r?$", 1)
-    slim = lines.select("file", "block", "i", "n", "h", length.alias("_len"))
-    slim = slim.withColumn("len", F.expr("try_cast(_len AS BIGINT)")).drop("_len")
+    slim = lines.select("file", "block", "i", "n", "h", _length().alias("len"))
     along = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     base = slim.groupBy("file", "block").agg(F.sum("n").alias("_bytes"))
     base = base.withColumn("_base", F.coalesce(F.sum("_bytes").over(along), F.lit(0))).drop("_bytes")
@@ -158,9 +160,12 @@ def _reached(places: DataFrame) -> DataFrame:
     return linked.join(enter, ["file", "block"]).groupBy("file", "block").applyInPandas(_follow, "file string, block long, start long")
 
 
-def read_warc(spark: SparkSession, path: str) -> DataFrame:
+def read_warc(spark: SparkSession, path: str, derive: dict[str, Column] | None = None) -> DataFrame:
     """record_id, type, url, digest, refers_to, payload (binary) for each record of the WARC files under path.
 
+    derive: columns to return in place of payload, as expressions on it; they are computed where a payload is read, so that
+    payloads needn't travel to meet the places of verified records.
+
     Files are split by Spark's reader; records can lie across splits, and payloads can hold anything, the magic and whole
     records included. What follows a broken record in a file is left out, as nothing in it can be reached from the start.
     Empty files give no rows.
@@ -176,10 +181,12 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
         _field("WARC-Payload-Digest").alias("digest"),
         _field("WARC-Refers-To").alias("refers_to"),
     ]
-    payload = F.expr("substring(raw, int(h + 5), int(len))").alias("payload")
+    values = [v.alias(k) for k, v in (derive or {"payload": F.col("payload")}).items()]
+    columns = ["record_id", "type", "url", "digest", "refers_to", *(derive or ["payload"])]
     single = F.col("n") - SIZE >= F.col("body") - F.col("start") + F.col("len")
     at = ["file", "block", "i"]
-    plain = lines.drop("n").join(records.where(single).select(*at, "len"), at).select(*names, payload)
+    found = lines.withColumn("_len", _length()).withColumn("payload", F.expr("substring(raw, int(h + 5), int(_len))")).select(*at, *names, *values)
+    plain = found.join(records.where(single).select(*at), at).select(*columns)
     # A record that holds magics is in pieces: each goes to the last record that starts before it.
     broken = records.where(~single).select("file", "start", F.col("start").alias("rec"), F.col("len").alias("blen"), F.col("next").alias("stop"))
     so_far = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -200,7 +207,8 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
         .withColumn("head", F.col("_p")[0]["head"])
         .withColumn("raw", F.aggregate("_p", F.lit(b"").cast("binary"), lambda a, x: F.concat(a, x["raw"], F.lit(MAGIC).cast("binary"))))
         .where(F.octet_length("raw") >= F.col("h") + 4 + F.col("len"))
-        .select(*names, payload)
+        .withColumn("payload", F.expr("substring(raw, int(h + 5), int(len))"))
+        .select(*names, *values)
     )
     return plain.unionByName(pieces)
 
@@ -213,12 +221,10 @@ def archive_pages(pages: DataFrame, path: str) -> DataFrame:
     write_warc(plan_records(pages), path)
     number = lambda c: F.expr(f"try_cast(regexp_extract({c}, '^<urn:page:(-?[0-9]+)>$', 1) AS BIGINT)")
     read = (
-        read_warc(pages.sparkSession, path)
+        read_warc(pages.sparkSession, path, {"payload_bytes": F.octet_length("payload").cast("long"), "payload_digest": base32_sha1(F.col("payload"))})
         .withColumn("page_id", number("record_id"))
         .withColumn("refers_to", F.when(F.col("type") == "revisit", number("refers_to")))
         .withColumn("said", F.regexp_replace("digest", "^sha1:", ""))
-        .withColumn("payload_bytes", F.octet_length("payload").cast("long"))
-        .withColumn("payload_digest", base32_sha1(F.col("payload")))
         .select("page_id", "url", F.col("type").alias("record_type"), "refers_to", "said", "payload_bytes", "payload_digest")
     )
     read = cut(read)
