@@ -43,3 +43,11 @@ def shared_folder(spark: SparkSession) -> str:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="varloom-"))
     return context.getCheckpointDir()
+
+
+def broadcast_if_small(df: DataFrame, most_rows: int = 100_000) -> DataFrame:
+    """df marked for broadcast if a count shows that it has few rows, else df: the join then shuffles both sides.
+
+    df must be cheap to count (checkpointed) and its rows short.
+    """
+    return F.broadcast(df) if df.limit(most_rows + 1).count() <= most_rows else df

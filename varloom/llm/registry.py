@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from varloom.llm import mixing, quality, toxicity, warc
+from varloom.llm import html, mixing, quality, toxicity, warc
 
 
 def queries() -> dict:
@@ -10,6 +10,7 @@ def queries() -> dict:
         "op2_mix_sources": mixing.op2_mix_sources,
         "op6_toxicity": toxicity.op6_toxicity,
         "op7_warc": warc.op7_warc,
+        "op9_html_extraction": html.op9_html_extraction,
         "op10_quality_rules": quality.op10_quality_rules,
     }
 
