@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,3 +52,11 @@ def broadcast_if_small(df: DataFrame, most_rows: int = 100_000) -> DataFrame:
     df must be cheap to count (checkpointed) and its rows short.
     """
     return F.broadcast(df) if df.limit(most_rows + 1).count() <= most_rows else df
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """df written as a table in the shared folder and read back; for what is large and read several times."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

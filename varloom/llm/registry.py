@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from varloom.llm import html, mixing, quality, toxicity, warc
+from varloom.llm import html, mixing, ngram_join, quality, toxicity, warc
 
 
 def queries() -> dict:
     return {
         "op2_mix_sources": mixing.op2_mix_sources,
+        "op4_ngram_join": ngram_join.op4_ngram_join,
         "op6_toxicity": toxicity.op6_toxicity,
         "op7_warc": warc.op7_warc,
         "op9_html_extraction": html.op9_html_extraction,
@@ -17,6 +18,7 @@ def queries() -> dict:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op4_ngram_join": ngram_join.ORACLE,
         "op7_warc": warc.ORACLE,
         "op10_quality_rules": quality.ORACLE,
     }
