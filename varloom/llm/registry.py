@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from varloom.llm import html, mixing, ngram_join, quality, toxicity, warc
+from varloom.llm import html, mixing, ngram_join, quality, substring_dedup, toxicity, warc
 
 
 def queries() -> dict:
     return {
         "op2_mix_sources": mixing.op2_mix_sources,
+        "op3_substring_dedup": substring_dedup.op3_substring_dedup,
         "op4_ngram_join": ngram_join.op4_ngram_join,
         "op6_toxicity": toxicity.op6_toxicity,
         "op7_warc": warc.op7_warc,
