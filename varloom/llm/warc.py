@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from varloom.llm.common import cut, read_table, shared_folder
+from varloom.llm.common import broadcast_if_small, cut, read_table, shared_folder
 
 MAGIC = "WARC/1.0\r\n"
 SIZE = len(MAGIC)
@@ -40,7 +40,7 @@ def plan_records(pages: DataFrame, least: int = LEAST_REVISIT) -> DataFrame:
     null; the others refer to it. Rows that repeat that page_id are responses too; a null page_id counts as the largest.
     """
     rows = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html")).withColumn("digest", base32_sha1(F.encode("html", "UTF-8")))
-    first = (
+    first = cut(
         rows.where(F.octet_length("html") >= least)
         .groupBy("digest")
         .agg(F.min("page_id").alias("_first"), F.count(F.lit(1)).alias("_n"))
@@ -49,7 +49,7 @@ def plan_records(pages: DataFrame, least: int = LEAST_REVISIT) -> DataFrame:
     )
     big = F.octet_length("html") >= least
     return (
-        rows.join(first, "digest", "left")
+        rows.join(broadcast_if_small(first), "digest", "left")
         .withColumn("refers_to", F.when(big & F.col("_first").isNotNull() & ~F.col("_first").eqNullSafe(F.col("page_id")), F.col("_first")))
         .select("page_id", "url", "html", "digest", "refers_to")
     )
