@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from varloom.llm import html, mixing, ngram_join, quality, substring_dedup, toxicity, warc
+from varloom.llm import embedding_dedup, html, mixing, ngram_join, quality, substring_dedup, toxicity, warc
 
 
 def queries() -> dict:
@@ -12,6 +12,7 @@ def queries() -> dict:
         "op4_ngram_join": ngram_join.op4_ngram_join,
         "op6_toxicity": toxicity.op6_toxicity,
         "op7_warc": warc.op7_warc,
+        "op8_embedding_dedup": embedding_dedup.op8_embedding_dedup,
         "op9_html_extraction": html.op9_html_extraction,
         "op10_quality_rules": quality.op10_quality_rules,
     }
@@ -21,5 +22,6 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op4_ngram_join": ngram_join.ORACLE,
         "op7_warc": warc.ORACLE,
+        "op8_embedding_dedup": embedding_dedup.ORACLE,
         "op10_quality_rules": quality.ORACLE,
     }
