@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from varloom.llm import embedding_dedup, html, mixing, ngram_join, quality, substring_dedup, toxicity, warc
+from varloom.llm import embedding_dedup, html, mixing, ngram_join, quality, sentencepiece_codec, substring_dedup, toxicity, warc
 
 
 def queries() -> dict:
@@ -10,6 +10,7 @@ def queries() -> dict:
         "op2_mix_sources": mixing.op2_mix_sources,
         "op3_substring_dedup": substring_dedup.op3_substring_dedup,
         "op4_ngram_join": ngram_join.op4_ngram_join,
+        "op5_sentencepiece": sentencepiece_codec.op5_sentencepiece,
         "op6_toxicity": toxicity.op6_toxicity,
         "op7_warc": warc.op7_warc,
         "op8_embedding_dedup": embedding_dedup.op8_embedding_dedup,
