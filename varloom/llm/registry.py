@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from varloom.llm import embedding_dedup, html, mixing, ngram_join, quality, sentencepiece_codec, substring_dedup, toxicity, warc
+from varloom.llm import embedding_dedup, html, line_dedup, mixing, ngram_join, quality, sentencepiece_codec, substring_dedup, toxicity, warc
 
 
 def queries() -> dict:
     return {
+        "op1_line_dedup": line_dedup.op1_line_dedup,
         "op2_mix_sources": mixing.op2_mix_sources,
         "op3_substring_dedup": substring_dedup.op3_substring_dedup,
         "op4_ngram_join": ngram_join.op4_ngram_join,
