@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from varloom.llm.common import WORD, cut, read_table
+from varloom.llm.common import WORD, cut, read_table, row_key
 
 WEIGHTS = (5.0, 2.0, 1.0)
 BUDGET = 1.5
@@ -102,13 +102,15 @@ def mix_sources(
     shard: int = SHARD,
     seed: int = SEED,
 ) -> DataFrame:
-    """doc_id, source, size, source_size, target, taken, shard, quota, blocks for every row of docs.
+    """doc_id, key, source, size, source_size, target, taken, shard, quota, blocks for every row of docs.
+
+    key: a hash of doc_id, source and text, to find the row again.
 
     size: words of the text. taken: how many of them the mix takes, counting a repeated block each time.
     Null, empty and blank texts have size 0 and take 0; null sources are a source of their own, the last; null doc_ids are
     dealt like any other. Repeated rows are rows of their own. An empty table gives no rows. Other columns are not read.
     """
-    sizes = cut(docs.select("doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size")))
+    sizes = cut(docs.select("doc_id", row_key(F.col("doc_id"), F.col("source"), F.col("text")).alias("key"), "source", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size")))
     sources = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
     every = Window.partitionBy(F.lit(0))
     goals = (
@@ -122,7 +124,7 @@ def mix_sources(
         sizes.join(goals, F.col("source").eqNullSafe(F.col("_source")))
         .withColumn("_h", F.xxhash64(F.lit(seed), F.col("doc_id")))
         .withColumn("shard", F.pmod(F.xxhash64(F.lit(seed + 1), F.col("doc_id")), F.col("shards")))
-        .select("doc_id", "source", "size", "si", "_h", "shard")
+        .select("doc_id", "key", "source", "size", "si", "_h", "shard")
     )
     held = (
         dealt.groupBy("si", "shard")
@@ -144,7 +146,7 @@ def mix_sources(
     ).select("si", "shard", "words", "blocks", "source_size", "target", "quota")
     quotas = cut(quotas)
 
-    line = Window.partitionBy("si", "shard").orderBy("_h", "doc_id", "size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    line = Window.partitionBy("si", "shard").orderBy("_h", "doc_id", "key").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     n, q = F.col("blocks"), F.col("quota")
     placed = (
         dealt.withColumn("_end", F.sum("size").over(line))
@@ -156,8 +158,9 @@ def mix_sources(
         .withColumn("_long", F.col("words") - F.col("_len") * n)
         .withColumn("_from", F.when(n > 0, F.pmod(F.xxhash64(F.lit(seed + 2), "si", "shard"), n)).otherwise(0))
     )
-    return placed.withColumn("taken", F.when(n > 0, _upto(F.col("_end")) - _upto(F.col("_begin"))).otherwise(0).cast("long")).select(
-        "doc_id", "source", "size", "source_size", "target", "taken", "shard", "quota", "blocks"
+    taken = _with_upto(_with_upto(placed, "_begin", "_before"), "_end", "_after")
+    return taken.withColumn("taken", (F.col("_after") - F.col("_before")).cast("long")).select(
+        "doc_id", "key", "source", "size", "source_size", "target", "taken", "shard", "quota", "blocks"
     )
 
 
@@ -173,16 +176,22 @@ def _picked(k: Column) -> Column:
     return F.when(start + k <= n, step(start + k) - step(start)).otherwise(more - step(start) + step(start + k - n))
 
 
-def _upto(x: Column) -> Column:
-    """Words taken of a shard's first x: its first `_long` blocks have `_len` + 1 words, the others `_len`."""
-    size, long = F.col("_len"), F.col("_long")
+def _with_upto(df: DataFrame, x: str, name: str) -> DataFrame:
+    """Adds the words taken of a shard's first x: its first `_long` blocks have `_len` + 1 words, the others `_len`.
+
+    In steps, each on columns of the one before, as written out in one expression it grows beyond what can be compiled.
+    """
+    at, size, long, n, k = F.col(x), F.col("_len"), F.col("_long"), F.col("blocks"), F.col("_k")
     edge = long * (size + 1)
-    k = F.when(x < edge, _div(x, size + 1)).otherwise(long + _div(x - edge, F.greatest(size, F.lit(1))))
-    k = F.least(k, F.col("blocks"))
-    start = k * size + F.least(k, long)
-    inside = (_picked(F.least(k + 1, F.col("blocks"))) - _picked(k)) * (x - start)
-    return F.col("_each") * x + size * _picked(k) + _picked(F.least(k, long)) + inside
+    return (
+        df.withColumn("_k", F.when(at < edge, _div(at, size + 1)).otherwise(long + _div(at - edge, F.greatest(size, F.lit(1)))))
+        .withColumn("_k", F.least("_k", "blocks"))
+        .withColumn("_next", F.least(k + 1, n))
+        .withColumn("_head", F.least(k, long))
+        .withColumns({"_pk": _picked(k), "_pn": _picked(F.col("_next")), "_ph": _picked(F.col("_head"))})
+        .withColumn(name, F.when(n > 0, F.col("_each") * at + size * F.col("_pk") + F.col("_ph") + (F.col("_pn") - F.col("_pk")) * (at - k * size - F.col("_head"))).otherwise(0))
+    )
 
 
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix_sources(read_table(spark, sf_dir, "documents"))
+    return mix_sources(read_table(spark, sf_dir, "documents")).drop("key")

@@ -125,7 +125,9 @@ def _sets(docs: DataFrame, k: int, least: int) -> DataFrame:
 
 
 def ngram_join(docs: DataFrame, *, k: int = K, least: int = LEAST) -> DataFrame:
-    """doc_id, key, n_shingles, component_id for every row of docs; least: similarity in hundredths.
+    """doc_id, key, n_shingles, component_id, component for every row of docs; least: similarity in hundredths.
+
+    component names the component as component_id does, but is null only without shingles.
 
     Null, empty and blank texts have no shingles, are linked with nothing, and are a component of their own. Repeated rows
     and copies share a component. A null doc_id is never a component's name unless all its documents have none. An empty
@@ -172,8 +174,8 @@ def ngram_join(docs: DataFrame, *, k: int = K, least: int = LEAST) -> DataFrame:
     lowest = rows.where(F.col("set").isNotNull()).groupBy("set").agg(F.min("doc_id").alias("_d"))
     whole = lowest.join(found, lowest["set"] == found["id"], "left").select("set", "_d", F.coalesce("component", "set").alias("_c"))
     names = whole.groupBy("_c").agg(F.min("_d").alias("component_id"))
-    by_set = cut(whole.join(names, "_c").select("set", "component_id"))
-    return rows.join(by_set, "set", "left").select("doc_id", "key", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+    by_set = cut(whole.join(names, "_c").select("set", "component_id", F.col("_c").alias("component")))
+    return rows.join(by_set, "set", "left").select("doc_id", "key", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), "component")
 
 
 def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
