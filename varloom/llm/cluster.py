@@ -33,21 +33,37 @@ def components(edges: DataFrame) -> DataFrame:
     return now.select(F.col("a").alias("id"), F.col("b").alias("component")).union(now.select(F.col("b").alias("id"), F.col("b").alias("component"))).distinct()
 
 
-def linked(members: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def linked(
+    members: DataFrame, verify: Callable[[DataFrame], DataFrame], tokens: Callable[[DataFrame], DataFrame], least: int, peels: int = 3
+) -> DataFrame:
     """Components of all pairs that share a bucket with at least one asking member and pass verify, as (id, component).
 
-    members: bucket, id, asks, hub (the bucket's smallest id), several ids to a bucket; stored, as it is read twice.
-    verify: (a, b) with a < b -> those of the pairs that are linked.
+    members: bucket, id, asks, several ids to a bucket; stored, as it is read several times.
+    verify: (a, b) with a < b -> those of the pairs whose sets have a Jaccard similarity of least / 100 or more.
+    tokens: (id) -> (id, token), the distinct elements of their sets.
 
-    Each member first meets its bucket's hub alone. Most buckets then lie within one component, and none of their other
-    pairs can change a component; from the others, the pairs between different components follow, all of them.
+    Each member first meets its bucket's hub alone: the member that shares most buckets, in a group of near copies the one
+    nearest to them all. Most buckets then lie within one component, and none of their other pairs can change a component.
+    In the others, a member of whose elements more than the threshold allows stand in no other set there is linked with
+    nothing and goes, again and again (peels times). All pairs that then remain between different components follow.
     """
-    first = members.where(F.col("hub") != F.col("id")).select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
+    sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("_n"))
+    degree = members.join(sizes, "bucket").groupBy("id").agg(F.sum("_n").alias("_d"))
+    hubs = members.join(degree, "id").groupBy("bucket").agg(F.max(F.struct("_d", "id")).alias("_h")).select("bucket", F.col("_h.id").alias("hub"))
+    first = members.join(hubs, "bucket").where(F.col("hub") != F.col("id")).select(F.least("hub", "id").alias("a"), F.greatest("hub", "id").alias("b")).distinct()
     links = cut(verify(first))
     known = cut(components(links))
     named = members.join(known, "id", "left").select("bucket", "id", "asks", F.coalesce("component", "id").alias("c"))
-    open_ = named.groupBy("bucket").agg(F.min("c").alias("_x"), F.max("c").alias("_y")).where(F.col("_x") != F.col("_y")).select("bucket")
-    rest = cut(named.join(open_, "bucket", "left_semi"))
+    rest = cut(_open(named))
+    for _ in range(peels):
+        ids = cut(rest.select("id").distinct())
+        held = tokens(ids)
+        alone = held.groupBy("token").agg(F.count(F.lit(1)).alias("_n"), F.min("id").alias("id")).where(F.col("_n") == 1).groupBy("id").agg(F.count(F.lit(1)).alias("own"))
+        sizes = held.groupBy("id").agg(F.count(F.lit(1)).alias("size"))
+        apart = cut(alone.join(sizes, "id").where(100 * F.col("own") > (100 - least) * F.col("size")).select("id"))
+        if apart.isEmpty():
+            break
+        rest = cut(_open(rest.join(apart, "id", "left_anti")))
     asking = rest.where("asks").select("bucket", F.col("id").alias("i"), F.col("c").alias("ci"))
     pairs = (
         asking.join(rest.select("bucket", F.col("id").alias("j"), F.col("c").alias("cj")), "bucket")
@@ -59,3 +75,9 @@ def linked(members: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> Data
     if more.isEmpty():
         return known
     return components(links.union(more))
+
+
+def _open(named: DataFrame) -> DataFrame:
+    """The members of buckets in which several components meet."""
+    open_ = named.groupBy("bucket").agg(F.min("c").alias("_x"), F.max("c").alias("_y")).where(F.col("_x") != F.col("_y")).select("bucket")
+    return named.join(open_, "bucket", "left_semi")

@@ -68,20 +68,25 @@ def line_dedup(docs: DataFrame, *, k: int = SHINGLE, least: int = LEAST) -> Data
     signed = signatures(distinct, k)
     bands = F.array(*[F.xxhash64(F.lit(b), *[F.col(f"m{b * ROWS + r}") for r in range(ROWS)]) for b in range(BANDS)])
     banded = signed.select("id", F.explode(bands).alias("bucket")).repartition(parts, "bucket")
-    shared = banded.groupBy("bucket").agg(F.min("id").alias("hub"), F.max("id").alias("_last")).where(F.col("hub") != F.col("_last")).select("bucket", "hub")
-    members = stored(banded.join(shared.hint("merge"), "bucket").select("bucket", "id", "hub", F.lit(True).alias("asks")))
+    shared = banded.groupBy("bucket").agg(F.min("id").alias("_first"), F.max("id").alias("_last")).where(F.col("_first") != F.col("_last")).select("bucket")
+    members = stored(banded.join(shared.hint("merge"), "bucket").select("bucket", "id", F.lit(True).alias("asks")))
+
+    def lines_of(ids: DataFrame) -> DataFrame:
+        return found.select("id", "line").join(broadcast_if_small(ids), "id", "left_semi").groupBy("id").agg(F.first("line").alias("line"))
+
+    def tokens(ids: DataFrame) -> DataFrame:
+        return stored(_shingled(lines_of(ids), ["id"], "line", k).distinct()).select("id", F.col("h").alias("token"))
 
     def verify(pairs: DataFrame) -> DataFrame:
         pairs = cut(pairs)
-        wanted = cut(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct())
-        lines = found.select("id", "line").join(broadcast_if_small(wanted), "id", "left_semi").groupBy("id").agg(F.first("line").alias("line"))
+        lines = lines_of(cut(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()))
         sets = stored(_shingled(lines, ["id"], "line", k).groupBy("id").agg(F.array_sort(F.collect_set("h")).alias("s")))
         left, right = sets.select(F.col("id").alias("a"), F.col("s").alias("x")), sets.select(F.col("id").alias("b"), F.col("s").alias("y"))
         both = F.size(F.array_intersect("x", "y"))
         alike = 100 * both >= least * (F.size("x") + F.size("y") - both)
         return pairs.join(right, "b").join(left, "a").where(alike).select("a", "b")
 
-    groups = linked(members, verify)
+    groups = linked(members, verify, tokens, least)
     place = F.struct("doc_id", "key", "pos")
     firsts = found.groupBy("id").agg(F.min(place).alias("first"), F.max(place).alias("_last"))
     named = firsts.join(groups, "id", "left").withColumn("_c", F.coalesce("component", "id"))

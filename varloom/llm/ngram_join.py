@@ -140,20 +140,30 @@ def ngram_join(docs: DataFrame, *, k: int = K, least: int = LEAST) -> DataFrame:
     named = asks.union(holds).repartition(int(parts), "bucket")
     shared = (
         named.groupBy("bucket")
-        .agg(F.min("id").alias("hub"), F.max("id").alias("_last"), F.bool_or("asks").alias("_asked"))
-        .where((F.col("hub") != F.col("_last")) & F.col("_asked"))
-        .select("bucket", "hub")
+        .agg(F.min("id").alias("_first"), F.max("id").alias("_last"), F.bool_or("asks").alias("_asked"))
+        .where((F.col("_first") != F.col("_last")) & F.col("_asked"))
+        .select("bucket")
     )
-    members = stored(named.join(shared.hint("merge"), "bucket").groupBy("bucket", "id", "hub").agg(F.bool_or("asks").alias("asks")))
+    members = stored(named.join(shared.hint("merge"), "bucket").groupBy("bucket", "id").agg(F.bool_or("asks").alias("asks")))
 
     one = rows.where(F.col("set").isNotNull()).groupBy("set").agg(F.min("key").alias("key"))
 
+    def texts_of(sets: DataFrame) -> DataFrame:
+        chosen = cut(one.join(sets, "set"))
+        texts = docs.select(row_key(F.col("doc_id"), F.col("text")).alias("key"), "text").join(broadcast_if_small(chosen), "key").select("set", "text")
+        return texts.groupBy("set").agg(F.first("text").alias("text"))
+
+    def tokens(ids: DataFrame) -> DataFrame:
+        def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for pdf in parts:
+                yield pd.DataFrame({"id": pdf["set"], "tokens": [shingle_set(t, k).view(np.int64) for t in pdf["text"]]})
+
+        sets = texts_of(ids.select(F.col("id").alias("set"))).mapInPandas(run, "id long, tokens array<long>")
+        return stored(sets).select("id", F.explode("tokens").alias("token"))
+
     def verify(pairs: DataFrame) -> DataFrame:
         pairs = cut(pairs)
-        wanted = pairs.select(F.col("a").alias("set")).union(pairs.select("b")).distinct()
-        chosen = cut(one.join(wanted, "set"))
-        texts = docs.select(row_key(F.col("doc_id"), F.col("text")).alias("key"), "text").join(broadcast_if_small(chosen), "key").select("set", "text")
-        texts = stored(texts.groupBy("set").agg(F.first("text").alias("text")))
+        texts = stored(texts_of(pairs.select(F.col("a").alias("set")).union(pairs.select("b")).distinct()))
         left, right = texts.select(F.col("set").alias("a"), F.col("text").alias("s")), texts.select(F.col("set").alias("b"), F.col("text").alias("t"))
 
         def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -170,7 +180,7 @@ def ngram_join(docs: DataFrame, *, k: int = K, least: int = LEAST) -> DataFrame:
 
         return pairs.join(right, "b").join(left, "a").mapInPandas(run, "a long, b long")
 
-    found = linked(members, verify)
+    found = linked(members, verify, tokens, least)
     lowest = rows.where(F.col("set").isNotNull()).groupBy("set").agg(F.min("doc_id").alias("_d"))
     whole = lowest.join(found, lowest["set"] == found["id"], "left").select("set", "_d", F.coalesce("component", "set").alias("_c"))
     names = whole.groupBy("_c").agg(F.min("_d").alias("component_id"))
