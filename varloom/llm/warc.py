@@ -197,7 +197,7 @@ def read_warc(spark: SparkSession, path: str, derive: dict[str, Column] | None =
         .select(*at, "start", "_r.rec", F.col("_r.blen").alias("len"), F.col("_r.stop").alias("stop"))
         .where(F.col("start") < F.col("stop"))
     )
-    owned = owned.withColumnRenamed("start", "at")
+    owned = broadcast_if_small(cut(owned.withColumnRenamed("start", "at")))
     pieces = (
         lines.drop("n")
         .join(owned, at)
