@@ -38,8 +38,13 @@ def _upto(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 def word_hashes(text: str | None, lower: bool = True) -> np.ndarray:
     """A hash of each word, in order; A-Z count as a-z if lower."""
+    return word_places(text, lower)[1]
+
+
+def word_places(text: str | None, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """The place in UTF-8 at which each word starts, and its hash."""
     raw = np.frombuffer((text or "").encode("utf-8", "surrogatepass"), dtype=np.uint8)
-    out, at = [], 0
+    out, places, at = [], [], 0
     while at < len(raw):
         end = min(at + CHUNK, len(raw))
         if end < len(raw):
@@ -49,7 +54,7 @@ def word_hashes(text: str | None, lower: bool = True) -> np.ndarray:
             else:  # a word longer than the chunk stays whole
                 more = np.flatnonzero(_SPACE[raw[end:]])
                 end = end + int(more[0]) if len(more) else len(raw)
-        part = raw[at:end]
+        part, base = raw[at:end], at
         at = end
         inside = ~_SPACE[part]
         edge = np.diff(inside.astype(np.int8), prepend=0, append=0)
@@ -58,7 +63,10 @@ def word_hashes(text: str | None, lower: bool = True) -> np.ndarray:
         sums = np.zeros(len(part) + 1, dtype=np.uint64)
         np.cumsum(_BYTE[_LOWER[part] if lower else part] * power[: len(part)], out=sums[1:])
         out.append(mix((sums[ends] - sums[starts]) * unpower[starts]))
-    return np.concatenate(out) if out else np.zeros(0, dtype=np.uint64)
+        places.append(starts + base)
+    if not out:
+        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint64)
+    return np.concatenate(places), np.concatenate(out)
 
 
 def shingle_set(text: str | None, k: int, lower: bool = True) -> np.ndarray:

@@ -12,6 +12,7 @@ places then meets one row, its first place.
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from varloom.llm.common import read_table, row_key, stored
-from varloom.llm.shingles import mix, word_hashes
+from varloom.llm.shingles import mix, word_places
 
 #: A span has so many sentences and words at least.
 SENTENCES, WORDS = 2, 20
@@ -38,13 +39,13 @@ def sentences(text: str | None) -> list[str]:
     for m in _SENTENCE.finditer(text or ""):
         if not (piece := m.group()):
             continue
-        words = list(_WORD.finditer(piece)) if len(piece) > 2 * LONG else ()
-        if len(words) <= LONG:
+        # split() knows more white space, so it never finds fewer words
+        if len(piece) <= 2 * LONG or len(piece.split()) <= LONG or len(words := list(_WORD.finditer(piece))) <= LONG:
             out.append(piece)
             continue
-        hashes, begin, count = word_hashes(piece), 0, 0
-        for w, h in zip(words, hashes, strict=True):
-            if count >= LONG // 3 and int(h) % CUT == 0 and w.start() > begin:
+        begin, count = 0, 0
+        for w in words:
+            if count >= LONG // 3 and w.start() > begin and zlib.crc32(w.group().encode("utf-8", "surrogatepass").lower()) % CUT == 0:
                 out.append(piece[begin : w.start()])
                 begin, count = w.start(), 0
             count += 1
@@ -52,19 +53,30 @@ def sentences(text: str | None) -> list[str]:
     return out
 
 
+_kept = [np.ones(1, dtype=np.uint64), np.ones(1, dtype=np.uint64)]
+
+
+def _powers(n: int) -> list[np.ndarray]:
+    """The first n powers of a base and of its inverse, and more."""
+    if len(_kept[0]) < n:
+        for i, base in enumerate((0xD1342543DE82EF95, pow(0xD1342543DE82EF95, -1, 1 << 64))):
+            steps = np.full(max(n, 4096), base, dtype=np.uint64)
+            steps[0] = 1
+            _kept[i] = np.multiply.accumulate(steps)
+    return _kept
+
+
 def spans(pieces: list[str], least_sentences: int = SENTENCES, least_words: int = WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """First piece, last piece and hash of each span; words count without case and white space."""
-    counts = np.array([len(_WORD.findall(p)) for p in pieces], dtype=np.int64)
+    places, w = word_places("".join(pieces))
+    bounds = np.cumsum([len(p.encode("utf-8", "surrogatepass")) for p in pieces])
+    counts = np.bincount(np.searchsorted(bounds, places, side="right"), minlength=len(pieces))
     held = np.flatnonzero(counts)  # blank pieces belong to no span
     if not len(held):
         return held, held, np.zeros(0, dtype=np.int64)
-    w = word_hashes("".join(pieces))
-    power = np.ones(len(w) + 1, dtype=np.uint64)
-    power[1:] = np.multiply.accumulate(np.full(len(w), 0xD1342543DE82EF95, dtype=np.uint64))
-    unpower = np.ones(len(w) + 1, dtype=np.uint64)
-    unpower[1:] = np.multiply.accumulate(np.full(len(w), pow(0xD1342543DE82EF95, -1, 1 << 64), dtype=np.uint64))
+    power, unpower = _powers(len(w) + 1)
     sums = np.zeros(len(w) + 1, dtype=np.uint64)
-    np.cumsum(w * power[:-1], out=sums[1:])
+    np.cumsum(w * power[: len(w)], out=sums[1:])
     ends = np.cumsum(counts)[held]
     begins = ends - counts[held]
     last = np.maximum(np.searchsorted(ends, begins + least_words), np.arange(len(held)) + least_sentences - 1)
@@ -80,12 +92,13 @@ def find_spans(docs: DataFrame, least_sentences: int = SENTENCES, least_words: i
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in parts:
-            for at in range(0, len(pdf), 64):
-                out = []
-                for doc_id, key, text in pdf.iloc[at : at + 64].itertuples(index=False, name=None):
-                    first, last, name = spans(sentences(text), least_sentences, least_words)
-                    out.append(pd.DataFrame({"doc_id": pd.array([None if pd.isna(doc_id) else int(doc_id)] * len(first), dtype="Int64"), "key": key, "first": first, "last": last, "hash": name}))
-                yield pd.concat(out)
+            for at in range(0, len(pdf), 256):
+                some = pdf.iloc[at : at + 256]
+                found = [spans(sentences(t), least_sentences, least_words) for t in some["text"]]
+                counts = [len(f[0]) for f in found]
+                first, last, name = (np.concatenate([f[i] for f in found]) for i in range(3))
+                ids = some[["doc_id", "key"]].iloc[np.repeat(np.arange(len(some)), counts)]
+                yield pd.DataFrame({"doc_id": ids["doc_id"].array, "key": ids["key"].array, "first": first, "last": last, "hash": name})
 
     rows = docs.select("doc_id", row_key(F.col("doc_id"), F.col("text")).alias("key"), "text")
     return rows.mapInPandas(run, "doc_id long, key long, first int, last int, hash long")
