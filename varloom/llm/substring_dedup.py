@@ -109,13 +109,18 @@ def repeated(docs: DataFrame, least_sentences: int = SENTENCES, least_words: int
 
     First: the smallest doc_id (null before all), then the smallest key, then the earliest place.
     """
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    found = find_spans(docs, least_sentences, least_words).repartition(parts, "hash")
+    found = find_spans(docs, least_sentences, least_words)
     place = F.struct("doc_id", "key", F.col("first"))
+    # counted in part on every task; written, so that the join deals both sides anew and Spark can split a hot passage
+    lead = stored(
+        found.groupBy("hash")
+        .agg(F.min(place).alias("lead"), F.max(place).alias("_last"))
+        .where(F.col("lead") != F.col("_last"))
+        .select("hash", F.col("lead.doc_id").alias("of"), F.col("lead.key").alias("_key"), F.col("lead.first").alias("_first"))
+    )
     # a row with a repeated doc_id and text stands at the same place; it is the same document
-    lead = found.groupBy("hash").agg(F.min(place).alias("lead"), F.max(place).alias("_last")).where(F.col("lead") != F.col("_last")).select("hash", "lead")
-    other = found.join(lead.hint("merge"), "hash").where(~((F.col("key") == F.col("lead.key")) & (F.col("first") == F.col("lead.first"))))
-    return other.select("key", "first", "last", F.col("lead.doc_id").alias("of"))
+    other = found.join(lead, "hash").where(~((F.col("key") == F.col("_key")) & (F.col("first") == F.col("_first"))))
+    return other.select("key", "first", "last", "of")
 
 
 def substring_dedup(docs: DataFrame, *, least_sentences: int = SENTENCES, least_words: int = WORDS) -> DataFrame:
@@ -127,11 +132,8 @@ def substring_dedup(docs: DataFrame, *, least_sentences: int = SENTENCES, least_
     """
     gone = stored(
         repeated(docs, least_sentences, least_words)
-        .select("key", F.explode(F.sequence("first", "last")).alias("i"), "of")
-        .groupBy("key", "i")
-        .agg(F.min("of").alias("of"))
         .groupBy("key")
-        .agg(F.sort_array(F.collect_list("i")).alias("gone"), F.sort_array(F.collect_set("of")).alias("first_docs"))
+        .agg(F.collect_set(F.struct("first", "last")).alias("gone"), F.sort_array(F.collect_set("of")).alias("first_docs"))
     )
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -139,7 +141,7 @@ def substring_dedup(docs: DataFrame, *, least_sentences: int = SENTENCES, least_
             n, n_gone, words, kept = [], [], [], []
             for text, gone in zip(pdf["text"], pdf["gone"], strict=True):
                 pieces = sentences(text)
-                out = set() if gone is None else set(gone)
+                out = set() if gone is None else {i for g in gone for i in range(g["first"], g["last"] + 1)}
                 n.append(len(pieces))
                 n_gone.append(len(out))
                 words.append(sum(len(_WORD.findall(pieces[i])) for i in out))
