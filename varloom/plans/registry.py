@@ -5,11 +5,727 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from varloom.functions import expr
+from varloom.operators import case, evidence, family, intervals, kernel, store, text
+from varloom.plans.views import view, with_views
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+ALL_RULES = kernel.KernelConfig(pm1=True, pvs1_constraint=True, cadd=True)
+TERMS = {"T1": "that", "T2": "with", "T3": "this", "T4": "from", "T5": "the"}
+HET_LABELS = ("affected_son", "affected_child", "affected_father", "affected_daughter")
+SHARED_STATUS = ("proband", "unclear_multi_affected")
+
+Query = Callable[[SparkSession, str], DataFrame]
+_QUERIES: dict[str, Query] = {}
+_SQL: dict[str, str] = {}
+
+
+def query(sql: str) -> Callable[[Callable], Callable]:
+    """Registers f(v), where v(name) is a view, under its name, with the SQL that gives the same rows."""
+
+    def add(f: Callable) -> Callable:
+        _QUERIES[f.__name__] = lambda spark, sf_dir: f(lambda name: view(spark, sf_dir, name))
+        _SQL[f.__name__] = with_views(sql)
+        return f
+
+    return add
+
+
+def queries() -> dict[str, Query]:
+    return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(_SQL)
+
+
+# ---- the kernel -------------------------------------------------------------------------------------------------------
+
+_SPEC = """SELECT a.* EXCLUDE (filtering_af), coalesce(f.af, a.filtering_af) AS filtering_af, coalesce(g.ba1_maf, d.ba1_maf) AS ba1_maf, coalesce(g.bs1_maf, d.bs1_maf) AS bs1_maf, coalesce(g.pm2_maf, d.pm2_maf) AS pm2_maf
+FROM {annotations} a LEFT JOIN (SELECT variant_key, max(af) AS af FROM {frequency} WHERE an >= 2000 GROUP BY variant_key) f ON a.variant_key = f.variant_key
+LEFT JOIN (SELECT * FROM {thresholds} WHERE gene IS NOT NULL) g ON a.gene = g.gene CROSS JOIN (SELECT * FROM {thresholds} WHERE gene IS NULL) d"""
+
+_LOF = "consequence IN ('stop_gained', 'frameshift', 'splice_donor', 'splice_acceptor')"
+_SPLICED = "consequence IN ('splice_region', 'splice_donor', 'splice_acceptor', 'intron', 'synonymous')"
+_CURATED = "gene IN (SELECT gene FROM {gene_curation} WHERE lof_mechanism)"
+_FREE = "variant_key NOT IN (SELECT variant_key FROM {exceptions})"
+
+
+def _rules(config: kernel.KernelConfig) -> str:
+    mechanism = f"({_CURATED}" + (" OR loeuf < 0.35)" if config.pvs1_constraint else ")")
+    unclaimed = f"clinvar_classification IS NULL AND NOT (consequence = 'missense' AND revel IS NOT NULL) AND NOT ({_SPLICED} AND spliceai IS NOT NULL) AND consequence NOT IN ('stop_gained', 'frameshift', 'splice_donor', 'splice_acceptor', 'inframe_deletion', 'inframe_insertion', 'stop_lost')"
+    rows = [
+        ("BA1", "B", -8, f"filtering_af > ba1_maf AND {_FREE}"), ("BS1", "B", -4, f"filtering_af > bs1_maf AND filtering_af <= ba1_maf AND {_FREE}"),
+        ("PM2_Supporting", "P", 1, "filtering_af <= pm2_maf"), ("PP2", "P", 1, "consequence = 'missense' AND gnomad_mis_z >= 3.09"),
+        ("BP4_VeryStrong", "B", -8, "consequence = 'missense' AND revel <= 0.003"), ("BP4_Strong", "B", -4, "consequence = 'missense' AND revel > 0.003 AND revel <= 0.016"),
+        ("BP4_Moderate", "B", -2, "consequence = 'missense' AND revel > 0.016 AND revel <= 0.183"), ("BP4", "B", -1, "consequence = 'missense' AND revel > 0.183 AND revel <= 0.29"),
+        ("PP3", "P", 1, "consequence = 'missense' AND revel >= 0.644 AND revel < 0.773"), ("PP3_Moderate", "P", 2, "consequence = 'missense' AND revel >= 0.773 AND revel < 0.932"),
+        ("PP3_Strong", "P", 4, "consequence = 'missense' AND revel >= 0.932"), ("PP3", "P", 1, f"{_SPLICED} AND spliceai >= 0.2"), ("BP7", "B", -1, "consequence = 'synonymous' AND spliceai < 0.2"),
+        ("PM4", "P", 2, "consequence IN ('inframe_deletion', 'inframe_insertion', 'stop_lost')"), ("PS1", "P", 4, "clinvar_same_aa = 1"), ("PM5", "P", 2, "clinvar_same_codon_lp = 1"),
+        ("PVS1_VeryStrong", "P", 8, f"{_LOF} AND nmd_escaping = 0 AND {mechanism}"), ("PVS1_Strong", "P", 4, f"{_LOF} AND nmd_escaping = 1 AND {mechanism}"),
+    ]
+    if config.pm1:
+        rows.append(("PM1", "P", 2, "consequence = 'missense' AND pm1 = 1"))
+    if config.cadd:
+        rows += [("PP3", "P", 1, f"{unclaimed} AND cadd_phred >= 20"), ("BP4", "B", -1, f"{unclaimed} AND cadd_phred <= 10")]
+    return " UNION ".join(f"SELECT variant_key, '{c}' AS criterion, '{d}' AS direction, {p} AS points FROM spec WHERE {w}" for c, d, p, w in rows)
+
+
+def _classified(config: kernel.KernelConfig) -> str:
+    return f"""WITH spec AS ({_SPEC}), crit AS ({_rules(config)}),
+agg AS (SELECT variant_key, sum(points) AS points, bool_or(criterion = 'BA1') AS ba1, string_agg(DISTINCT criterion, ', ' ORDER BY criterion) AS names FROM crit GROUP BY variant_key),
+valid AS (SELECT gene, arg_max(gene_disease_validity, CASE gene_disease_validity WHEN 'Definitive' THEN 6 WHEN 'Strong' THEN 5 WHEN 'Moderate' THEN 4 WHEN 'Limited' THEN 3 WHEN 'Disputed' THEN 2 WHEN 'Refuted' THEN 1 ELSE 0 END) AS validity FROM {{gene_curation}} GROUP BY gene),
+raw AS (SELECT s.variant_key, s.gene, s.variant_kind, coalesce(s.pm1, 0) AS pm1_hotspot, CAST(coalesce(a.points, 0) AS BIGINT) AS total_points, coalesce(a.names, '{expr.NO_CRITERIA}') AS criteria, v.validity,
+  CASE WHEN a.ba1 THEN 'Benign' WHEN coalesce(a.points, 0) >= 10 THEN 'Pathogenic' WHEN coalesce(a.points, 0) >= 6 THEN 'Likely Pathogenic' WHEN coalesce(a.points, 0) >= 0 THEN 'VUS' WHEN coalesce(a.points, 0) >= -6 THEN 'Likely Benign' ELSE 'Benign' END AS raw_class
+  FROM spec s LEFT JOIN agg a ON s.variant_key = a.variant_key LEFT JOIN valid v ON s.gene = v.gene),
+done AS (SELECT *, CASE WHEN variant_kind NOT IN ('snv', 'indel') THEN '{expr.NOT_EVALUATED}' WHEN validity IN ('Limited', 'Disputed', 'Refuted') AND raw_class IN ('Pathogenic', 'Likely Pathogenic') THEN 'VUS'
+  WHEN validity = 'Moderate' AND raw_class = 'Pathogenic' THEN 'Likely Pathogenic' ELSE raw_class END AS acmg_class FROM raw)
+"""
+
+
+def _spec(v: Callable) -> DataFrame:
+    return kernel.resolve_spec(v("annotations"), v("thresholds"), v("frequency"))
+
+
+def _class(v: Callable, config: kernel.KernelConfig) -> DataFrame:
+    return kernel.classify(v("annotations"), v("thresholds"), v("frequency"), v("gene_curation"), v("exceptions"), config)
+
+
+_CLASS_COLUMNS = ["variant_key", "gene", "variant_kind", "total_points", "criteria", "acmg_class", "pm1_hotspot"]
+
+
+@query(_SPEC)
+def annotations_spec(v):
+    return _spec(v)
+
+
+@query(f"WITH spec AS ({_SPEC}) SELECT variant_key, criterion, direction, points FROM ({_rules(kernel.KernelConfig())})")
+def applied_criteria(v):
+    return kernel.applied_criteria(kernel.with_evidence(_spec(v), v("gene_curation"), v("exceptions"), kernel.KernelConfig()))
+
+
+@query(f"WITH spec AS ({_SPEC}) SELECT criterion, direction, points, count(*) AS n FROM ({_rules(ALL_RULES)}) GROUP BY ALL")
+def rules_optin(v):
+    held = kernel.applied_criteria(kernel.with_evidence(_spec(v), v("gene_curation"), v("exceptions"), ALL_RULES))
+    return held.groupBy("criterion", "direction", "points").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(_classified(kernel.KernelConfig()) + f"SELECT {', '.join(_CLASS_COLUMNS)} FROM done")
+def kernel_classify(v):
+    return _class(v, kernel.KernelConfig()).select(*_CLASS_COLUMNS)
+
+
+@query(_classified(ALL_RULES) + "SELECT gene, validity, raw_class, acmg_class, count(*) AS n FROM done GROUP BY ALL")
+def validity_cap(v):
+    return _class(v, ALL_RULES).groupBy("gene", "validity", "raw_class", "acmg_class").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(_classified(kernel.KernelConfig()) + "SELECT variant_key, gene, criteria FROM done WHERE NOT contains(criteria, 'BA1') OR gene IN ('Brand#11', 'Brand#23')")
+def ba1_predrop(v):
+    named = F.col("gene").isin("Brand#11", "Brand#23")
+    return _class(v, kernel.KernelConfig()).where(~F.col("criteria").contains("BA1") | named).select("variant_key", "gene", "criteria")
+
+
+# ---- clinical assertions and proteins ---------------------------------------------------------------------------------
+
+_STARS = "CASE WHEN lower(review_status) LIKE '%practice guideline%' THEN 4 WHEN lower(review_status) LIKE '%expert panel%' THEN 3 WHEN lower(review_status) LIKE '%multiple submitters%' THEN 2 WHEN lower(review_status) LIKE '%criteria provided%' AND lower(review_status) NOT LIKE '%no assertion%' THEN 1 ELSE 0 END"
+_PLP = "clnsig ILIKE '%pathogenic%' AND clnsig NOT ILIKE '%conflicting%' AND clnsig NOT ILIKE '%benign%'"
+_AA = " ".join(f"WHEN '{k}' THEN '{a}'" for k, a in expr.AMINO.items())
+
+
+@query(f"SELECT review_status, {_STARS} AS stars, count(*) AS n FROM {{clinvar}} GROUP BY ALL")
+def review_stars(v):
+    return v("clinvar").groupBy("review_status", expr.review_stars(F.col("review_status")).alias("stars")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(f"SELECT variant_key, gene, clnsig FROM {{clinvar}} WHERE {_PLP}")
+def clinvar_plp(v):
+    return v("clinvar").where(evidence.pathogenic(F.col("clnsig"))).select("variant_key", "gene", "clnsig")
+
+
+@query(f"SELECT variant_key, gene, clnsig, composition FROM {{clinvar}} WHERE ({_PLP}) OR (clnsig ILIKE '%conflicting%' AND composition ILIKE '%pathogenic%' AND composition NOT ILIKE '%benign%')")
+def conflict_gate(v):
+    return evidence.conflict_gate(v("clinvar")).select("variant_key", "gene", "clnsig", "composition")
+
+
+_CHANGE = r"\(p\.([A-Z][a-z]{2})([0-9]+)([A-Z][a-z]{2})\)"
+
+
+@query(f"""SELECT * FROM (SELECT variant_key, gene, TRY_CAST(regexp_extract(name, '{_CHANGE}', 2) AS INT) AS protein_pos, CASE regexp_extract(name, '{_CHANGE}', 1) {_AA} END AS ref_aa,
+  CASE regexp_extract(name, '{_CHANGE}', 3) {_AA} END AS alt_aa FROM {{clinvar}} WHERE {_PLP} AND {_STARS} >= 1) WHERE protein_pos IS NOT NULL AND ref_aa IS NOT NULL AND alt_aa IS NOT NULL""")
+def clinvar_prot(v):
+    return evidence.protein_changes(v("clinvar"))
+
+
+@query(f"""SELECT gene, protein_pos, count(*) FILTER ({_PLP}) AS n_plp, count(*) FILTER (clnsig ILIKE '%benign%' AND clnsig NOT ILIKE '%conflicting%') AS n_blb
+FROM (SELECT *, TRY_CAST(regexp_extract(name, '\\(p\\.[A-Za-z]{{{{3}}}}([0-9]+)', 1) AS INT) AS protein_pos FROM {{clinvar}} WHERE {_STARS} >= 1) WHERE protein_pos IS NOT NULL GROUP BY gene, protein_pos""".replace("{{3}}", "{3}"))
+def clinvar_aa(v):
+    return evidence.codon_counts(v("clinvar"))
+
+
+@query(f"""WITH best AS (SELECT variant_key, clnsig, stars FROM (SELECT *, {_STARS} AS stars, row_number() OVER (PARTITION BY variant_key ORDER BY {_STARS} DESC, submitters DESC NULLS LAST, clnsig) AS r FROM {{clinvar}}) WHERE r = 1)
+SELECT a.variant_key, a.gene, best.clnsig, best.stars FROM {{annotations}} a LEFT JOIN best ON a.variant_key = best.variant_key""")
+def clinvar_exact(v):
+    return evidence.exact_assertion(v("annotations").select("variant_key", "gene"), v("clinvar"))
+
+
+@query(f"SELECT variant_key, max(greatest(af_exac, af_tgp, af_esp)) AS max_af FROM {{clinvar}} WHERE {_PLP} AND {_STARS} >= 2 GROUP BY variant_key HAVING max(greatest(af_exac, af_tgp, af_esp)) > 0.01")
+def ba1_exceptions(v):
+    return evidence.ba1_exceptions(v("clinvar"))
+
+
+@query("""SELECT q.variant_key, CASE WHEN q.alt_aa <> '*' AND EXISTS (SELECT 1 FROM {protein} p WHERE p.is_plp = 1 AND p.gene = q.gene AND p.protein_pos = q.protein_pos AND p.pos <> q.pos AND p.alt_aa = q.alt_aa) THEN 1 ELSE 0 END AS same_aa,
+  CASE WHEN q.alt_aa <> '*' AND EXISTS (SELECT 1 FROM {protein} p WHERE p.is_plp = 1 AND p.gene = q.gene AND p.protein_pos = q.protein_pos AND p.pos <> q.pos AND p.alt_aa <> q.alt_aa AND p.alt_aa <> '*') THEN 1 ELSE 0 END AS same_codon FROM {protein} q""")
+def ps1_pm5(v):
+    return evidence.ps1_pm5(v("protein").drop("is_plp"), v("protein").where("is_plp = 1")).select("variant_key", "same_aa", "same_codon")
+
+
+@query("""SELECT q.gene, q.protein_pos, CASE WHEN sum(c.n_plp) >= 2 AND sum(c.n_blb) = 0 THEN 1 ELSE 0 END AS pm1 FROM (SELECT DISTINCT gene, protein_pos FROM {codons}) q
+JOIN {codons} c ON q.gene = c.gene AND abs(q.protein_pos - c.protein_pos) <= 3 GROUP BY q.gene, q.protein_pos""")
+def pm1_hotspot(v):
+    return evidence.pm1_hotspot(v("codons").select("gene", "protein_pos"), v("codons")).select("gene", "protein_pos", "pm1")
+
+
+@query("""WITH o AS (SELECT *, row_number() OVER (PARTITION BY transcript_id ORDER BY CASE WHEN strand = '+' THEN start_pos ELSE -start_pos END, end_pos) AS k, count(*) OVER (PARTITION BY transcript_id) AS n FROM {exon}),
+h AS (SELECT v.variant_key, max(CASE WHEN n = 1 OR k = n OR (k = n - 1 AND CASE WHEN strand = '+' THEN pos >= end_pos - 50 ELSE pos <= start_pos + 50 END) THEN 1 ELSE 0 END) AS e
+  FROM {nmd_variants} v JOIN o ON v.transcript_id = o.transcript_id AND pos BETWEEN start_pos AND end_pos GROUP BY v.variant_key)
+SELECT v.variant_key, v.transcript_id, v.pos, h.e AS nmd_escaping FROM {nmd_variants} v LEFT JOIN h ON v.variant_key = h.variant_key""")
+def nmd_escaping(v):
+    return evidence.nmd_escaping(v("nmd_variants"), v("exon"))
+
+
+@query("SELECT gene, transcript_id, n FROM (SELECT *, row_number() OVER (PARTITION BY gene ORDER BY n DESC, transcript_id) AS r FROM (SELECT gene, transcript_id, count(*) AS n FROM {exon} GROUP BY ALL)) WHERE r = 1")
+def select_transcript(v):
+    return evidence.select_transcript(v("exon"))
+
+
+_CONSTRAINT = "(SELECT gene, TRY_CAST(CASE WHEN cadd_phred > 38 THEN 'NA' ELSE CAST(gnomad_mis_z AS STRING) END AS DOUBLE) + loeuf AS mis_z, loeuf FROM {annotations})"
+
+
+@query(f"SELECT gene, mis_z, loeuf FROM (SELECT *, row_number() OVER (PARTITION BY gene ORDER BY mis_z DESC NULLS LAST, loeuf) AS r FROM {_CONSTRAINT}) WHERE r = 1")
+def constraint_dedup(v):
+    z = F.when(F.col("cadd_phred") <= 38, F.col("gnomad_mis_z") + F.col("loeuf"))
+    return evidence.constraint_dedup(v("annotations").select("gene", z.alias("mis_z"), "loeuf")).select("gene", "mis_z", "loeuf")
+
+
+@query(f"""WITH c AS (SELECT gene, mis_z, loeuf FROM (SELECT *, row_number() OVER (PARTITION BY gene ORDER BY mis_z DESC NULLS LAST, loeuf) AS r FROM {_CONSTRAINT}) WHERE r = 1)
+SELECT a.variant_key, a.gene, coalesce(CASE WHEN a.revel IS NULL THEN NULL ELSE a.gnomad_mis_z END, c.mis_z) AS gnomad_mis_z, c.loeuf FROM {{annotations}} a LEFT JOIN c ON a.gene = c.gene""")
+def constraint_join(v):
+    a = v("annotations").select("variant_key", "gene", F.when(F.col("revel").isNotNull(), F.col("gnomad_mis_z")).alias("gnomad_mis_z"), "loeuf")
+    return evidence.constraint_join(a, constraint_dedup(v))
+
+
+_DOSAGE = "CASE WHEN n % 5 = 0 THEN 'Sufficient evidence for dosage' WHEN n % 5 = 1 THEN 'Gene associated with autosomal recessive phenotype' WHEN n % 5 = 2 THEN ' no evidence available' WHEN n % 5 = 3 THEN NULL ELSE 'Dosage sensitivity unlikely' END"
+_GENES = "(SELECT DISTINCT p_brand AS gene, CAST(substr(p_brand, 7) AS INT) AS n FROM {part})"
+
+
+@query("""SELECT gene, 'D' || CAST(n AS STRING) AS disease_id, CASE n % 4 WHEN 0 THEN 'AD' WHEN 1 THEN 'AR' WHEN 2 THEN '' ELSE 'XL' END AS mode_of_inheritance,
+  CASE n % 5 WHEN 0 THEN 3 WHEN 1 THEN 30 WHEN 2 THEN 0 WHEN 4 THEN 40 END AS hi_score, CASE n % 3 WHEN 0 THEN 3 WHEN 1 THEN 1 END AS ts_score, CASE WHEN n % 5 <> 3 THEN n % 5 IN (0, 1) END AS lof_mechanism, 'Strong' AS gene_disease_validity FROM """ + _GENES)
+def gene_curation(v):
+    genes = v("part").select(F.col("p_brand").alias("gene"), F.substring("p_brand", 7, 9).cast("int").alias("n")).distinct()
+    moi = F.when(F.col("n") % 4 == 0, "AD").when(F.col("n") % 4 == 1, "AR - recessive").when(F.col("n") % 4 == 2, "Undetermined").otherwise("XL")
+    validity = genes.select("gene", F.concat(F.lit("D"), F.col("n").cast("string")).alias("disease_id"), moi.alias("moi"), F.lit("Strong").alias("classification"))
+    ts = F.when(F.col("n") % 3 == 0, "Sufficient evidence").when(F.col("n") % 3 == 1, "Little evidence").otherwise("Gene associated with autosomal recessive phenotype")
+    return evidence.load_curation(validity, genes.select("gene", F.expr(_DOSAGE).alias("haploinsufficiency"), ts.alias("triplosensitivity")))
+
+
+@query("SELECT DISTINCT gene FROM {gene_curation} WHERE gene_disease_validity IN ('Definitive', 'Strong', 'Moderate')")
+def curated_panel(v):
+    return v("gene_curation").where(F.col("gene_disease_validity").isin("Definitive", "Strong", "Moderate")).select("gene").distinct()
+
+
+@query("""SELECT gene, string_agg(DISTINCT mode_of_inheritance, ',' ORDER BY mode_of_inheritance) AS moi, bool_or(coalesce(hi_score = 3, false)) AS hi FROM {gene_curation} GROUP BY gene""")
+def gene_sets(v):
+    return v("gene_curation").groupBy("gene").agg(F.array_join(F.array_sort(F.collect_set("mode_of_inheritance")), ",").alias("moi"), F.bool_or(F.coalesce(F.col("hi_score") == 3, F.lit(False))).alias("hi"))
+
+
+# ---- calls and families -----------------------------------------------------------------------------------------------
+
+_GOOD = "gt IS NOT NULL AND gt NOT LIKE '%.%' AND (gq IS NULL OR gq >= 20) AND (dp IS NULL OR dp >= 10)"
+_CARRIED = f"(SELECT * FROM {{calls}} WHERE {_GOOD} AND gt NOT IN ('0/0', '0|0'))"
+_PEDIGREE = """(SELECT family_id, coalesce(max(case_id) FILTER (proband_status = 'proband'), max(case_id) FILTER (proband_status = 'single_member_case'), max(case_id) FILTER (proband_status = 'unclear_multi_affected'),
+  max(case_id) FILTER (proband_status = 'unclear'), max(case_id) FILTER (relationship IN ('proband_child', 'proband_son', 'affected_son', 'child', 'affected_child'))) AS proband_id,
+  max(case_id) FILTER (relationship = 'mother') AS mother_id, max(case_id) FILTER (relationship IN ('father', 'affected_father')) AS father_id, max(family_size) AS family_size,
+  bool_or(proband_status IN ('unclear', 'unclear_multi_affected')) AND NOT bool_or(proband_status = 'proband') AS proband_ambiguous FROM {calls} GROUP BY family_id)"""
+_DE_NOVO = f"""(SELECT p.family_id, p.proband_id, c.variant_key, c.gene FROM {_CARRIED} c JOIN {_PEDIGREE} p ON c.case_id = p.proband_id
+WHERE EXISTS (SELECT 1 FROM {{calls}} m WHERE {_GOOD} AND m.case_id = p.mother_id AND m.variant_key = c.variant_key AND m.gt IN ('0/0', '0|0'))
+  AND EXISTS (SELECT 1 FROM {{calls}} f WHERE {_GOOD} AND f.case_id = p.father_id AND f.variant_key = c.variant_key AND f.gt IN ('0/0', '0|0')))"""
+_COMPOUND = f"""(SELECT a.family_id, a.gene, a.variant_key AS variant_a, b.variant_key AS variant_b FROM o a JOIN o b ON a.family_id = b.family_id AND a.gene = b.gene AND a.variant_key < b.variant_key
+  WHERE a.f AND NOT a.m AND b.m AND NOT b.f)"""
+_ORIGIN = f"""o AS (SELECT p.family_id, c.gene, c.variant_key, c.variant_key IN (SELECT variant_key FROM {_CARRIED} x WHERE x.case_id = p.father_id) AS f, c.variant_key IN (SELECT variant_key FROM {_CARRIED} x WHERE x.case_id = p.mother_id) AS m
+  FROM {_CARRIED} c JOIN {_PEDIGREE} p ON c.case_id = p.proband_id WHERE p.mother_id IS NOT NULL AND p.father_id IS NOT NULL AND c.gt IN ('0/1', '1/0', '0|1', '1|0'))"""
+_SHARED = f"(SELECT family_id, variant_key, min(gene) AS gene, count(DISTINCT case_id) AS n_affected_hom FROM {_CARRIED} WHERE gt IN ('1/1', '1|1') AND (relationship IN {HET_LABELS} OR proband_status IN {SHARED_STATUS}) GROUP BY ALL HAVING count(DISTINCT case_id) >= 2)"
+
+
+def _pedigree(v):
+    return family.pedigree_from_labels(v("calls"))
+
+
+def _shared(v):
+    return family.shared_homozygous(v("calls"), HET_LABELS, SHARED_STATUS)
+
+
+@query("SELECT chrom || '-' || CAST(pos AS STRING) || '-A-G' AS variant_key, case_id, chrom, pos, 'snv' AS kind, gq FROM {sample_call}")
+def ingest_canonical(v):
+    calls = v("sample_call").select("case_id", F.concat(F.lit("chr"), F.col("chrom")).alias("chr"), "pos", F.concat(F.col("gq").cast("string"), F.lit(".0")).alias("q"))
+    a, g = F.lit("A"), F.lit("G")
+    return calls.select(expr.variant_key(F.col("chr"), F.col("pos"), a, g).alias("variant_key"), "case_id", F.regexp_replace("chr", "^chr", "").alias("chrom"), "pos", expr.variant_kind(a, g).alias("kind"), expr.safe_int(F.col("q")).alias("gq"))
+
+
+@query(f"SELECT case_id, variant_key, gt, gq, dp FROM {_CARRIED}")
+def carried_calls(v):
+    return family.carried(v("calls")).select("case_id", "variant_key", "gt", "gq", "dp")
+
+
+@query("SELECT gt, CASE WHEN gt IN ('1/1', '1|1') THEN 'hom' ELSE 'het' END AS zygosity, count(*) AS n FROM {calls} GROUP BY ALL")
+def zygosity(v):
+    return v("calls").groupBy("gt", F.when(F.col("gt").isin(*family.HOM), "hom").otherwise("het").alias("zygosity")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(f"SELECT * FROM {_PEDIGREE}")
+def pedigree_labels(v):
+    return _pedigree(v)
+
+
+@query("""SELECT family_id, individual_id AS proband_id, mother_id, father_id FROM (SELECT *, row_number() OVER (PARTITION BY family_id ORDER BY CASE WHEN father_id IS NOT NULL OR mother_id IS NOT NULL THEN 1 ELSE 0 END DESC,
+  CASE WHEN affected = 2 THEN 1 ELSE 0 END DESC, individual_id) AS r FROM {ped}) WHERE r = 1""")
+def ped_proband(v):
+    return family.pedigree_from_ped(v("ped"))
+
+
+@query("SELECT c.case_id, c.variant_key, coalesce(p.family_id, 'none') AS family_id FROM {calls} c LEFT JOIN (SELECT * FROM {ped} WHERE affected = 2) p ON c.case_id = p.individual_id")
+def ped_backfill(v):
+    return family.ped_backfill(v("calls").withColumn("family_id", F.lit("none")), v("ped").where("affected = 2")).select("case_id", "variant_key", "family_id")
+
+
+@query(f"SELECT * FROM {_DE_NOVO}")
+def de_novo(v):
+    return family.de_novo(v("calls"), _pedigree(v))
+
+
+@query(f"WITH {_ORIGIN} SELECT * FROM {_COMPOUND}")
+def compound_het(v):
+    return family.compound_het(v("calls"), _pedigree(v))
+
+
+@query(f"SELECT * FROM {_SHARED}")
+def affected_shared_hom(v):
+    return _shared(v)
+
+
+@query(f"""SELECT s.family_id, s.variant_key, s.gene, s.n_affected_hom, k.variant_key IS NOT NULL AS asserted, f.af FROM {_SHARED} s LEFT JOIN (SELECT DISTINCT variant_key FROM {{classes}} WHERE acmg_class = 'Pathogenic') k ON s.variant_key = k.variant_key
+LEFT JOIN (SELECT variant_key, CAST(max(total_points) AS DOUBLE) / 20 AS af FROM {{classes}} WHERE total_points > 0 GROUP BY variant_key) f ON s.variant_key = f.variant_key WHERE k.variant_key IS NOT NULL OR f.af IS NULL OR f.af < 0.2""")
+def sweep_multiplex(v):
+    k = v("classes")
+    return family.sweep_multiplex(_shared(v), k.where("acmg_class = 'Pathogenic'"), k.where("total_points > 0").select("variant_key", (F.col("total_points") / 20).alias("af")), 0.2)
+
+
+@query(f"SELECT family_id, variant_key, max(b) AS boost FROM (SELECT family_id, variant_key, 1.0::DOUBLE AS b FROM {_DE_NOVO} UNION ALL SELECT family_id, variant_key, 0.7::DOUBLE FROM {_SHARED}) GROUP BY ALL")
+def segregation_boosts(v):
+    return family.segregation_boosts(de_novo(v), _shared(v))
+
+
+_STRUCTURE = """(SELECT p.individual_id, CASE WHEN (f OR m) AND n >= 4 THEN 'quad' WHEN f AND m THEN 'trio' WHEN f OR m THEN 'duo' WHEN a >= 2 THEN 'multiplex' ELSE 'singleton' END AS structure FROM (
+  SELECT p.*, EXISTS (SELECT 1 FROM {ped} x WHERE x.family_id = p.family_id AND x.individual_id = p.father_id) AS f, EXISTS (SELECT 1 FROM {ped} x WHERE x.family_id = p.family_id AND x.individual_id = p.mother_id) AS m,
+  count(*) OVER (PARTITION BY family_id) AS n, sum(CASE WHEN affected = 2 THEN 1 ELSE 0 END) OVER (PARTITION BY family_id) AS a FROM {ped} p) p)"""
+
+
+@query(f"SELECT * FROM {_STRUCTURE}")
+def case_structure(v):
+    return family.case_structure(v("ped"))
+
+
+_LIVE = "(SELECT DISTINCT case_id, family_id, variant_key, gene FROM {case_variants} WHERE acmg_class IN ('Pathogenic', 'Likely Pathogenic', 'VUS'))"
+_FACTS = f"""facts AS (SELECT l.case_id, l.variant_key, 'PS2' AS criterion FROM {_LIVE} l WHERE (family_id, variant_key) IN (SELECT (family_id, variant_key) FROM {_DE_NOVO})
+  UNION SELECT l.case_id, l.variant_key, 'PP1' FROM {_LIVE} l WHERE (family_id, variant_key) IN (SELECT (family_id, variant_key) FROM {_SHARED})
+  UNION SELECT a.case_id, unnest([variant_a, variant_b]), 'PM3' FROM {_COMPOUND} h JOIN {{moi}} ON h.gene = moi.gene AND moi IN ('AR', 'AD,AR') JOIN {_LIVE} a ON a.family_id = h.family_id AND a.variant_key = variant_a
+    JOIN {_LIVE} b ON b.case_id = a.case_id AND b.variant_key = variant_b)"""
+
+
+def _facts(v):
+    return case.pedigree_facts(v("case_variants"), de_novo(v), compound_het(v), _shared(v), v("moi"))
+
+
+@query(f"WITH {_ORIGIN}, {_FACTS} SELECT * FROM facts")
+def pedigree_facts(v):
+    return _facts(v)
+
+
+# ---- intervals --------------------------------------------------------------------------------------------------------
+
+
+@query("""SELECT chrom, min(pos) AS start_pos, max(pos) AS end_pos, count(*) AS loci FROM (SELECT *, sum(n) OVER (PARTITION BY chrom ORDER BY pos) AS i FROM (SELECT *, CASE WHEN pos - lag(pos) OVER (PARTITION BY chrom ORDER BY pos) <= 900 THEN 0 ELSE 1 END AS n
+FROM (SELECT DISTINCT split_part(variant_key, '-', 1) AS chrom, CAST(split_part(variant_key, '-', 2) AS BIGINT) AS pos FROM {annotations}))) GROUP BY chrom, i""")
+def merge_regions(v):
+    return intervals.merge_regions(_loci(v), 900)
+
+
+def _loci(v):
+    parts = F.split("variant_key", "-")
+    return v("annotations").select("variant_key", parts[0].alias("chrom"), parts[1].cast("long").alias("pos"))
+
+
+@query("""SELECT chrom, min(s) AS start_pos, max(e) AS end_pos FROM (SELECT *, sum(n) OVER (PARTITION BY chrom ORDER BY s, e ROWS UNBOUNDED PRECEDING) AS i FROM (SELECT *, CASE WHEN s <= max(e) OVER (PARTITION BY chrom ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 0 ELSE 1 END AS n
+FROM (SELECT transcript_id AS chrom, start_pos - 300 AS s, end_pos + 300 AS e FROM {exon}))) GROUP BY chrom, i""")
+def interval_merge(v):
+    return intervals.interval_merge(v("exon").select(F.col("transcript_id").alias("chrom"), "start_pos", "end_pos"), 300)
+
+
+@query("SELECT variant_key, transcript_id, pos FROM {nmd_variants} v WHERE EXISTS (SELECT 1 FROM {exon} e WHERE e.transcript_id = v.transcript_id AND v.pos BETWEEN e.start_pos - 8 AND e.end_pos + 8)")
+def exon_scope(v):
+    points = v("nmd_variants").withColumnRenamed("transcript_id", "chrom")
+    return intervals.inside(points, v("exon").select(F.col("transcript_id").alias("chrom"), "start_pos", "end_pos"), 8).withColumnRenamed("chrom", "transcript_id")
+
+
+@query("SELECT variant_key FROM {annotations} WHERE consequence NOT IN ('intron') UNION SELECT variant_key FROM {clinvar} WHERE clnsig = 'Pathogenic'")
+def coding_scope(v):
+    return v("annotations").where(F.col("consequence") != "intron").select("variant_key").union(v("clinvar").where("clnsig = 'Pathogenic'").select("variant_key")).distinct()
+
+
+@query("SELECT *, row_number() OVER (PARTITION BY chrom ORDER BY pos, variant_key) AS nth FROM (SELECT variant_key, split_part(variant_key, '-', 1) AS chrom, CAST(split_part(variant_key, '-', 2) AS BIGINT) AS pos FROM {annotations})")
+def genomic_sort(v):
+    return intervals.genomic_rank(_loci(v))
+
+
+# ---- the store --------------------------------------------------------------------------------------------------------
+
+
+@query("SELECT DISTINCT variant_key FROM {annotations} a WHERE NOT EXISTS (SELECT 1 FROM {store_old} s WHERE s.variant_key = a.variant_key AND s.revel_release = 'r1')")
+def store_increment(v):
+    return store.increment(v("annotations"), v("store_old"), "revel_release", "r1")
+
+
+_MERGED = """(SELECT coalesce(o.variant_key, n.variant_key) AS variant_key, coalesce(n.revel_score, o.revel_score) AS revel_score, CASE WHEN n.variant_key IS NOT NULL THEN 'r2' ELSE o.revel_release END AS revel_release, o.splice_score, o.splice_release
+FROM {store_old} o FULL JOIN {store_new} n ON o.variant_key = n.variant_key)"""
+
+
+@query(f"SELECT * FROM {_MERGED}")
+def store_merge(v):
+    return store.merge(v("store_old"), v("store_new"), "revel_release", "r2")
+
+
+@query("SELECT variant_key, revel_score FROM {store_old} WHERE variant_key IN (SELECT variant_key FROM {store_new})")
+def store_read(v):
+    return store.read(v("store_old"), v("store_new"), ["revel_score", "not_there"])
+
+
+@query("SELECT a.variant_key, s.splice_score FROM {annotations} a JOIN {store_old} s ON a.variant_key = s.variant_key WHERE s.splice_score IS NOT NULL")
+def annotate_lookup(v):
+    scores = v("store_old").where(F.col("splice_score").isNotNull()).select("variant_key", "splice_score")
+    return v("annotations").select("variant_key").join(scores, "variant_key")
+
+
+@query("SELECT a.variant_key, coalesce(a.revel, n.revel_score) AS revel FROM {annotations} a LEFT JOIN {store_new} n ON a.variant_key = n.variant_key")
+def fill_gaps(v):
+    return store.fill_gaps(v("annotations").select("variant_key", "revel"), v("store_new").select("variant_key", F.col("revel_score").alias("revel")), ["revel"])
+
+
+@query("SELECT a.variant_key, o.splice_score, n.revel_score FROM {annotations} a LEFT JOIN {store_old} o ON a.variant_key = o.variant_key LEFT JOIN {store_new} n ON a.variant_key = n.variant_key")
+def site_scores(v):
+    keys = v("annotations").select("variant_key")
+    return keys.join(v("store_old").select("variant_key", "splice_score"), "variant_key", "left").join(v("store_new"), "variant_key", "left")
+
+
+@query(f"SELECT variant_key FROM {{annotations}} WHERE {_SPLICED} AND variant_key NOT IN (SELECT variant_key FROM {{store_old}} WHERE splice_score IS NOT NULL)")
+def splice_increment(v):
+    classes = F.col("consequence").isin("splice_region", "splice_donor", "splice_acceptor", "intron", "synonymous")
+    return v("annotations").where(classes).select("variant_key").join(v("store_old").where(F.col("splice_score").isNotNull()).select("variant_key"), "variant_key", "left_anti")
+
+
+@query("""SELECT variant_key, revel_score, revel_release, splice_score, splice_release FROM {store_old} WHERE variant_key NOT IN (SELECT variant_key FROM {store_new})
+UNION ALL BY NAME SELECT variant_key, revel_score FROM {store_new}""")
+def score_upsert(v):
+    return store.upsert(v("store_old"), v("store_new"))
+
+
+@query("SELECT DISTINCT chrom, pos, 'A' AS ref, 'G' AS alt FROM {calls}")
+def distinct_loci(v):
+    return v("calls").select("chrom", "pos", F.lit("A").alias("ref"), F.lit("G").alias("alt")).distinct()
+
+
+@query("SELECT DISTINCT chrom, pos, unnest(CASE WHEN pos % 3 = 0 THEN ['G'] ELSE ['G', 'T'] END) AS alt FROM {calls}")
+def unnest_alts(v):
+    alts = F.split(F.when(F.col("pos") % 3 == 0, "G").otherwise("G,T"), ",")
+    return v("calls").select("chrom", "pos", F.explode(alts).alias("alt")).distinct()
+
+
+# ---- copy numbers -----------------------------------------------------------------------------------------------------
+
+_DIRECTION = "CASE WHEN svtype IN ('DEL', 'DUP') THEN svtype WHEN cn < 2 THEN 'DEL' WHEN cn > 2 THEN 'DUP' END"
+
+
+@query(f"SELECT chrom, start_pos, end_pos, cn, svtype, {_DIRECTION} AS direction FROM {{cnv}}")
+def cnv_direction(v):
+    return v("cnv").select("chrom", "start_pos", "end_pos", "cn", "svtype", text.cnv_direction(F.col("svtype"), F.col("cn")).alias("direction"))
+
+
+@query("SELECT DISTINCT chrom || '-' || CAST(start_pos AS STRING) || '-' || CAST(end_pos AS STRING) || '-' || CASE WHEN cn < 2 THEN 'DEL' ELSE 'DUP' END AS cnv_key, cn FROM {cnv} WHERE cn <> 2")
+def cnv_cohort(v):
+    kind = F.when(F.col("cn") < 2, "DEL").otherwise("DUP")
+    key = F.concat("chrom", F.lit("-"), F.col("start_pos").cast("string"), F.lit("-"), F.col("end_pos").cast("string"), F.lit("-"), kind)
+    return v("cnv").where("cn <> 2").select(key.alias("cnv_key"), "cn").distinct()
+
+
+@query("SELECT chrom, start_pos, total_score, CASE WHEN total_score >= 0.99 THEN 'Pathogenic' WHEN total_score >= 0.9 THEN 'Likely Pathogenic' WHEN total_score > -0.9 THEN 'VUS' WHEN total_score > -0.99 THEN 'Likely Benign' ELSE 'Benign' END AS cnv_class FROM {cnv}")
+def cnv_riggs_band(v):
+    return v("cnv").select("chrom", "start_pos", "total_score", expr.cnv_band(F.col("total_score")).alias("cnv_class"))
+
+
+_HI, _TS = ("Brand#12", "Brand#21", "Brand#25"), ("Brand#13", "Brand#22", "Brand#30")
+_PICKED = f"(SELECT c.*, coalesce(list_filter(l, lambda g: list_contains(CASE WHEN svtype = 'DEL' THEN {list(_HI)} ELSE {list(_TS)} END, g))[1], l[1]) AS gene FROM (SELECT *, list_filter(regexp_split_to_array(genes, '[,;|\\s]+'), lambda g: g <> '') AS l FROM {{cnv}}) c)"
+
+
+def _picked(v):
+    arr = lambda x: F.array(*[F.lit(g) for g in x])
+    return v("cnv").withColumn("gene", text.pick_gene(F.col("genes"), F.col("svtype"), arr(_HI), arr(_TS)))
+
+
+@query(f"SELECT chrom, start_pos, svtype, gene FROM {_PICKED}")
+def cnv_gene_pick(v):
+    return _picked(v).select("chrom", "start_pos", "svtype", "gene")
+
+
+_CNV_FIT = f"CASE WHEN svtype = 'DEL' AND cn = 0 THEN 'biallelic_loss' WHEN svtype = 'DEL' AND gene IN {_HI} THEN 'dominant_loss' WHEN svtype = 'DUP' AND gene IN {_TS} THEN 'dominant_gain' ELSE 'uncertain_dosage' END"
+
+
+def _cnv_fit(v):
+    genes = lambda x: v("part").select(F.col("p_brand").alias("gene")).where(F.col("gene").isin(*x)).distinct().unionByName(v("cnv").select(F.explode(F.array(*[F.lit(g) for g in x])).alias("gene")).distinct())
+    return case.cnv_genotype_fit(_picked(v), genes(_HI), genes(_TS))
+
+
+@query(f"SELECT chrom, start_pos, cn, gene, {_CNV_FIT} AS genotype_fit FROM {_PICKED}")
+def cnv_genotype_fit(v):
+    return _cnv_fit(v).select("chrom", "start_pos", "cn", "gene", "genotype_fit")
+
+
+# ---- cases ------------------------------------------------------------------------------------------------------------
+
+_FIT = """(SELECT *, CASE WHEN ar AND zygosity = 'hom' THEN 'biallelic_homozygous' WHEN ar AND zygosity = 'het' AND hets >= 2 THEN 'biallelic_candidate' WHEN ar AND zygosity = 'het' AND NOT ad THEN 'monoallelic_carrier' ELSE 'monoallelic_dominant' END AS genotype_fit
+FROM (SELECT c.*, coalesce(m.moi IN ('AR', 'AD,AR'), false) AS ar, coalesce(m.moi IN ('AD', 'AD,AR'), false) AS ad, sum(CASE WHEN zygosity = 'het' AND m.moi IN ('AR', 'AD,AR') THEN 1 ELSE 0 END) OVER (PARTITION BY case_id, c.gene) AS hets
+FROM {case_variants} c LEFT JOIN {moi} m ON c.gene = m.gene))"""
+_BAND = "CASE WHEN {0} >= 10 THEN 'Pathogenic' WHEN {0} >= 6 THEN 'Likely Pathogenic' WHEN {0} >= 0 THEN 'VUS' WHEN {0} >= -6 THEN 'Likely Benign' ELSE 'Benign' END"
+_FOLDED = f"""folded AS (SELECT c.case_id, c.variant_key, c.gene, c.acmg_class, coalesce(f.p, 0)::INT AS case_points, coalesce(f.n, '') AS case_criteria, (c.total_points + coalesce(f.p, 0))::INT AS case_total_points,
+  CASE WHEN contains(coalesce(c.criteria, ''), 'BA1') THEN 'Benign' ELSE {_BAND.replace('{0}', '(c.total_points + coalesce(f.p, 0))')} END AS case_class FROM {{case_variants}} c LEFT JOIN (
+  SELECT case_id, variant_key, sum(CASE criterion WHEN 'PS2' THEN 4 WHEN 'PM3' THEN 2 ELSE 1 END) AS p, string_agg(criterion, ',' ORDER BY criterion) AS n FROM facts
+  WHERE case_id IN (SELECT individual_id FROM {_STRUCTURE} WHERE structure <> 'singleton') GROUP BY ALL) f ON c.case_id = f.case_id AND c.variant_key = f.variant_key)"""
+
+
+def _structures(v):
+    return family.case_structure(v("ped")).withColumnRenamed("individual_id", "case_id")
+
+
+@query(f"SELECT case_id, variant_key, gene, zygosity, genotype_fit FROM {_FIT}")
+def genotype_fit(v):
+    return case.genotype_fit(v("case_variants"), v("moi")).select("case_id", "variant_key", "gene", "zygosity", "genotype_fit")
+
+
+@query(f"WITH {_ORIGIN}, {_FACTS}, {_FOLDED} SELECT * FROM folded")
+def classify_case(v):
+    done = case.classify_case(v("case_variants"), _facts(v), _structures(v))
+    return done.select("case_id", "variant_key", "gene", "acmg_class", F.col("case_points").cast("int").alias("case_points"), "case_criteria", F.col("case_total_points").cast("int").alias("case_total_points"), "case_class")
+
+
+@query("SELECT gene, hpo_id FROM {edges}")
+def gene_phenotype_edges(v):
+    return v("part").where("p_partkey % 3 = 0").select(F.col("p_brand").alias("gene"), F.concat(F.lit("HP:"), F.col("p_size").cast("string")).alias("hpo_id")).distinct()
+
+
+_IC = "(SELECT hpo_id, -log2(CAST(count(DISTINCT gene) AS DOUBLE) / (SELECT count(DISTINCT gene) FROM {edges})) AS ic FROM {edges} WHERE hpo_id IN (SELECT hpo_id FROM {patient_terms}) GROUP BY hpo_id)"
+_SCORES = f"(SELECT t.case_id, e.gene, sum(ic) AS phenotype_score FROM {{patient_terms}} t JOIN {_IC} i ON t.hpo_id = i.hpo_id JOIN {{edges}} e ON e.hpo_id = t.hpo_id GROUP BY ALL)"
+
+
+def _scores(v):
+    return case.phenotype_scores(v("edges"), v("patient_terms"))
+
+
+@query(f"SELECT hpo_id, round(ic, 6) AS ic FROM {_IC}")
+def ic_weights(v):
+    return case.ic_weights(v("edges"), v("patient_terms")).select("hpo_id", F.round("ic", 6).alias("ic"))
+
+
+@query(f"SELECT case_id, gene, round(phenotype_score, 6) AS phenotype_score FROM {_SCORES}")
+def phenotype_scores(v):
+    return _scores(v).withColumn("phenotype_score", F.round("phenotype_score", 6))
+
+
+_RERANKED = f"""(SELECT *, 0.5 * phenotype_norm + 0.4 * pathogenicity AS combined_score FROM (SELECT c.case_id, c.variant_key, c.gene, c.acmg_class, c.zygosity, coalesce(s.phenotype_score, 0) AS phenotype_score,
+  CASE WHEN max(coalesce(s.phenotype_score, 0)) OVER (PARTITION BY c.case_id) > 0 THEN coalesce(s.phenotype_score, 0) / max(coalesce(s.phenotype_score, 0)) OVER (PARTITION BY c.case_id) ELSE 0 END AS phenotype_norm,
+  CASE c.acmg_class WHEN 'Pathogenic' THEN 1.0 WHEN 'Likely Pathogenic' THEN 0.9 WHEN 'VUS' THEN 0.5 WHEN 'Likely Benign' THEN 0.1 ELSE 0.0 END::DOUBLE AS pathogenicity
+  FROM {{case_variants}} c LEFT JOIN {_SCORES} s ON c.case_id = s.case_id AND c.gene = s.gene))"""
+
+
+@query(f"SELECT case_id, variant_key, round(phenotype_norm, 6) AS phenotype_norm, round(combined_score, 6) AS combined_score FROM {_RERANKED}")
+def rerank(v):
+    return case.rerank(v("case_variants"), _scores(v)).select("case_id", "variant_key", F.round("phenotype_norm", 6).alias("phenotype_norm"), F.round("combined_score", 6).alias("combined_score"))
+
+
+_BOOSTS = " ".join(f"WHEN '{k}' THEN {b}" for k, b in expr.GENOTYPE_BOOST.items())
+_CANDIDATES = f"""(SELECT *, tier * 10 + CASE WHEN top > 0 THEN phenotype_score / top ELSE 0 END * 5 + CASE genotype_fit {_BOOSTS} ELSE 0 END + CASE WHEN gene = 'Brand#15' THEN 8 ELSE 0 END AS combined_score FROM (
+  SELECT *, CASE acmg_class WHEN 'Pathogenic' THEN 5 WHEN 'Likely Pathogenic' THEN 4 WHEN 'Likely Benign' THEN 2 WHEN 'Benign' THEN 1 ELSE 3 END AS tier, max(phenotype_score) OVER (PARTITION BY case_id) AS top FROM (
+  SELECT x.*, coalesce(s.phenotype_score, 0) AS phenotype_score FROM (SELECT case_id, variant_key AS candidate_id, 'snv' AS kind, gene, acmg_class, genotype_fit FROM {_FIT}
+    UNION ALL SELECT case_id, chrom || ':' || CAST(start_pos AS STRING), 'cnv', gene, CASE WHEN total_score >= 0.99 THEN 'Pathogenic' WHEN total_score >= 0.9 THEN 'Likely Pathogenic' WHEN total_score > -0.9 THEN 'VUS' WHEN total_score > -0.99 THEN 'Likely Benign' ELSE 'Benign' END, {_CNV_FIT} FROM {_PICKED}) x
+  LEFT JOIN {_SCORES} s ON x.case_id = s.case_id AND x.gene = s.gene)))"""
+
+
+def _candidates(v):
+    scores = _scores(v)
+    snv = case.genotype_fit(v("case_variants"), v("moi")).select("case_id", F.col("variant_key").alias("candidate_id"), F.lit("snv").alias("kind"), "gene", "acmg_class", "genotype_fit")
+    cnv = _cnv_fit(v).select("case_id", F.concat("chrom", F.lit(":"), F.col("start_pos").cast("string")).alias("candidate_id"), F.lit("cnv").alias("kind"), "gene", expr.cnv_band(F.col("total_score")).alias("acmg_class"), "genotype_fit")
+    named = v("case_variants").select("case_id").union(v("cnv").select("case_id")).distinct().withColumn("gene", F.lit("Brand#15"))
+    return case.candidate_table(snv.join(scores, ["case_id", "gene"], "left"), cnv.join(scores, ["case_id", "gene"], "left"), named)
+
+
+@query(f"SELECT case_id, candidate_id, kind, gene, acmg_class, tier AS class_tier, genotype_fit, round(combined_score, 6) AS combined_score FROM {_CANDIDATES}")
+def candidate_rank(v):
+    return _candidates(v).select("case_id", "candidate_id", "kind", "gene", "acmg_class", "class_tier", "genotype_fit", F.round("combined_score", 6).alias("combined_score"))
+
+
+@query(f"SELECT case_id, candidate_id, r AS rank FROM (SELECT *, row_number() OVER (PARTITION BY case_id ORDER BY round(combined_score, 6) DESC, candidate_id) AS r FROM {_CANDIDATES}) WHERE r <= 3")
+def top_n_per_case(v):
+    ranked = _candidates(v).drop("rank").withColumn("combined_score", F.round("combined_score", 6))
+    order = case.Window.partitionBy("case_id").orderBy(F.desc("combined_score"), "candidate_id")
+    return case.top_n(ranked.withColumn("rank", F.row_number().over(order)), 3).select("case_id", "candidate_id", "rank")
+
+
+_BIALLELIC = "(zygosity = 'hom' OR count(DISTINCT CASE WHEN acmg_class IN ('Pathogenic', 'Likely Pathogenic') THEN variant_key END) OVER (PARTITION BY case_id, gene) >= 2)"
+
+
+@query(f"SELECT case_id, variant_key, gene, {_BIALLELIC} AS biallelic FROM {{case_variants}}")
+def biallelic_flag(v):
+    return case.biallelic_flag(v("case_variants")).select("case_id", "variant_key", "gene", "biallelic")
+
+
+_TRIAGED = f"""(SELECT *, CASE decision WHEN 'reportable' THEN 'confirm' WHEN 'mixed' THEN 'adjudicate' ELSE 'none' END AS review FROM (SELECT *, CASE WHEN lower(coalesce(clinvar, '')) LIKE '%conflict%' THEN 'mixed'
+  WHEN plp AND phenotype_norm > 0 AND ar AND NOT ad AND NOT biallelic THEN 'mixed' WHEN plp AND phenotype_norm > 0 THEN 'reportable' WHEN plp THEN 'mixed' WHEN phenotype_norm >= 0.5 THEN 'mixed' ELSE 'not_enough_evidence' END AS decision
+  FROM (SELECT r.*, acmg_class IN ('Pathogenic', 'Likely Pathogenic') AS plp, {_BIALLELIC} AS biallelic, coalesce(m.moi IN ('AR', 'AD,AR'), false) AS ar, coalesce(m.moi IN ('AD', 'AD,AR'), false) AS ad,
+  CASE WHEN r.variant_key LIKE '%7-A-G' THEN 'Conflicting' END AS clinvar FROM {_RERANKED} r LEFT JOIN {{moi}} m ON r.gene = m.gene)))""".replace("OVER (PARTITION BY case_id, gene)", "OVER (PARTITION BY case_id, r.gene)")
+
+
+def _triaged(v):
+    rows = case.biallelic_flag(case.rerank(v("case_variants"), _scores(v))).join(v("moi"), "gene", "left")
+    rows = rows.withColumns({"gene_ar": expr.is_recessive(F.col("moi")), "gene_ad": expr.is_dominant(F.col("moi")), "clinvar": F.when(F.col("variant_key").endswith("7-A-G"), "Conflicting")})
+    return case.triage(rows)
+
+
+@query(f"SELECT case_id, variant_key, acmg_class, decision, review FROM {_TRIAGED}")
+def triage(v):
+    return _triaged(v).select("case_id", "variant_key", "acmg_class", "decision", "review")
+
+
+@query(f"""SELECT case_id, decision AS go, variant_key AS lead, CASE WHEN decision = 'not_enough_evidence' THEN 'targeted' ELSE review END AS human_review FROM (SELECT *, row_number() OVER (PARTITION BY case_id
+ORDER BY CASE decision WHEN 'reportable' THEN 2 WHEN 'mixed' THEN 1 ELSE 0 END DESC, round(combined_score, 6) DESC, variant_key) AS r FROM {_TRIAGED}) WHERE r = 1""")
+def case_decision(v):
+    return case.case_decision(_triaged(v).withColumn("combined_score", F.round("combined_score", 6)))
+
+
+_TIER = "CASE {0} WHEN 'Pathogenic' THEN 5 WHEN 'Likely Pathogenic' THEN 4 WHEN 'VUS' THEN 3 WHEN 'Likely Benign' THEN 2 WHEN 'Benign' THEN 1 ELSE -1 END"
+_DIFF = f"""(SELECT coalesce(c.variant_key, p.variant_key) AS variant_key, p.acmg_class AS prior_class, c.acmg_class AS current_class, CASE WHEN c.variant_key IS NULL THEN 'dropped' WHEN p.acmg_class IS NULL THEN 'new'
+  WHEN {_TIER.replace('{0}', 'c.acmg_class')} > {_TIER.replace('{0}', 'p.acmg_class')} THEN 'upgraded' WHEN {_TIER.replace('{0}', 'c.acmg_class')} < {_TIER.replace('{0}', 'p.acmg_class')} THEN 'downgraded' ELSE 'unchanged' END AS status
+FROM (SELECT * FROM {{classes}} WHERE total_points % 7 <> 0) c FULL JOIN (SELECT * FROM {{prior}} WHERE acmg_class IS NOT NULL) p ON c.variant_key = p.variant_key)"""
+
+
+def _diff(v):
+    return case.reanalysis_diff(v("classes").where("total_points % 7 <> 0"), v("prior"))
+
+
+@query(f"SELECT * FROM {_DIFF}")
+def reanalysis_diff(v):
+    return _diff(v)
+
+
+@query(f"SELECT * FROM {_DIFF} WHERE status IN ('new', 'upgraded') AND current_class IN ('Pathogenic', 'Likely Pathogenic')")
+def newly_reportable(v):
+    return case.newly_reportable(_diff(v))
+
+
+@query("SELECT c.case_id, c.variant_key, k.total_points FROM {calls} c JOIN {classes} k ON c.variant_key = k.variant_key WHERE c.relationship = 'child' AND " + _GOOD + " AND gt NOT IN ('0/0', '0|0')")
+def pool_join(v):
+    return family.carried(v("calls")).where("relationship = 'child'").join(v("classes").select("variant_key", "total_points"), "variant_key").select("case_id", "variant_key", "total_points")
+
+
+# ---- text, ledger and validation --------------------------------------------------------------------------------------
+
+_WORDS = " UNION ALL ".join(f"SELECT '{t}' AS term, '{w}' AS word" for t, w in TERMS.items())
+_NEG_SQL = "(no|not|without|denies|negative for|absent|absence of)"
+_FAM_SQL = "(mother|father|brother|sister|family history|maternal|paternal|sibling|cousin|uncle|aunt)"
+
+
+@query(f"""WITH c AS (SELECT doc_id, unnest(regexp_split_to_array(lower(coalesce(text, '')), '[.;\\n]|\\bbut\\b|\\bhowever\\b')) AS clause, generate_subscripts(regexp_split_to_array(lower(coalesce(text, '')), '[.;\\n]|\\bbut\\b|\\bhowever\\b'), 1) AS pos FROM {{documents}} WHERE lang = 'en'),
+f AS (SELECT doc_id, term, pos, CASE WHEN regexp_matches(clause, '(^|[^a-z0-9_]){_FAM_SQL}($|[^a-z0-9_])') THEN 'family' WHEN regexp_matches(clause, '(^|[^a-z0-9_]){_NEG_SQL}($|[^a-z0-9_])') THEN 'excluded' ELSE 'observed' END AS scope
+  FROM c JOIN ({_WORDS}) ON regexp_matches(clause, '(^|[^a-z0-9_])' || word || '($|[^a-z0-9_])'))
+SELECT doc_id AS note_id, term, arg_min(scope, pos) AS scope FROM f GROUP BY ALL""")
+def hpo_rule_extract(v):
+    return text.extract_terms(v("documents").where("lang = 'en'").select(F.col("doc_id").alias("note_id"), "text"), TERMS)
+
+
+_ID_GENES = " UNION ALL ".join(f"SELECT '{g}' AS gene" for g in ("USA", "ID", "CC", "BY", "NC", "MIT"))
+
+
+@query(f"SELECT DISTINCT doc_id AS note_id, g AS gene FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Z][A-Z0-9]+')) AS g FROM {{documents}}) WHERE g IN (SELECT gene FROM ({_ID_GENES}))")
+def referral_genes(v):
+    known = v("region").sparkSession.sql(_ID_GENES)
+    return text.referral_genes(v("documents").select(F.col("doc_id").alias("note_id"), "text"), known)
+
+
+_TERM_CASE = " ".join(f"WHEN '{k}' THEN '{s}'" for k, s in expr.SO_TERMS.items())
+_SEVERE = f"(SELECT list_filter({list(expr.SEVERITY)}, lambda s: list_contains(list_transform(string_split(consequence, '&'), lambda t: CASE t {_TERM_CASE} END), s))[1])"
+
+
+@query(f"SELECT consequence AS terms, {_SEVERE} AS consequence, count(*) AS n FROM {{vep}} GROUP BY ALL")
+def most_severe_consequence(v):
+    return v("vep").groupBy(F.col("consequence").alias("terms"), expr.most_severe(F.col("consequence")).alias("consequence")).agg(F.count(F.lit(1)).alias("n"))
+
+
+_VEP = f"""SELECT replace(replace(uploaded, '_', '-'), '/', '-') AS variant_key, symbol AS gene, {_SEVERE} AS consequence, TRY_CAST(split_part(nullif(nullif(af, '-'), '.'), '&', 1) AS DOUBLE) AS filtering_af,
+  CASE WHEN nmd = '-' THEN NULL WHEN nmd LIKE '%NMD_escaping%' THEN 1 ELSE 0 END AS nmd_escaping, TRY_CAST(nullif(revel, '') AS DOUBLE) AS revel FROM {{vep}}"""
+
+
+@query(_VEP)
+def vep_to_annotations(v):
+    return text.vep_rows(v("vep"))
+
+
+@query(f"SELECT consequence, nmd_escaping, count(*) AS n, count(filtering_af) AS n_af, count(revel) AS n_revel FROM ({_VEP}) GROUP BY ALL")
+def vep_tsv_parse(v):
+    return text.vep_rows(v("vep")).groupBy("consequence", "nmd_escaping").agg(F.count(F.lit(1)).alias("n"), F.count("filtering_af").alias("n_af"), F.count("revel").alias("n_revel"))
+
+
+@query("SELECT uploaded, greatest(coalesce(TRY_CAST(split_part(splice, '|', 3) AS DOUBLE), 0), coalesce(TRY_CAST(split_part(splice, '|', 4) AS DOUBLE), 0), coalesce(TRY_CAST(split_part(splice, '|', 5) AS DOUBLE), 0), coalesce(TRY_CAST(split_part(splice, '|', 6) AS DOUBLE), 0)) AS delta FROM {vep}")
+def splice_max_delta(v):
+    return v("vep").select("uploaded", evidence.splice_max_delta(F.col("splice")).alias("delta"))
+
+
+@query(f"""WITH nm AS (SELECT v.*, p.same_aa, p.same_codon FROM ({_VEP}) v LEFT JOIN (SELECT 'x' AS k, 0 AS same_aa, 0 AS same_codon) p ON p.k = v.variant_key)
+SELECT n.variant_key, n.gene, n.consequence, coalesce(n.revel, a.revel) AS revel, coalesce(n.nmd_escaping, a.nmd_escaping) AS nmd_escaping, a.pm1 FROM nm n LEFT JOIN {{annotations}} a ON n.variant_key = a.variant_key""")
+def annotate_pipeline(v):
+    known = v("annotations").select("variant_key", "revel", "nmd_escaping", "pm1")
+    filled = store.fill_gaps(text.vep_rows(v("vep")).select("variant_key", "gene", "consequence", "revel", "nmd_escaping"), known, ["revel", "nmd_escaping"])
+    return filled.join(known.select("variant_key", "pm1"), "variant_key", "left")
+
+
+@query("SELECT digest, arg_max(event, struct_pack(ts := ts, id := event_id)) AS status FROM {ledger} GROUP BY digest")
+def ledger_latest_status(v):
+    return v("ledger").groupBy("digest").agg(F.max_by("event", F.struct("ts", "event_id")).alias("status"))
+
+
+@query("SELECT variant_key, pos, gene FROM {calls} WHERE relationship = 'mother' AND pos % 2 = 0")
+def scan_parquet(v):
+    return v("calls").where("relationship = 'mother' AND pos % 2 = 0").select("variant_key", "pos", "gene")
+
+
+@query("""SELECT truth, called, count(*) AS n, avg(CASE WHEN truth = called THEN 1.0 ELSE 0.0 END) AS agree FROM (SELECT quality AS truth, CASE WHEN n_chars > 1000 THEN 1 ELSE 0 END AS called FROM {labels} l JOIN {documents} d ON l.doc_id = d.doc_id) GROUP BY ALL""")
+def concordance(v):
+    rows = v("labels").join(v("documents"), "doc_id").select(F.col("quality").alias("truth"), F.when(F.col("n_chars") > 1000, 1).otherwise(0).alias("called"))
+    return rows.groupBy("truth", "called").agg(F.count(F.lit(1)).alias("n"), F.avg(F.when(F.col("truth") == F.col("called"), 1.0).otherwise(0.0)).alias("agree"))
+
+
+
+
+@query("""SELECT gene, round(corr(x, y), 6) AS pearson, round(corr(rx, ry), 6) AS spearman FROM (SELECT gene, revel AS x, cadd_phred AS y, rank() OVER (PARTITION BY gene ORDER BY revel) + (count(*) OVER (PARTITION BY gene, revel) - 1) / 2.0 AS rx,
+  rank() OVER (PARTITION BY gene ORDER BY cadd_phred) + (count(*) OVER (PARTITION BY gene, cadd_phred) - 1) / 2.0 AS ry FROM {annotations} WHERE revel IS NOT NULL) GROUP BY gene""")
+def calibration_corr(v):
+    own = case.Window.partitionBy("gene")
+    mean_rank = lambda c: F.rank().over(own.orderBy(c)) + (F.count(F.lit(1)).over(case.Window.partitionBy("gene", c)) - 1) / 2.0
+    rows = v("annotations").where(F.col("revel").isNotNull()).select("gene", "revel", "cadd_phred", mean_rank("revel").alias("rx"), mean_rank("cadd_phred").alias("ry"))
+    return rows.groupBy("gene").agg(F.round(F.corr("revel", "cadd_phred"), 6).alias("pearson"), F.round(F.corr("rx", "ry"), 6).alias("spearman"))
