@@ -597,14 +597,14 @@ def biallelic_flag(v):
 
 
 _TRIAGED = f"""(SELECT *, CASE decision WHEN 'reportable' THEN 'confirm' WHEN 'mixed' THEN 'adjudicate' ELSE 'none' END AS review FROM (SELECT *, CASE WHEN lower(coalesce(clinvar, '')) LIKE '%conflict%' THEN 'mixed'
-  WHEN plp AND phenotype_norm > 0 AND ar AND NOT ad AND NOT biallelic THEN 'mixed' WHEN plp AND phenotype_norm > 0 THEN 'reportable' WHEN plp THEN 'mixed' WHEN phenotype_norm >= 0.5 THEN 'mixed' ELSE 'not_enough_evidence' END AS decision
+  WHEN plp AND phenotype_norm > 0 AND ar AND NOT ad AND NOT biallelic THEN 'mixed' WHEN plp AND phenotype_norm > 0 THEN 'reportable' WHEN plp THEN 'mixed' WHEN round(phenotype_norm, 9) >= 0.5 THEN 'mixed' ELSE 'not_enough_evidence' END AS decision
   FROM (SELECT r.*, acmg_class IN ('Pathogenic', 'Likely Pathogenic') AS plp, {_BIALLELIC} AS biallelic, coalesce(m.moi IN ('AR', 'AD,AR'), false) AS ar, coalesce(m.moi IN ('AD', 'AD,AR'), false) AS ad,
   CASE WHEN r.variant_key LIKE '%7-A-G' THEN 'Conflicting' END AS clinvar FROM {_RERANKED} r LEFT JOIN {{moi}} m ON r.gene = m.gene)))""".replace("OVER (PARTITION BY case_id, gene)", "OVER (PARTITION BY case_id, r.gene)")
 
 
 def _triaged(v):
     rows = case.biallelic_flag(case.rerank(v("case_variants"), _scores(v))).join(v("moi"), "gene", "left")
-    rows = rows.withColumns({"gene_ar": expr.is_recessive(F.col("moi")), "gene_ad": expr.is_dominant(F.col("moi")), "clinvar": F.when(F.col("variant_key").endswith("7-A-G"), "Conflicting")})
+    rows = rows.withColumns({"gene_ar": expr.is_recessive(F.col("moi")), "gene_ad": expr.is_dominant(F.col("moi")), "clinvar": F.when(F.col("variant_key").endswith("7-A-G"), "Conflicting"), "phenotype_norm": F.round("phenotype_norm", 9)})
     return case.triage(rows)
 
 

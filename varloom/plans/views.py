@@ -54,14 +54,14 @@ SELECT case_id, family_id, relationship, proband_status, family_size, 'snv' AS v
     SELECT 'C' || CAST(o_custkey AS STRING) AS case_id, 'F' || CAST(CAST(floor(o_custkey / 3) AS BIGINT) AS STRING) AS family_id,
       CASE o_custkey % 3 WHEN 0 THEN 'child' WHEN 1 THEN 'mother' ELSE 'affected_father' END AS relationship,
       CASE WHEN o_custkey % 3 = 0 THEN 'proband' WHEN o_custkey % 3 = 2 AND o_custkey % 5 = 0 THEN 'unclear' ELSE 'relative' END AS proband_status, 3 AS family_size,
-      CAST(l_partkey % 22 + 1 AS STRING) || '-' || CAST(1000 + l_partkey % 60 AS STRING) || '-A-G' AS variant_key,
-      CAST(l_partkey % 22 + 1 AS STRING) AS chrom, CAST(1000 + l_partkey % 60 AS BIGINT) AS pos,
+      CAST(l_partkey % 60 % 22 + 1 AS STRING) || '-' || CAST(1000 + l_partkey % 60 AS STRING) || '-A-G' AS variant_key,
+      CAST(l_partkey % 60 % 22 + 1 AS STRING) AS chrom, CAST(1000 + l_partkey % 60 AS BIGINT) AS pos,
       'Brand#' || CAST(CAST(floor(l_partkey % 60 / 6) AS BIGINT) + 11 AS STRING) AS gene,
       CASE WHEN l_returnflag = 'A' THEN '0/1' WHEN l_returnflag = 'R' THEN '1/1' WHEN l_linestatus = 'O' THEN '0/0' ELSE './.' END AS gt,
       CAST(l_quantity AS INT) AS gq, CAST(10 + 5 * l_linenumber AS INT) AS dp, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_returnflag, l_linestatus
     FROM {orders} JOIN {lineitem} ON o_orderkey = l_orderkey) a) b WHERE rn = 1""",
     "calls": """
-SELECT case_id, family_id, relationship, proband_status, family_size, variant_kind, CAST(substr(gene, 7) AS STRING) || '-' || CAST(pos AS STRING) || '-A-G' AS variant_key, chrom, pos, gene, gt, gq, dp FROM {sample_call}""",
+SELECT * FROM {sample_call}""",
     "ped": """
 SELECT DISTINCT 'F' || CAST(CAST(floor(c_custkey / 3) AS BIGINT) AS STRING) AS family_id, 'C' || CAST(c_custkey AS STRING) AS individual_id,
   CASE WHEN c_custkey % 3 = 0 AND c_custkey % 4 <> 1 THEN 'C' || CAST(c_custkey + 2 AS STRING) ELSE NULL END AS father_id,
@@ -116,7 +116,7 @@ FROM {part}""",
 
 
 def _uses(text: str) -> list[str]:
-    return list(dict.fromkeys(re.findall(r"\{(\w+)\}", text)))
+    return list(dict.fromkeys(re.findall(r"\{([a-z_]\w*)\}", text)))
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -138,7 +138,7 @@ def _order(name: str, seen: dict[str, None]) -> dict[str, None]:
 def with_views(body: str) -> str:
     """SQL for DuckDB: body, whose {names} are views or tables, after the views that it needs."""
     names = reduce(lambda s, n: _order(n, s) if n in VIEWS else s, _uses(body), {})
-    plain = lambda t: re.sub(r"\{(\w+)\}", r"\1", t)
+    plain = lambda t: re.sub(r"\{([a-z_]\w*)\}", r"\1", t)
     head = ",\n".join(f"{n} AS ({plain(VIEWS[n])})" for n in names)
     body = plain(body).strip()
     if not head:
