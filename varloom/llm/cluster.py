@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from varloom.llm.common import cut
+from varloom.llm.common import cut, stored
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -43,17 +43,19 @@ def linked(
     tokens: (id) -> (id, token), the distinct elements of their sets.
 
     Each member first meets its bucket's hub alone: the member that shares most buckets, in a group of near copies the one
-    nearest to them all. Most buckets then lie within one component, and none of their other pairs can change a component.
-    In the others, a member of whose elements more than the threshold allows stand in no other set there is linked with
+    nearest to them all. The rest of most buckets is then one member, or lies within one component, and none of its pairs can
+    change a component. In the others, a member of whose elements more than the threshold allows stand in no other set there is linked with
     nothing and goes, again and again (peels times). All pairs that then remain between different components follow.
     """
     sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("_n"))
     degree = members.join(sizes, "bucket").groupBy("id").agg(F.sum("_n").alias("_d"))
     hubs = members.join(degree, "id").groupBy("bucket").agg(F.max(F.struct("_d", "id")).alias("_h")).select("bucket", F.col("_h.id").alias("hub"))
-    first = members.join(hubs, "bucket").where(F.col("hub") != F.col("id")).select(F.least("hub", "id").alias("a"), F.greatest("hub", "id").alias("b")).distinct()
+    others = stored(members.join(hubs, "bucket").where(F.col("hub") != F.col("id")))
+    first = others.select(F.least("hub", "id").alias("a"), F.greatest("hub", "id").alias("b")).distinct()
     links = cut(verify(first))
     known = cut(components(links))
-    named = members.join(known, "id", "left").select("bucket", "id", "asks", F.coalesce("component", "id").alias("c"))
+    # the hub's own pairs are done
+    named = others.join(known, "id", "left").select("bucket", "id", "asks", F.coalesce("component", "id").alias("c"))
     rest = cut(_open(named))
     for _ in range(peels):
         ids = cut(rest.select("id").distinct())

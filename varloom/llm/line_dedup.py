@@ -53,6 +53,11 @@ def signatures(lines: DataFrame, k: int = SHINGLE) -> DataFrame:
     return _shingled(lines, ["id"], "line", k).groupBy("id").agg(*least)
 
 
+def shingles(line: str, k: int) -> Column:
+    """The distinct shingles of a line, found in one walk along it; a shorter line is one."""
+    return F.when(F.char_length(line) < k, F.array(F.col(line))).otherwise(F.array_distinct(F.regexp_extract_all(line, F.lit(f"(?s)(?=(.{{{k}}}))"), F.lit(1))))
+
+
 def line_dedup(docs: DataFrame, *, k: int = SHINGLE, least: int = LEAST) -> DataFrame:
     """docs' columns with n_lines, n_removed, removed (places of lines, from 0) and kept_text, for every row of docs.
 
@@ -62,6 +67,7 @@ def line_dedup(docs: DataFrame, *, k: int = SHINGLE, least: int = LEAST) -> Data
     Columns of docs that are named like one of the four give way to it.
     """
     found = occurrences(docs)
+    places = stored(found.drop("line"))
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # one row per distinct line, dealt by id, so that its shingles are summed where it lies
     distinct = found.select("id", "line").groupBy("id").agg(F.first("line").alias("line"))
@@ -71,29 +77,28 @@ def line_dedup(docs: DataFrame, *, k: int = SHINGLE, least: int = LEAST) -> Data
     shared = banded.groupBy("bucket").agg(F.min("id").alias("_first"), F.max("id").alias("_last")).where(F.col("_first") != F.col("_last")).select("bucket")
     members = stored(banded.join(shared.hint("merge"), "bucket").select("bucket", "id", F.lit(True).alias("asks")))
 
-    def lines_of(ids: DataFrame) -> DataFrame:
-        return found.select("id", "line").join(broadcast_if_small(ids), "id", "left_semi").groupBy("id").agg(F.first("line").alias("line"))
+    # the texts of candidates alone, once
+    ids = cut(members.select("id").distinct())
+    lines = stored(found.select("id", "line").join(broadcast_if_small(ids), "id", "left_semi").groupBy("id").agg(F.first("line").alias("line")))
 
     def tokens(ids: DataFrame) -> DataFrame:
-        return stored(_shingled(lines_of(ids), ["id"], "line", k).distinct()).select("id", F.col("h").alias("token"))
+        held = lines.join(ids, "id", "left_semi").select("id", F.explode(shingles("line", k)).alias("_s"))
+        return held.select("id", F.xxhash64("_s").alias("token"))
 
     def verify(pairs: DataFrame) -> DataFrame:
-        pairs = cut(pairs)
-        lines = lines_of(cut(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()))
-        sets = stored(_shingled(lines, ["id"], "line", k).groupBy("id").agg(F.array_sort(F.collect_set("h")).alias("s")))
-        left, right = sets.select(F.col("id").alias("a"), F.col("s").alias("x")), sets.select(F.col("id").alias("b"), F.col("s").alias("y"))
-        both = F.size(F.array_intersect("x", "y"))
-        alike = 100 * both >= least * (F.size("x") + F.size("y") - both)
-        return pairs.join(right, "b").join(left, "a").where(alike).select("a", "b")
-
-    groups = linked(members, verify, tokens, least)
+        left, right = lines.select(F.col("id").alias("a"), F.col("line").alias("x")), lines.select(F.col("id").alias("b"), F.col("line").alias("y"))
+        sets = pairs.join(right, "b").join(left, "a").select("a", "b", shingles("x", k).alias("x"), shingles("y", k).alias("y"))
+        counted = sets.select("a", "b", F.size("x").alias("m"), F.size("y").alias("n"), F.size(F.array_intersect("x", "y")).alias("both"))
+        return counted.where(100 * F.col("both") >= least * (F.col("m") + F.col("n") - F.col("both"))).select("a", "b")
+
+    groups = linked(members, verify, tokens, least, peels=1)
     place = F.struct("doc_id", "key", "pos")
-    firsts = found.groupBy("id").agg(F.min(place).alias("first"), F.max(place).alias("_last"))
+    firsts = places.groupBy("id").agg(F.min(place).alias("first"), F.max(place).alias("_last"))
     named = firsts.join(groups, "id", "left").withColumn("_c", F.coalesce("component", "id"))
     heads = named.groupBy("_c").agg(F.min("first").alias("head"), F.count(F.lit(1)).alias("_n"), F.max("_last").alias("_l")).where((F.col("_n") > 1) | (F.col("head") != F.col("_l")))
     by_id = cut(named.select("id", "_c").join(heads, "_c").select("id", F.col("head.key").alias("_k"), F.col("head.pos").alias("_p")))
     gone = (
-        found.select("id", "key", "pos")
+        places.select("id", "key", "pos")
         .join(by_id, "id")
         .where(~((F.col("key") == F.col("_k")) & (F.col("pos") == F.col("_p"))))
         .groupBy("key")
