@@ -728,4 +728,6 @@ def calibration_corr(v):
     own = case.Window.partitionBy("gene")
     mean_rank = lambda c: F.rank().over(own.orderBy(c)) + (F.count(F.lit(1)).over(case.Window.partitionBy("gene", c)) - 1) / 2.0
     rows = v("annotations").where(F.col("revel").isNotNull()).select("gene", "revel", "cadd_phred", mean_rank("revel").alias("rx"), mean_rank("cadd_phred").alias("ry"))
-    return rows.groupBy("gene").agg(F.round(F.corr("revel", "cadd_phred"), 6).alias("pearson"), F.round(F.corr("rx", "ry"), 6).alias("spearman"))
+    # of pairs without spread the correlation isn't a number; without pairs it is null
+    corr = lambda x, y: F.when(F.count_if(F.col(x).isNotNull() & F.col(y).isNotNull()) > 0, F.coalesce(F.round(F.corr(x, y), 6), F.lit(float("nan"))))
+    return rows.groupBy("gene").agg(corr("revel", "cadd_phred").alias("pearson"), corr("rx", "ry").alias("spearman"))
