@@ -64,7 +64,7 @@ STAGES = [
     ("sentencepiece", tokens),
 ]
 
-#: No SQL can express the first stage's trees; tests hold the stages against plain Python.
+#: No SQL can express the first stage's trees; tests run the others one by one and check columns and ids.
 ORACLE_SQL = None
 
 
