@@ -12,6 +12,8 @@ from varloom.llm import line_dedup, mixing, ngram_join, sentencepiece_codec, tox
 from varloom.llm.common import read_table, row_key, stored
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+#: Alike: so many hundredths of the five-word shingles of both are shared, which is wider than the contract of op4_ngram_join.
+SHINGLE, LEAST = 5, 80
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,8 +31,11 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_one_of_alike(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of alike documents the one with the smallest doc_id, and all without shingles; repeated rows once."""
-    found = stored(ngram_join.ngram_join(docs.select(*COLUMNS)))
+    """Of each component of alike documents the one with the smallest doc_id, and all without shingles; repeated rows once.
+
+    Alike: a Jaccard similarity of LEAST / 100 or more over shingles of SHINGLE words.
+    """
+    found = stored(ngram_join.ngram_join(docs.select(*COLUMNS), k=SHINGLE, least=LEAST))
     heads = found.where(F.col("component").isNotNull()).groupBy("component").agg(F.min(F.struct("doc_id", "key")).alias("head"))
     keys = heads.select("head.key").union(found.where(F.col("component").isNull()).select("key")).distinct()
     rows = docs.select(*COLUMNS, row_key(F.col("doc_id"), F.col("text")).alias("key"))

@@ -88,6 +88,21 @@ def test_ids_are_those_of_the_library(spark):
     assert back[-4] == "word " * 20_000 and back[-1] == ""
 
 
+def test_pipeline_keeps_one_of_pairs_between_80_and_85_hundredths(spark):
+    import corpus_pipeline
+
+    def words(name, n):
+        return " ".join(f"{name}{i}" for i in range(n))
+
+    # five-word shingles shared: 396 of 471, 481 and 495, the last just 0.80; and 396 of 496, which is less
+    grown = {10: 75, 20: 85, 30: 99, 40: 100}
+    data = [(i, words(f"a{i}x", 400), "en", "s", 1) for i in grown]
+    data += [(i + 1, words(f"a{i}x", 400) + " " + words(f"b{i}x", n), "en", "s", 1) for i, n in grown.items()]
+    docs = spark.createDataFrame(data, "doc_id long, text string, lang string, source string, n_chars long")
+    kept = corpus_pipeline.keep_one_of_alike(spark, docs, SF)
+    assert sorted(r.doc_id for r in kept.collect()) == [10, 20, 30, 40, 41]
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
