@@ -1,5 +1,6 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables and clashing columns; planted copies and passages."""
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -50,6 +51,35 @@ def test_passages(docs):
     assert rows[8].first_docs == [7] and "harbour master" not in rows[8].kept_text and rows[8].kept_text.startswith("Eight begins")
 
 
+def test_passages_go_to_their_last_sentence(spark):
+    def said(name, *sizes):
+        return "".join(" ".join(f"{name}{i}x{j}" for j in range(n)) + ". " for i, n in enumerate(sizes))
+
+    passage = said("p", 25, 8, 8)
+    data = [(1, passage), (2, passage), (3, said("a", 12, 9) + passage + said("b", 9, 12)), (4, said("c", 5) + said("q", 22) + said("d", 9)), (9, said("q", 22) + said("g", 9))]
+    data += [(5, said("e", 9, 9)), (6, said("e", 9, 9)), (7, said("f", 10, 10)), (8, said("f", 10, 10))]
+    rows = {r.doc_id: r for r in substring_dedup.substring_dedup(spark.createDataFrame(data, "doc_id long, text string")).collect()}
+    assert rows[1].n_removed == 0 and rows[2].kept_text == "" and rows[2].first_docs == [1]
+    assert rows[3].kept_text == said("a", 12, 9) + said("b", 9, 12)
+    assert rows[9].n_removed == 0  # one sentence is no run
+    assert rows[6].n_removed == 0 and rows[8].kept_text == ""  # 18 words are too few, 20 are enough
+
+
+def test_spans_cover_what_any_repeated_run_covers():
+    rng = np.random.default_rng(3)
+    for _ in range(200):
+        pieces = [" ".join(rng.choice(list("abcdefgh"), n)) + ". " if n else " \n" for n in rng.integers(0, 14, rng.integers(1, 12))]
+        held = [i for i, p in enumerate(pieces) if p.split()]
+        words = [len(p.split()) for p in pieces]
+        found = list(zip(*(x.tolist() for x in substring_dedup.spans(pieces)), strict=True))
+        assert len({f[:2] for f in found}) == len(found)
+        for i, a in enumerate(held):
+            for j in range(i + 1, len(held)):
+                if sum(words[a : held[j] + 1]) >= 20:
+                    within = [f for f in found if f[0] >= a and f[1] <= held[j]]
+                    assert {s for s in held[i : j + 1]} <= {s for f in within for s in range(f[0], f[1] + 1)}
+
+
 def test_ngrams(docs):
     rows = {r.doc_id: r for r in ngram_join.ngram_join(docs).collect()}
     assert rows[6].component_id == 5 and rows[5].n_shingles == 29_997

@@ -1,7 +1,7 @@
 """Substring dedup by sliding sentence spans.
 
-A text is cut into sentences. From each sentence on, the shortest run of several sentences with enough words is a span;
-spans are compared by hash over the whole corpus, and every sentence that lies in a span which is not that span's first
+A text is cut into sentences. The shortest run of several sentences with enough words that starts at a sentence is a
+span, and so is the shortest one that ends at it. Together they cover every sentence of every run of that size. Spans are compared by hash over the whole corpus, and every sentence that lies in a span which is not that span's first
 place goes. Sentences without stops are cut at words chosen by their own hash, so that a passage is cut alike wherever it
 stands.
 
@@ -79,9 +79,13 @@ def spans(pieces: list[str], least_sentences: int = SENTENCES, least_words: int
     np.cumsum(w * power[: len(w)], out=sums[1:])
     ends = np.cumsum(counts)[held]
     begins = ends - counts[held]
-    last = np.maximum(np.searchsorted(ends, begins + least_words), np.arange(len(held)) + least_sentences - 1)
+    at = np.arange(len(held))
+    last = np.maximum(np.searchsorted(ends, begins + least_words), at + least_sentences - 1)
+    first = np.minimum(np.searchsorted(begins, ends - least_words, side="right"), at - least_sentences + 2) - 1
     ok = last < len(held)
-    first, last = np.flatnonzero(ok), last[ok]
+    # a run that is the shortest one both ways is one span
+    back = (first >= 0) & (last[first] != at)
+    first, last = np.concatenate([at[ok], first[back]]), np.concatenate([last[ok], at[back]])
     a, b = begins[first], ends[last]
     name = mix((sums[b] - sums[a]) * unpower[a] + (b - a).astype(np.uint64))
     return held[first], held[last], name.view(np.int64)
