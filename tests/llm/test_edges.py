@@ -122,3 +122,16 @@ def test_main_text(spark):
     rows = {r.page_id: r.text for r in html.extract_pages(spark.createDataFrame(data, "page_id long, url string, html string")).collect()}
     assert rows[2] == "Title 2 The first paragraph of 2 & more, with enough words to count. A second one follows here, and is as long as it should be."
     assert rows[9] == "" and rows[10] == ""
+
+
+@pytest.mark.parametrize("size", [10, 5000, 100_000])
+def test_attributes_of_any_length_are_no_text(size):
+    body = "The story has words enough to be the main text of this page, and then a few more."
+    data = "{&quot;hidden&quot;: 1} class='nav' <b>x</b> > " + "y" * size
+    shown = f'<html><body><div data-x="{data}" class="story"><p>{body}</p></div><nav title="{"<i>" * size}"><p>{body} Menu</p></nav><p don\'t>Don\'t{" z" * size}</p></body></html>'
+    broken = f'<html><body><div class="story" title="{size}><p>{body}</p></div></body></html>'
+    stray = f'<html><body><div class="story""><p>{body}</p></div><p>{"z " * size}said</p></body></html>'
+    for page, text in [(shown, f"{body} Don't{' z' * size}"), (broken, body), (stray, f"{body} {'z ' * size}said")]:
+        nodes = html.parse(page)
+        assert html.text_in(nodes, nodes[:1]) == text
+    assert "html>body>div.story" in [html.path_of(n) for n in html.parse(shown)]

@@ -38,14 +38,15 @@ BAD = re.compile(
 )
 GOOD = re.compile(r"(?:^|[-_\s])(?:article|body|content|entry|main|page|post|story|text|hentry|blog)(?:$|[-_\s])", re.I)
 
-#: A comment, a declaration, or a tag; quoted values may hold > up to a length that keeps broken quotes from costing much.
+#: A comment, a declaration, or a tag. A quote after = opens a value, which is taken whole and may hold < and >; other quotes are
+#: letters. Where that finds no tag, as after a quote that never closes, a tag ends at its first >.
 _PIECE = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?"
-    r"|<(/?)([a-zA-Z][^\s/<>]*+)((?:[^<>\"']++|\"[^\"]{0,4096}+\"|'[^']{0,4096}+')*+)>"
+    r"|<(/?)([a-zA-Z][^\s/<>]*+)((?:[^<>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s<>\"'][^\s<>]*+|(?=>)))*+)>"
     r"|<(/?)([a-zA-Z][^\s/<>]*+)([^<>]*+)>",
     re.S,
 )
-_ATTR = re.compile(r"""(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
+_ATTR = re.compile(r"""(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?|=\s*(?:"[^"]*"|'[^']*')""", re.I)
 _SPACE = re.compile(r"\s+")
 _DIGITS = re.compile(r"\d+")
 _HOST = re.compile(r"^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", re.I)
@@ -70,6 +71,8 @@ def _attributes(text: str) -> tuple[str, str, bool]:
     classes = ids = ""
     hidden = False
     for key, value in _ATTR.findall(text):
+        if not key:  # the value of another attribute
+            continue
         key, value = key.lower(), entities.unescape(value.strip("\"'"))
         if key == "class":
             classes = value
