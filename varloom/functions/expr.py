@@ -27,7 +27,7 @@ GENOTYPE_BOOST = {
 VALIDITY = {"Definitive": 6, "Strong": 5, "Moderate": 4, "Limited": 3, "Disputed": 2, "Refuted": 1}
 AMINO = {
     "Ala": "A", "Arg": "R", "Asn": "N", "Asp": "D", "Cys": "C", "Gln": "Q", "Glu": "E", "Gly": "G", "His": "H", "Ile": "I", "Leu": "L",
-    "Lys": "K", "Met": "M", "Phe": "F", "Pro": "P", "Ser": "S", "Thr": "T", "Trp": "W", "Tyr": "Y", "Val": "V", "Ter": "*",
+    "Lys": "K", "Met": "M", "Phe": "F", "Pro": "P", "Ser": "S", "Thr": "T", "Trp": "W", "Tyr": "Y", "Val": "V", "Ter": "*", "Sec": "U",
 }
 NOT_EVALUATED = "Not evaluated (non-SNV/indel — see Riggs 2020)"
 NO_CRITERIA = "(none — abstained)"
@@ -78,8 +78,8 @@ def review_stars(status: Column) -> Column:
     return (
         F.when(s.contains("practice guideline"), 4)
         .when(s.contains("expert panel"), 3)
-        .when(s.contains("multiple submitters"), 2)
-        .when(s.contains("criteria provided") & ~s.contains("no assertion"), 1)
+        .when(s.contains("multiple submitters") & ~s.contains("conflict"), 2)
+        .when(s.contains("criteria provided"), 1)
         .otherwise(0)
     )
 
@@ -89,6 +89,19 @@ def carried_gt(gt: Column) -> Column:
     return called_gt(gt) & ~gt.isin("0/0", "0|0")
 
 
+def zygosity(gt: Column) -> Column:
+    """hom for two equal called alleles other than the reference, else het."""
+    a = F.split(F.regexp_replace(F.coalesce(gt, F.lit("")), r"\|", "/"), "/")
+    same = (F.size(a) == 2) & (F.get(a, F.lit(0)) == F.get(a, F.lit(1))) & ~F.get(a, F.lit(0)).isin("0", ".", "")
+    return F.when(same, "hom").otherwise("het")
+
+
+def zygosity_on(chrom: Column, gt: Column) -> Column:
+    """Zygosity as a report shows it: hom on X may be hemizygous; a genotype that is neither is shown as it is."""
+    x = F.regexp_replace(chrom, "^chr", "") == "X"
+    return F.when(gt.isin("1/1", "1|1"), F.when(x, "hom/hemi(X)").otherwise("hom")).when(gt.isin("0/1", "1/0", "0|1", "1|0"), "het").otherwise(F.coalesce(gt, F.lit("")))
+
+
 def called_gt(gt: Column) -> Column:
     return gt.isNotNull() & ~gt.contains(".")
 

@@ -8,7 +8,11 @@ from pyspark.sql import functions as F
 from varloom.functions.expr import GENOTYPE_BOOST, PATHOGENICITY, TIERS, band, is_dominant, is_recessive, lookup
 
 # Points of case criteria, structures that support them, boosts and thresholds.
-CASE_POINTS = {"PS2": 4, "PM3": 2, "PP1": 1}
+CASE_POINTS = {
+    "PS2": 4, "PM6": 2, "PM3": 2, "PP1": 1, "PP1_Moderate": 2, "PP1_Strong": 4, "BS4": -4,
+    "PP4": 1, "PP4_Moderate": 2, "PS3": 4, "PS3_Moderate": 2, "PS3_Supporting": 1, "PS4": 4,
+}
+FAMILY_CRITERIA = ("PS2", "PM6", "PM3", "PP1", "PP1_Moderate", "PP1_Strong", "BS4")
 FAMILY_STRUCTURES = ("duo", "trio", "quad", "multiplex")
 NAMED_GENE_BOOST = 8
 STRONG_PHENOTYPE = 0.5
@@ -29,25 +33,43 @@ def genotype_fit(variants: DataFrame, moi: DataFrame) -> DataFrame:
     return joined.withColumn("_hets", hets).withColumn("genotype_fit", fit).drop("_moi", "_ar", "_ad", "_hets")
 
 
-def classify_case(variants: DataFrame, facts: DataFrame, structures: DataFrame) -> DataFrame:
+def approved_facts(judgments: DataFrame, ledger: DataFrame) -> DataFrame:
+    """judgments (digest, ...) whose exact digest the ledger's last event approves. ledger: digest, event, ts."""
+    last = ledger.groupBy("digest").agg(F.max_by("event", "ts").alias("_e")).where("_e = 'approve'").select("digest")
+    return judgments.join(last, "digest", "left_semi")
+
+
+def classify_case(variants: DataFrame, facts: DataFrame, structures: DataFrame, judgments: DataFrame | None = None) -> DataFrame:
     """variants with case_points, case_criteria, case_total_points, case_class.
 
-    facts: case_id, variant_key, criterion, each once (PS2, PM3 or PP1 from the pedigree; they count in families only);
-    structures: case_id, structure. BA1 stays benign whatever the points.
+    facts: case_id, variant_key, criterion, each once (PS2, PM3 or PP1 from the pedigree); judgments: the same with points
+    (null: the criterion's own), approved ones alone (see approved_facts), each of which counts. Criteria that need a family
+    count in families only, whoever says them. structures: case_id, structure. BA1 stays benign whatever the points.
     """
-    allowed = structures.where(F.col("structure").isin(*FAMILY_STRUCTURES)).select("case_id").distinct()
-    points = lookup(CASE_POINTS, F.col("criterion"), F.lit(0))
+    families = structures.where(F.col("structure").isin(*FAMILY_STRUCTURES)).select("case_id", F.lit(True).alias("_family")).distinct()
+    said = facts.select("case_id", "variant_key", "criterion", F.lit(None).cast("double").alias("points")).distinct()
+    if judgments is not None:
+        said = said.unionByName(judgments.select("case_id", "variant_key", "criterion", F.col("points").cast("double").alias("points")))
+    points = F.coalesce("points", lookup(CASE_POINTS, F.col("criterion"), F.lit(0)).cast("double"))
     folded = (
-        facts.join(allowed, "case_id", "left_semi")
-        .distinct()
+        said.join(families, "case_id", "left")
+        .where(~F.col("criterion").isin(*FAMILY_CRITERIA) | F.col("_family"))
+        .withColumn("_points", points)
+        .where("_points <> 0")
         .groupBy("case_id", "variant_key")
-        .agg(F.sum(points).alias("_p"), F.array_join(F.array_sort(F.collect_set("criterion")), ",").alias("_c"))
+        .agg(F.sum("_points").alias("_p"), F.array_join(F.array_sort(F.collect_list("criterion")), ",").alias("_c"))
     )
-    joined = variants.join(folded, ["case_id", "variant_key"], "left").withColumns({"case_points": F.coalesce("_p", F.lit(0)), "case_criteria": F.coalesce("_c", F.lit(""))})
+    joined = variants.join(folded, ["case_id", "variant_key"], "left").withColumns({"case_points": F.coalesce("_p", F.lit(0.0)), "case_criteria": F.coalesce("_c", F.lit(""))})
     total = joined.withColumn("case_total_points", F.coalesce("total_points", F.lit(0)) + F.col("case_points"))
     return total.withColumn("case_class", F.when(F.coalesce("criteria", F.lit("")).contains("BA1"), "Benign").otherwise(band(F.col("case_total_points")))).drop("_p", "_c")
 
 
+def phenotype_edges(knowledge: DataFrame) -> DataFrame:
+    """gene, hpo_id: the distinct gene to phenotype edges of a knowledge graph's rows (subject_label, object)."""
+    rows = knowledge.select(F.col("subject_label").alias("gene"), F.col("object").alias("hpo_id"))
+    return rows.where(F.col("gene").isNotNull() & F.col("hpo_id").startswith("HP:")).distinct()
+
+
 def ic_weights(edges: DataFrame, terms: DataFrame, universe: int | None = None) -> DataFrame:
     """hpo_id, ic: -log2 of the share of genes that have the term; universe: number of genes, else those of edges."""
     genes = F.lit(universe) if universe else F.col("_all")
@@ -176,3 +198,44 @@ def pedigree_facts(variants: DataFrame, new: DataFrame, pairs: DataFrame, shared
     pp1 = live.join(shared.select("family_id", "variant_key").distinct(), ["family_id", "variant_key"], "left_semi").withColumn("criterion", F.lit("PP1"))
     names = ["case_id", "variant_key", "criterion"]
     return ps2.select(*names).unionByName(pm3.select(*names)).unionByName(pp1.select(*names))
+
+
+def without_ba1(variants: DataFrame, named: DataFrame | None = None) -> DataFrame:
+    """variants that BA1 doesn't rule out, and all in genes that the case's referral names. named: case_id, gene."""
+    clear = ~F.coalesce("criteria", F.lit("")).contains("BA1")
+    if named is None:
+        return variants.where(clear)
+    asked = named.select("case_id", "gene", F.lit(True).alias("_asked")).distinct()
+    return variants.join(asked, ["case_id", "gene"], "left").where(clear | F.col("_asked")).drop("_asked")
+
+
+def prioritize_cases(
+    variants: DataFrame,
+    moi: DataFrame,
+    facts: DataFrame,
+    structures: DataFrame,
+    *,
+    cnv: DataFrame | None = None,
+    hi_genes: DataFrame | None = None,
+    ts_genes: DataFrame | None = None,
+    scores: DataFrame | None = None,
+    named: DataFrame | None = None,
+    judgments: DataFrame | None = None,
+    n: int = 10,
+) -> DataFrame:
+    """The n best candidates of every case at once: single variants and copy numbers in one ranking.
+
+    variants: case_id, variant_key, gene, zygosity, total_points, criteria, acmg_class; cnv: case_id, cnv_key, gene, svtype, cn,
+    cnv_class (rows without a class are left out); scores: case_id, gene, phenotype_score; named: case_id, gene. The fold's
+    class is the one that ranks. Without scores all phenotypes count 0. Returns what candidate_table returns.
+    """
+    fit = genotype_fit(without_ba1(variants, named), moi)
+    folded = classify_case(fit, facts, structures, judgments)
+    rows = folded.select("case_id", F.col("variant_key").alias("candidate_id"), F.lit("snv").alias("kind"), "gene", F.col("case_class").alias("acmg_class"), "genotype_fit")
+    copies = rows.limit(0)
+    if cnv is not None:
+        rated = cnv_genotype_fit(cnv.where(F.col("cnv_class").isNotNull()), hi_genes, ts_genes)
+        copies = rated.select("case_id", F.col("cnv_key").alias("candidate_id"), F.lit("cnv").alias("kind"), "gene", F.col("cnv_class").alias("acmg_class"), "genotype_fit")
+    known = rows.select("case_id", "gene").limit(0).withColumn("phenotype_score", F.lit(0.0)) if scores is None else scores
+    scored = [df.join(known, ["case_id", "gene"], "left") for df in (rows, copies)]
+    return top_n(candidate_table(scored[0], scored[1], named), n)

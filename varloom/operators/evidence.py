@@ -11,21 +11,17 @@ from varloom.functions.expr import AMINO, lookup, nan_to_null, review_stars
 def ps1_pm5(query: DataFrame, protein: DataFrame) -> DataFrame:
     """query with same_aa and same_codon: does another pathogenic variant give the same residue, or another one there?
 
-    query: variant_key, gene, protein_pos, alt_aa, pos; protein: pathogenic rows of the same shape. A stop ('*') has neither.
-    One aggregate over an equi-join; the pathogenic side is reduced to distinct changes first.
+    query: variant_key, gene, protein_pos, alt_aa; protein: pathogenic rows of the same shape with ref_aa, of which missense
+    ones count. A stop ('*') in the query has neither. Per residue the pathogenic side becomes a list of amino acids, each with
+    its smallest and largest key, so one join and no shuffle of what it finds are enough.
     """
-    known = protein.select("gene", "protein_pos", F.col("alt_aa").alias("_aa"), F.col("pos").alias("_pos")).distinct()
-    other = F.col("_pos") != F.col("pos")
-    hits = (
-        query.where(F.col("alt_aa") != "*")
-        .join(known, ["gene", "protein_pos"])
-        .groupBy("variant_key")
-        .agg(
-            F.max(F.when(other & (F.col("_aa") == F.col("alt_aa")), 1).otherwise(0)).alias("_s"),
-            F.max(F.when(other & (F.col("_aa") != F.col("alt_aa")) & (F.col("_aa") != "*"), 1).otherwise(0)).alias("_c"),
-        )
-    )
-    return query.join(hits, "variant_key", "left").withColumns({"same_aa": F.coalesce("_s", F.lit(0)), "same_codon": F.coalesce("_c", F.lit(0))}).drop("_s", "_c")
+    missense = (F.col("ref_aa") != F.col("alt_aa")) & (F.col("ref_aa") != "*") & (F.col("alt_aa") != "*")
+    known = protein.where(missense).groupBy("gene", "protein_pos", "alt_aa").agg(F.min("variant_key").alias("lo"), F.max("variant_key").alias("hi"))
+    codon = known.groupBy("gene", "protein_pos").agg(F.collect_list(F.struct("alt_aa", "lo", "hi")).alias("_known"))
+    key, aa = F.col("variant_key"), F.col("alt_aa")
+    other = lambda x: (x["lo"] != key) | (x["hi"] != key)
+    found = lambda same: F.coalesce((aa != "*") & F.exists("_known", lambda x: other(x) & ((x["alt_aa"] == aa) if same else (x["alt_aa"] != aa))), F.lit(False)).cast("int")
+    return query.join(codon, ["gene", "protein_pos"], "left").withColumns({"same_aa": found(True), "same_codon": found(False)}).select(*query.columns, "same_aa", "same_codon")
 
 
 def pm1_hotspot(query: DataFrame, codons: DataFrame, window: int = 3, least: int = 2) -> DataFrame:
@@ -46,88 +42,120 @@ def exon_order(exons: DataFrame) -> DataFrame:
     return exons.withColumn("rank", F.row_number().over(own.orderBy(along, "end_pos"))).withColumn("n", F.count(F.lit(1)).over(own))
 
 
-def nmd_escaping(variants: DataFrame, exons: DataFrame, tail: int = 50) -> DataFrame:
-    """variants with nmd_escaping: 1 in a single or last exon or the last `tail` bases of the one before, else 0; null outside exons."""
-    near_end = F.when(F.col("strand") == "+", F.col("pos") >= F.col("end_pos") - tail).otherwise(F.col("pos") <= F.col("start_pos") + tail)
-    escapes = (F.col("n") == 1) | (F.col("rank") == F.col("n")) | ((F.col("rank") == F.col("n") - 1) & near_end)
-    ordered = exon_order(exons).select("transcript_id", "strand", "start_pos", "end_pos", "rank", "n")
-    hit = variants.join(ordered, "transcript_id").where(F.col("pos").between(F.col("start_pos"), F.col("end_pos")))
-    found = hit.groupBy("variant_key").agg(F.max(escapes.cast("int")).alias("nmd_escaping"))
-    return variants.join(found, "variant_key", "left")
+def nmd_escaping(variants: DataFrame, exons: DataFrame, tail: int = 50, width: int = 1024) -> DataFrame:
+    """variants with nmd_escaping: 1 in a single or last exon or the last `tail` bases of the one before, else 0; null outside exons.
+
+    Exons stand in each bin of `width` bases that they touch, gathered per transcript and bin, so each variant meets one row.
+    """
+    ordered = exon_order(exons)
+    bins = F.explode(F.sequence(F.floor(F.col("start_pos") / width), F.floor(F.col("end_pos") / width))).alias("_bin")
+    near = ordered.select("transcript_id", bins, F.struct("strand", "start_pos", "end_pos", "rank", "n").alias("e")).groupBy("transcript_id", "_bin").agg(F.collect_list("e").alias("_exons"))
+    pos = F.col("pos")
+    near_end = lambda e: F.when(e["strand"] == "+", pos >= e["end_pos"] - tail).otherwise(pos <= e["start_pos"] + tail)
+    escapes = lambda e: ((e["n"] == 1) | (e["rank"] == e["n"]) | ((e["rank"] == e["n"] - 1) & near_end(e))).cast("int")
+    hits = F.transform(F.filter("_exons", lambda e: pos.between(e["start_pos"], e["end_pos"])), escapes)
+    joined = variants.withColumn("_bin", F.floor(pos / width)).join(near, ["transcript_id", "_bin"], "left")
+    return joined.select(*variants.columns, F.array_max(hits).alias("nmd_escaping"))
 
 
 def select_transcript(exons: DataFrame) -> DataFrame:
-    """gene, transcript_id: the transcript with most exons (ties: the smallest name); all genes at once."""
-    sizes = exons.groupBy("gene", "transcript_id").agg(F.count(F.lit(1)).alias("n"))
-    best = sizes.withColumn("_r", F.row_number().over(Window.partitionBy("gene").orderBy(F.desc("n"), "transcript_id")))
-    return best.where("_r = 1").select("gene", "transcript_id", "n")
+    """gene, transcript_id, n (its exons): one per gene, by tags first (MANE Select, MANE Plus Clinical, APPRIS principal, basic), then exons, then name."""
+    tags = ("mane_select", "mane_plus_clinical", "appris_principal", "basic")
+    has = lambda t: F.bool_or(F.col(t)).cast("int") if t in exons.columns else F.lit(0)
+    sizes = exons.groupBy("gene", "transcript_id").agg(F.count(F.lit(1)).alias("n"), *[has(t).alias(f"_{t}") for t in tags])
+    rank = F.struct(*[-F.coalesce(f"_{t}", F.lit(0)) for t in tags], -F.col("n"), "transcript_id")
+    return sizes.groupBy("gene").agg(F.min_by(F.struct("transcript_id", "n"), rank).alias("_t")).select("gene", "_t.transcript_id", "_t.n")
 
 
 def constraint_dedup(rows: DataFrame) -> DataFrame:
     """One row per gene: the largest mis_z, by number, nulls last."""
+    others = [c for c in rows.columns if c != "gene"]
     z = F.col("mis_z").try_cast("double")
-    ranked = rows.withColumn("mis_z", z).withColumn("_r", F.row_number().over(Window.partitionBy("gene").orderBy(F.desc_nulls_last("mis_z"), "loeuf")))
-    return ranked.where("_r = 1").drop("_r")
+    order = F.struct(z.isNull(), -F.coalesce(z, F.lit(0.0)), "loeuf")
+    best = rows.groupBy("gene").agg(F.min_by(F.struct(*[z.alias(c) if c == "mis_z" else F.col(c) for c in others]), order).alias("_b"))
+    return best.select("gene", *[f"_b.{c}" for c in others])
 
 
 def constraint_join(annotations: DataFrame, constraint: DataFrame) -> DataFrame:
-    """Fills gaps of gnomad_mis_z from the gene's; loeuf is the gene's."""
+    """gnomad_mis_z is the gene's, where it has one, else the row's own; loeuf is the gene's."""
     by_gene = constraint.select("gene", F.col("mis_z").alias("_z"), F.col("loeuf").alias("_l"))
     joined = annotations.drop("loeuf").join(by_gene, "gene", "left")
-    return joined.withColumns({"gnomad_mis_z": F.coalesce("gnomad_mis_z", "_z"), "loeuf": F.col("_l")}).drop("_z", "_l")
+    return joined.withColumns({"gnomad_mis_z": F.coalesce("_z", "gnomad_mis_z"), "loeuf": F.col("_l")}).drop("_z", "_l")
 
 
 def pathogenic(clnsig: Column) -> Column:
-    """Says pathogenic, and neither conflicting nor benign."""
-    return clnsig.ilike("%pathogenic%") & ~clnsig.ilike("%conflicting%") & ~clnsig.ilike("%benign%")
+    """Says pathogenic, and neither conflict nor benign."""
+    return clnsig.ilike("%pathogenic%") & ~clnsig.ilike("%conflict%") & ~clnsig.ilike("%benign%")
+
+
+def settled(clnsig: Column, composition: Column) -> Column:
+    """Pathogenic, or conflicting with a composition that has pathogenic calls and no benign ones."""
+    return pathogenic(clnsig) | (clnsig.ilike("%conflicting%") & composition.ilike("%pathogenic%") & ~composition.ilike("%benign%"))
 
 
 def conflict_gate(rows: DataFrame) -> DataFrame:
     """Clean pathogenic rows, and conflicting ones whose composition has pathogenic calls and no benign ones."""
-    composition = F.col("composition")
-    settled = F.col("clnsig").ilike("%conflicting%") & composition.ilike("%pathogenic%") & ~composition.ilike("%benign%")
-    return rows.where(pathogenic(F.col("clnsig")) | settled)
+    return rows.where(settled(F.col("clnsig"), F.col("composition")))
+
 
+CHANGE = r"p\.([A-Za-z]{3})([0-9]+)([A-Za-z]{3})"
 
-def protein_changes(rows: DataFrame, least_stars: int = 1) -> DataFrame:
-    """gene, protein_pos, ref_aa, alt_aa, variant_key of pathogenic missense rows with review stars, parsed from their names."""
-    change = r"\(p\.([A-Z][a-z]{2})(\d+)([A-Z][a-z]{2})\)"
-    parsed = rows.where(pathogenic(F.col("clnsig")) & (review_stars(F.col("review_status")) >= least_stars)).select(
+
+def protein_changes(rows: DataFrame, least_stars: int = 1, gate: DataFrame | None = None) -> DataFrame:
+    """gene, protein_pos, ref_aa, alt_aa, variant_key of pathogenic rows with review stars, parsed from their names.
+
+    gate: variant_key, clnsig, composition of an assertion file. With it, a row need only speak of pathogenic, and counts if
+    the file's entry for its key is clean or a settled conflict.
+    """
+    says = pathogenic(F.col("clnsig")) if gate is None else F.col("clnsig").ilike("%pathogenic%")
+    kept = rows.where(says & (review_stars(F.col("review_status")) >= least_stars))
+    if gate is not None:
+        kept = kept.join(conflict_gate(gate).select("variant_key").distinct(), "variant_key", "left_semi")
+    parsed = kept.select(
         "variant_key",
         "gene",
-        F.regexp_extract("name", change, 2).try_cast("int").alias("protein_pos"),
-        lookup(AMINO, F.regexp_extract("name", change, 1)).alias("ref_aa"),
-        lookup(AMINO, F.regexp_extract("name", change, 3)).alias("alt_aa"),
+        F.regexp_extract("name", CHANGE, 2).try_cast("int").alias("protein_pos"),
+        lookup(AMINO, F.regexp_extract("name", CHANGE, 1)).alias("ref_aa"),
+        lookup(AMINO, F.regexp_extract("name", CHANGE, 3)).alias("alt_aa"),
     )
     return parsed.where(F.col("protein_pos").isNotNull() & F.col("ref_aa").isNotNull() & F.col("alt_aa").isNotNull() & (F.col("gene") != ""))
 
 
 def codon_counts(rows: DataFrame, least_stars: int = 1) -> DataFrame:
-    """gene, protein_pos, n_plp, n_blb over rows with review stars."""
-    where = F.regexp_extract("name", r"\(p\.[A-Za-z]{3}(\d+)", 1).try_cast("int")
-    rated = rows.where(review_stars(F.col("review_status")) >= least_stars).withColumn("protein_pos", where).where(F.col("protein_pos").isNotNull())
-    benign = F.col("clnsig").ilike("%benign%") & ~F.col("clnsig").ilike("%conflicting%")
-    return rated.groupBy("gene", "protein_pos").agg(F.count_if(pathogenic(F.col("clnsig"))).alias("n_plp"), F.count_if(benign).alias("n_blb"))
+    """gene, protein_pos, n_plp, n_blb over pathogenic and benign rows with review stars."""
+    rated = rows.where((review_stars(F.col("review_status")) >= least_stars) & (F.col("gene") != "")).withColumn("protein_pos", F.regexp_extract("name", CHANGE, 2).try_cast("int"))
+    benign = F.col("clnsig").ilike("%benign%") & ~F.col("clnsig").ilike("%conflict%")
+    counted = rated.where(F.col("protein_pos").isNotNull() & (pathogenic(F.col("clnsig")) | benign))
+    return counted.groupBy("gene", "protein_pos").agg(F.count_if(pathogenic(F.col("clnsig"))).alias("n_plp"), F.count_if(benign).alias("n_blb"))
 
 
 def exact_assertion(loci: DataFrame, clinvar: DataFrame) -> DataFrame:
     """loci with the most authoritative assertion of their key: stars, then submitters, then the text itself."""
-    rated = clinvar.withColumn("stars", review_stars(F.col("review_status")))
-    order = Window.partitionBy("variant_key").orderBy(F.desc_nulls_last("stars"), F.desc_nulls_last("submitters"), "clnsig")
-    best = rated.withColumn("_r", F.row_number().over(order)).where("_r = 1").select("variant_key", "clnsig", "stars")
+    stars = review_stars(F.col("review_status"))
+    order = F.struct(-stars, -F.coalesce("submitters", F.lit(-1)), "clnsig")
+    best = clinvar.groupBy("variant_key").agg(F.min_by(F.struct("clnsig", stars.alias("stars")), order).alias("_b")).select("variant_key", "_b.clnsig", "_b.stars")
     return loci.join(best, "variant_key", "left")
 
 
 def ba1_exceptions(clinvar: DataFrame, least_af: float = 0.01) -> DataFrame:
-    """variant_key, max_af of pathogenic rows with two stars or more that are common in one of three panels."""
-    best = F.greatest("af_exac", "af_tgp", "af_esp")
-    rows = clinvar.where(pathogenic(F.col("clnsig")) & (review_stars(F.col("review_status")) >= 2)).withColumn("max_af", best)
-    return rows.where(F.col("max_af") > least_af).groupBy("variant_key").agg(F.max("max_af").alias("max_af"))
+    """variant_key, gene, max_af, note of well reviewed pathogenic single nucleotide variants that are common in one of three panels.
+
+    clinvar: variant_key, ref, alt, gene (a name, or name:number), clnsig, review_status, af_esp, af_exac, af_tgp.
+    """
+    number = lambda c: F.coalesce(F.col(c).try_cast("double"), F.lit(0.0))
+    review = F.col("review_status")
+    trusted = review.ilike("%expert%panel%") | review.ilike("%practice%guideline%") | (review.ilike("%multiple%submitters%") & ~review.ilike("%conflict%"))
+    snv = (F.length("ref") == 1) & (F.length("alt") == 1)
+    rows = clinvar.where(snv & pathogenic(F.col("clnsig")) & trusted).withColumn("_af", F.greatest(number("af_esp"), number("af_exac"), number("af_tgp"))).where(F.col("_af") > least_af)
+    gene = F.split_part("gene", F.lit(":"), F.lit(1)).alias("gene")
+    common = rows.groupBy("variant_key", gene).agg(F.max("_af").alias("max_af"))
+    return common.withColumn("note", F.lit(f"reviewed as pathogenic by two stars or more, but more common than {least_af}: exempt from BA1 and BS1"))
 
 
 def dosage_score(text: Column) -> Column:
     """Evidence text of a dosage curation as its score."""
     t = F.lower(F.trim(text))
+    # fixed values: the feed's wording
     return (
         F.when(t.startswith("sufficient evidence"), 3)
         .when(t.startswith("emerging evidence") | t.startswith("some evidence"), 2)

@@ -132,6 +132,33 @@ def combine(evidence: DataFrame, curation: DataFrame) -> DataFrame:
 
 
 def classify(annotations: DataFrame, thresholds: DataFrame, frequency: DataFrame, curation: DataFrame, exceptions: DataFrame, config: KernelConfig = KernelConfig()) -> DataFrame:
-    """The whole kernel over one row per variant_key (of repeated keys one stays)."""
-    spec = resolve_spec(annotations.dropDuplicates(["variant_key"]), thresholds, frequency)
+    """The whole kernel over one row per variant_key: of repeated keys the row that is least in the order of its columns stays."""
+    others = [c for c in annotations.columns if c != "variant_key"]
+    one = annotations.groupBy("variant_key").agg(F.min(F.struct(*others)).alias("_a")).select("variant_key", *[f"_a.{c}" for c in others])
+    spec = resolve_spec(one.select(*annotations.columns), thresholds, frequency)
     return combine(with_evidence(spec, curation, exceptions, config), curation)
+
+
+def ranked(classified: DataFrame) -> DataFrame:
+    """Most points first, then by key."""
+    return classified.orderBy(F.desc("total_points"), "variant_key")
+
+
+#: Columns of the specification's tables.
+SPEC_TABLES = {
+    "gene_curation": ("gene", "disease_id", "mode_of_inheritance", "hi_score", "lof_mechanism", "gene_disease_validity", "source", "ts_score"),
+    "acmg_thresholds": ("gene", "ba1_maf", "bs1_maf", "pm2_maf"),
+    "variant_frequency": ("variant_key", "population", "af", "an"),
+    "ba1_exceptions": ("variant_key", "gene", "note"),
+}
+
+
+def override(name: str, given: DataFrame | None, default: DataFrame) -> DataFrame:
+    """The given table in place of the default one, by name: columns that it lacks are null, unknown ones raise."""
+    if given is None:
+        return default
+    unknown = [c for c in given.columns if c not in SPEC_TABLES[name]]
+    if unknown:
+        raise ValueError(f"{name} has no such columns: {', '.join(unknown)}")
+    kinds = {f.name: f.dataType for f in default.schema}
+    return given.select(*[(F.col(c) if c in given.columns else F.lit(None)).cast(kinds[c]).alias(c) for c in default.columns])

@@ -8,9 +8,15 @@ from pyspark.sql import functions as F
 from varloom.functions.expr import most_severe
 
 # How clauses end, and what marks absence and relatives.
-CLAUSE = r"[.;\n]|\bbut\b|\bhowever\b"
-NEGATION = r"(?<![A-Za-z0-9_])(no|not|without|denies|negative for|absent|absence of)(?![A-Za-z0-9_])"
-FAMILY = r"(?<![A-Za-z0-9_])(mother|father|brother|sister|family history|maternal|paternal|sibling|cousin|uncle|aunt)(?![A-Za-z0-9_])"
+BREAKS = ("but", "however", "except", "although", "though")
+NEGATIONS = ("no", "not", "without", "denies", "denied", "absent", "negative for", "ruled out", "non", "resolved")
+RELATIVES = (
+    "family history", "fh of", "mother", "father", "sister", "brother", "sibling", "maternal", "paternal", "cousin", "aunt", "uncle", "grandmother", "grandfather",
+)
+_EDGE, _END = "(?<![A-Za-z0-9_])", "(?![A-Za-z0-9_])"
+CLAUSE = rf"[.,;]|{_EDGE}(?:{'|'.join(BREAKS)}){_END}"
+NEGATION = rf"{_EDGE}(?:{'|'.join(NEGATIONS)}){_END}"
+FAMILY = rf"{_EDGE}(?:{'|'.join(RELATIVES)}){_END}"
 
 
 def extract_terms(notes: DataFrame, terms: dict[str, str]) -> DataFrame:
@@ -25,8 +31,8 @@ def extract_terms(notes: DataFrame, terms: dict[str, str]) -> DataFrame:
 
 
 def referral_genes(notes: DataFrame, known: DataFrame) -> DataFrame:
-    """note_id, gene: known genes that a note writes in capitals."""
-    tokens = F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(r"[A-Z][A-Z0-9]+"), F.lit(0)))).alias("gene")
+    """note_id, gene: known genes that a note writes in capitals, as whole words of two to ten characters."""
+    tokens = F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(rf"{_EDGE}[A-Z][A-Z0-9]{{1,9}}{_END}"), F.lit(0)))).alias("gene")
     return notes.select("note_id", tokens).join(known.select("gene").distinct(), "gene", "left_semi")
 
 
@@ -44,16 +50,25 @@ def pick_gene(genes: Column, svtype: Column, hi: Column, ts: Column) -> Column:
 
 
 def vep_rows(rows: DataFrame) -> DataFrame:
-    """variant_key, gene, consequence, filtering_af, nmd_escaping, revel of annotator rows in text form."""
-    empty = lambda c: F.when(~F.col(c).isin("-", ".", ""), F.col(c))
-    parts = F.split("uploaded", "_")
-    key = F.concat_ws("-", parts[0], parts[1], F.replace(parts[2], F.lit("/"), F.lit("-")))
-    nmd = F.when(F.col("nmd") == "-", None).when(F.col("nmd").contains("NMD_escaping"), 1).otherwise(0)
+    """variant_key, gene, consequence, protein_pos, alt_aa, transcript_id, filtering_af (the largest population's), gnomad_af,
+    max_af_pop, nmd_escaping of annotator rows in text form.
+
+    nmd_escaping: 1 where the annotator says so, 0 for other stops and frameshifts, null elsewhere. - stands for nothing.
+    """
+    some = lambda c: F.when(~F.col(c).isin("-", ".", ""), F.col(c))
+    part = lambda c, sep, i: F.split_part(c, F.lit(sep), F.lit(i))
+    alleles = part(F.col("uploaded"), "_", 3)
+    key = F.concat_ws("-", part(F.col("uploaded"), "_", 1), part(F.col("uploaded"), "_", 2), part(alleles, "/", 1), part(alleles, "/", 2))
+    stops = F.col("consequence").contains("stop_gained") | F.col("consequence").contains("frameshift")
     return rows.select(
         key.alias("variant_key"),
-        empty("symbol").alias("gene"),
+        some("symbol").alias("gene"),
         most_severe(F.col("consequence")).alias("consequence"),
-        F.split_part(empty("af"), F.lit("&"), F.lit(1)).try_cast("double").alias("filtering_af"),
-        nmd.cast("int").alias("nmd_escaping"),
-        empty("revel").try_cast("double").alias("revel"),
+        some("protein_position").try_cast("int").alias("protein_pos"),
+        F.when(F.col("amino_acids").contains("/"), part(F.col("amino_acids"), "/", 2)).alias("alt_aa"),
+        some("feature").alias("transcript_id"),
+        part(some("max_af"), "&", 1).try_cast("double").alias("filtering_af"),
+        some("gnomad_af").try_cast("double").alias("gnomad_af"),
+        some("max_af_pop").alias("max_af_pop"),
+        F.when(F.col("nmd") == "NMD_escaping_variant", 1).when(stops, 0).alias("nmd_escaping"),
     )

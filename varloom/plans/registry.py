@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from varloom.functions import expr
-from varloom.operators import case, evidence, family, intervals, kernel, store, text
-from varloom.plans.views import view, with_views
+from varloom.operators import annotate, case, evidence, family, intervals, kernel, store, text
+from varloom.plans.views import Views, with_views
+from varloom.sources import readers
 
 ALL_RULES = kernel.KernelConfig(pm1=True, pvs1_constraint=True, cadd=True)
 TERMS = {"T1": "that", "T2": "with", "T3": "this", "T4": "from", "T5": "the"}
@@ -21,11 +22,11 @@ _QUERIES: dict[str, Query] = {}
 _SQL: dict[str, str] = {}
 
 
-def query(sql: str) -> Callable[[Callable], Callable]:
-    """Registers f(v), where v(name) is a view, under its name, with the SQL that gives the same rows."""
+def query(sql: str, keep: tuple[str, ...] = ()) -> Callable[[Callable], Callable]:
+    """Registers f(v), where v(name) is a view, under its name, with the SQL that gives the same rows; keep: views to cache, as f reads them often."""
 
     def add(f: Callable) -> Callable:
-        _QUERIES[f.__name__] = lambda spark, sf_dir: f(lambda name: view(spark, sf_dir, name))
+        _QUERIES[f.__name__] = lambda spark, sf_dir: f(Views(spark, sf_dir, keep))
         _SQL[f.__name__] = with_views(sql)
         return f
 
@@ -129,8 +130,9 @@ def ba1_predrop(v):
 
 # ---- clinical assertions and proteins ---------------------------------------------------------------------------------
 
-_STARS = "CASE WHEN lower(review_status) LIKE '%practice guideline%' THEN 4 WHEN lower(review_status) LIKE '%expert panel%' THEN 3 WHEN lower(review_status) LIKE '%multiple submitters%' THEN 2 WHEN lower(review_status) LIKE '%criteria provided%' AND lower(review_status) NOT LIKE '%no assertion%' THEN 1 ELSE 0 END"
-_PLP = "clnsig ILIKE '%pathogenic%' AND clnsig NOT ILIKE '%conflicting%' AND clnsig NOT ILIKE '%benign%'"
+_STARS = "CASE WHEN lower(review_status) LIKE '%practice guideline%' THEN 4 WHEN lower(review_status) LIKE '%expert panel%' THEN 3 WHEN lower(review_status) LIKE '%multiple submitters%' AND lower(review_status) NOT LIKE '%conflict%' THEN 2 WHEN lower(review_status) LIKE '%criteria provided%' THEN 1 ELSE 0 END"
+_PLP = "clnsig ILIKE '%pathogenic%' AND clnsig NOT ILIKE '%conflict%' AND clnsig NOT ILIKE '%benign%'"
+_BENIGN = "clnsig ILIKE '%benign%' AND clnsig NOT ILIKE '%conflict%'"
 _AA = " ".join(f"WHEN '{k}' THEN '{a}'" for k, a in expr.AMINO.items())
 
 
@@ -149,7 +151,7 @@ def conflict_gate(v):
     return evidence.conflict_gate(v("clinvar")).select("variant_key", "gene", "clnsig", "composition")
 
 
-_CHANGE = r"\(p\.([A-Z][a-z]{2})([0-9]+)([A-Z][a-z]{2})\)"
+_CHANGE = r"p\.([A-Za-z]{3})([0-9]+)([A-Za-z]{3})"
 
 
 @query(f"""SELECT * FROM (SELECT variant_key, gene, TRY_CAST(regexp_extract(name, '{_CHANGE}', 2) AS INT) AS protein_pos, CASE regexp_extract(name, '{_CHANGE}', 1) {_AA} END AS ref_aa,
@@ -158,8 +160,18 @@ def clinvar_prot(v):
     return evidence.protein_changes(v("clinvar"))
 
 
-@query(f"""SELECT gene, protein_pos, count(*) FILTER ({_PLP}) AS n_plp, count(*) FILTER (clnsig ILIKE '%benign%' AND clnsig NOT ILIKE '%conflicting%') AS n_blb
-FROM (SELECT *, TRY_CAST(regexp_extract(name, '\\(p\\.[A-Za-z]{{{{3}}}}([0-9]+)', 1) AS INT) AS protein_pos FROM {{clinvar}} WHERE {_STARS} >= 1) WHERE protein_pos IS NOT NULL GROUP BY gene, protein_pos""".replace("{{3}}", "{3}"))
+_PROT = f"""(SELECT * FROM (SELECT variant_key, gene, TRY_CAST(regexp_extract(name, '{_CHANGE}', 2) AS INT) AS protein_pos, CASE regexp_extract(name, '{_CHANGE}', 1) {_AA} END AS ref_aa,
+  CASE regexp_extract(name, '{_CHANGE}', 3) {_AA} END AS alt_aa FROM {{clinvar}} WHERE clnsig ILIKE '%pathogenic%' AND {_STARS} >= 1 AND variant_key IN (SELECT variant_key FROM {{clinvar}} WHERE ({_PLP}) OR (clnsig ILIKE '%conflicting%' AND composition ILIKE '%pathogenic%' AND composition NOT ILIKE '%benign%')))
+  WHERE protein_pos IS NOT NULL AND ref_aa IS NOT NULL AND alt_aa IS NOT NULL)"""
+
+
+@query(f"SELECT * FROM {_PROT}")
+def clinvar_prot_settled(v):
+    return evidence.protein_changes(v("clinvar"), gate=v("clinvar"))
+
+
+@query(f"""SELECT gene, protein_pos, count(*) FILTER ({_PLP}) AS n_plp, count(*) FILTER ({_BENIGN}) AS n_blb FROM (SELECT *, TRY_CAST(regexp_extract(name, '{_CHANGE}', 2) AS INT) AS protein_pos FROM {{clinvar}} WHERE {_STARS} >= 1)
+WHERE protein_pos IS NOT NULL AND (({_PLP}) OR ({_BENIGN})) GROUP BY gene, protein_pos""")
 def clinvar_aa(v):
     return evidence.codon_counts(v("clinvar"))
 
@@ -170,13 +182,20 @@ def clinvar_exact(v):
     return evidence.exact_assertion(v("annotations").select("variant_key", "gene"), v("clinvar"))
 
 
-@query(f"SELECT variant_key, max(greatest(af_exac, af_tgp, af_esp)) AS max_af FROM {{clinvar}} WHERE {_PLP} AND {_STARS} >= 2 GROUP BY variant_key HAVING max(greatest(af_exac, af_tgp, af_esp)) > 0.01")
+_AF = "greatest(coalesce(af_exac, 0), coalesce(af_tgp, 0), coalesce(af_esp, 0))"
+_TRUSTED = "(review_status ILIKE '%expert%panel%' OR review_status ILIKE '%practice%guideline%' OR (review_status ILIKE '%multiple%submitters%' AND review_status NOT ILIKE '%conflict%'))"
+
+
+@query(f"SELECT variant_key, gene, max({_AF}) AS max_af FROM {{clinvar}} WHERE length(ref) = 1 AND length(alt) = 1 AND {_PLP} AND {_TRUSTED} AND {_AF} > 0.01 GROUP BY variant_key, gene")
 def ba1_exceptions(v):
-    return evidence.ba1_exceptions(v("clinvar"))
+    return evidence.ba1_exceptions(v("clinvar")).drop("note")
+
+
+_SOURCE = "SELECT 1 FROM {protein} p WHERE p.is_plp = 1 AND p.gene = q.gene AND p.protein_pos = q.protein_pos AND p.variant_key <> q.variant_key AND p.ref_aa <> p.alt_aa AND p.alt_aa <> '*' AND p.ref_aa <> '*'"
 
 
-@query("""SELECT q.variant_key, CASE WHEN q.alt_aa <> '*' AND EXISTS (SELECT 1 FROM {protein} p WHERE p.is_plp = 1 AND p.gene = q.gene AND p.protein_pos = q.protein_pos AND p.pos <> q.pos AND p.alt_aa = q.alt_aa) THEN 1 ELSE 0 END AS same_aa,
-  CASE WHEN q.alt_aa <> '*' AND EXISTS (SELECT 1 FROM {protein} p WHERE p.is_plp = 1 AND p.gene = q.gene AND p.protein_pos = q.protein_pos AND p.pos <> q.pos AND p.alt_aa <> q.alt_aa AND p.alt_aa <> '*') THEN 1 ELSE 0 END AS same_codon FROM {protein} q""")
+@query(f"""SELECT q.variant_key, CASE WHEN q.alt_aa <> '*' AND EXISTS ({_SOURCE} AND p.alt_aa = q.alt_aa) THEN 1 ELSE 0 END AS same_aa,
+  CASE WHEN q.alt_aa <> '*' AND EXISTS ({_SOURCE} AND p.alt_aa <> q.alt_aa) THEN 1 ELSE 0 END AS same_codon FROM {{protein}} q""")
 def ps1_pm5(v):
     return evidence.ps1_pm5(v("protein").drop("is_plp"), v("protein").where("is_plp = 1")).select("variant_key", "same_aa", "same_codon")
 
@@ -195,7 +214,8 @@ def nmd_escaping(v):
     return evidence.nmd_escaping(v("nmd_variants"), v("exon"))
 
 
-@query("SELECT gene, transcript_id, n FROM (SELECT *, row_number() OVER (PARTITION BY gene ORDER BY n DESC, transcript_id) AS r FROM (SELECT gene, transcript_id, count(*) AS n FROM {exon} GROUP BY ALL)) WHERE r = 1")
+@query("""SELECT gene, transcript_id, n FROM (SELECT *, row_number() OVER (PARTITION BY gene ORDER BY s DESC, c DESC, a DESC, b DESC, n DESC, transcript_id) AS r
+FROM (SELECT gene, transcript_id, count(*) AS n, bool_or(mane_select) AS s, bool_or(mane_plus_clinical) AS c, bool_or(appris_principal) AS a, bool_or(basic) AS b FROM {exon} GROUP BY ALL)) WHERE r = 1""")
 def select_transcript(v):
     return evidence.select_transcript(v("exon"))
 
@@ -210,7 +230,7 @@ def constraint_dedup(v):
 
 
 @query(f"""WITH c AS (SELECT gene, mis_z, loeuf FROM (SELECT *, row_number() OVER (PARTITION BY gene ORDER BY mis_z DESC NULLS LAST, loeuf) AS r FROM {_CONSTRAINT}) WHERE r = 1)
-SELECT a.variant_key, a.gene, coalesce(CASE WHEN a.revel IS NULL THEN NULL ELSE a.gnomad_mis_z END, c.mis_z) AS gnomad_mis_z, c.loeuf FROM {{annotations}} a LEFT JOIN c ON a.gene = c.gene""")
+SELECT a.variant_key, a.gene, coalesce(c.mis_z, CASE WHEN a.revel IS NULL THEN NULL ELSE a.gnomad_mis_z END) AS gnomad_mis_z, c.loeuf FROM {{annotations}} a LEFT JOIN c ON a.gene = c.gene""")
 def constraint_join(v):
     a = v("annotations").select("variant_key", "gene", F.when(F.col("revel").isNotNull(), F.col("gnomad_mis_z")).alias("gnomad_mis_z"), "loeuf")
     return evidence.constraint_join(a, constraint_dedup(v))
@@ -266,11 +286,31 @@ def _shared(v):
     return family.shared_homozygous(v("calls"), HET_LABELS, SHARED_STATUS)
 
 
-@query("SELECT chrom || '-' || CAST(pos AS STRING) || '-A-G' AS variant_key, case_id, chrom, pos, 'snv' AS kind, gq FROM {sample_call}")
+@query("SELECT chrom || '-' || CAST(pos AS STRING) || '-A-' || CASE WHEN pos % 5 = 0 THEN 'GT' ELSE 'G' END AS variant_key, case_id, family_id, relationship, chrom, pos, CASE WHEN pos % 5 = 0 THEN 'indel' ELSE 'snv' END AS variant_kind, gt, gq, dp, CAST(NULL AS INT) AS phase_set FROM {sample_call}")
 def ingest_canonical(v):
-    calls = v("sample_call").select("case_id", F.concat(F.lit("chr"), F.col("chrom")).alias("chr"), "pos", F.concat(F.col("gq").cast("string"), F.lit(".0")).alias("q"))
-    a, g = F.lit("A"), F.lit("G")
-    return calls.select(expr.variant_key(F.col("chr"), F.col("pos"), a, g).alias("variant_key"), "case_id", F.regexp_replace("chr", "^chr", "").alias("chrom"), "pos", expr.variant_kind(a, g).alias("kind"), expr.safe_int(F.col("q")).alias("gq"))
+    """Rows of a source with names and texts of its own, as canonical calls."""
+    alts = F.when(F.col("pos") % 5 == 0, "GT,T").otherwise("G")
+    source = v("sample_call").select(
+        F.col("case_id").alias("sample"), F.col("family_id").alias("fam"), "relationship", F.concat(F.lit("chr"), F.col("chrom")).alias("chr"), F.col("pos").cast("string").alias("position"),
+        F.lit("A").alias("ref"), alts.alias("alleles"), "gt", F.concat(F.col("gq").cast("string"), F.lit(".0")).alias("quality"), F.col("dp").cast("string").alias("depth"),
+    )
+    names = {"case_id": "sample", "family_id": "fam", "chrom": "chr", "pos": "position", "alt": "alleles", "gq": "quality", "dp": "depth"}
+    return readers.canonical_calls(source, names, snv_only=False).select("variant_key", "case_id", "family_id", "relationship", "chrom", "pos", "variant_kind", "gt", "gq", "dp", "phase_set")
+
+
+@query("SELECT CAST(p_partkey AS STRING) AS pos, s.sample AS case_id, s.gt, s.gq FROM {part} CROSS JOIN (VALUES ('P', 0), ('M', 1), ('F', 2)) t(sample, i) CROSS JOIN LATERAL (SELECT t.sample, CASE (p_size + t.i) % 3 WHEN 0 THEN '0/0' WHEN 1 THEN '0/1' ELSE '1/1' END AS gt, CASE WHEN (p_size + t.i) % 4 = 0 THEN NULL ELSE CAST(p_size + t.i AS INT) END AS gq) s")
+def vcf_unpivot(v):
+    """Lines of a call file with three samples, a row per sample and line."""
+    cell = lambda i: F.concat(F.when((F.col("p_size") + i) % 3 == 0, "0/0").when((F.col("p_size") + i) % 3 == 1, "0/1").otherwise("1/1"), F.lit(":"), F.when((F.col("p_size") + i) % 4 == 0, ".").otherwise((F.col("p_size") + i).cast("string")))
+    lines = v("part").select(F.concat_ws("\t", F.lit("chr1"), F.col("p_partkey").cast("string"), F.lit("."), F.lit("A"), F.lit("G"), F.lit("."), F.lit("PASS"), F.lit("AC=1"), F.lit("GT:GQ"), *[cell(i) for i in range(3)]).alias("value"))
+    return readers.vcf_rows(lines, ["P", "M", "F"]).select(F.col("pos").cast("string").alias("pos"), "case_id", "gt", "gq")
+
+
+@query("SELECT DISTINCT case_id, family_id, case_id AS member_id, family_size, proband_status, relationship FROM {sample_call}")
+def cases_distinct(v):
+    """The cases of a monolithic table."""
+    source = v("sample_call").withColumns({"member_id": F.col("case_id"), "clinical_indication_text": F.lit(""), "ancestry": F.lit(""), "ref": F.lit("A"), "alt": F.lit("G"), "end": F.col("pos"), "svtype": F.lit(""), "cn": F.lit(2)})
+    return readers.reshape_bundle(source)["cases"].drop("clinical_indication_text", "ancestry")
 
 
 @query(f"SELECT case_id, variant_key, gt, gq, dp FROM {_CARRIED}")
@@ -278,9 +318,22 @@ def carried_calls(v):
     return family.carried(v("calls")).select("case_id", "variant_key", "gt", "gq", "dp")
 
 
-@query("SELECT gt, CASE WHEN gt IN ('1/1', '1|1') THEN 'hom' ELSE 'het' END AS zygosity, count(*) AS n FROM {calls} GROUP BY ALL")
+_GTS = "(SELECT gt FROM {calls} UNION ALL SELECT * FROM (VALUES ('2/2'), ('1|1'), ('1/2'), ('0'), (''), ('1')) t(gt))"
+
+
+@query(f"SELECT gt, CASE WHEN regexp_matches(replace(gt, '|', '/'), '^([^0./]/[^/]+|[^/]{{{{2,}}}}/[^/]+)$') AND split_part(replace(gt, '|', '/'), '/', 1) = split_part(replace(gt, '|', '/'), '/', 2) THEN 'hom' ELSE 'het' END AS zygosity, count(*) AS n FROM {_GTS} GROUP BY ALL".replace("{{2,}}", "{2,}"))
 def zygosity(v):
-    return v("calls").groupBy("gt", F.when(F.col("gt").isin(*family.HOM), "hom").otherwise("het").alias("zygosity")).agg(F.count(F.lit(1)).alias("n"))
+    odd = v("calls").sparkSession.createDataFrame([(x,) for x in ("2/2", "1|1", "1/2", "0", "", "1")], "gt string")
+    return v("calls").select("gt").unionAll(odd).groupBy("gt", expr.zygosity(F.col("gt")).alias("zygosity")).agg(F.count(F.lit(1)).alias("n"))
+
+
+_ON = "CASE WHEN chrom = '22' THEN 'X' ELSE chrom END"
+
+
+@query(f"SELECT {_ON} AS chrom, gt, CASE WHEN gt IN ('1/1', '1|1') THEN 'hom' || CASE WHEN chrom = '22' THEN '/hemi(X)' ELSE '' END WHEN gt IN ('0/1', '1/0', '0|1', '1|0') THEN 'het' ELSE coalesce(gt, '') END AS zygosity, count(*) AS n FROM {{calls}} GROUP BY ALL")
+def zygosity_on_x(v):
+    chrom = F.when(F.col("chrom") == "22", "X").otherwise(F.col("chrom"))
+    return v("calls").groupBy(chrom.alias("chrom"), "gt", expr.zygosity_on(chrom, F.col("gt")).alias("zygosity")).agg(F.count(F.lit(1)).alias("n"))
 
 
 @query(f"SELECT * FROM {_PEDIGREE}")
@@ -299,12 +352,12 @@ def ped_backfill(v):
     return family.ped_backfill(v("calls").withColumn("family_id", F.lit("none")), v("ped").where("affected = 2")).select("case_id", "variant_key", "family_id")
 
 
-@query(f"SELECT * FROM {_DE_NOVO}")
+@query(f"SELECT * FROM {_DE_NOVO}", keep=("sample_call",))
 def de_novo(v):
     return family.de_novo(v("calls"), _pedigree(v))
 
 
-@query(f"WITH {_ORIGIN} SELECT * FROM {_COMPOUND}")
+@query(f"WITH {_ORIGIN} SELECT * FROM {_COMPOUND}", keep=("sample_call",))
 def compound_het(v):
     return family.compound_het(v("calls"), _pedigree(v))
 
@@ -321,7 +374,7 @@ def sweep_multiplex(v):
     return family.sweep_multiplex(_shared(v), k.where("acmg_class = 'Pathogenic'"), k.where("total_points > 0").select("variant_key", (F.col("total_points") / 20).alias("af")), 0.2)
 
 
-@query(f"SELECT family_id, variant_key, max(b) AS boost FROM (SELECT family_id, variant_key, 1.0::DOUBLE AS b FROM {_DE_NOVO} UNION ALL SELECT family_id, variant_key, 0.7::DOUBLE FROM {_SHARED}) GROUP BY ALL")
+@query(f"SELECT family_id, variant_key, max(b) AS boost FROM (SELECT family_id, variant_key, 1.0::DOUBLE AS b FROM {_DE_NOVO} UNION ALL SELECT family_id, variant_key, 0.7::DOUBLE FROM {_SHARED}) GROUP BY ALL", keep=("sample_call",))
 def segregation_boosts(v):
     return family.segregation_boosts(de_novo(v), _shared(v))
 
@@ -347,7 +400,7 @@ def _facts(v):
     return case.pedigree_facts(v("case_variants"), de_novo(v), compound_het(v), _shared(v), v("moi"))
 
 
-@query(f"WITH {_ORIGIN}, {_FACTS} SELECT * FROM facts")
+@query(f"WITH {_ORIGIN}, {_FACTS} SELECT * FROM facts", keep=("sample_call", "case_variants"))
 def pedigree_facts(v):
     return _facts(v)
 
@@ -439,15 +492,14 @@ def score_upsert(v):
     return store.upsert(v("store_old"), v("store_new"))
 
 
-@query("SELECT DISTINCT chrom, pos, 'A' AS ref, 'G' AS alt FROM {calls}")
+@query("SELECT DISTINCT chrom, pos, ref, unnest(string_split(alts, ',')) AS alt FROM {raw_loci}")
 def distinct_loci(v):
-    return v("calls").select("chrom", "pos", F.lit("A").alias("ref"), F.lit("G").alias("alt")).distinct()
+    return v("raw_loci").select("chrom", "pos", "ref", F.explode(F.split("alts", ",")).alias("alt")).distinct()
 
 
-@query("SELECT DISTINCT chrom, pos, unnest(CASE WHEN pos % 3 = 0 THEN ['G'] ELSE ['G', 'T'] END) AS alt FROM {calls}")
+@query("SELECT chrom, alt, count(*) AS n FROM (SELECT chrom, unnest(string_split(alts, ',')) AS alt FROM {raw_loci}) GROUP BY ALL")
 def unnest_alts(v):
-    alts = F.split(F.when(F.col("pos") % 3 == 0, "G").otherwise("G,T"), ",")
-    return v("calls").select("chrom", "pos", F.explode(alts).alias("alt")).distinct()
+    return v("raw_loci").select("chrom", F.explode(F.split("alts", ",")).alias("alt")).groupBy("chrom", "alt").agg(F.count(F.lit(1)).alias("n"))
 
 
 # ---- copy numbers -----------------------------------------------------------------------------------------------------
@@ -515,12 +567,12 @@ def _structures(v):
     return family.case_structure(v("ped")).withColumnRenamed("individual_id", "case_id")
 
 
-@query(f"SELECT case_id, variant_key, gene, zygosity, genotype_fit FROM {_FIT}")
+@query(f"SELECT case_id, variant_key, gene, zygosity, genotype_fit FROM {_FIT}", keep=("sample_call", "case_variants"))
 def genotype_fit(v):
     return case.genotype_fit(v("case_variants"), v("moi")).select("case_id", "variant_key", "gene", "zygosity", "genotype_fit")
 
 
-@query(f"WITH {_ORIGIN}, {_FACTS}, {_FOLDED} SELECT * FROM folded")
+@query(f"WITH {_ORIGIN}, {_FACTS}, {_FOLDED} SELECT * FROM folded", keep=("sample_call", "case_variants"))
 def classify_case(v):
     done = case.classify_case(v("case_variants"), _facts(v), _structures(v))
     return done.select("case_id", "variant_key", "gene", "acmg_class", F.col("case_points").cast("int").alias("case_points"), "case_criteria", F.col("case_total_points").cast("int").alias("case_total_points"), "case_class")
@@ -528,7 +580,7 @@ def classify_case(v):
 
 @query("SELECT gene, hpo_id FROM {edges}")
 def gene_phenotype_edges(v):
-    return v("part").where("p_partkey % 3 = 0").select(F.col("p_brand").alias("gene"), F.concat(F.lit("HP:"), F.col("p_size").cast("string")).alias("hpo_id")).distinct()
+    return case.phenotype_edges(v("part").select(F.col("p_brand").alias("subject_label"), F.concat(F.lit("HP:"), (F.col("p_partkey") % 1999).cast("string")).alias("object")))
 
 
 _IC = "(SELECT hpo_id, -log2(CAST(count(DISTINCT gene) AS DOUBLE) / (SELECT count(DISTINCT gene) FROM {edges})) AS ic FROM {edges} WHERE hpo_id IN (SELECT hpo_id FROM {patient_terms}) GROUP BY hpo_id)"
@@ -555,7 +607,7 @@ _RERANKED = f"""(SELECT *, 0.5 * phenotype_norm + 0.4 * pathogenicity AS combine
   FROM {{case_variants}} c LEFT JOIN {_SCORES} s ON c.case_id = s.case_id AND c.gene = s.gene))"""
 
 
-@query(f"SELECT case_id, variant_key, round(phenotype_norm, 6) AS phenotype_norm, round(combined_score, 6) AS combined_score FROM {_RERANKED}")
+@query(f"SELECT case_id, variant_key, round(phenotype_norm, 6) AS phenotype_norm, round(combined_score, 6) AS combined_score FROM {_RERANKED}", keep=("sample_call", "case_variants"))
 def rerank(v):
     return case.rerank(v("case_variants"), _scores(v)).select("case_id", "variant_key", F.round("phenotype_norm", 6).alias("phenotype_norm"), F.round("combined_score", 6).alias("combined_score"))
 
@@ -576,12 +628,12 @@ def _candidates(v):
     return case.candidate_table(snv.join(scores, ["case_id", "gene"], "left"), cnv.join(scores, ["case_id", "gene"], "left"), named)
 
 
-@query(f"SELECT case_id, candidate_id, kind, gene, acmg_class, tier AS class_tier, genotype_fit, round(combined_score, 6) AS combined_score FROM {_CANDIDATES}")
+@query(f"SELECT case_id, candidate_id, kind, gene, acmg_class, tier AS class_tier, genotype_fit, round(combined_score, 6) AS combined_score FROM {_CANDIDATES}", keep=("sample_call", "case_variants"))
 def candidate_rank(v):
     return _candidates(v).select("case_id", "candidate_id", "kind", "gene", "acmg_class", "class_tier", "genotype_fit", F.round("combined_score", 6).alias("combined_score"))
 
 
-@query(f"SELECT case_id, candidate_id, r AS rank FROM (SELECT *, row_number() OVER (PARTITION BY case_id ORDER BY round(combined_score, 6) DESC, candidate_id) AS r FROM {_CANDIDATES}) WHERE r <= 3")
+@query(f"SELECT case_id, candidate_id, r AS rank FROM (SELECT *, row_number() OVER (PARTITION BY case_id ORDER BY round(combined_score, 6) DESC, candidate_id) AS r FROM {_CANDIDATES}) WHERE r <= 3", keep=("sample_call", "case_variants"))
 def top_n_per_case(v):
     ranked = _candidates(v).drop("rank").withColumn("combined_score", F.round("combined_score", 6))
     order = case.Window.partitionBy("case_id").orderBy(F.desc("combined_score"), "candidate_id")
@@ -591,7 +643,7 @@ def top_n_per_case(v):
 _BIALLELIC = "(zygosity = 'hom' OR count(DISTINCT CASE WHEN acmg_class IN ('Pathogenic', 'Likely Pathogenic') THEN variant_key END) OVER (PARTITION BY case_id, gene) >= 2)"
 
 
-@query(f"SELECT case_id, variant_key, gene, {_BIALLELIC} AS biallelic FROM {{case_variants}}")
+@query(f"SELECT case_id, variant_key, gene, {_BIALLELIC} AS biallelic FROM {{case_variants}}", keep=("sample_call", "case_variants"))
 def biallelic_flag(v):
     return case.biallelic_flag(v("case_variants")).select("case_id", "variant_key", "gene", "biallelic")
 
@@ -608,13 +660,13 @@ def _triaged(v):
     return case.triage(rows)
 
 
-@query(f"SELECT case_id, variant_key, acmg_class, decision, review FROM {_TRIAGED}")
+@query(f"SELECT case_id, variant_key, acmg_class, decision, review FROM {_TRIAGED}", keep=("sample_call", "case_variants"))
 def triage(v):
     return _triaged(v).select("case_id", "variant_key", "acmg_class", "decision", "review")
 
 
 @query(f"""SELECT case_id, decision AS go, variant_key AS lead, CASE WHEN decision = 'not_enough_evidence' THEN 'targeted' ELSE review END AS human_review FROM (SELECT *, row_number() OVER (PARTITION BY case_id
-ORDER BY CASE decision WHEN 'reportable' THEN 2 WHEN 'mixed' THEN 1 ELSE 0 END DESC, round(combined_score, 6) DESC, variant_key) AS r FROM {_TRIAGED}) WHERE r = 1""")
+ORDER BY CASE decision WHEN 'reportable' THEN 2 WHEN 'mixed' THEN 1 ELSE 0 END DESC, round(combined_score, 6) DESC, variant_key) AS r FROM {_TRIAGED}) WHERE r = 1""", keep=("sample_call", "case_variants"))
 def case_decision(v):
     return case.case_decision(_triaged(v).withColumn("combined_score", F.round("combined_score", 6)))
 
@@ -629,12 +681,12 @@ def _diff(v):
     return case.reanalysis_diff(v("classes").where("total_points % 7 <> 0"), v("prior"))
 
 
-@query(f"SELECT * FROM {_DIFF}")
+@query(f"SELECT * FROM {_DIFF}", keep=("classes",))
 def reanalysis_diff(v):
     return _diff(v)
 
 
-@query(f"SELECT * FROM {_DIFF} WHERE status IN ('new', 'upgraded') AND current_class IN ('Pathogenic', 'Likely Pathogenic')")
+@query(f"SELECT * FROM {_DIFF} WHERE status IN ('new', 'upgraded') AND current_class IN ('Pathogenic', 'Likely Pathogenic')", keep=("classes",))
 def newly_reportable(v):
     return case.newly_reportable(_diff(v))
 
@@ -647,22 +699,22 @@ def pool_join(v):
 # ---- text, ledger and validation --------------------------------------------------------------------------------------
 
 _WORDS = " UNION ALL ".join(f"SELECT '{t}' AS term, '{w}' AS word" for t, w in TERMS.items())
-_NEG_SQL = "(no|not|without|denies|negative for|absent|absence of)"
-_FAM_SQL = "(mother|father|brother|sister|family history|maternal|paternal|sibling|cousin|uncle|aunt)"
+_NEG_SQL, _FAM_SQL = f"({'|'.join(text.NEGATIONS)})", f"({'|'.join(text.RELATIVES)})"
+_BREAK_SQL = "[.,;]|\\b(" + "|".join(text.BREAKS) + ")\\b"
 
 
-@query(f"""WITH c AS (SELECT doc_id, unnest(regexp_split_to_array(lower(coalesce(text, '')), '[.;\\n]|\\bbut\\b|\\bhowever\\b')) AS clause, generate_subscripts(regexp_split_to_array(lower(coalesce(text, '')), '[.;\\n]|\\bbut\\b|\\bhowever\\b'), 1) AS pos FROM {{documents}} WHERE lang = 'en'),
+@query(f"""WITH c AS (SELECT doc_id, unnest(regexp_split_to_array(lower(coalesce(text, '')), '{_BREAK_SQL}')) AS clause, generate_subscripts(regexp_split_to_array(lower(coalesce(text, '')), '{_BREAK_SQL}'), 1) AS pos FROM {{documents}}),
 f AS (SELECT doc_id, term, pos, CASE WHEN regexp_matches(clause, '(^|[^a-z0-9_]){_FAM_SQL}($|[^a-z0-9_])') THEN 'family' WHEN regexp_matches(clause, '(^|[^a-z0-9_]){_NEG_SQL}($|[^a-z0-9_])') THEN 'excluded' ELSE 'observed' END AS scope
   FROM c JOIN ({_WORDS}) ON regexp_matches(clause, '(^|[^a-z0-9_])' || word || '($|[^a-z0-9_])'))
 SELECT doc_id AS note_id, term, arg_min(scope, pos) AS scope FROM f GROUP BY ALL""")
 def hpo_rule_extract(v):
-    return text.extract_terms(v("documents").where("lang = 'en'").select(F.col("doc_id").alias("note_id"), "text"), TERMS)
+    return text.extract_terms(v("documents").select(F.col("doc_id").alias("note_id"), "text"), TERMS)
 
 
 _ID_GENES = " UNION ALL ".join(f"SELECT '{g}' AS gene" for g in ("USA", "ID", "CC", "BY", "NC", "MIT"))
 
 
-@query(f"SELECT DISTINCT doc_id AS note_id, g AS gene FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Z][A-Z0-9]+')) AS g FROM {{documents}}) WHERE g IN (SELECT gene FROM ({_ID_GENES}))")
+@query(f"SELECT DISTINCT doc_id AS note_id, g AS gene FROM (SELECT doc_id, unnest(regexp_extract_all(text, '\\b[A-Z][A-Z0-9]{{1,9}}\\b')) AS g FROM {{documents}}) WHERE g IN (SELECT gene FROM ({_ID_GENES}))")
 def referral_genes(v):
     known = v("region").sparkSession.sql(_ID_GENES)
     return text.referral_genes(v("documents").select(F.col("doc_id").alias("note_id"), "text"), known)
@@ -677,18 +729,24 @@ def most_severe_consequence(v):
     return v("vep").groupBy(F.col("consequence").alias("terms"), expr.most_severe(F.col("consequence")).alias("consequence")).agg(F.count(F.lit(1)).alias("n"))
 
 
-_VEP = f"""SELECT replace(replace(uploaded, '_', '-'), '/', '-') AS variant_key, symbol AS gene, {_SEVERE} AS consequence, TRY_CAST(split_part(nullif(nullif(af, '-'), '.'), '&', 1) AS DOUBLE) AS filtering_af,
-  CASE WHEN nmd = '-' THEN NULL WHEN nmd LIKE '%NMD_escaping%' THEN 1 ELSE 0 END AS nmd_escaping, TRY_CAST(nullif(revel, '') AS DOUBLE) AS revel FROM {{vep}}"""
+_SOME = lambda c: f"nullif(nullif(nullif({c}, '-'), '.'), '')"
+_VEP = f"""(SELECT split_part(uploaded, '_', 1) || '-' || split_part(uploaded, '_', 2) || '-' || replace(split_part(uploaded, '_', 3), '/', '-') AS variant_key, {_SOME('symbol')} AS gene, {_SEVERE} AS consequence,
+  TRY_CAST({_SOME('protein_position')} AS INT) AS protein_pos, CASE WHEN amino_acids LIKE '%/%' THEN split_part(amino_acids, '/', 2) END AS alt_aa, {_SOME('feature')} AS transcript_id,
+  TRY_CAST(split_part({_SOME('max_af')}, '&', 1) AS DOUBLE) AS filtering_af, TRY_CAST({_SOME('gnomad_af')} AS DOUBLE) AS gnomad_af, {_SOME('max_af_pop')} AS max_af_pop,
+  CASE WHEN nmd = 'NMD_escaping_variant' THEN 1 WHEN consequence LIKE '%stop_gained%' OR consequence LIKE '%frameshift%' THEN 0 END AS nmd_escaping FROM {{vep}})"""
 
 
-@query(_VEP)
+@query(f"SELECT * FROM {_VEP}")
 def vep_to_annotations(v):
     return text.vep_rows(v("vep"))
 
 
-@query(f"SELECT consequence, nmd_escaping, count(*) AS n, count(filtering_af) AS n_af, count(revel) AS n_revel FROM ({_VEP}) GROUP BY ALL")
+@query(f"SELECT consequence, nmd_escaping, count(*) AS n, count(filtering_af) AS n_af, count(gnomad_af) AS n_gnomad, count(alt_aa) AS n_aa FROM {_VEP} GROUP BY ALL")
 def vep_tsv_parse(v):
-    return text.vep_rows(v("vep")).groupBy("consequence", "nmd_escaping").agg(F.count(F.lit(1)).alias("n"), F.count("filtering_af").alias("n_af"), F.count("revel").alias("n_revel"))
+    """The rows as the annotator writes them, a line of tab-separated text each, read as such a file is."""
+    lines = v("vep").select(F.concat_ws("\t", *readers.TAB).alias("value"))
+    rows = text.vep_rows(readers.annotator_rows(lines))
+    return rows.groupBy("consequence", "nmd_escaping").agg(F.count(F.lit(1)).alias("n"), F.count("filtering_af").alias("n_af"), F.count("gnomad_af").alias("n_gnomad"), F.count("alt_aa").alias("n_aa"))
 
 
 @query("SELECT uploaded, greatest(coalesce(TRY_CAST(split_part(splice, '|', 3) AS DOUBLE), 0), coalesce(TRY_CAST(split_part(splice, '|', 4) AS DOUBLE), 0), coalesce(TRY_CAST(split_part(splice, '|', 5) AS DOUBLE), 0), coalesce(TRY_CAST(split_part(splice, '|', 6) AS DOUBLE), 0)) AS delta FROM {vep}")
@@ -696,12 +754,20 @@ def splice_max_delta(v):
     return v("vep").select("uploaded", evidence.splice_max_delta(F.col("splice")).alias("delta"))
 
 
-@query(f"""WITH nm AS (SELECT v.*, p.same_aa, p.same_codon FROM ({_VEP}) v LEFT JOIN (SELECT 'x' AS k, 0 AS same_aa, 0 AS same_codon) p ON p.k = v.variant_key)
-SELECT n.variant_key, n.gene, n.consequence, coalesce(n.revel, a.revel) AS revel, coalesce(n.nmd_escaping, a.nmd_escaping) AS nmd_escaping, a.pm1 FROM nm n LEFT JOIN {{annotations}} a ON n.variant_key = a.variant_key""")
+@query(f"""WITH a AS (SELECT * FROM {_VEP}),
+q AS (SELECT q.*, pos FROM (SELECT *, CAST(split_part(variant_key, '-', 2) AS BIGINT) AS pos FROM a) q),
+o AS (SELECT *, row_number() OVER (PARTITION BY transcript_id ORDER BY CASE WHEN strand = '+' THEN start_pos ELSE -start_pos END, end_pos) AS k, count(*) OVER (PARTITION BY transcript_id) AS n FROM {{vep_exon}}),
+h AS (SELECT v.variant_key, max(CASE WHEN n = 1 OR k = n OR (k = n - 1 AND CASE WHEN strand = '+' THEN pos >= end_pos - 50 ELSE pos <= start_pos + 50 END) THEN 1 ELSE 0 END) AS e FROM q v JOIN o ON v.transcript_id = o.transcript_id AND pos BETWEEN start_pos AND end_pos GROUP BY v.variant_key),
+z AS (SELECT gene, max(loeuf) AS mis_z, min(loeuf) AS loeuf FROM {{annotations}} GROUP BY gene)
+SELECT q.variant_key, q.gene, q.consequence, q.filtering_af, z.mis_z AS gnomad_mis_z, z.loeuf, coalesce(q.nmd_escaping, h.e) AS nmd_escaping,
+  CASE WHEN q.alt_aa <> '*' AND EXISTS ({_SOURCE} AND p.alt_aa = q.alt_aa) THEN 1 ELSE 0 END AS clinvar_same_aa, CASE WHEN q.alt_aa <> '*' AND EXISTS ({_SOURCE} AND p.alt_aa <> q.alt_aa) THEN 1 ELSE 0 END AS clinvar_same_codon_lp,
+  CASE WHEN (SELECT sum(c.n_plp) FROM {{codons}} c WHERE c.gene = q.gene AND abs(c.protein_pos - q.protein_pos) <= 3) >= 2 AND (SELECT sum(c.n_blb) FROM {{codons}} c WHERE c.gene = q.gene AND abs(c.protein_pos - q.protein_pos) <= 3) = 0 THEN 1 ELSE 0 END AS pm1
+FROM q LEFT JOIN h ON q.variant_key = h.variant_key LEFT JOIN z ON q.gene = z.gene""")
 def annotate_pipeline(v):
-    known = v("annotations").select("variant_key", "revel", "nmd_escaping", "pm1")
-    filled = store.fill_gaps(text.vep_rows(v("vep")).select("variant_key", "gene", "consequence", "revel", "nmd_escaping"), known, ["revel", "nmd_escaping"])
-    return filled.join(known.select("variant_key", "pm1"), "variant_key", "left")
+    """All local evidence on annotator rows."""
+    constraint = v("annotations").groupBy("gene").agg(F.max("loeuf").alias("mis_z"), F.min("loeuf").alias("loeuf"))
+    done = annotate.annotate_hybrid(text.vep_rows(v("vep")), protein=v("protein").where("is_plp = 1"), codons=v("codons"), constraint=constraint, exons=v("vep_exon"))
+    return done.select("variant_key", "gene", "consequence", "filtering_af", "gnomad_mis_z", "loeuf", "nmd_escaping", "clinvar_same_aa", "clinvar_same_codon_lp", "pm1")
 
 
 @query("SELECT digest, arg_max(event, struct_pack(ts := ts, id := event_id)) AS status FROM {ledger} GROUP BY digest")
@@ -709,17 +775,29 @@ def ledger_latest_status(v):
     return v("ledger").groupBy("digest").agg(F.max_by("event", F.struct("ts", "event_id")).alias("status"))
 
 
-@query("SELECT variant_key, pos, gene FROM {calls} WHERE relationship = 'mother' AND pos % 2 = 0")
+@query("SELECT p_partkey, p_brand, p_size FROM {part} WHERE p_size > 25 AND p_brand <> 'Brand#13'")
 def scan_parquet(v):
-    return v("calls").where("relationship = 'mother' AND pos % 2 = 0").select("variant_key", "pos", "gene")
+    """Filters and columns reach the parquet scan."""
+    return v("part").where("p_size > 25 AND p_brand <> 'Brand#13'").select("p_partkey", "p_brand", "p_size")
+
+
+_TRUTH = "(SELECT variant_key, CASE WHEN clinvar_classification IS NOT NULL THEN 'P/LP' ELSE 'B/LB' END AS truth FROM {annotations} WHERE variant_kind IS NOT NULL)"
 
 
-@query("""SELECT truth, called, count(*) AS n, avg(CASE WHEN truth = called THEN 1.0 ELSE 0.0 END) AS agree FROM (SELECT quality AS truth, CASE WHEN n_chars > 1000 THEN 1 ELSE 0 END AS called FROM {labels} l JOIN {documents} d ON l.doc_id = d.doc_id) GROUP BY ALL""")
+@query(_classified(kernel.KernelConfig(pvs1_constraint=True)) + f""", m AS (SELECT truth, CASE WHEN acmg_class IN ('Pathogenic', 'Likely Pathogenic') THEN 'P/LP' WHEN acmg_class IN ('Benign', 'Likely Benign') THEN 'B/LB' ELSE 'VUS' END AS called FROM {_TRUTH} t JOIN done d ON t.variant_key = d.variant_key)
+SELECT truth, count(*) FILTER (called = 'P/LP') AS called_plp, count(*) FILTER (called = 'VUS') AS called_vus, count(*) FILTER (called = 'B/LB') AS called_blb, avg(CASE WHEN truth = called THEN 1.0 ELSE 0.0 END) AS agree,
+  count(*) FILTER (truth <> called AND called <> 'VUS') AS contradictions FROM m GROUP BY truth""")
 def concordance(v):
-    rows = v("labels").join(v("documents"), "doc_id").select(F.col("quality").alias("truth"), F.when(F.col("n_chars") > 1000, 1).otherwise(0).alias("called"))
-    return rows.groupBy("truth", "called").agg(F.count(F.lit(1)).alias("n"), F.avg(F.when(F.col("truth") == F.col("called"), 1.0).otherwise(0.0)).alias("agree"))
+    """Truth against the kernel's classes."""
+    a = v("annotations").where(F.col("variant_kind").isNotNull())
+    truth = a.select("variant_key", F.when(F.col("clinvar_classification").isNotNull(), "P/LP").otherwise("B/LB").alias("truth"))
+    return annotate.concordance(truth, _class(v, kernel.KernelConfig(pvs1_constraint=True)))
 
 
+@query(_classified(kernel.KernelConfig()) + "SELECT variant_key, total_points, acmg_class FROM done")
+def kernel_ranked(v):
+    """The kernel's rows in their final order."""
+    return kernel.ranked(_class(v, kernel.KernelConfig()).select("variant_key", "total_points", "acmg_class"))
 
 
 @query("""SELECT gene, round(corr(x, y), 6) AS pearson, round(corr(rx, ry), 6) AS spearman FROM (SELECT gene, revel AS x, cadd_phred AS y, rank() OVER (PARTITION BY gene ORDER BY revel) + (count(*) OVER (PARTITION BY gene, revel) - 1) / 2.0 AS rx,

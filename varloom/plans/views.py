@@ -44,7 +44,8 @@ FROM (SELECT DISTINCT p_brand AS gene, CAST(substr(p_brand, 7) AS INT) AS n FROM
 UNION ALL SELECT gene, 'D2', 'AR', 0, false, 'Limited' FROM (SELECT DISTINCT p_brand AS gene, CAST(substr(p_brand, 7) AS INT) AS n FROM {part}) c WHERE n % 3 = 0""",
     "exon": """
 SELECT 'TX' || CAST(p_partkey % 100 AS STRING) AS transcript_id, p_brand AS gene, CASE WHEN p_partkey % 2 = 0 THEN '+' ELSE '-' END AS strand,
-  CAST(1000 * floor(p_partkey / 100) + 1 AS BIGINT) AS start_pos, CAST(1000 * floor(p_partkey / 100) + 201 + 10 * p_size AS BIGINT) AS end_pos FROM {part}""",
+  CAST(1000 * floor(p_partkey / 100) + 1 AS BIGINT) AS start_pos, CAST(1000 * floor(p_partkey / 100) + 201 + 10 * p_size AS BIGINT) AS end_pos,
+  p_partkey % 9 = 4 AS mane_select, p_partkey % 7 = 2 AS mane_plus_clinical, p_partkey % 5 = 1 AS appris_principal, p_partkey % 3 = 0 AS basic FROM {part}""",
     "nmd_variants": """
 SELECT CAST(l_orderkey AS STRING) || '.' || CAST(l_linenumber AS STRING) AS variant_key, 'TX' || CAST(pk % 100 AS STRING) AS transcript_id, CAST(1000 * (pk % 21) + q * 12 AS BIGINT) AS pos
 FROM (SELECT l_orderkey, l_linenumber, min(l_partkey) AS pk, CAST(min(l_quantity) AS BIGINT) AS q FROM {lineitem} GROUP BY l_orderkey, l_linenumber) g""",
@@ -62,6 +63,8 @@ SELECT case_id, family_id, relationship, proband_status, family_size, 'snv' AS v
     FROM {orders} JOIN {lineitem} ON o_orderkey = l_orderkey) a) b WHERE rn = 1""",
     "calls": """
 SELECT * FROM {sample_call}""",
+    "raw_loci": """
+SELECT CAST(l_partkey % 22 + 1 AS STRING) AS chrom, CAST(1000 + l_partkey AS BIGINT) AS pos, 'A' AS ref, CASE WHEN l_partkey % 3 = 0 THEN 'G' ELSE 'G,T' END AS alts FROM {lineitem}""",
     "ped": """
 SELECT DISTINCT 'F' || CAST(CAST(floor(c_custkey / 3) AS BIGINT) AS STRING) AS family_id, 'C' || CAST(c_custkey AS STRING) AS individual_id,
   CASE WHEN c_custkey % 3 = 0 AND c_custkey % 4 <> 1 THEN 'C' || CAST(c_custkey + 2 AS STRING) ELSE NULL END AS father_id,
@@ -71,7 +74,7 @@ SELECT DISTINCT 'F' || CAST(CAST(floor(c_custkey / 3) AS BIGINT) AS STRING) AS f
 SELECT p_brand AS gene, p_size AS protein_pos, CAST(sum(CASE WHEN p_partkey % 4 = 0 THEN 1 ELSE 0 END) AS BIGINT) AS n_plp, CAST(sum(CASE WHEN p_partkey % 50 = 0 THEN 1 ELSE 0 END) AS BIGINT) AS n_blb
 FROM {part} GROUP BY p_brand, p_size""",
     "protein": """
-SELECT 'v' || CAST(p_partkey AS STRING) AS variant_key, p_brand AS gene, p_size AS protein_pos, substr('ACDEFGHIKLMNPQRSTVWY*', CAST(p_partkey % 21 + 1 AS INT), 1) AS alt_aa,
+SELECT 'v' || CAST(p_partkey AS STRING) AS variant_key, p_brand AS gene, p_size AS protein_pos, substr('ACDEFGHIKLMNPQRSTVWY*', CAST(p_partkey % 21 + 1 AS INT), 1) AS alt_aa, substr('ACDEFGHIKLMNPQRSTVWY*', CAST(p_partkey % 20 + 2 AS INT), 1) AS ref_aa,
   CAST(1000 + p_partkey % 97 AS BIGINT) AS pos, CASE WHEN p_partkey % 3 = 0 THEN 1 ELSE 0 END AS is_plp FROM {part}""",
     "clinvar": """
 SELECT CAST(p_partkey % 500 % 22 + 1 AS STRING) || '-' || CAST(100000 + p_partkey % 500 * 37 AS STRING) || '-A-G' AS variant_key, p_brand AS gene,
@@ -81,7 +84,7 @@ SELECT CAST(p_partkey % 500 % 22 + 1 AS STRING) || '-' || CAST(100000 + p_partke
   CAST(p_size % 10 AS INT) AS submitters,
   CASE WHEN p_partkey % 6 = 3 THEN CASE WHEN p_size % 2 = 0 THEN 'Pathogenic(2)|Uncertain_significance(1)' ELSE 'Pathogenic(1)|Benign(1)' END ELSE NULL END AS composition,
   'NM_1.1(' || p_brand || '):c.1A>G (p.' || CASE p_partkey % 4 WHEN 0 THEN 'Arg' WHEN 1 THEN 'Gly' WHEN 2 THEN 'Ser' ELSE 'Xyz' END || CAST(p_size AS STRING) || CASE p_partkey % 5 WHEN 0 THEN 'Trp' WHEN 1 THEN 'Ter' WHEN 2 THEN '=' ELSE 'Ala' END || ')' AS name,
-  CAST(p_retailprice AS DOUBLE) / 100000 AS af_exac, CAST(p_partkey % 100 AS DOUBLE) / 2000 AS af_tgp, CASE WHEN p_partkey % 2 = 0 THEN CAST(p_size AS DOUBLE) / 1000 ELSE NULL END AS af_esp
+  CASE WHEN p_partkey % 17 = 0 THEN 'AT' ELSE 'A' END AS ref, 'G' AS alt, CAST(p_retailprice AS DOUBLE) / 100000 AS af_exac, CAST(p_partkey % 100 AS DOUBLE) / 2000 AS af_tgp, CASE WHEN p_partkey % 2 = 0 THEN CAST(p_size AS DOUBLE) / 1000 ELSE NULL END AS af_esp
 FROM {part}""",
     "cnv": """
 SELECT CAST(s_nationkey % 22 + 1 AS STRING) AS chrom, s_suppkey * 1000 AS start_pos, s_suppkey * 1000 + 500 + s_nationkey * 10 AS end_pos, CAST(s_suppkey % 5 AS INT) AS cn,
@@ -89,9 +92,9 @@ SELECT CAST(s_nationkey % 22 + 1 AS STRING) AS chrom, s_suppkey * 1000 AS start_
   CASE WHEN s_suppkey % 6 = 0 THEN '' ELSE 'Brand#' || CAST(s_suppkey % 25 + 11 AS STRING) || '; Brand#' || CAST(s_nationkey + 11 AS STRING) || '|Brand#' || CAST(s_suppkey % 10 + 20 AS STRING) END AS genes,
   'C' || CAST(s_suppkey % 50 * 3 AS STRING) AS case_id
 FROM {supplier}""",
-    "edges": "SELECT DISTINCT p_brand AS gene, 'HP:' || CAST(p_size AS STRING) AS hpo_id FROM {part} WHERE p_partkey % 3 = 0",
+    "edges": "SELECT DISTINCT p_brand AS gene, 'HP:' || CAST(p_partkey % 1999 AS STRING) AS hpo_id FROM {part}",
     "patient_terms": """
-SELECT DISTINCT 'C' || CAST(o_custkey AS STRING) AS case_id, 'HP:' || CAST(CAST(l_quantity AS INT) AS STRING) AS hpo_id FROM {orders} JOIN {lineitem} ON o_orderkey = l_orderkey WHERE o_custkey % 3 = 0 AND l_linenumber <= 2""",
+SELECT DISTINCT 'C' || CAST(o_custkey AS STRING) AS case_id, 'HP:' || CAST(l_partkey % 1999 AS STRING) AS hpo_id FROM {orders} JOIN {lineitem} ON o_orderkey = l_orderkey WHERE o_custkey % 3 = 0""",
     "classes": """
 SELECT v.variant_key, v.gene, CAST(v.h % 18 - 7 AS INT) AS total_points, CASE WHEN v.h % 13 = 0 THEN 'BA1' WHEN v.h % 5 = 0 THEN NULL ELSE 'PM2_Supporting' END AS criteria,
   CASE WHEN v.h % 13 = 0 THEN 'Benign' WHEN v.h % 18 - 7 >= 10 THEN 'Pathogenic' WHEN v.h % 18 - 7 >= 6 THEN 'Likely Pathogenic' WHEN v.h % 18 - 7 >= 0 THEN 'VUS' WHEN v.h % 18 - 7 >= -6 THEN 'Likely Benign' ELSE 'Benign' END AS acmg_class
@@ -106,12 +109,17 @@ FROM {calls} c JOIN {classes} k ON c.variant_key = k.variant_key WHERE c.relatio
     "prior": "SELECT variant_key, CASE WHEN total_points % 4 = 3 THEN NULL WHEN total_points % 3 = 0 THEN 'VUS' WHEN total_points % 3 = 1 THEN 'Likely Pathogenic' ELSE acmg_class END AS acmg_class FROM {classes} WHERE total_points % 5 <> 0",
     "ledger": "SELECT 'd' || CAST(user_id AS STRING) AS digest, CASE event_type WHEN 'click' THEN 'propose' WHEN 'view' THEN 'approve' ELSE 'reject' END AS event, ts, event_id FROM {events}",
     "vep": """
-SELECT CAST(p_partkey % 22 + 1 AS STRING) || '_' || CAST(100000 + p_partkey * 37 AS STRING) || '_A/G' AS uploaded, p_brand AS symbol,
-  CASE p_size % 5 WHEN 0 THEN 'missense_variant&splice_region_variant' WHEN 1 THEN 'intron_variant' WHEN 2 THEN 'synonymous_variant&stop_gained' WHEN 3 THEN 'regulatory_region_variant' ELSE '5_prime_UTR_variant' END AS consequence,
-  CASE p_partkey % 4 WHEN 0 THEN '-' WHEN 1 THEN '0.5&0.1' WHEN 2 THEN '.' ELSE '0.001' END AS af, CASE p_partkey % 3 WHEN 0 THEN '-' WHEN 1 THEN 'NMD_escaping_variant' ELSE 'other' END AS nmd,
-  CASE p_partkey % 5 WHEN 0 THEN '' ELSE CAST(p_size AS STRING) || '.5' END AS revel,
+SELECT CAST(p_partkey % 22 + 1 AS STRING) || '_' || CAST(100000 + p_partkey * 37 AS STRING) || '_A/G' AS uploaded, CAST(p_partkey AS STRING) AS location, p_brand AS symbol,
+  CASE p_size % 5 WHEN 0 THEN 'missense_variant&splice_region_variant' WHEN 1 THEN 'intron_variant' WHEN 2 THEN 'synonymous_variant&stop_gained' WHEN 3 THEN 'regulatory_region_variant' ELSE 'frameshift_variant' END AS consequence,
+  CASE WHEN p_partkey % 7 = 0 THEN '-' ELSE substr('ACDEFGHIKLMNPQRSTVWY', CAST(p_partkey % 20 + 1 AS INT), 1) || '/' || substr('CDEFGHIKLMNPQRSTVWY*A', CAST(p_partkey % 21 + 1 AS INT), 1) END AS amino_acids,
+  CASE WHEN p_partkey % 11 = 0 THEN '-' ELSE CAST(p_size AS STRING) END AS protein_position, CASE WHEN p_partkey % 13 = 0 THEN '-' ELSE 'TX' || CAST(p_partkey % 22 + 1 AS STRING) END AS feature,
+  CASE p_partkey % 4 WHEN 0 THEN '-' WHEN 1 THEN '0.5&0.1' WHEN 2 THEN '.' ELSE '0.001' END AS max_af, CASE p_partkey % 3 WHEN 0 THEN '-' ELSE '0.25' END AS gnomad_af, CASE p_partkey % 5 WHEN 0 THEN '-' ELSE 'AFR' END AS max_af_pop,
+  CASE p_partkey % 3 WHEN 0 THEN '-' WHEN 1 THEN 'NMD_escaping_variant' ELSE 'other' END AS nmd,
   'G|' || p_brand || '|0.' || CAST(p_size AS STRING) || '|0.' || CAST(p_partkey % 90 + 10 AS STRING) || '|' || CASE WHEN p_partkey % 7 = 0 THEN '.' ELSE '0.05' END || '|0.3|1|2|3|4' AS splice
 FROM {part}""",
+    "vep_exon": """
+SELECT 'TX' || CAST(p_partkey % 22 + 1 AS STRING) AS transcript_id, CASE WHEN p_partkey % 2 = 0 THEN '+' ELSE '-' END AS strand,
+  CAST(100000 + p_partkey * 37 - p_size AS BIGINT) AS start_pos, CAST(100000 + p_partkey * 37 + 100 AS BIGINT) AS end_pos FROM {part} WHERE p_size > 20""",
 }
 
 
@@ -119,12 +127,27 @@ def _uses(text: str) -> list[str]:
     return list(dict.fromkeys(re.findall(r"\{([a-z_]\w*)\}", text)))
 
 
-def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table or view as a lazy DataFrame."""
-    if name in TABLES:
-        return table(spark, sf_dir, name)
-    text = VIEWS[name]
-    return spark.sql(text, **{n: view(spark, sf_dir, n) for n in _uses(text)})
+class Views:
+    """The tables and views of one query, each built once; those to keep are cached at their first use.
+
+    What the query before kept is let go, so that no more than one query's views stay in memory.
+    """
+
+    _kept: list[DataFrame] = []
+
+    def __init__(self, spark: SparkSession, sf_dir: str, keep: tuple[str, ...] = ()) -> None:
+        self.spark, self.sf_dir, self.keep, self.built = spark, sf_dir, keep, {}
+        for df in Views._kept:
+            df.unpersist()
+        Views._kept = []
+
+    def __call__(self, name: str) -> DataFrame:
+        if name not in self.built:
+            df = table(self.spark, self.sf_dir, name) if name in TABLES else self.spark.sql(VIEWS[name], **{n: self(n) for n in _uses(VIEWS[name])})
+            if name in self.keep:
+                Views._kept.append(df.persist())
+            self.built[name] = df
+        return self.built[name]
 
 
 def _order(name: str, seen: dict[str, None]) -> dict[str, None]:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from varloom.functions.expr import safe_int, variant_key, variant_kind
@@ -84,6 +84,11 @@ def read_vcf(spark: SparkSession, path: str) -> DataFrame:
     samples = head["value"].rstrip("\r").split("\t")[9:] if head else []
     if not samples:
         raise ValueError(f"{path}: no samples in the header")
+    return vcf_rows(lines, samples)
+
+
+def vcf_rows(lines: DataFrame, samples: list[str]) -> DataFrame:
+    """The same of lines (value) with such samples."""
     cells = F.split(F.regexp_replace("value", "\r$", ""), "\t")
     rows = lines.where(~F.col("value").startswith("#") & (F.col("value") != "")).select(cells.alias("c"))
     per = rows.select("c", F.split(F.col("c")[8], ":").alias("f"), F.posexplode(F.slice("c", 10, len(samples))).alias("i", "s")).withColumn("v", F.split("s", ":"))
@@ -119,14 +124,117 @@ def read_ped(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_exons(spark: SparkSession, path: str) -> DataFrame:
-    """transcript_id, gene, chrom, start_pos, end_pos, strand of a GTF file's exons."""
+    """transcript_id (without version), gene, exon_number, chrom, start_pos, end_pos, strand and tags of a GTF file's exons."""
     c = F.split("value", "\t")
     rows = spark.read.text(path).where(~F.col("value").startswith("#")).select(c.alias("c")).where(F.col("c")[2] == "exon")
-    attribute = lambda n: F.regexp_extract(F.col("c")[8], rf'{n} "([^"]*)"', 1)
+    more = F.col("c")[8]
+    attribute = lambda n: F.regexp_extract(more, rf'{n} "([^"]*)"', 1)
     return rows.select(
-        attribute("transcript_id").alias("transcript_id"), attribute("gene_name").alias("gene"), F.regexp_replace(F.col("c")[0], "^chr", "").alias("chrom"),
+        F.split_part(attribute("transcript_id"), F.lit("."), F.lit(1)).alias("transcript_id"), attribute("gene_name").alias("gene"),
+        F.regexp_extract(more, r'exon_number "?(\d+)', 1).try_cast("int").alias("exon_number"), F.regexp_replace(F.col("c")[0], "^chr", "").alias("chrom"),
         F.col("c")[3].try_cast("long").alias("start_pos"), F.col("c")[4].try_cast("long").alias("end_pos"), F.col("c")[6].alias("strand"),
+        more.contains("MANE_Select").alias("mane_select"), more.contains("MANE_Plus_Clinical").alias("mane_plus_clinical"),
+        more.contains('tag "basic"').alias("basic"), more.contains("appris_principal").alias("appris_principal"),
+    )
+
+
+def _table(spark: SparkSession, path: str, names: list[str]) -> DataFrame:
+    """Columns of a tab-separated file by the names in its header, all text; quotes are letters, short rows end in nulls."""
+    df = spark.read.csv(path, sep="\t", header=True, quote="", enforceSchema=False)
+    return df.select(*[(F.col(f"`{n}`") if n in df.columns else F.lit(None)).cast("string").alias(n) for n in names])
+
+
+def read_variant_summary(spark: SparkSession, path: str, assembly: str = "GRCh37") -> DataFrame:
+    """variant_key, chrom, pos, ref, alt, gene, name, clnsig, review_status, submitters of an assertion summary, one assembly.
+
+    A gzip file is read by one task; deal its rows out before heavy work.
+    """
+    names = ["Assembly", "Chromosome", "PositionVCF", "ReferenceAlleleVCF", "AlternateAlleleVCF", "GeneSymbol", "Name", "ClinicalSignificance", "ReviewStatus", "NumberSubmitters"]
+    rows = _table(spark, path, names).where(F.col("Assembly") == assembly)
+    chrom, pos = F.regexp_replace("Chromosome", "^chr", ""), F.col("PositionVCF").try_cast("long")
+    return rows.select(
+        variant_key(chrom, pos, F.col("ReferenceAlleleVCF"), F.col("AlternateAlleleVCF")).alias("variant_key"), chrom.alias("chrom"), pos.alias("pos"),
+        F.col("ReferenceAlleleVCF").alias("ref"), F.col("AlternateAlleleVCF").alias("alt"), F.col("GeneSymbol").alias("gene"), F.col("Name").alias("name"),
+        F.col("ClinicalSignificance").alias("clnsig"), F.col("ReviewStatus").alias("review_status"), F.col("NumberSubmitters").try_cast("int").alias("submitters"),
+    )
+
+
+def read_assertion_vcf(spark: SparkSession, path: str) -> DataFrame:
+    """variant_key, ref, alt, n_alts, gene, clnsig, composition, review_status, af_esp, af_exac, af_tgp of a VCF without samples, a row per allele."""
+    c = F.split(F.regexp_replace("value", "\r$", ""), "\t")
+    rows = spark.read.text(path).where(~F.col("value").startswith("#") & (F.col("value") != "")).select(c.alias("c"))
+    rows = rows.select("c", F.expr("str_to_map(c[7], ';', '=')").alias("info"), F.split(F.col("c")[4], ",").alias("alts"))
+    info = lambda n: F.col("info")[n]
+    each = rows.select("c", "info", F.size("alts").alias("n_alts"), F.explode("alts").alias("alt"))
+    return each.select(
+        variant_key(F.col("c")[0], F.col("c")[1].try_cast("long"), F.col("c")[3], F.col("alt")).alias("variant_key"), F.col("c")[3].alias("ref"), "alt", "n_alts",
+        F.split_part(info("GENEINFO"), F.lit(":"), F.lit(1)).alias("gene"), info("CLNSIG").alias("clnsig"), info("CLNSIGCONF").alias("composition"),
+        info("CLNREVSTAT").alias("review_status"), *[info(f"AF_{p}").try_cast("double").alias(f"af_{p.lower()}") for p in ("ESP", "EXAC", "TGP")],
+    )
+
+
+def read_constraint(spark: SparkSession, path: str) -> DataFrame:
+    """gene, mis_z, loeuf, pli of a constraint table; text that is no number is null. See evidence.constraint_dedup for one row per gene."""
+    rows = _table(spark, path, ["gene", "mis_z", "oe_lof_upper", "pLI"]).where(F.col("gene").isNotNull())
+    return rows.select("gene", F.col("mis_z").try_cast("double").alias("mis_z"), F.col("oe_lof_upper").try_cast("double").alias("loeuf"), F.col("pLI").try_cast("double").alias("pli"))
+
+
+def read_scoresheet(spark: SparkSession, path: str) -> DataFrame:
+    """A copy number scoresheet: its columns with `Total score` as total_score, a number."""
+    df = spark.read.csv(path, sep="\t", header=True)
+    return df.withColumn("total_score", F.col("`Total score`").try_cast("double")).drop("Total score")
+
+
+# Columns of the annotator's table, in the order of its command.
+TAB = ("uploaded", "location", "symbol", "consequence", "amino_acids", "protein_position", "feature", "max_af", "gnomad_af", "max_af_pop", "nmd")
+
+
+def read_annotator_tab(spark: SparkSession, path: str) -> DataFrame:
+    """An annotator's tab-separated rows as text.vep_rows takes them; lines that start with # are dropped, short ones padded."""
+    return annotator_rows(spark.read.text(path))
+
+
+def annotator_rows(lines: DataFrame) -> DataFrame:
+    """The same of lines (value)."""
+    kept = lines.where(~F.col("value").startswith("#") & (F.col("value") != ""))
+    cells = kept.select(F.split(F.regexp_replace("value", "\r$", ""), "\t").alias("c"))
+    return cells.select(*[F.get("c", F.lit(i)).alias(n) for i, n in enumerate(TAB)])
+
+
+def read_cnvs(spark: SparkSession, path: str, columns: dict[str, str] | None = None, fmt: str | None = None, *, cnv_only: bool = True) -> DataFrame:
+    """chrom, start_pos, end_pos, svtype, cn of a table in any format. columns: name -> source name, the last two optional.
+
+    A source with variant_kind gives its cnv rows alone, if cnv_only.
+    """
+    # fixed values: the source's usual names
+    names = {"chrom": "CHROM", "start_pos": "POS", "end_pos": "INFO_END", "svtype": "INFO_SVTYPE", "cn": "FORMAT_CN"} | (columns or {})
+    source = read_source(spark, path, fmt)
+    absent = [names[c] for c in ("chrom", "start_pos", "end_pos") if names[c] not in source.columns]
+    if absent:
+        raise ValueError(f"required columns are missing: {', '.join(absent)}")
+    if cnv_only and "variant_kind" in source.columns:
+        source = source.where(F.col("variant_kind") == "cnv")
+    own = lambda c: F.col(f"`{names[c]}`") if names[c] in source.columns else F.lit(None)
+    return source.select(
+        F.regexp_replace(own("chrom").cast("string"), "^chr", "").alias("chrom"), own("start_pos").cast("string").try_cast("long").alias("start_pos"),
+        own("end_pos").cast("string").try_cast("long").alias("end_pos"), own("svtype").cast("string").alias("svtype"), safe_int(own("cn").cast("string")).alias("cn"),
+    )
+
+
+def pick_transcript(consequences: Column) -> Column:
+    """Of an array of structs with mane_select and canonical, the first with the one, else with the other, else the first."""
+    first = lambda test: F.get(F.filter(consequences, test), F.lit(0))
+    return F.coalesce(first(lambda t: F.coalesce(t["mane_select"] != "", F.lit(False))), first(lambda t: F.coalesce(t["canonical"] == 1, F.lit(False))), F.get(consequences, F.lit(0)))
+
+
+def reshape_bundle(source: DataFrame) -> dict[str, DataFrame]:
+    """cases, snv and cnv of a monolithic table of calls, as distinct rows of the columns that each is about."""
+    cases = source.select("case_id", "family_id", "member_id", "family_size", "proband_status", "relationship", "clinical_indication_text", "ancestry").distinct()
+    cnv = source.where(F.col("variant_kind") == "cnv").select(
+        "case_id", "family_id", "member_id", F.regexp_replace(F.col("chrom").cast("string"), "^chr", "").alias("chrom"), F.col("pos").cast("long").alias("start_pos"),
+        F.col("end").cast("string").try_cast("long").alias("end_pos"), "svtype", F.col("cn").cast("string").try_cast("int").alias("cn"), "gt",
     )
+    return {"cases": cases, "snv": canonical_calls(source.where(F.coalesce(F.col("variant_kind") != "cnv", F.lit(True)))), "cnv": cnv}
 
 
 def read_curation_csv(spark: SparkSession, path: str, preamble: int = 4) -> DataFrame:

@@ -26,6 +26,11 @@ def write_bed(cnvs: DataFrame, path: str) -> None:
     rows.select("chrom", "start_pos", "end_pos", "d").write.csv(path, sep="\t")
 
 
+def write_top(ranked: DataFrame, path: str, n: int = 10) -> None:
+    """The n best candidates of each case (case_id, rank, ...) as CSV with a header, a folder per case."""
+    ranked.where(F.col("rank") <= n).repartition("case_id").sortWithinPartitions("case_id", "rank").write.partitionBy("case_id").csv(path, header=True)
+
+
 def append_event(path: str, event: dict) -> dict:
     """One line of JSON; one writer at a time."""
     Path(path).parent.mkdir(parents=True, exist_ok=True)
