@@ -14,12 +14,14 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from varloom.llm.common import broadcast_if_small, cut, read_table, shared_folder
+from varloom.llm.common import broadcast_if_small, cut, read_table, shared_folder, stored
 
 MAGIC = "WARC/1.0\r\n"
 SIZE = len(MAGIC)
-#: A header is looked for in so many bytes after its magic.
-MOST_HEADER = 1 << 16
+#: A header is looked for in so many bytes after its magic first, and if it doesn't end there in all of them.
+HEADER = 1 << 16
+#: Pieces of records that hold magics find them by bins of so many bytes.
+BIN = 1 << 20
 #: Bytes of a payload from which on an equal one is written as revisit.
 LEAST_REVISIT = 0
 DATE = "1970-01-01T00:00:00Z"
@@ -82,6 +84,9 @@ def write_warc(records: DataFrame, path: str) -> None:
 
 def _lines(spark: SparkSession, path: str) -> DataFrame:
     """file, block, i, raw, n: what lies between two magics, in the order (block, i) within a file; n counts the magic after it."""
+    top = F.decode(F.substring("raw", 1, HEADER), "ISO-8859-1")  # a character for a byte
+    whole = F.decode("raw", "ISO-8859-1")
+    end = F.coalesce(F.nullif(F.locate("\r\n\r\n", top), F.lit(0)), F.when(F.octet_length("raw") > HEADER, F.locate("\r\n\r\n", whole)), F.lit(0))
     return (
         spark.read.option("lineSep", MAGIC)
         .text(path)
@@ -92,10 +97,8 @@ def _lines(spark: SparkSession, path: str) -> DataFrame:
             F.col("value").cast("binary").alias("raw"),
         )
         .withColumn("n", (F.octet_length("raw") + SIZE).cast("long"))
-        .withColumn("_top", F.decode(F.substring("raw", 1, MOST_HEADER), "ISO-8859-1"))
-        .withColumn("h", (F.locate("\r\n\r\n", F.col("_top")) - 1).cast("long"))
-        .withColumn("head", F.when(F.col("h") >= 0, F.expr("substring(_top, 1, int(h))")))
-        .drop("_top")
+        .withColumn("h", (end - 1).cast("long"))
+        .withColumn("head", F.when(F.col("h") >= 0, F.expr("cast(substring(raw, 1, int(h)) as string)")))
     )
 
 
@@ -109,8 +112,8 @@ def _length() -> Column:
 
 
 def _places(lines: DataFrame) -> DataFrame:
-    """file, block, i, n, start, body, next of each candidate: where its header starts and its body, and its successor's start."""
-    slim = lines.select("file", "block", "i", "n", "h", _length().alias("len"))
+    """file, block, i, n, start, body, len, next of each candidate (lines must be kept, as they are read twice): where its header starts and its body, and its successor's start."""
+    slim = lines.select("file", "block", "i", "n", "h", "len")
     along = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     base = slim.groupBy("file", "block").agg(F.sum("n").alias("_bytes"))
     base = base.withColumn("_base", F.coalesce(F.sum("_bytes").over(along), F.lit(0))).drop("_bytes")
@@ -168,12 +171,9 @@ def read_warc(spark: SparkSession, path: str, derive: dict[str, Column] | None =
 
     Files are split by Spark's reader; records can lie across splits, and payloads can hold anything, the magic and whole
     records included. What follows a broken record in a file is left out, as nothing in it can be reached from the start.
-    Empty files give no rows.
+    Empty files give no rows. Each scan is kept before it is used twice, as another one may be split in another way.
     """
-    lines = _lines(spark, path)
-    places = cut(_places(lines))
-    met = cut(_reached(places))
-    records = places.join(met, ["file", "block", "start"], "left_semi")
+    at = ["file", "block", "i"]
     names = [
         _field("WARC-Record-ID").alias("record_id"),
         _field("WARC-Type").alias("type"),
@@ -183,23 +183,27 @@ def read_warc(spark: SparkSession, path: str, derive: dict[str, Column] | None =
     ]
     values = [v.alias(k) for k, v in (derive or {"payload": F.col("payload")}).items()]
     columns = ["record_id", "type", "url", "digest", "refers_to", *(derive or ["payload"])]
+    lines = _lines(spark, path).withColumn("len", _length()).withColumn("payload", F.expr("substring(raw, int(h + 5), int(len))"))
+    found = stored(lines.select(*at, "n", "h", "len", *names, *values))
+    places = cut(_places(found))
+    records = places.join(cut(_reached(places)), ["file", "block", "start"], "left_semi")
     single = F.col("n") - SIZE >= F.col("body") - F.col("start") + F.col("len")
-    at = ["file", "block", "i"]
-    found = lines.withColumn("_len", _length()).withColumn("payload", F.expr("substring(raw, int(h + 5), int(_len))")).select(*at, *names, *values)
     plain = found.join(records.where(single).select(*at), at).select(*columns)
-    # A record that holds magics is in pieces: each goes to the last record that starts before it.
-    broken = records.where(~single).select("file", "start", F.col("start").alias("rec"), F.col("len").alias("blen"), F.col("next").alias("stop"))
-    so_far = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # A record that holds magics is in pieces: those between its start and its successor's.
+    broken = cut(records.where(~single).select("file", F.col("start").alias("rec"), F.col("len").alias("blen"), F.col("next").alias("stop")))
+    if broken.isEmpty():
+        return plain
+    again = stored(_lines(spark, path).join(broadcast_if_small(broken.select("file").distinct()), "file", "left_semi"))
+    spans = broken.withColumn("bin", F.explode(F.sequence(F.floor(F.col("rec") / BIN), F.floor(F.col("stop") / BIN))))
     owned = (
-        places.join(broken.select("file").distinct(), "file", "left_semi")
-        .join(broken, ["file", "start"], "left")
-        .withColumn("_r", F.last(F.when(F.col("rec").isNotNull(), F.struct("rec", "blen", "stop")), True).over(so_far))
-        .select(*at, "start", "_r.rec", F.col("_r.blen").alias("len"), F.col("_r.stop").alias("stop"))
-        .where(F.col("start") < F.col("stop"))
+        _places(again.withColumn("len", _length()))
+        .select(*at, F.col("start").alias("at"), F.floor(F.col("start") / BIN).alias("bin"))
+        .join(broadcast_if_small(cut(spans)), ["file", "bin"])
+        .where((F.col("at") >= F.col("rec")) & (F.col("at") < F.col("stop")))
+        .select(*at, "at", "rec", F.col("blen").alias("len"))
     )
-    owned = broadcast_if_small(cut(owned.withColumnRenamed("start", "at")))
     pieces = (
-        lines.drop("n")
+        again.drop("n")
         .join(owned, at)
         .groupBy("file", "rec")
         .agg(F.sort_array(F.collect_list(F.struct("at", "raw", "h", "head"))).alias("_p"), F.first("len").alias("len"))
