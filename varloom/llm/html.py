@@ -11,13 +11,14 @@ from __future__ import annotations
 
 import html as entities
 import re
+import zlib
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from varloom.llm.common import broadcast_if_small, cut, read_table
+from varloom.llm.common import broadcast_if_light, cut, read_table
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements whose text is no text of the page.
@@ -29,14 +30,20 @@ BLOCK = frozenset(
     "header hgroup hr html li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split()
 )
 CONTAINER = frozenset("article main section div body td blockquote html".split())
-#: Words of classes, ids and roles that mark what isn't main text, or is.
-BAD = re.compile(
-    r"(?:^|[-_\s])(?:ads?|advert\w*|adsense|banner|breadcrumbs?|comments?|commentlist|cookies?|consent|disqus|footer|foot|gdpr|header|masthead|menu|nav|navbar|navigation|"
-    r"newsletter|notice|pagination|pager|popup|modal|promo\w*|recommend\w*|related|replies|reply|respond|share|sharing|sidebar|side|social|sponsor\w*|subscribe|subscription|"
-    r"tags|toolbar|widget\w*|search|login|signup|skip|alert|outbrain|taboola|reactions?|author-?bio|byline|meta)(?:$|[-_\s\d])",
-    re.I,
-)
+#: Words of classes, ids and roles that hint at what isn't main text, or is. Those of FAINT name wrappers and articles, too.
+_EDGE, _END = r"(?:^|[-_\s])", r"(?:$|[-_\s\d])"
+FAINT = (
+    "side share sharing social tags meta notice header alert search login signup skip promo\\w* subscribe subscription widget\\w* toolbar byline banner popup modal reactions? sidebar"
+).split()
+PLAIN = (
+    "ads? advert\\w* adsense breadcrumbs? comments? commentlist cookies? consent disqus footer foot gdpr masthead menu nav navbar navigation newsletter pagination pager "
+    "recommend\\w* related replies reply respond sponsor\\w* outbrain taboola author-?bio"
+).split()
+BAD = re.compile(f"{_EDGE}(?:{'|'.join(PLAIN + FAINT)}){_END}", re.I)
+SURE = re.compile(f"{_EDGE}(?:{'|'.join(PLAIN)}){_END}", re.I)
 GOOD = re.compile(r"(?:^|[-_\s])(?:article|body|content|entry|main|page|post|story|text|hentry|blog)(?:$|[-_\s])", re.I)
+#: A subtree with more than this share of a page's prose isn't out for its name alone.
+MASS = 0.5
 
 #: A comment, a declaration, or a tag. A quote after = opens a value, which is taken whole and may hold < and >; other quotes are
 #: letters. Where that finds no tag, as after a quote that never closes, a tag ends at its first >.
@@ -53,11 +60,15 @@ _HOST = re.compile(r"^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", re.I)
 
 
 class Node:
-    __slots__ = ("tag", "name", "parent", "skip", "blocks", "good", "level")
+    """An element. skip: it can't be main text; doubt: its name says so, but what it holds may say otherwise (see weigh)."""
+
+    __slots__ = ("tag", "name", "parent", "skip", "doubt", "blocks", "good", "level", "crc", "inside")
 
-    def __init__(self, tag: str, name: str, parent: "Node | None", skip: bool, good: bool) -> None:
-        self.tag, self.name, self.parent, self.skip, self.good = tag, name, parent, skip, good
+    def __init__(self, tag: str, name: str, parent: "Node | None", skip: bool, good: bool, doubt: str = "") -> None:
+        self.tag, self.name, self.parent, self.skip, self.good, self.doubt = tag, name, parent, skip, good, doubt
         self.level = 0 if parent is None else parent.level + 1
+        self.inside = tag == "article" or parent is not None and parent.inside  # within an article
+        self.crc = 0 if parent is None else zlib.crc32(f"{'>' if parent.tag else ''}{name}".encode("utf-8", "surrogatepass"), parent.crc)  # of its path
         self.blocks: list[tuple[int, str, int]] = []  # place in the page, text, characters within links
 
 
@@ -99,7 +110,7 @@ def parse(page: str | None) -> list[Node]:
         nonlocal place
         if text:
             block = _SPACE.sub(" ", "".join(text)).strip()
-            if block and not at.skip:
+            if block:
                 at.blocks.append((place, block, links[1]))
                 place += 1
             text.clear()
@@ -155,22 +166,42 @@ def parse(page: str | None) -> list[Node]:
         said, general, hidden = _attributes(rest) if rest.strip() else ("", "", False)
         good = tag in ("article", "main") or bool(GOOD.search(said))
         # a page's own frame may be called anything; an article's header is part of it only by its headings
-        skip = at.skip or hidden or tag in ASIDE and not (tag == "header" and _within(at, "article")) or tag not in ("html", "body", "article", "main") and bool(BAD.search(said))
-        node = Node(tag, f"{tag}.{general}" if general else tag, at, skip, good)
+        out = hidden or tag in ASIDE and not (tag == "header" and at.inside)
+        bad = tag not in ("html", "body", "article", "main") and BAD.search(said)
+        doubt = "" if not bad else "sure" if SURE.search(said) else "faint"
+        node = Node(tag, f"{tag}.{general}" if general else tag, at, out, good, doubt)
         nodes.append(node)
         stack.append((tag, node))
         at = node
     say(page[end:])
     close()
+    weigh(nodes)
     return nodes
 
 
-def _within(node: Node | None, tag: str) -> bool:
-    while node is not None:
-        if node.tag == tag:
-            return True
-        node = node.parent
-    return False
+def prose(node: Node) -> int:
+    """Characters of a node's own blocks, less twice those within links."""
+    return sum(max(0, len(b) - 2 * links) for _, b, links in node.blocks)
+
+
+def weigh(nodes: list[Node]) -> None:
+    """Settles skip: what is within a skipped element is skipped, and so is an element in doubt, unless it holds most of the
+    page's prose and its name is faint, or it or something in it is named like an article and not like anything else.
+    """
+    mass, likely = [], []
+    index = {id(n): i for i, n in enumerate(nodes)}
+    for node in nodes:  # parents come before children
+        node.skip = node.skip or node.parent is not None and node.parent.skip
+        mass.append(0 if node.skip else prose(node))
+        likely.append(node.good and not node.doubt and not node.skip)
+    for i in range(len(nodes) - 1, 0, -1):
+        up = index[id(nodes[i].parent)]
+        mass[up] += mass[i]
+        likely[up] = likely[up] or likely[i] and mass[i] > 0
+    for i, node in enumerate(nodes):
+        if node.doubt and not node.skip:
+            node.skip = not (mass[i] > MASS * mass[0] and (node.doubt == "faint" or node.good or likely[i]))
+        node.skip = node.skip or node.parent is not None and node.parent.skip
 
 
 def path_of(node: Node) -> str:
@@ -182,27 +213,27 @@ def path_of(node: Node) -> str:
 
 
 def weights(nodes: list[Node]) -> dict[int, float]:
-    """Score of each container that has text: characters outside links in its blocks, those of inner containers halved a level."""
-    score: dict[int, float] = {}
+    """Score of each container that has text: the prose of its blocks, and of what it holds a share, less for each container between."""
     index = {id(n): i for i, n in enumerate(nodes)}
-    for node in nodes:
-        if node.skip or not node.blocks:
-            continue
-        chars = sum(max(0, len(b) - 2 * links) for _, b, links in node.blocks)
-        share, up = 1.0, node
-        while up is not None and up.tag:
-            if up.tag in CONTAINER:
-                score[index[id(up)]] = score.get(index[id(up)], 0.0) + chars * share
-                share *= 0.9 if up.tag not in ("article", "main") else 0.5
-            up = up.parent
-    return {i: s * (1.5 if nodes[i].good else 1.0) for i, s in score.items()}
+    held = [0.0] * len(nodes)
+    some = [False] * len(nodes)
+    for i in range(len(nodes) - 1, -1, -1):
+        node = nodes[i]
+        if not node.skip and node.blocks:
+            held[i] += prose(node)
+            some[i] = True
+        if node.parent is not None and some[i]:
+            up = index[id(node.parent)]
+            held[up] += held[i] * (1.0 if node.tag not in CONTAINER else 0.5 if node.tag in ("article", "main") else 0.9)
+            some[up] = True
+    return {i: held[i] * (1.5 if n.good else 1.0) for i, n in enumerate(nodes) if some[i] and n.tag in CONTAINER}
 
 
 def best_container(nodes: list[Node]) -> Node | None:
     score = weights(nodes)
     if score:
         return nodes[max(score, key=lambda i: (score[i], nodes[i].level, -i))]
-    return nodes[0] if any(n.blocks for n in nodes) else None  # text without any container: the page itself
+    return nodes[0] if any(n.blocks and not n.skip for n in nodes) else None  # text without any container: the page itself
 
 
 def text_in(nodes: list[Node], chosen: list[Node]) -> str:
@@ -236,7 +267,9 @@ def vote_paths(pages: DataFrame) -> DataFrame:
 def extract_pages(pages: DataFrame) -> DataFrame:
     """page_id, url, text, path for every row of pages; path is null where a page's own container was used.
 
-    Null, empty and markup-only pages give an empty text; null urls share the host ''. Repeated rows give equal rows.
+    Null, empty and markup-only pages give an empty text; null urls share the host ''. Repeated rows give equal rows; of
+    paths with equal votes the one with more text counts, then the first by name. An empty table gives no rows; other columns
+    are not read.
     """
     order = Window.partitionBy("host").orderBy(F.desc("pages"), F.desc("chars"), "path")
     winners = cut(vote_paths(pages).withColumn("_r", F.row_number().over(order)).where(F.col("_r") == 1).select("host", "path"))
@@ -246,7 +279,8 @@ def extract_pages(pages: DataFrame) -> DataFrame:
             texts, used = [], []
             for page, path in zip(pdf["html"], pdf["path"], strict=True):
                 nodes = parse(page)
-                on_path = [n for n in nodes if n.tag and not n.skip and path_of(n) == path] if path else []
+                crc = zlib.crc32(path.encode("utf-8", "surrogatepass")) if path else 0
+                on_path = [n for n in nodes if n.tag and not n.skip and n.crc == crc and path_of(n) == path] if path else []
                 text = text_in(nodes, on_path)
                 if not text and (best := best_container(nodes)) is not None:
                     text, path = text_in(nodes, [best]), None
@@ -255,7 +289,7 @@ def extract_pages(pages: DataFrame) -> DataFrame:
             yield pd.DataFrame({"page_id": pdf["page_id"], "url": pdf["url"], "text": texts, "path": used})
 
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"(?i)^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
-    rows = pages.select("page_id", "url", "html", host.alias("host")).join(broadcast_if_small(winners), "host", "left")
+    rows = pages.select("page_id", "url", "html", host.alias("host")).join(broadcast_if_light(winners, 60 + F.octet_length("host") + F.octet_length("path")), "host", "left")
     return rows.select("page_id", "url", "html", "path").mapInPandas(run, "page_id long, url string, text string, path string")
 
 
