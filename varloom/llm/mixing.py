@@ -19,6 +19,7 @@ WEIGHTS = (5.0, 2.0, 1.0)
 BUDGET = 1.5
 MOST = 2
 BLOCK = 64
+#: Words of a shard; a corpus of more than MOST_SHARDS of them has longer ones, so that the ranking of shards stays short.
 SHARD = 1 << 17
 MOST_SHARDS = 1 << 16
 SEED = 20240229
@@ -108,7 +109,7 @@ def mix_sources(
 
     size: words of the text. taken: how many of them the mix takes, counting a repeated block each time.
     Null, empty and blank texts have size 0 and take 0; null sources are a source of their own, the last; null doc_ids are
-    dealt like any other. Repeated rows are rows of their own. An empty table gives no rows. Other columns are not read.
+    dealt by the hash of the row, like any other. Repeated rows are rows of their own. An empty table gives no rows. Other columns are not read.
     """
     sizes = cut(docs.select("doc_id", row_key(F.col("doc_id"), F.col("source"), F.col("text")).alias("key"), "source", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size")))
     sources = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
@@ -122,8 +123,8 @@ def mix_sources(
     goals = cut(goals)
     dealt = (
         sizes.join(goals, F.col("source").eqNullSafe(F.col("_source")))
-        .withColumn("_h", F.xxhash64(F.lit(seed), F.col("doc_id")))
-        .withColumn("shard", F.pmod(F.xxhash64(F.lit(seed + 1), F.col("doc_id")), F.col("shards")))
+        .withColumn("_h", F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("key")))
+        .withColumn("shard", F.pmod(F.xxhash64(F.lit(seed + 1), F.col("doc_id"), F.col("key")), F.col("shards")))
         .select("doc_id", "key", "source", "size", "si", "_h", "shard")
     )
     held = (
