@@ -2,8 +2,8 @@
 
 A text is read once from left to right. Each place keeps the best last piece that ends there, and only places within the
 longest piece's reach can still be left by a later piece; what lies before them is a window of bounded size. Whenever the
-backpointer paths of all these live places meet in one boundary, the ids up to it are final and are given out. Places that
-no piece of the vocabulary spans are such boundaries at once.
+backpointer paths of all these live places meet in one boundary, the ids up to it are final and are given out. A space after
+other characters, which no piece holds, is such a boundary at once, so texts are read in segments that begin there.
 
 For a unigram model the best last piece is that of the highest total score. For a BPE model it is the one piece that merging
 in order of rank leaves there: a split is the merges' result exactly if each pair of neighbours is left alone when merged on
@@ -15,6 +15,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
@@ -26,7 +27,7 @@ from varloom.llm.common import read_table
 #: The model's file; on the driver only, tasks get the vocabulary.
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
-#: Segments up to this length are remembered, and so many of them.
+#: What the search found for segments up to this length is remembered, for so many of them.
 SHORT, MOST_KNOWN = 40, 1_000_000
 
 
@@ -43,12 +44,11 @@ class Vocabulary:
     prefix: bool = True
     ids: dict[str, int] = field(init=False)
     longest: int = field(init=False)
-    spanned: set[str] = field(init=False)
 
     def __post_init__(self) -> None:
         self.ids = {p: i for i, p in enumerate(self.pieces) if i not in self.special}
         self.longest = max(map(len, self.ids), default=1)
-        self.spanned = {p[i : i + 2] for p in self.ids for i in range(len(p) - 1)}
+        spanned = {p[i : i + 2] for p in self.ids for i in range(len(p) - 1)}
         #: for the last three characters of a piece (or its two), the lengths of pieces that end so, the longest first
         ends: dict[str, set[int]] = {}
         for p in self.ids:
@@ -56,7 +56,16 @@ class Vocabulary:
                 ends.setdefault(p[-3:], set()).add(len(p))
         self.ends = {k: tuple(sorted(v, reverse=True)) for k, v in ends.items()}
         #: a space after anything else starts a segment, as no piece holds one there
-        self.space_starts = not any(b[1] == SPACE and b[0] != SPACE for b in self.spanned)
+        self.space_starts = not any(b[1] == SPACE and b[0] != SPACE for b in spanned)
+
+
+def _model_type(path: str) -> int:
+    """The model's kind as its file says it."""
+    from sentencepiece import sentencepiece_model_pb2
+
+    model = sentencepiece_model_pb2.ModelProto()
+    model.ParseFromString(Path(path).read_bytes())
+    return model.trainer_spec.model_type
 
 
 def load(path: str = MODEL) -> Vocabulary:
@@ -72,8 +81,10 @@ def load(path: str = MODEL) -> Vocabulary:
         if sp.decode(sp.encode(raw)) != raw:
             raise ValueError(f"{path}: models that normalise texts aren't supported")
     scores = [sp.get_score(i) for i in range(n)]
-    whole = all(s == int(s) for s in scores)
-    return Vocabulary(pieces, scores, special, made, sp.unk_id(), "bpe" if whole else "unigram", sp.encode("a", out_type=str)[0].startswith(SPACE))
+    kinds = {1: "unigram", 2: "bpe"}
+    if (kind := _model_type(path)) not in kinds:
+        raise ValueError(f"{path}: only unigram and BPE models are supported")
+    return Vocabulary(pieces, scores, special, made, sp.unk_id(), kinds[kind], sp.encode("a", out_type=str)[0].startswith(SPACE))
 
 
 class Encoder:
@@ -82,8 +93,7 @@ class Encoder:
     def __init__(self, vocabulary: Vocabulary) -> None:
         self.v = vocabulary
         self.known: dict[str, tuple[int, ...]] = {}
-        self.pairs: dict[tuple[str, str], bool] = {}
-        self.short_pairs: dict[int, bool] = {}
+        self.pairs: dict[int, bool] = {}
         self.bpe = vocabulary.kind == "bpe"
         self.segment = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+", re.S)
         lowest = min((vocabulary.scores[i] for i in vocabulary.ids.values()), default=0.0)
@@ -102,15 +112,14 @@ class Encoder:
                 return parts
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
 
-    def fits(self, left: str, right: str) -> bool:
-        """Does merging leave the two pieces side by side?"""
-        key = (left, right)
-        found = self.pairs.get(key)
-        if found is None:
-            if len(self.pairs) >= MOST_KNOWN:
-                self.pairs.clear()
-            found = self.pairs[key] = self.merged(left + right) == [left, right] if left else self.merged(right) == [right]
-        return found
+    def text_of(self, last: int) -> str:
+        """The piece that a place's mark names: an id, -2 less a character's code for one without a piece, -1 for none."""
+        return "" if last == -1 else self.v.pieces[last] if last >= 0 else chr(-2 - last)
+
+    def fits(self, last: int, right: str) -> bool:
+        """Does merging leave the piece behind the one that `last` marks?"""
+        left = self.text_of(last)
+        return self.merged(left + right) == ([left, right] if left else [right])
 
     def give(self, piece: str) -> list[int]:
         k = self.v.ids.get(piece)
@@ -122,83 +131,60 @@ class Encoder:
 
     def stream(self, characters: Iterable[str]) -> Iterator[int]:
         """Ids of a stream of characters, each as soon as it is final."""
-        ids, longest, scores, spanned = self.v.ids, self.v.longest, self.v.scores, self.v.spanned
-        bpe = self.v.kind == "bpe"
-        # from the last final boundary on: the text, lengths of last pieces and scores; and the piece that ends at the boundary
-        window, back, best, left = "", [0], [0.0], ""
+        ids, ends, longest, scores, pairs, bpe = self.v.ids, self.v.ends, self.v.longest, self.v.scores, self.pairs, self.bpe
+        # from the last final boundary on: the text, and for each place the mark and the length of its last piece, and its score
+        window, last, back, best = "", [-1], [0], [0.0]
         for c in characters:
-            if window and window[-1] + c not in spanned:  # nothing spans this place
-                yield from self._path(window, back, len(window))
-                window, back, best, left = "", [0], [0.0], ""
             window += c
             i = len(window)
-            if i > self.widest:
-                self.widest = i
             if bpe:
-                for n in range(min(longest, i), 0, -1):
-                    piece, j = window[i - n :], i - n
-                    if (n == 1 or piece in ids) and self.fits(window[j - back[j] : j] if j else left, piece):
+                for n in (*ends.get(window[-3:], ()), 2) if i > 2 else (2,) if i > 1 else ():
+                    if n > i or (k := ids.get(window[i - n :])) is None:
+                        continue
+                    key = last[i - n] << 20 | k
+                    fit = pairs.get(key)
+                    if fit is None:
+                        fit = pairs[key] = self.fits(last[i - n], window[i - n :])
+                    if fit:
+                        last.append(k)
+                        back.append(n)
                         break
-                back.append(n)
+                else:
+                    last.append(ids.get(c, -2 - ord(c)))
+                    back.append(1)
             else:
                 top, chosen = best[i - 1] + (scores[ids[c]] if c in ids else self.penalty), 1
                 for n in range(2, min(longest, i) + 1):
                     if (k := ids.get(window[i - n :])) is not None and best[i - n] + scores[k] > top:
                         top, chosen = best[i - n] + scores[k], n
+                last.append(-1)
                 back.append(chosen)
                 best.append(top)
             if i >= 2 * longest and i % longest == 0:
+                self.widest = max(self.widest, i)
                 live = set(range(i - longest + 1, i + 1))  # where a later piece can begin
                 while len(live) > 1:
-                    last = max(live)
-                    live.remove(last)
-                    live.add(last - back[last])
+                    end = max(live)
+                    live.remove(end)
+                    live.add(end - back[end])
                 if (at := live.pop()) > 0:
                     yield from self._path(window, back, at)
-                    left = window[at - back[at] : at]
-                    window, back, best = window[at:], [0, *back[at + 1 :]], [b - best[at] for b in best[at:]] if not bpe else best
+                    window, last, back = window[at:], last[at:], [0, *back[at + 1 :]]
+                    best = best if bpe else [b - best[at] for b in best[at:]]
+        self.widest = max(self.widest, len(window))
+        if len(pairs) > MOST_KNOWN:
+            pairs.clear()
         yield from self._path(window, back, len(window))
 
     def _path(self, window: str, back: list[int], end: int) -> list[int]:
-        pieces = []
+        """Ids of the pieces on the way back from a place."""
+        ids, pieces = self.v.ids, []
         while end > 0:
-            pieces.append(window[end - back[end] : end])
+            piece = window[end - back[end] : end]
+            k = ids.get(piece)
+            pieces.append([k] if k is not None else self.give(piece))
             end -= back[end]
-        return [k for p in reversed(pieces) for k in self.give(p)]
-
-    def whole(self, part: str) -> list[int]:
-        """stream() over a short BPE segment that nothing spans: the same search, with ids in place of pieces and no window."""
-        ids, ends, pairs = self.v.ids, self.v.ends, self.short_pairs
-        last, cuts, size = [-1], [0], len(part)  # id and length of the piece that ends at each place; -1: the segment's start
-        for i in range(1, size + 1):
-            for n in (*ends.get(part[i - 3 : i], ()), 2) if i > 2 else (2,) if i > 1 else ():
-                if n > i or (k := ids.get(part[i - n : i])) is None:
-                    continue
-                j = i - n
-                key = last[j] << 20 | k
-                fit = pairs.get(key)
-                if fit is None:
-                    fit = pairs[key] = self.fits(part[j - cuts[j] : j], part[j:i])
-                if fit:
-                    last.append(k)
-                    cuts.append(n)
-                    break
-            else:  # a character alone; one without a piece has an id of its own, below -1
-                last.append(ids.get(part[i - 1], -2 - ord(part[i - 1])))
-                cuts.append(1)
-        if len(pairs) > MOST_KNOWN:
-            pairs.clear()
-        out: list[int] = []
-        at = size
-        while at:
-            k = last[at]
-            if k >= 0:
-                out.append(k)
-            else:
-                out += reversed(self.give(part[at - 1]))
-            at -= cuts[at]
-        out.reverse()
-        return out
+        return [k for p in reversed(pieces) for k in p]
 
     def encode(self, text: str | None) -> list[int]:
         """The ids of a whole text; none for null and empty texts."""
@@ -217,7 +203,7 @@ class Encoder:
                 if len(part) > SHORT:
                     out += self.stream(part)
                     continue
-                found = tuple(self.whole(part) if self.bpe else self.stream(part))
+                found = tuple(self.stream(part))
                 if len(known) >= MOST_KNOWN:
                     known.clear()
                 known[part] = found
@@ -255,24 +241,29 @@ def encode_documents(docs: DataFrame, columns: list[str], *, model: str = MODEL)
     """columns of docs with ids (array<int>), same (do the ids decode to the text?) and window (the widest so far).
 
     Null and empty texts have no ids; same is null for null texts. A text that itself holds the space mark is encoded as
-    the library does, and decodes to a space. Very long texts are read once; nothing but their ids grows with them.
+    the library does, and decodes to a space. Very long texts are read once; nothing but their ids grows with them. Repeated
+    rows are rows of their own; an empty table gives no rows; columns that are named like one of the three give way to it.
     """
     shared = docs.sparkSession.sparkContext.broadcast(load(model))  # one vocabulary
+    kept = [c for c in columns if c not in ("ids", "same", "window")]
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encoder, decoder = encoder_of(shared.value), Decoder(shared.value)
         for pdf in parts:
             for at in range(0, len(pdf), 256):
                 some = pdf.iloc[at : at + 256]
-                ids = [encoder.encode(t) for t in some["_text"]]
-                out = some[columns].copy()
+                texts = some.iloc[:, -1]
+                ids = [encoder.encode(t) for t in texts]
+                out = some.iloc[:, :-1].copy()
                 out["ids"] = [np.array(x, dtype=np.int32) for x in ids]
-                out["same"] = pd.array([None if t is None else decoder.decode(x) == t for x, t in zip(ids, some["_text"], strict=True)], dtype="boolean")
+                out["same"] = pd.array([None if t is None else decoder.decode(x) == t for x, t in zip(ids, texts, strict=True)], dtype="boolean")
                 out["window"] = encoder.widest
                 yield out
 
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*columns).schema)
-    return docs.select(*columns, F.col("text").alias("_text")).mapInPandas(run, f"{kinds}, ids array<int>, same boolean, window int")
+    rows = docs.select(*[F.col(f"`{c}`") for c in kept])
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
+    read = docs.select(*[F.col(f"`{c}`") for c in kept], F.col("text").alias("ids"))  # a name that no kept column has
+    return read.mapInPandas(run, f"{kinds + ', ' if kinds else ''}ids array<int>, same boolean, window int")
 
 
 def decode_documents(rows: DataFrame, columns: list[str], *, model: str = MODEL) -> DataFrame:
