@@ -26,7 +26,11 @@ def query(sql: str, keep: tuple[str, ...] = ()) -> Callable[[Callable], Callable
     """Registers f(v), where v(name) is a view, under its name, with the SQL that gives the same rows; keep: views to cache, as f reads them often."""
 
     def add(f: Callable) -> Callable:
-        _QUERIES[f.__name__] = lambda spark, sf_dir: f(Views(spark, sf_dir, keep))
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            views = Views(spark, sf_dir, keep)
+            return views.kept(f(views))
+
+        _QUERIES[f.__name__] = run
         _SQL[f.__name__] = with_views(sql)
         return f
 
@@ -400,7 +404,7 @@ def _facts(v):
     return case.pedigree_facts(v("case_variants"), de_novo(v), compound_het(v), _shared(v), v("moi"))
 
 
-@query(f"WITH {_ORIGIN}, {_FACTS} SELECT * FROM facts", keep=("sample_call", "case_variants"))
+@query(f"WITH {_ORIGIN}, {_FACTS} SELECT * FROM facts", keep=("sample_call", "case_variants", "moi"))
 def pedigree_facts(v):
     return _facts(v)
 
@@ -567,12 +571,12 @@ def _structures(v):
     return family.case_structure(v("ped")).withColumnRenamed("individual_id", "case_id")
 
 
-@query(f"SELECT case_id, variant_key, gene, zygosity, genotype_fit FROM {_FIT}", keep=("sample_call", "case_variants"))
+@query(f"SELECT case_id, variant_key, gene, zygosity, genotype_fit FROM {_FIT}", keep=("sample_call", "case_variants", "moi"))
 def genotype_fit(v):
     return case.genotype_fit(v("case_variants"), v("moi")).select("case_id", "variant_key", "gene", "zygosity", "genotype_fit")
 
 
-@query(f"WITH {_ORIGIN}, {_FACTS}, {_FOLDED} SELECT * FROM folded", keep=("sample_call", "case_variants"))
+@query(f"WITH {_ORIGIN}, {_FACTS}, {_FOLDED} SELECT * FROM folded", keep=("sample_call", "case_variants", "moi"))
 def classify_case(v):
     done = case.classify_case(v("case_variants"), _facts(v), _structures(v))
     return done.select("case_id", "variant_key", "gene", "acmg_class", F.col("case_points").cast("int").alias("case_points"), "case_criteria", F.col("case_total_points").cast("int").alias("case_total_points"), "case_class")
@@ -607,7 +611,7 @@ _RERANKED = f"""(SELECT *, 0.5 * phenotype_norm + 0.4 * pathogenicity AS combine
   FROM {{case_variants}} c LEFT JOIN {_SCORES} s ON c.case_id = s.case_id AND c.gene = s.gene))"""
 
 
-@query(f"SELECT case_id, variant_key, round(phenotype_norm, 6) AS phenotype_norm, round(combined_score, 6) AS combined_score FROM {_RERANKED}", keep=("sample_call", "case_variants"))
+@query(f"SELECT case_id, variant_key, round(phenotype_norm, 6) AS phenotype_norm, round(combined_score, 6) AS combined_score FROM {_RERANKED}", keep=("sample_call", "case_variants", "moi"))
 def rerank(v):
     return case.rerank(v("case_variants"), _scores(v)).select("case_id", "variant_key", F.round("phenotype_norm", 6).alias("phenotype_norm"), F.round("combined_score", 6).alias("combined_score"))
 
@@ -628,12 +632,12 @@ def _candidates(v):
     return case.candidate_table(snv.join(scores, ["case_id", "gene"], "left"), cnv.join(scores, ["case_id", "gene"], "left"), named)
 
 
-@query(f"SELECT case_id, candidate_id, kind, gene, acmg_class, tier AS class_tier, genotype_fit, round(combined_score, 6) AS combined_score FROM {_CANDIDATES}", keep=("sample_call", "case_variants"))
+@query(f"SELECT case_id, candidate_id, kind, gene, acmg_class, tier AS class_tier, genotype_fit, round(combined_score, 6) AS combined_score FROM {_CANDIDATES}", keep=("sample_call", "case_variants", "moi"))
 def candidate_rank(v):
     return _candidates(v).select("case_id", "candidate_id", "kind", "gene", "acmg_class", "class_tier", "genotype_fit", F.round("combined_score", 6).alias("combined_score"))
 
 
-@query(f"SELECT case_id, candidate_id, r AS rank FROM (SELECT *, row_number() OVER (PARTITION BY case_id ORDER BY round(combined_score, 6) DESC, candidate_id) AS r FROM {_CANDIDATES}) WHERE r <= 3", keep=("sample_call", "case_variants"))
+@query(f"SELECT case_id, candidate_id, r AS rank FROM (SELECT *, row_number() OVER (PARTITION BY case_id ORDER BY round(combined_score, 6) DESC, candidate_id) AS r FROM {_CANDIDATES}) WHERE r <= 3", keep=("sample_call", "case_variants", "moi"))
 def top_n_per_case(v):
     ranked = _candidates(v).drop("rank").withColumn("combined_score", F.round("combined_score", 6))
     order = case.Window.partitionBy("case_id").orderBy(F.desc("combined_score"), "candidate_id")
@@ -643,7 +647,7 @@ def top_n_per_case(v):
 _BIALLELIC = "(zygosity = 'hom' OR count(DISTINCT CASE WHEN acmg_class IN ('Pathogenic', 'Likely Pathogenic') THEN variant_key END) OVER (PARTITION BY case_id, gene) >= 2)"
 
 
-@query(f"SELECT case_id, variant_key, gene, {_BIALLELIC} AS biallelic FROM {{case_variants}}", keep=("sample_call", "case_variants"))
+@query(f"SELECT case_id, variant_key, gene, {_BIALLELIC} AS biallelic FROM {{case_variants}}", keep=("sample_call", "case_variants", "moi"))
 def biallelic_flag(v):
     return case.biallelic_flag(v("case_variants")).select("case_id", "variant_key", "gene", "biallelic")
 
@@ -660,13 +664,13 @@ def _triaged(v):
     return case.triage(rows)
 
 
-@query(f"SELECT case_id, variant_key, acmg_class, decision, review FROM {_TRIAGED}", keep=("sample_call", "case_variants"))
+@query(f"SELECT case_id, variant_key, acmg_class, decision, review FROM {_TRIAGED}", keep=("sample_call", "case_variants", "moi"))
 def triage(v):
     return _triaged(v).select("case_id", "variant_key", "acmg_class", "decision", "review")
 
 
 @query(f"""SELECT case_id, decision AS go, variant_key AS lead, CASE WHEN decision = 'not_enough_evidence' THEN 'targeted' ELSE review END AS human_review FROM (SELECT *, row_number() OVER (PARTITION BY case_id
-ORDER BY CASE decision WHEN 'reportable' THEN 2 WHEN 'mixed' THEN 1 ELSE 0 END DESC, round(combined_score, 6) DESC, variant_key) AS r FROM {_TRIAGED}) WHERE r = 1""", keep=("sample_call", "case_variants"))
+ORDER BY CASE decision WHEN 'reportable' THEN 2 WHEN 'mixed' THEN 1 ELSE 0 END DESC, round(combined_score, 6) DESC, variant_key) AS r FROM {_TRIAGED}) WHERE r = 1""", keep=("sample_call", "case_variants", "moi"))
 def case_decision(v):
     return case.case_decision(_triaged(v).withColumn("combined_score", F.round("combined_score", 6)))
 

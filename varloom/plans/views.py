@@ -128,9 +128,10 @@ def _uses(text: str) -> list[str]:
 
 
 class Views:
-    """The tables and views of one query, each built once; those to keep are cached at their first use.
+    """The tables and views of one query, each built once; those to keep are cached by kept(), when the query's plan stands.
 
-    What the query before kept is let go, so that no more than one query's views stay in memory.
+    What the query before kept is let go, so that no more than one query's views stay in memory. Spark's SQL with frames as
+    arguments drops its names for them when it is done, and what is cached under them with these, so caching comes last.
     """
 
     _kept: list[DataFrame] = []
@@ -144,11 +145,13 @@ class Views:
     def __call__(self, name: str) -> DataFrame:
         if name not in self.built:
             df = table(self.spark, self.sf_dir, name) if name in TABLES else self.spark.sql(VIEWS[name], **{n: self(n) for n in _uses(VIEWS[name])})
-            if name in self.keep:
-                Views._kept.append(df.persist())
             self.built[name] = df
         return self.built[name]
 
+    def kept(self, result: DataFrame) -> DataFrame:
+        Views._kept = [self.built[name].persist() for name in self.keep if name in self.built]
+        return result
+
 
 def _order(name: str, seen: dict[str, None]) -> dict[str, None]:
     for n in _uses(VIEWS[name]):
