@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from varloom.llm.common import cut, stored
+from varloom.llm.common import broadcast_if_small, cut, stored
+
+
+#: Words of a sketch.
+WORDS = 4
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -34,52 +38,80 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def linked(
-    members: DataFrame, verify: Callable[[DataFrame], DataFrame], tokens: Callable[[DataFrame], DataFrame], least: int, peels: int = 3
+    members: DataFrame, verify: Callable[[DataFrame], DataFrame], diffs: Callable[[DataFrame], DataFrame], least: int
 ) -> DataFrame:
-    """Components of all pairs that share a bucket with at least one asking member and pass verify, as (id, component).
+    """Components of all pairs that share a bucket and have a Jaccard similarity of least / 100 or more, as (id, component).
 
-    members: bucket, id, asks, several ids to a bucket; stored, as it is read several times.
-    verify: (a, b) with a < b -> those of the pairs whose sets have a Jaccard similarity of least / 100 or more.
-    tokens: (id) -> (id, token), the distinct elements of their sets.
+    members: bucket, id, each pair once; stored, as it is read several times.
+    verify: (a, b) -> those of the pairs whose sets are similar.
+    diffs: (a, b) -> (a, b, size, token), the elements that only one of the two sets has; size: that of b's set.
 
-    Each member first meets its bucket's hub alone: the member that shares most buckets, in a group of near copies the one
-    nearest to them all. The rest of most buckets is then one member, or lies within one component, and none of its pairs can
-    change a component. In the others, a member of whose elements more than the threshold allows stand in no other set there is linked with
-    nothing and goes, again and again (peels times). All pairs that then remain between different components follow.
+    Each member first meets its buckets' hubs alone: sets that share most, in a group of near copies one near to them all (any
+    set would do). Members of a hub that stand in one component then need no more. The others are compared by what sets
+    them apart from the hub: two sets differ in so many elements as their differences from the hub do, so similar ones share
+    some, and at least one among the first few when these are sorted by how rare they are among the hub's members (prefix
+    filter). Pairs of small differences, which need not share any, are similar to the hub and so in one component already.
+    Work is near linear in a group's size, and no pair is lost.
     """
     sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("_n"))
     degree = members.join(sizes, "bucket").groupBy("id").agg(F.sum("_n").alias("_d"))
-    hubs = members.join(degree, "id").groupBy("bucket").agg(F.max(F.struct("_d", "id")).alias("_h")).select("bucket", F.col("_h.id").alias("hub"))
-    others = stored(members.join(hubs, "bucket").where(F.col("hub") != F.col("id")))
-    first = others.select(F.least("hub", "id").alias("a"), F.greatest("hub", "id").alias("b")).distinct()
-    links = cut(verify(first))
+    # a bucket's hub: of the members with most company in its members' buckets the first, so that buckets of one group agree
+    most = members.join(degree, "id").groupBy("bucket").agg(F.max(F.struct("_d", "id")).alias("_h"))
+    best = members.join(most, "bucket").groupBy("id").agg(F.max("_h").alias("_h"))
+    hubs = members.join(best, "id").groupBy("bucket").agg(F.max("_h").alias("_h")).select("bucket", F.col("_h.id").alias("hub"))
+    near = stored(members.join(hubs, "bucket").where(F.col("hub") != F.col("id")).select("hub", "id").distinct())
+    links = cut(verify(near.select(F.least("hub", "id").alias("a"), F.greatest("hub", "id").alias("b")).distinct()))
     known = cut(components(links))
-    # the hub's own pairs are done
-    named = others.join(known, "id", "left").select("bucket", "id", "asks", F.coalesce("component", "id").alias("c"))
-    rest = cut(_open(named))
-    for _ in range(peels):
-        ids = cut(rest.select("id").distinct())
-        held = tokens(ids)
-        alone = held.groupBy("token").agg(F.count(F.lit(1)).alias("_n"), F.min("id").alias("id")).where(F.col("_n") == 1).groupBy("id").agg(F.count(F.lit(1)).alias("own"))
-        sizes = held.groupBy("id").agg(F.count(F.lit(1)).alias("size"))
-        apart = cut(alone.join(sizes, "id").where(100 * F.col("own") > (100 - least) * F.col("size")).select("id"))
-        if apart.isEmpty():
-            break
-        rest = cut(_open(rest.join(apart, "id", "left_anti")))
-    asking = rest.where("asks").select("bucket", F.col("id").alias("i"), F.col("c").alias("ci"))
-    pairs = (
-        asking.join(rest.select("bucket", F.col("id").alias("j"), F.col("c").alias("cj")), "bucket")
-        .where(F.col("ci") != F.col("cj"))
-        .select(F.least("i", "j").alias("a"), F.greatest("i", "j").alias("b"))
-        .distinct()
-    )
-    more = cut(verify(cut(pairs)))
-    if more.isEmpty():
+    named = near.join(known, "id", "left").select("hub", "id", F.coalesce("component", "id").alias("c"))
+    apart = named.groupBy("hub").agg(F.min("c").alias("_x"), F.max("c").alias("_y")).where(F.col("_x") != F.col("_y")).select("hub")
+    rest = cut(named.join(apart, "hub", "left_semi"))
+    if rest.isEmpty():
         return known
-    return components(links.union(more))
+    more = cut(_prefix_links(rest, diffs, least))
+    return known if more.isEmpty() else components(links.union(more))
 
 
-def _open(named: DataFrame) -> DataFrame:
-    """The members of buckets in which several components meet."""
-    open_ = named.groupBy("bucket").agg(F.min("c").alias("_x"), F.max("c").alias("_y")).where(F.col("_x") != F.col("_y")).select("bucket")
-    return named.join(open_, "bucket", "left_semi")
+def _prefix_links(rest: DataFrame, diffs: Callable[[DataFrame], DataFrame], least: int) -> DataFrame:
+    """rest: hub, id, c -> (a, b), a < b: the similar pairs among a hub's members in unequal components c.
+
+    Sets of sizes m, n are similar if they differ in H(m, n) = (100 - least) (m + n) / (100 + least) elements at most. Members
+    that differ from the hub in x >= y elements then share o = (x + y - H) / 2 of these or more, so one that they share is
+    among the first x - o + 1 of the one and y - o + 1 of the other. A sketch of WORDS * 64 bits, each the parity of a part of
+    the differences, keeps off most others that meet: two sets differ in no fewer elements than their sketches in bits. Those
+    that are left are similar if the atoms that they share weigh o, which needs no look at the sets themselves.
+    """
+    apart = stored(diffs(rest.select(F.col("hub").alias("a"), F.col("id").alias("b"))).select(F.col("a").alias("hub"), F.col("b").alias("id"), "size", "token"))
+    # elements that the same members have are one atom of their number's weight
+    who = F.bit_xor(F.xxhash64("id"))
+    often = apart.groupBy("hub", "token").agg(F.count(F.lit(1)).alias("n"), who.alias("_w")).where("n > 1")
+    often = cut(often.select("hub", "token", "n", F.xxhash64("n", "_w").alias("atom")))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.shiftright("token", 8), F.lit(64)).cast("int"))
+    odd = lambda w: F.bit_xor(F.when(F.pmod("token", F.lit(WORDS)) == w, bit).otherwise(F.lit(0).cast("long")))
+    sums = apart.groupBy("hub", "id").agg(F.count(F.lit(1)).alias("x"), F.first("size").alias("size"), F.array(*[odd(w) for w in range(WORDS)]).alias("sketch"))
+    # what one member alone has stands first and finds nobody; it counts in ranks
+    own = Window.partitionBy("hub", "id")
+    shared = stored(apart.select("hub", "token", "id").join(broadcast_if_small(often), ["hub", "token"]).groupBy("hub", "id", "n", "atom").agg(F.count(F.lit(1)).alias("_k")))
+    atoms = shared.select("hub", "id", "atom", "_k")
+    before = F.sum("_k").over(own.orderBy("n", "atom").rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("_k")
+    shared = shared.withColumn("_before", before).withColumn("_all", F.sum("_k").over(own))
+    reach = F.floor((100 - least) * (F.col("size") + F.floor(F.col("size") * 100 / least)) / (100 + least))
+    ranked = shared.join(sums, ["hub", "id"]).withColumn("rank", F.col("x") - F.col("_all") + F.col("_before") + 1).where(F.col("rank") <= reach + 1)
+    rows = stored(ranked.join(rest, ["hub", "id"]).select("hub", "atom", "id", "c", "x", "size", "rank", "sketch", (F.col("rank") <= F.floor(reach / 2) + 1).alias("low")))
+    names = ("id", "c", "x", "size", "rank", "sketch")
+    big = rows.select("hub", "atom", *[F.col(c).alias(f"{c}_i") for c in names])
+    low = rows.where("low").select("hub", "atom", *[F.col(c).alias(f"{c}_j") for c in names])
+    over = (100 + least) * (F.col("x_i") + F.col("x_j")) - (100 - least) * (F.col("size_i") + F.col("size_j"))
+    o = F.ceil(over / (2 * (100 + least)))
+    bits = sum((F.bit_count(F.col("sketch_i")[w].bitwiseXOR(F.col("sketch_j")[w])) for w in range(WORDS)), F.lit(0))
+    may = (
+        (F.col("c_i") != F.col("c_j"))
+        & (F.col("x_i") >= F.col("x_j"))
+        & (F.col("rank_i") <= F.col("x_i") - o + 1)
+        & (F.col("rank_j") <= F.col("x_j") - o + 1)
+        & ((100 + least) * bits <= (100 - least) * (F.col("size_i") + F.col("size_j")))
+        & (100 * F.least("size_i", "size_j") >= least * F.greatest("size_i", "size_j"))
+    )
+    met = cut(big.join(low, ["hub", "atom"]).where(may).select("hub", F.col("id_i").alias("i"), F.col("id_j").alias("j"), o.alias("o")).distinct())
+    both = met.join(atoms.withColumnRenamed("id", "i"), ["hub", "i"]).join(atoms.select("hub", F.col("id").alias("j"), "atom"), ["hub", "j", "atom"])
+    similar = both.groupBy("hub", "i", "j").agg(F.sum("_k").alias("_k"), F.first("o").alias("o")).where(F.col("_k") >= F.col("o"))
+    return similar.select(F.least("i", "j").alias("a"), F.greatest("i", "j").alias("b")).distinct()

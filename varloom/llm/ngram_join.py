@@ -7,7 +7,8 @@ indexes every segment's subset, and for the designated segments its one-deletion
 subsets as its own H needs. The allocation goes by cost: the smallest subsets, which many sets share by chance, are
 skipped first, empty ones above all, paid for by the allowance of the designated segments and by the slack of its band.
 
-Sets are named by hash, so copies are one set from the start. Candidates that share a subset are verified on the texts.
+Sets are named by hash, so copies are one set from the start. Sets that share a subset are verified on the texts, in a
+bucket of many by their differences from one of them (see cluster.linked), so that no bucket is paired out.
 """
 
 from __future__ import annotations
@@ -144,43 +145,47 @@ def ngram_join(docs: DataFrame, *, k: int = K, least: int = LEAST) -> DataFrame:
         .where((F.col("_first") != F.col("_last")) & F.col("_asked"))
         .select("bucket")
     )
-    members = stored(named.join(shared.hint("merge"), "bucket").groupBy("bucket", "id").agg(F.bool_or("asks").alias("asks")))
+    # asks goes along, so that both sides read one and the same exchange
+    members = stored(named.join(shared.hint("merge"), "bucket").groupBy("bucket", "id").agg(F.bool_or("asks").alias("asks"))).select("bucket", "id")
 
     one = rows.where(F.col("set").isNotNull()).groupBy("set").agg(F.min("key").alias("key"))
 
-    def texts_of(sets: DataFrame) -> DataFrame:
-        chosen = cut(one.join(sets, "set"))
-        texts = docs.select(row_key(F.col("doc_id"), F.col("text")).alias("key"), "text").join(broadcast_if_small(chosen), "key").select("set", "text")
-        return texts.groupBy("set").agg(F.first("text").alias("text"))
-
-    def tokens(ids: DataFrame) -> DataFrame:
-        def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for pdf in parts:
-                yield pd.DataFrame({"id": pdf["set"], "tokens": [shingle_set(t, k).view(np.int64) for t in pdf["text"]]})
+    def with_texts(pairs: DataFrame) -> DataFrame:
+        """a, s, b, t: pairs of sets with a text of each."""
+        sets = cut(one.join(pairs.select(F.col("a").alias("set")).union(pairs.select("b")).distinct(), "set"))
+        texts = docs.select(row_key(F.col("doc_id"), F.col("text")).alias("key"), "text").join(broadcast_if_small(sets), "key").select("set", "text")
+        texts = stored(texts.groupBy("set").agg(F.first("text").alias("text")))
+        left, right = texts.select(F.col("set").alias("a"), F.col("text").alias("s")), texts.select(F.col("set").alias("b"), F.col("text").alias("t"))
+        return pairs.join(right, "b").join(left, "a").select("a", "s", "b", "t")
 
-        sets = texts_of(ids.select(F.col("id").alias("set"))).mapInPandas(run, "id long, tokens array<long>")
-        return stored(sets).select("id", F.explode("tokens").alias("token"))
+    def sets_of(pdf: pd.DataFrame) -> Iterator[tuple[int, np.ndarray, int, np.ndarray]]:
+        last, own = None, None
+        for a, s, b, t in zip(pdf["a"], pdf["s"], pdf["b"], pdf["t"], strict=True):
+            if a != last:
+                last, own = a, shingle_set(s, k)
+            yield a, own, b, shingle_set(t, k)
 
     def verify(pairs: DataFrame) -> DataFrame:
-        pairs = cut(pairs)
-        texts = stored(texts_of(pairs.select(F.col("a").alias("set")).union(pairs.select("b")).distinct()))
-        left, right = texts.select(F.col("set").alias("a"), F.col("text").alias("s")), texts.select(F.col("set").alias("b"), F.col("text").alias("t"))
-
         def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            last, own = None, None
             for pdf in parts:
                 good = []
-                for a, b, s, t in zip(pdf["a"], pdf["b"], pdf["s"], pdf["t"], strict=True):
-                    if a != last:
-                        last, own = a, shingle_set(s, k)
-                    other = shingle_set(t, k)
-                    both = np.intersect1d(own, other, assume_unique=True).size
-                    good.append(100 * both >= least * (own.size + other.size - both))
+                for _, x, _, y in sets_of(pdf):
+                    both = np.intersect1d(x, y, assume_unique=True).size
+                    good.append(100 * both >= least * (x.size + y.size - both))
                 yield pdf.loc[good, ["a", "b"]]
 
-        return pairs.join(right, "b").join(left, "a").mapInPandas(run, "a long, b long")
+        return with_texts(cut(pairs)).mapInPandas(run, "a long, b long")
+
+    def diffs(pairs: DataFrame) -> DataFrame:
+        def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for pdf in parts:
+                rows = [(a, b, y.size, np.setxor1d(x, y, assume_unique=True).view(np.int64)) for a, x, b, y in sets_of(pdf)]
+                yield pd.DataFrame(rows, columns=["a", "b", "size", "tokens"])
+
+        found = with_texts(cut(pairs)).mapInPandas(run, "a long, b long, size long, tokens array<long>")
+        return found.select("a", "b", "size", F.explode("tokens").alias("token"))
 
-    found = linked(members, verify, tokens, least)
+    found = linked(members, verify, diffs, least)
     lowest = rows.where(F.col("set").isNotNull()).groupBy("set").agg(F.min("doc_id").alias("_d"))
     whole = lowest.join(found, lowest["set"] == found["id"], "left").select("set", "_d", F.coalesce("component", "set").alias("_c"))
     names = whole.groupBy("_c").agg(F.min("_d").alias("component_id"))
