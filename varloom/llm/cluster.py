@@ -91,7 +91,6 @@ def _prefix_links(rest: DataFrame, diffs: Callable[[DataFrame], DataFrame], leas
     # what one member alone has stands first and finds nobody; it counts in ranks
     own = Window.partitionBy("hub", "id")
     shared = stored(apart.select("hub", "token", "id").join(broadcast_if_small(often), ["hub", "token"]).groupBy("hub", "id", "n", "atom").agg(F.count(F.lit(1)).alias("_k")))
-    atoms = shared.select("hub", "id", "atom", "_k")
     before = F.sum("_k").over(own.orderBy("n", "atom").rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("_k")
     shared = shared.withColumn("_before", before).withColumn("_all", F.sum("_k").over(own))
     reach = F.floor((100 - least) * (F.col("size") + F.floor(F.col("size") * 100 / least)) / (100 + least))
@@ -112,6 +111,10 @@ def _prefix_links(rest: DataFrame, diffs: Callable[[DataFrame], DataFrame], leas
         & (100 * F.least("size_i", "size_j") >= least * F.greatest("size_i", "size_j"))
     )
     met = cut(big.join(low, ["hub", "atom"]).where(may).select("hub", F.col("id_i").alias("i"), F.col("id_j").alias("j"), o.alias("o")).distinct())
-    both = met.join(atoms.withColumnRenamed("id", "i"), ["hub", "i"]).join(atoms.select("hub", F.col("id").alias("j"), "atom"), ["hub", "j", "atom"])
-    similar = both.groupBy("hub", "i", "j").agg(F.sum("_k").alias("_k"), F.first("o").alias("o")).where(F.col("_k") >= F.col("o"))
+    # an atom weighs the same wherever it is; lists of atoms, of a text's length at most, meet in place of their elements
+    lists = stored(shared.groupBy("hub", "id").agg(F.collect_list(F.struct("atom", "_k")).alias("l")).select("hub", "id", F.col("l.atom").alias("atoms"), F.col("l._k").alias("ks")))
+    both = met.join(lists.select("hub", F.col("id").alias("i"), F.col("atoms").alias("_a"), F.col("ks").alias("_w")), ["hub", "i"])
+    both = both.join(lists.select("hub", F.col("id").alias("j"), F.col("atoms").alias("_b")), ["hub", "j"]).withColumn("_c", F.array_intersect("_a", "_b"))
+    held = F.zip_with("_a", "_w", lambda x, k: F.when(F.array_contains(F.col("_c"), x), k).otherwise(F.lit(0).cast("long")))
+    similar = both.where(F.aggregate(held, F.lit(0).cast("long"), lambda s, k: s + k) >= F.col("o"))
     return similar.select(F.least("i", "j").alias("a"), F.greatest("i", "j").alias("b")).distinct()

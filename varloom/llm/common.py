@@ -26,24 +26,24 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Cut the lineage in the cluster's shared checkpoint folder.
+def shared_folder(spark: SparkSession) -> str:
+    """A folder that driver and executors share: that of checkpoints, named in spark.checkpoint.dir.
 
-    The folder is the one named in spark.checkpoint.dir. Only where that is unset, as in tests, a temporary one is made.
+    Where that is unset, a local session, as in tests, gets a temporary one; on a cluster it is an error.
     """
-    spark = df.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="varloom-"))
-    return df.checkpoint()
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if named is None and not context.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="varloom-"))
+    return context.getCheckpointDir()
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """A folder that driver and executors share: that of checkpoints."""
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="varloom-"))
-    return context.getCheckpointDir()
+def cut(df: DataFrame) -> DataFrame:
+    """Cut the lineage in the shared folder."""
+    shared_folder(df.sparkSession)
+    return df.checkpoint()
 
 
 def broadcast_if_small(df: DataFrame, most_rows: int = 100_000) -> DataFrame:
@@ -54,6 +54,11 @@ def broadcast_if_small(df: DataFrame, most_rows: int = 100_000) -> DataFrame:
     return F.broadcast(df) if df.limit(most_rows + 1).count() <= most_rows else df
 
 
+def broadcast_if_light(df: DataFrame, size: Column, most_bytes: int = 48 << 20) -> DataFrame:
+    """df marked for broadcast if its rows, of so many bytes each, sum to few; df must be cheap to read (checkpointed)."""
+    return F.broadcast(df) if (df.agg(F.sum(size)).first()[0] or 0) <= most_bytes else df
+
+
 def stored(df: DataFrame) -> DataFrame:
     """df written as a table in the shared folder and read back; for what is large and read several times."""
     spark = df.sparkSession
