@@ -11,14 +11,14 @@ they lie and never shuffled.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import IsotonicRegression
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from varloom.llm.common import cut, read_table
@@ -30,7 +30,6 @@ MOST_LABELLED = 4000
 LEAST_TEXTS = 3
 LEAST_SHARE = 0.008
 LEAST_RATIO = 12.0
-MOST_TERMS = 20_000
 #: Letters of the word beginnings that count as terms.
 STEMS = (4, 5, 6)
 REJECT = 0.7
@@ -64,7 +63,10 @@ def terms_of(text: str | None) -> set[str]:
 
 
 def learn_lexicon(labelled: DataFrame) -> dict[str, float]:
-    """term -> log ratio of its frequencies in toxic and other texts; at most MOST_TERMS, the strongest first."""
+    """term -> log ratio of its frequencies in toxic and other texts.
+
+    A term stands in a share of the toxic texts, of which there are MOST_LABELLED at most, so their terms bound its size.
+    """
 
     def spread(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in parts:
@@ -83,17 +85,16 @@ def learn_lexicon(labelled: DataFrame) -> dict[str, float]:
         .agg(F.sum("toxic").alias("t"), F.sum("clean").alias("c"))
         .withColumn("ratio", ratio)
         .where((F.col("t") >= max(LEAST_TEXTS, LEAST_SHARE * totals["t"])) & (F.col("ratio") >= LEAST_RATIO))
-        .orderBy(F.desc("ratio"), "term")
-        .limit(MOST_TERMS)
         .collect()
     )
     return {r["term"]: float(np.log(r["ratio"])) for r in rows}
 
 
 class Reader:
-    """Turns whole texts into dense vectors; remembers what it found out about tokens, up to MOST_TOKENS of them."""
+    """Turns whole texts into dense vectors; remembers what it found out about tokens, up to MOST_TOKENS of them, and then forgets all."""
 
-    MOST_TOKENS = 400_000
+    MOST_TOKENS = 200_000
+    NOTHING = (False,)
 
     def __init__(self, lexicon: dict[str, float]) -> None:
         self.lexicon, self.known = lexicon, {}
@@ -107,10 +108,12 @@ class Reader:
                 if len(word) > k and (v := self.lexicon.get(word[:k] + "*", 0.0)) > value:
                     value, term, stem = v, word[:k], True
         you, capital, shouted, exclaimed = word in SECOND_PERSON, token[0].isupper(), len(word) > 2 and token.isupper(), token[-1] in "!?"
-        found = (bool(value or odd or you or capital or shouted or exclaimed), value, term, stem, odd, you, capital, shouted, exclaimed)
+        some = value or odd or you or capital or shouted or exclaimed
+        found = (True, value, term, stem, odd, you, capital, shouted, exclaimed) if some else self.NOTHING
         if len(self.known) >= self.MOST_TOKENS:
             self.known.clear()
-        self.known[token] = found
+        if len(token) <= 40:
+            self.known[token] = found
         return found
 
     def vector(self, text: str | None) -> list[float]:
@@ -148,20 +151,18 @@ class Reader:
         return [words / n, stems / n, len(seen) / n, float(np.log1p(hits)), strongest, near / n, yous / n, capitals / n, shouts / n, exclaims / n, marks / len(text), disguised / n, disguised_hits / n, float(np.log1p(n))]
 
 
-def with_features(docs: DataFrame, lexicon: dict[str, float], columns: list[str]) -> DataFrame:
-    """columns of docs (not text, not x) with x, the vector of its text."""
+def features(spark: SparkSession, lexicon: dict[str, float]) -> Callable[[Column], Column]:
+    """text -> the vector of the text. Only texts travel to Python, and only vectors back."""
     words = lexicon | {w: max(lexicon.get(w, 0.0), 2.5) for w in SEED_WORDS}
-    shared = docs.sparkSession.sparkContext.broadcast(words)  # at most MOST_TERMS terms
+    shared = spark.sparkContext.broadcast(words)  # bounded by the labelled sample
 
-    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    @F.pandas_udf("array<double>")
+    def run(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         reader = Reader(shared.value)
-        for pdf in parts:
-            out = pdf[columns].copy()
-            out["x"] = [reader.vector(t) for t in pdf["_text"]]
-            yield out
+        for texts in parts:
+            yield pd.Series([reader.vector(t) for t in texts], dtype=object)
 
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*columns).schema)
-    return docs.select(*columns, F.col("text").alias("_text")).mapInPandas(run, f"{kinds}, x array<double>")
+    return run.asNondeterministic()  # else a filter on the score would read each text again
 
 
 class ToxicityModel:
@@ -171,13 +172,20 @@ class ToxicityModel:
         self.lexicon, self.trees, self.calibration, self.prior = lexicon, trees, calibration, prior
 
     def score(self, docs: DataFrame, columns: list[str]) -> DataFrame:
-        """columns of docs with score, 0 to 1. Without two labels to learn from, all scores are the share of toxic rows."""
+        """columns of docs with score, 0 to 1, for every row of docs; docs' own score gives way.
+
+        Null, empty and blank texts have the score of a vector of zeros; equal texts have equal scores, so repeated rows and
+        ties do too. Very long texts are read whole. An empty table gives no rows. Without two labels to learn from, all
+        scores are the share of toxic rows.
+        """
+        kept = [c for c in columns if c != "score"]
         if self.trees is None:
-            return docs.select(*columns, F.lit(self.prior).alias("score"))
-        rows = self.trees.transform(with_features(docs, self.lexicon, columns).withColumn("features", array_to_vector("x")))
-        rows = rows.withColumn("_vote", vector_to_array("probability")[1])
+            return docs.select(*[F.col(f"`{c}`") for c in kept], F.lit(self.prior).alias("score"))
+        vector = array_to_vector(features(docs.sparkSession, self.lexicon)(F.col("text")))
+        rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("_row"), vector.alias("features"))
+        rows = self.trees.transform(rows).select("_row", vector_to_array("probability")[1].alias("_vote"))
         rows = self.calibration.transform(rows)
-        return rows.select(*columns, F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col("score"))).alias("score"))
+        return rows.select("_row.*", F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col("score"))).alias("score"))
 
 
 def held_out(doc_id):
@@ -188,7 +196,8 @@ def held_out(doc_id):
 def fit(docs: DataFrame, labels: DataFrame, *, most: int = MOST_LABELLED, seed: int = 7) -> ToxicityModel:
     """Learn from labelled rows that aren't held out: `most` of each label, those with the smallest hashes.
 
-    Half of them, by hash, give the lexicon and the trees' first look; the trees' votes are calibrated on all of them.
+    Two halves, by hash: the vectors of each are made with the lexicon of the other, and the votes on each that are
+    calibrated are those of trees fitted on the other. The model's own lexicon and trees are then fitted on both.
     Null labels and labels of unknown documents are left out, as are rows whose document is labelled both ways.
     """
     known = labels.where(F.col("toxic").isin(0, 1)).groupBy("doc_id").agg(F.min("toxic").alias("toxic"), F.max("toxic").alias("_m")).where(F.col("toxic") == F.col("_m")).drop("_m")
@@ -198,15 +207,22 @@ def fit(docs: DataFrame, labels: DataFrame, *, most: int = MOST_LABELLED, seed:
     counts = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
     if len(counts) < 2:
         return ToxicityModel({}, None, None, float(counts.get(1, 0) > 0))
-    # terms that the trees see must not be fitted to the texts they learn from: two halves score each other
-    a, b = sample.where(F.pmod("_h", F.lit(2)) == 0), sample.where(F.pmod("_h", F.lit(2)) == 1)
-    lexicons = [learn_lexicon(x) for x in (b, a)]
-    rows = [with_features(x, lex, ["toxic"]) for x, lex in zip((a, b), lexicons, strict=True)]
-    train = cut(rows[0].unionByName(rows[1]).select(F.col("toxic").cast("double").alias("label"), array_to_vector("x").alias("features")).coalesce(4))
-    trees = GBTClassifier(maxIter=20, maxDepth=3, stepSize=0.2, subsamplingRate=0.8, seed=seed, maxBins=32).fit(train)
-    voted = trees.transform(train).select("label", vector_to_array("probability")[1].alias("_vote"))
+    halves = [sample.where(F.pmod("_h", F.lit(2)) == i) for i in (0, 1)]
+    rows = [
+        half.select(F.lit(i).alias("half"), F.col("toxic").cast("double").alias("label"), array_to_vector(features(docs.sparkSession, learn_lexicon(other))(F.col("text"))).alias("features"))
+        for i, (half, other) in enumerate(zip(halves, reversed(halves), strict=True))
+    ]
+    train = cut(rows[0].unionByName(rows[1]).coalesce(4))
+    trees = GBTClassifier(maxIter=20, maxDepth=3, stepSize=0.2, subsamplingRate=0.8, seed=seed, maxBins=32)
+    both = {tuple(r) for r in train.select("half", "label").distinct().collect()}
+    if len(both) == 4:
+        votes = [trees.fit(train.where(F.col("half") == 1 - i)).transform(train.where(F.col("half") == i)) for i in (0, 1)]
+        voted = votes[0].unionByName(votes[1])
+    else:  # too few rows for halves with two labels each
+        voted = trees.fit(train).transform(train)
+    voted = voted.select("label", vector_to_array("probability")[1].alias("_vote"))
     calibration = IsotonicRegression(featuresCol="_vote", labelCol="label", predictionCol="score").fit(voted)
-    return ToxicityModel(learn_lexicon(sample), trees, calibration, counts[1] / (counts[0] + counts[1]))
+    return ToxicityModel(learn_lexicon(sample), trees.fit(train), calibration, counts[1] / (counts[0] + counts[1]))
 
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
