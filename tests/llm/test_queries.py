@@ -1,15 +1,19 @@
 """Queries against SQL where SQL can express them; else against their contract or a brute-force version over the smoke tables."""
 
+import itertools
+import re
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 from pathlib import Path
 
+import numpy as np
 import pytest
 
-from varloom.llm import registry
+from varloom.llm import embedding_dedup, registry
 from varloom.llm.common import read_table
 
 SF = "/root/testdata/sf0.001"
+LOWER = {c: c + 32 for c in range(65, 91)}
 pytestmark = pytest.mark.skipif(not Path(SF).exists(), reason="no smoke tables here")
 duckdb = pytest.importorskip("duckdb")
 
@@ -104,13 +108,81 @@ def test_pipeline_keeps_one_of_pairs_between_80_and_85_hundredths(spark):
 
 
 def test_pipeline(spark):
+    """All stages on the whole smoke table and edge rows; each stage against a plain version of what it may do."""
     import corpus_pipeline
 
-    docs = read_table(spark, SF, "documents").limit(80)  # a small fixture: stages are run one by one
-    before = {r.doc_id for r in docs.select("doc_id").collect()}
-    for name, stage in corpus_pipeline.STAGES[1:-1]:
-        docs = stage(spark, docs, SF)
+    odd = [(-1, None, None, None, None), (-2, "", "en", "x", 0), (-3, " \n ", "en", None, 3), (None, "one line of its own, and that is all", "en", "x", 9)]
+    docs = read_table(spark, SF, "documents").unionByName(spark.createDataFrame(odd, "doc_id long, text string, lang string, source string, n_chars long"))
+    first = docs
+    kept, texts = [], []
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = corpus_pipeline.stored(stage(spark, docs, SF))
         assert docs.columns == corpus_pipeline.COLUMNS, name
-    done = corpus_pipeline.STAGES[-1][1](spark, docs, SF)
-    assert {r.doc_id for r in done.collect()} <= before
+        rows = docs.collect()
+        kept.append([r.doc_id for r in rows])
+        texts.append({r.doc_id: r.text for r in rows})
+    whole = {r.doc_id: r.text for r in first.collect()}
+    labels = {r.doc_id: r.toxic for r in read_table(spark, SF, "labels").collect()}
+    gone = set(whole) - set(kept[0])
+    assert texts[0] == {k: v for k, v in whole.items() if k not in gone} and {-1, -2, -3, None} <= set(kept[0])
+    assert sum(labels.get(i) == 0 for i in gone) <= 0.02 * len(whole) and sum(labels.get(i) == 1 for i in gone) >= 0.7 * sum(v == 1 for v in labels.values())
+    # lines: whole rows stay, and every line that a document keeps is one of its lines, in order
+    assert sorted(kept[1], key=str) == sorted(kept[0], key=str)
+    for i, text in texts[1].items():
+        old, new = (texts[0][i] or "").split("\n"), iter((text or "").split("\n"))
+        assert text == texts[0][i] or text == "" or all(line in old for line in new)
+    seen = [line.strip(" \t\r\x0b\x0c").lower() for text in texts[1].values() for line in (text or "").split("\n") if line.split()]
+    assert len(seen) == len(set(seen))  # no line twice in the corpus
+    # one of each component by five words and 0.80
+    ids = [i for i in texts[1] if texts[1][i] and texts[1][i].split()]
+    sets = {}
+    for i in ids:
+        w = re.findall(r"[^\x20\x09-\x0D]+", texts[1][i].translate(LOWER))
+        sets[i] = {tuple(w[j : j + 5]) for j in range(max(1, len(w) - 4))}
+    root = {i: i for i in ids}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in itertools.combinations(ids, 2):
+        both = len(sets[a] & sets[b])
+        if 100 * both >= 80 * (len(sets[a]) + len(sets[b]) - both):
+            root[find(a)] = find(b)
+    groups = {find(i) for i in ids}
+    assert len([i for i in kept[2] if i in sets]) == len(groups) == len({find(i) for i in kept[2] if i in sets})
+    assert set(texts[1]) - set(ids) == {i for i in kept[2] if i not in sets}
+    # the mix takes whole texts, none over twice but for rounding
+    assert all(texts[3][i] == texts[2][i] for i in texts[3]) and max(Counter(kept[3]).values()) <= 2
+    done = corpus_pipeline.STAGES[-1][1](spark, docs, SF).collect()
+    assert sorted((r.doc_id is None, r.doc_id or 0) for r in done) == sorted((i is None, i or 0) for i in kept[3]) and all(len(r.ids) > 0 for r in done)
     assert [s[0] for s in corpus_pipeline.STAGES] == ["toxicity", "line_dedup", "ngram_join", "mixing", "sentencepiece"]
+
+
+def test_pipeline_of_nothing(spark):
+    import corpus_pipeline
+
+    docs = read_table(spark, SF, "documents").where("false")
+    for name, stage in corpus_pipeline.STAGES:
+        docs = corpus_pipeline.stored(stage(spark, docs, SF))
+        assert docs.count() == 0, name
+
+
+def test_recall_of_links_on_queries(spark):
+    """Links of every vector whose id is divisible by 20, against all vectors; pairs at cosines of 0.93 to 0.97 are planted among others."""
+    rng = np.random.default_rng(11)
+    x = rng.standard_normal((4000, 48))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    for i in range(0, 4000, 20):
+        for j, cosine in ((i + 1, 0.9301), (i + 2, 0.945), (i + 3, 0.97)):
+            side = x[j] - (x[j] @ x[i]) * x[i]
+            x[j] = cosine * x[i] + np.sqrt(1 - cosine**2) * side / np.linalg.norm(side)
+    x = x.astype(np.float32)
+    data = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(x)], "vec_id long, embedding array<float>, label int")
+    found = {r.vec_id: r.n_links for r in embedding_dedup.embedding_dedup(data).collect()}
+    y = x.astype(np.float64)
+    y /= np.linalg.norm(y, axis=1, keepdims=True)
+    want = {i: int((y @ y[i] >= 0.93).sum()) - 1 for i in range(0, 4000, 20)}
+    assert all(found[i] <= want[i] for i in want) and sum(want.values()) >= 600
+    assert sum(found[i] for i in want) >= 0.95 * sum(want.values())
