@@ -62,9 +62,9 @@ def test_pedigree(spark, tmp_path):
 
 
 def test_exons(spark, tmp_path):
-    line = 'chr7\tx\t{}\t10\t90\t.\t-\t.\tgene_id "g"; transcript_id "T1"; gene_name "ABC";'
+    line = 'chr7\tx\t{}\t10\t90\t.\t-\t.\tgene_id "g"; transcript_id "T1.4"; gene_name "ABC"; exon_number 3; tag "basic"; tag "MANE_Select";'
     (tmp_path / "m.gtf").write_text("#!genome\n" + line.format("exon") + "\n" + line.format("gene") + "\n")
-    assert [tuple(r) for r in readers.read_exons(spark, str(tmp_path / "m.gtf")).collect()] == [("T1", "ABC", "7", 10, 90, "-")]
+    assert [tuple(r) for r in readers.read_exons(spark, str(tmp_path / "m.gtf")).collect()] == [("T1", "ABC", 3, "7", 10, 90, "-", True, False, True, False)]
 
 
 def test_curation_feed(spark, tmp_path):
