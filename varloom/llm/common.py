@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: A word: a longest run of characters other than ASCII white space.
@@ -65,3 +65,16 @@ def stored(df: DataFrame) -> DataFrame:
     path = f"{shared_folder(spark)}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def top_ranked(df: DataFrame, group: list[str], order: list[Column], most: int | None = None, parts: int = 32) -> DataFrame:
+    """df with rank, from 1 within its group by the order; `most` ranks, or all.
+
+    The first ones of a large group are found in `parts` parts of it, so that no task sorts more than parts * most rows of one.
+    """
+    over = lambda *more: F.row_number().over(Window.partitionBy(*group, *more).orderBy(*order))
+    if most is not None:
+        part = F.pmod(F.xxhash64(*df.columns), F.lit(parts))
+        df = df.withColumn("_part", part).withColumn("rank", over("_part")).where(F.col("rank") <= most).drop("_part", "rank")
+    ranked = df.withColumn("rank", over())
+    return ranked if most is None else ranked.where(F.col("rank") <= most)
