@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from varloom.llm import decontaminate, embedding_dedup, html, line_dedup, mixing, ngram_join, quality, sentencepiece_codec, source_divergence, substring_dedup, toxicity, warc
+from varloom.llm import collocations, decontaminate, embedding_dedup, html, line_dedup, mixing, ngram_join, quality, sentencepiece_codec, source_divergence, substring_dedup, toxicity, warc
 
 
 def queries() -> dict:
@@ -18,6 +18,7 @@ def queries() -> dict:
         "op9_html_extraction": html.op9_html_extraction,
         "op10_quality_rules": quality.op10_quality_rules,
         "op11_source_divergence": source_divergence.op11_source_divergence,
+        "op12_phrase_collocations": collocations.op12_phrase_collocations,
         "op13_decontaminate": decontaminate.op13_decontaminate,
     }
 
@@ -29,5 +30,6 @@ def oracle_sql() -> dict[str, str]:
         "op8_embedding_dedup": embedding_dedup.ORACLE,
         "op10_quality_rules": quality.ORACLE,
         "op11_source_divergence": source_divergence.ORACLE,
+        "op12_phrase_collocations": collocations.ORACLE,
         "op13_decontaminate": decontaminate.ORACLE,
     }
