@@ -72,7 +72,7 @@ def test_gated_facts(spark):
     structures = spark.createDataFrame([("c", "trio"), ("s", "singleton")], "case_id string, structure string")
     told = [("c", "v1", "PP4", None, "d1"), ("c", "v2", "PS3", 4.0, "d1"), ("s", "v1", "PM3", 2.0, "d1"), ("s", "v1", "PS3", 4.0, "d2"), ("s", "v1", "PP4", 1.0, "d3")]
     told = spark.createDataFrame(told, "case_id string, variant_key string, criterion string, points double, digest string")
-    ledger = spark.createDataFrame([("d1", "propose", 1.0), ("d1", "approve", 2.0), ("d2", "approve", 1.0), ("d2", "reject", 2.0), ("d3", "approve", 3.0)], "digest string, event string, ts double")
+    ledger = spark.createDataFrame([("d1", "proposal", 1.0), ("d1", "approval", 2.0), ("d2", "approval", 1.0), ("d2", "rejection", 2.0), ("d3", "approval", 3.0)], "digest string, event string, ts double")
     done = case.classify_case(variants, none, structures, case.approved_facts(told, ledger))
     assert rows(done, "case_id", "variant_key", "case_points", "case_criteria", "case_class") == [
         ("c", "v1", 1.0, "PP4", "Likely Pathogenic"), ("c", "v2", 4.0, "PS3", "Benign"), ("s", "v1", 1.0, "PP4", "Likely Pathogenic"),
@@ -83,7 +83,7 @@ def test_session_and_review(spark, tmp_path):
     variants = spark.createDataFrame([("c", "v1", "G", "het", 5, "PM2", "VUS"), ("c", "v2", "H", "het", 5, "PM2", "VUS")], CASES)
     moi = spark.createDataFrame([("G", "AD"), ("H", "AD")], "gene string, moi string")
     edges = spark.createDataFrame([("H", "HP:1"), ("G", "HP:2"), ("X", "HP:2")], "gene string, hpo_id string")
-    one = session.CaseSession(spark, "c", variants, moi, edges, log=str(tmp_path / "log.jsonl"))
+    one = session.CaseSession(spark, "c", case.prepared_candidates(variants, moi), edges, log=str(tmp_path / "log"))
     assert [r.candidate_id for r in one.top().collect()] == ["v1", "v2"]
     assert one.refine_hpo(add=["HP:1"]).first().candidate_id == "v2"
     with pytest.raises(ValueError, match="pedigree"):
@@ -91,7 +91,8 @@ def test_session_and_review(spark, tmp_path):
     before = one.state()
     key = one.propose_fact("v1", "PS3", 4)
     assert one.state() == before and one.top().first().acmg_class == "VUS"
-    assert one.approve_fact(key, "reviewer").where("candidate_id = 'v1'").first().acmg_class == "Likely Pathogenic"
+    done = one.approve_fact(key, "reviewer").where("candidate_id = 'v1'").first()
+    assert (done.acmg_class, done.case_points, done.case_criteria) == ("Likely Pathogenic", 4.0, "PS3")
     assert one.state() != before and one.sql("SELECT count(*) FROM case_candidates").first()[0] == 2
     asked = []
 
@@ -99,27 +100,66 @@ def test_session_and_review(spark, tmp_path):
         asked.append(prompt)
         return 'so: {"add_phrases": ["tremor"], "pp4": [{"candidate_id": "v2", "criterion": "PP4"}, {"candidate_id": "no", "criterion": "PP4"}, {"candidate_id": "v1", "criterion": "PS4"}]}' if len(asked) == 1 else "none"
 
-    session.agent_review(one, "tremor", model, {"tremor": "HP:2"})
-    assert len(asked) == 2 and "HP:2" in one.terms
+    session.agent_review(one, "tremor", model, spark.createDataFrame([("tremor", "HP:2")], "phrase string, hpo_id string"))
+    assert len(asked) == 2 and rows(session.terms_of(one.events), "hpo_id") == [("HP:1",), ("HP:2",)]
     assert {r.candidate_id: r.acmg_class for r in one.top().collect()} == {"v1": "Likely Pathogenic", "v2": "Likely Pathogenic"}
-    actions = [json.loads(x)["action"] for x in (tmp_path / "log.jsonl").read_text().splitlines()]
-    assert actions == ["open", "refine_hpo", "propose_fact", "approve_fact", "sql", "refine_hpo", "propose_fact", "approve_fact"]
+    log = spark.read.json(str(tmp_path / "log")).orderBy("seq").collect()
+    assert log[-1].state == one.state() != log[0].state
+    # the log alone brings the ranking back
+    again = session.ranked_sessions(spark.read.schema(session.EVENT).json(str(tmp_path / "log")), one.prepared, edges, one.structures)
+    assert rows(again, "candidate_id", "acmg_class", "rank") == rows(one.candidates, "candidate_id", "acmg_class", "rank")
+    assert [r.action for r in log] == ["open", "refine_hpo", "propose_fact", "approve_fact", "sql", "refine_hpo", "propose_fact", "approve_fact"]
+
+
+def test_session_terms_and_facts_follow_their_last_word(spark):
+    said = [
+        ("s", 0, "open", {"add": ["A", "B"]}), ("s", 1, "refine_hpo", {"add": ["C", "D"], "remove": ["A", "D"]}), ("s", 2, "refine_hpo", {"add": ["A"]}),
+        ("s", 3, "propose_fact", {"digest": "d", "variant_key": "v", "criterion": "PS3", "points": 4.0}), ("s", 4, "approve_fact", {"digest": "d"}), ("s", 5, "approve_fact", {"digest": "unknown"}),
+        ("t", 0, "open", {}), ("t", 1, "approve_fact", {"digest": "e"}), ("t", 2, "propose_fact", {"digest": "e", "variant_key": "v", "criterion": "PS3", "points": 4.0}),
+    ]
+    events = spark.createDataFrame([(s, i, "c" + s, a, json.dumps(d)) for s, i, a, d in said], session.EVENT)
+    assert rows(session.terms_of(events), "session_id", "hpo_id") == [("s", "A"), ("s", "B"), ("s", "C")]
+    assert rows(session.facts_of(events), "session_id", "digest", "approved") == [("s", "d", True), ("t", "e", False)]
+    assert len({r.state for r in session.states(events).collect()}) == 2
 
 
-DICTIONARY = {"seizures": "HP:1", "fits": "HP:1", "ataxia": "HP:2"}
+PHRASES = [("seizures", "HP:1"), ("fits", "HP:1"), ("ataxia", "HP:2"), ("short  stature", "HP:3"), ("short", "HP:4"), ("(Type-2) rash!", "HP:5"), ("?", "HP:6"), (None, "HP:7")]
 
 
 def test_phenotype_modes(spark):
-    reply = '```json\n{"decisions": [{"candidate_id": "n:0000", "decision": "keep", "patient_context": "patient"}, {"candidate_id": "n:0001", "decision": "drop", "patient_context": "negated"}]}\n```'
-    done = phenotype.extract("Seizures, no ataxia", DICTIONARY, mode="candidates_model", model=lambda p: reply, note_id="n")
-    assert (done.observed, done.excluded, done.family) == (["HP:1"], ["HP:2"], [])
-    assert phenotype.extract("Seizures, no ataxia", DICTIONARY, mode="tool_only").excluded == ["HP:2"]
-    answers = iter(['{"phrases": ["fits", "made up"]}', {"text": '{"decisions": [{"hpo_id": "HP:1", "decision": "keep", "patient_context": "patient"}]}'}])
-    assert phenotype.extract("spells", DICTIONARY, mode="model_only", model=lambda p: next(answers)).observed == ["HP:1"]
+    phrases = spark.createDataFrame(PHRASES, "phrase string, hpo_id string")
+    note = spark.createDataFrame([("n", "Seizures, no ataxia")], "note_id string, text string")
+    reply = '```json\n{"decisions": [{"candidate_id": "n:0000", "decision": "keep", "patient_context": "patient"}, {"candidate_id": "n:0001", "decision": "drop", "patient_context": "negated"}, {"hpo_id": "HP:1", "decision": "drop", "patient_context": "negated"}]}\n```'
+    terms = lambda df: rows(df, "note_id", "hpo_id", "scope")
+    want = [("n", "HP:1", "observed"), ("n", "HP:2", "excluded")]
+    assert terms(phenotype.extract(note, phrases, mode="candidates_model", model=lambda p: reply)) == want
+    offered = phenotype.candidates(note, phrases)
+    assert terms(phenotype.decided_terms(offered, phenotype.decisions(spark.createDataFrame([("n", reply)], "note_id string, reply string")))) == want
+    assert terms(phenotype.extract(note, phrases, mode="tool_only")) == want
+
+    def model(prompt):
+        return '{"phrases": ["fits", "made up", " "]}' if prompt.startswith(phenotype.ASK_PHRASES) else {"text": '{"decisions": [{"candidate_id": "n:aug0000", "decision": "keep", "patient_context": "patient"}]}'}
+
+    spells = spark.createDataFrame([("n", "spells"), ("m", None)], "note_id string, text string")
+    assert terms(phenotype.extract(spells, phrases, mode="model_only", model=model)) == [("n", "HP:1", "observed")]
+    runs = {r.note_id: r for r in phenotype.extraction_runs(spells, phrases, model=model).collect()}
+    assert set(runs) == {"n", "m"} and runs["n"].note_len == 6 and [c.candidate_id for c in runs["n"].candidates] == ["n:aug0000"]
+    assert terms(phenotype.extract(spells, phrases, mode="candidates_model", model=lambda p: "no JSON")) == []
     with pytest.raises(ValueError, match="mode"):
-        phenotype.extract("x", DICTIONARY, mode="other")
-    notes = spark.createDataFrame([("n", "Fits and SEIZURES; fits again"), ("m", None)], "note_id string, text string")
-    assert rows(phenotype.candidates(notes, DICTIONARY), "candidate_id", "span", "hpo_id") == [("n:0000", "Fits", "HP:1"), ("n:0001", "SEIZURES", "HP:1")]
+        phenotype.extract(note, phrases, mode="other")
+    with pytest.raises(ValueError, match="needs a model"):
+        phenotype.extract(note, phrases)
+
+
+def test_mentions_have_their_own_places(spark):
+    phrases = spark.createDataFrame(PHRASES, "phrase string, hpo_id string")
+    texts = [("n", "Fits and SEIZURES; fits again"), ("m", None), ("o", "short  stature, short stature, xshort, a type-2) RASH"), ("o", ""), ("p", "fits_ fits2 seizuresé")]
+    notes = spark.createDataFrame(texts, "note_id string, text string")
+    assert rows(phenotype.mentions(notes, phrases), "note_id", "at", "hpo_id", "span") == [
+        ("n", 0, "HP:1", "Fits"), ("n", 4, "HP:1", "SEIZURES"), ("n", 6, "HP:1", "fits"), ("o", 0, "HP:3", "short  stature"), ("o", 0, "HP:4", "short"), ("o", 4, "HP:4", "short"), ("o", 12, "HP:5", "type-2) RASH"), ("p", 4, "HP:1", "seizures"),
+    ]
+    assert rows(phenotype.candidates(notes, phrases), "candidate_id", "span", "hpo_id")[:2] == [("n:0000", "Fits", "HP:1"), ("n:0001", "SEIZURES", "HP:1")]
+    assert phenotype.mentions(notes, phrases.limit(0)).count() == 0 and phenotype.candidates(notes.limit(0), phrases).count() == 0
 
 
 def test_feeds(spark, tmp_path):

@@ -1,6 +1,5 @@
-import json
-
 import pytest
+from pyspark.sql import functions as F
 
 from varloom.operators import ledger
 from varloom.sources import readers, sinks
@@ -86,15 +85,31 @@ def test_sorted_vcf_and_bed(spark, tmp_path):
 
 
 def test_ledger_counts_only_what_was_approved(spark, tmp_path):
-    book = ledger.Ledger(str(tmp_path / "l" / "events.jsonl"))
-    made = ledger.propose({"case": "C1"}, lambda prompt: "PP4", kind="phenotype", ledger=book)
-    assert ledger.approved_points(spark, made, 1.0, ledger=book) == 0.0
-    ledger.approve(made, "reviewer", ledger=book)
-    assert ledger.approved_points(spark, made, 1.0, ledger=book) == 1.0
-    with pytest.raises(ValueError, match="changed"):
-        ledger.approve({**made, "response": "other"}, "reviewer", ledger=book)
+    book = ledger.Ledger(str(tmp_path / "l" / "events"))
+    contexts = spark.createDataFrame([('{"case": "C1"}',), ('{"case": "C2"}',)], "context string")
+    made = ledger.propose(contexts, lambda prompt: "PP4", kind="phenotype", name="m").withColumn("points", F.lit(1.0))
+    counted = lambda df=made: {r.context[-4:-2]: r.counted for r in ledger.approved_points(df, book.records(spark)).collect()}
+    assert counted() == {"C1": 0.0, "C2": 0.0}  # before the first event
+    assert {r.status for r in ledger.statuses(made, book.records(spark)).collect()} == {"absent"}
+    book.append(ledger.proposed(made))
+    assert counted() == {"C1": 0.0, "C2": 0.0}
+    first = made.where("context like '%C1%'")
+    book.append(ledger.decided(first, "reviewer"))
+    assert counted() == {"C1": 1.0, "C2": 0.0}
+    other = made.withColumn("response", F.lit("other"))
+    assert counted(other) == {"C1": 0.0, "C2": 0.0}
+    with pytest.raises(Exception, match="changed"):
+        ledger.decided(other, "reviewer").collect()
     with pytest.raises(ValueError, match="approver"):
-        ledger.approve(made, "", ledger=book)
-    ledger.reject(made, "reviewer", ledger=book, reason="no")
-    assert ledger.approved_points(spark, made, 1.0, ledger=book) == 0.0
-    assert [json.loads(x)["event"] for x in (tmp_path / "l" / "events.jsonl").read_text().splitlines()] == ["propose", "approve", "reject"]
+        ledger.decided(made, "")
+    book.append(ledger.decided(first, "reviewer", approve=False, reason="no"))
+    assert counted() == {"C1": 0.0, "C2": 0.0}
+    events = book.records(spark).orderBy("ts", "event").collect()
+    assert [r.event for r in events] == ["proposal", "proposal", "approval", "rejection"] and all(r.digest.startswith("sha256:") for r in events) and events[0].response == "PP4"
+
+
+def test_digests_follow_content():
+    import datetime
+
+    assert ledger.digest({"b": 1, "a": datetime.date(2020, 1, 2)}) == ledger.digest({"a": "2020-01-02", "b": 1}) != ledger.digest({"a": 1})
+    assert ledger.digest({"gene": "TP53"}) == "sha256:" + __import__("hashlib").sha256(b'{"gene": "TP53"}').hexdigest()

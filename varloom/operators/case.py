@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from varloom.functions.expr import GENOTYPE_BOOST, PATHOGENICITY, TIERS, band, is_dominant, is_recessive, lookup
+from varloom.operators.ledger import APPROVAL, latest
 
 # Points of case criteria, structures that support them, boosts and thresholds.
 CASE_POINTS = {
@@ -35,8 +36,7 @@ def genotype_fit(variants: DataFrame, moi: DataFrame) -> DataFrame:
 
 def approved_facts(judgments: DataFrame, ledger: DataFrame) -> DataFrame:
     """judgments (digest, ...) whose exact digest the ledger's last event approves. ledger: digest, event, ts."""
-    last = ledger.groupBy("digest").agg(F.max_by("event", "ts").alias("_e")).where("_e = 'approve'").select("digest")
-    return judgments.join(last, "digest", "left_semi")
+    return judgments.join(latest(ledger).where(F.col("status") == APPROVAL).select("digest"), "digest", "left_semi")
 
 
 def classify_case(variants: DataFrame, facts: DataFrame, structures: DataFrame, judgments: DataFrame | None = None) -> DataFrame:
@@ -110,21 +110,28 @@ def cnv_genotype_fit(cnv: DataFrame, hi_genes: DataFrame, ts_genes: DataFrame) -
     return joined.withColumn("genotype_fit", fit).drop("_hi", "_ts")
 
 
-def candidate_table(snv: DataFrame, cnv: DataFrame, named_genes: DataFrame | None = None) -> DataFrame:
-    """case_id, candidate_id, kind, gene, acmg_class, class_tier, phenotype_score, genotype_fit, combined_score, rank.
+def rank_candidates(rows: DataFrame, named_genes: DataFrame | None = None) -> DataFrame:
+    """rows (case_id, candidate_id, gene, acmg_class, phenotype_score, genotype_fit) with class_tier, combined_score, rank.
 
-    snv and cnv hold all but the last three and class_tier. The tier counts tenfold, then the phenotype within the case, the
-    genotype and a gene that the clinician named.
+    The tier counts tenfold, then the phenotype within the case, the genotype and a gene that the clinician named.
     """
-    names = ["case_id", "candidate_id", "kind", "gene", "acmg_class", "phenotype_score", "genotype_fit"]
-    rows = snv.select(*names).unionByName(cnv.select(*names)).withColumn("phenotype_score", F.coalesce("phenotype_score", F.lit(0.0)))
-    rows = rows.withColumn("class_tier", lookup(TIERS, F.col("acmg_class"), F.lit(3)))
+    rows = rows.withColumns({"phenotype_score": F.coalesce("phenotype_score", F.lit(0.0)), "class_tier": lookup(TIERS, F.col("acmg_class"), F.lit(3))})
     score = F.col("class_tier") * 10 + _norm(F.col("phenotype_score")) * 5 + lookup(GENOTYPE_BOOST, F.col("genotype_fit"), F.lit(0))
     if named_genes is not None:
         rows = rows.join(named_genes.select("case_id", "gene", F.lit(NAMED_GENE_BOOST).alias("_named")).distinct(), ["case_id", "gene"], "left")
         score = score + F.coalesce("_named", F.lit(0))
     order = Window.partitionBy("case_id").orderBy(F.desc("combined_score"), "candidate_id")
-    return rows.withColumn("combined_score", score).withColumn("rank", F.row_number().over(order)).select(*names[:5], "class_tier", *names[5:], "combined_score", "rank")
+    ranked = rows.withColumn("combined_score", score).withColumn("rank", F.row_number().over(order))
+    return ranked.drop("_named")
+
+
+_CANDIDATE = ["case_id", "candidate_id", "kind", "gene", "acmg_class", "class_tier", "phenotype_score", "genotype_fit", "combined_score", "rank"]
+
+
+def candidate_table(snv: DataFrame, cnv: DataFrame, named_genes: DataFrame | None = None) -> DataFrame:
+    """case_id, candidate_id, kind, gene, acmg_class, class_tier, phenotype_score, genotype_fit, combined_score, rank of both kinds together."""
+    names = ["case_id", "candidate_id", "kind", "gene", "acmg_class", "phenotype_score", "genotype_fit"]
+    return rank_candidates(snv.select(*names).unionByName(cnv.select(*names)), named_genes).select(*_CANDIDATE)
 
 
 def top_n(candidates: DataFrame, n: int) -> DataFrame:
@@ -209,33 +216,46 @@ def without_ba1(variants: DataFrame, named: DataFrame | None = None) -> DataFram
     return variants.join(asked, ["case_id", "gene"], "left").where(clear | F.col("_asked")).drop("_asked")
 
 
-def prioritize_cases(
-    variants: DataFrame,
-    moi: DataFrame,
-    facts: DataFrame,
+def prepared_candidates(variants: DataFrame, moi: DataFrame, *, cnv: DataFrame | None = None, hi_genes: DataFrame | None = None, ts_genes: DataFrame | None = None, named: DataFrame | None = None) -> DataFrame:
+    """case_id, candidate_id, kind, gene, genotype_fit, total_points, criteria, acmg_class: what doesn't change while a case is worked on.
+
+    variants: case_id, variant_key, gene, zygosity, total_points, criteria, acmg_class; cnv: case_id, cnv_key, gene, svtype, cn,
+    cnv_class (rows without a class are left out).
+    """
+    fit = genotype_fit(without_ba1(variants, named), moi)
+    names = ["case_id", "candidate_id", "kind", "gene", "genotype_fit", "total_points", "criteria", "acmg_class"]
+    rows = fit.select("case_id", F.col("variant_key").alias("candidate_id"), F.lit("snv").alias("kind"), "gene", "genotype_fit", "total_points", "criteria", "acmg_class")
+    if cnv is None:
+        return rows
+    rated = cnv_genotype_fit(cnv.where(F.col("cnv_class").isNotNull()), hi_genes, ts_genes)
+    none = lambda c: F.lit(None).cast(rows.schema[c].dataType).alias(c)
+    return rows.unionByName(rated.select("case_id", F.col("cnv_key").alias("candidate_id"), F.lit("cnv").alias("kind"), "gene", "genotype_fit", none("total_points"), none("criteria"), F.col("cnv_class").alias("acmg_class")).select(*names))
+
+
+def ranked_cases(
+    prepared: DataFrame,
     structures: DataFrame,
     *,
-    cnv: DataFrame | None = None,
-    hi_genes: DataFrame | None = None,
-    ts_genes: DataFrame | None = None,
+    facts: DataFrame | None = None,
     scores: DataFrame | None = None,
     named: DataFrame | None = None,
     judgments: DataFrame | None = None,
-    n: int = 10,
+    n: int | None = 10,
 ) -> DataFrame:
-    """The n best candidates of every case at once: single variants and copy numbers in one ranking.
+    """The n best (null: all) candidates of every case with case_points and case_criteria beside candidate_table's columns.
 
-    variants: case_id, variant_key, gene, zygosity, total_points, criteria, acmg_class; cnv: case_id, cnv_key, gene, svtype, cn,
-    cnv_class (rows without a class are left out); scores: case_id, gene, phenotype_score; named: case_id, gene. The fold's
-    class is the one that ranks. Without scores all phenotypes count 0. Returns what candidate_table returns.
+    prepared: see prepared_candidates; facts: case_id, variant_key, criterion; scores: case_id, gene, phenotype_score; named: case_id,
+    gene. The fold's class is the one that ranks; copy numbers keep theirs. Without scores all phenotypes count 0.
     """
-    fit = genotype_fit(without_ba1(variants, named), moi)
-    folded = classify_case(fit, facts, structures, judgments)
-    rows = folded.select("case_id", F.col("variant_key").alias("candidate_id"), F.lit("snv").alias("kind"), "gene", F.col("case_class").alias("acmg_class"), "genotype_fit")
-    copies = rows.limit(0)
-    if cnv is not None:
-        rated = cnv_genotype_fit(cnv.where(F.col("cnv_class").isNotNull()), hi_genes, ts_genes)
-        copies = rated.select("case_id", F.col("cnv_key").alias("candidate_id"), F.lit("cnv").alias("kind"), "gene", F.col("cnv_class").alias("acmg_class"), "genotype_fit")
-    known = rows.select("case_id", "gene").limit(0).withColumn("phenotype_score", F.lit(0.0)) if scores is None else scores
-    scored = [df.join(known, ["case_id", "gene"], "left") for df in (rows, copies)]
-    return top_n(candidate_table(scored[0], scored[1], named), n)
+    facts = prepared.select("case_id", F.col("candidate_id").alias("variant_key"), F.lit("").alias("criterion")).limit(0) if facts is None else facts
+    folded = classify_case(prepared.withColumnRenamed("candidate_id", "variant_key"), facts, structures, judgments)
+    rows = folded.withColumn("acmg_class", F.when(F.col("kind") == "cnv", F.col("acmg_class")).otherwise(F.col("case_class"))).withColumnRenamed("variant_key", "candidate_id")
+    rows = rows.withColumn("phenotype_score", F.lit(0.0)) if scores is None else rows.join(scores, ["case_id", "gene"], "left")
+    ranked = rank_candidates(rows, named).select(*_CANDIDATE, "case_points", "case_criteria")
+    return ranked if n is None else top_n(ranked, n)
+
+
+def prioritize_cases(variants: DataFrame, moi: DataFrame, facts: DataFrame, structures: DataFrame, *, cnv: DataFrame | None = None, hi_genes: DataFrame | None = None, ts_genes: DataFrame | None = None, scores: DataFrame | None = None, named: DataFrame | None = None, judgments: DataFrame | None = None, n: int = 10) -> DataFrame:
+    """The n best candidates of every case at once, single variants and copy numbers in one ranking, as candidate_table returns them."""
+    prepared = prepared_candidates(variants, moi, cnv=cnv, hi_genes=hi_genes, ts_genes=ts_genes, named=named)
+    return ranked_cases(prepared, structures, facts=facts, scores=scores, named=named, judgments=judgments, n=n).select(*_CANDIDATE)

@@ -1,67 +1,110 @@
-"""Human gates: proposals of a model count only after approval of their exact content."""
+"""Human gates as tables: a model's proposals count only after approval of their exact content.
+
+The ledger is a folder of JSON lines that Spark appends to and reads; a digest's status is its last event, by one aggregate.
+"""
 
 from __future__ import annotations
 
 import hashlib
 import json
-import time
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+import pandas as pd
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
-from varloom.sources.sinks import append_event
-
-SCHEMA = "event string, digest string, kind string, approver string, reason string, response string, ts double"
+#: Names of events, and what a digest without one has.
+PROPOSAL, APPROVAL, REJECTION, ABSENT = "proposal", "approval", "rejection", "absent"
+EVENTS = "event_id string, ts double, event string, digest string, kind string, model string, prompt string, response string, context string, approver string, reason string"
+PROPOSALS = "kind string, context string, prompt string, response string, model string, digest string"
 
 
 def digest(payload: dict) -> str:
-    return hashlib.sha256(json.dumps(payload, sort_keys=True, ensure_ascii=False).encode()).hexdigest()
+    """Equal content has equal digests, whatever the order of its keys."""
+    return "sha256:" + hashlib.sha256(json.dumps(payload, sort_keys=True, default=str).encode()).hexdigest()
 
 
-class Ledger:
-    """Append-only events; the last event of a digest is its status, so proposing again withdraws an approval."""
+def _content(kind: str, context: str, response: str) -> str:
+    return digest({"kind": kind, "context": json.loads(context), "response": response})
 
-    def __init__(self, path: str) -> None:
-        self.path = path
 
-    def append(self, event: dict) -> dict:
-        return append_event(self.path, {**event, "ts": time.time()})
+def propose(contexts: DataFrame, model: Callable[[str], str], *, kind: str, render: Callable[[dict], str] | None = None, name: str | None = None) -> DataFrame:
+    """Proposals of a model for contexts (one column of JSON, context): kind, context, prompt, response, model, digest.
 
-    def records(self, spark: SparkSession) -> DataFrame:
-        return spark.read.schema(SCHEMA).json(self.path)
+    The model is called once a row in the tasks that hold them; each run of the plan calls it again, so write what it returns.
+    """
 
-    def status_of(self, spark: SparkSession, key: str) -> str | None:
-        row = self.records(spark).where(F.col("digest") == key).agg(F.max_by("event", "ts")).first()
-        return row[0]
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in parts:
+            prompts = [render(json.loads(c)) if render else json.dumps(json.loads(c), sort_keys=True) for c in pdf["context"]]
+            said = [model(p) for p in prompts]
+            yield pd.DataFrame(
+                {"kind": kind, "context": pdf["context"], "prompt": prompts, "response": said, "model": name, "digest": [_content(kind, c, r) for c, r in zip(pdf["context"], said, strict=True)]}
+            )
 
+    return contexts.select("context").mapInPandas(run, PROPOSALS)
 
-def propose(context: dict, model: Callable[[str], str], *, kind: str, ledger: Ledger, render: Callable[[dict], str] | None = None) -> dict:
-    prompt = (render or (lambda c: json.dumps(c, sort_keys=True)))(context)
-    body = {"context": context, "kind": kind, "prompt": prompt, "response": model(prompt)}
-    proposal = {**body, "digest": digest(body)}
-    ledger.append({"event": "propose", "digest": proposal["digest"], "kind": kind, "response": body["response"]})
-    return proposal
 
+@F.pandas_udf(StringType())
+def content_digest(kind: pd.Series, context: pd.Series, response: pd.Series) -> pd.Series:
+    """The digest that a proposal's content has now."""
+    return pd.Series([_content(k, c, r) for k, c, r in zip(kind, context, response, strict=True)])
 
-def _checked(proposal: dict, approver: str) -> str:
+
+def proposed(proposals: DataFrame) -> DataFrame:
+    """The events of new proposals; proposing again withdraws an approval."""
+    return _stamped(proposals.select("digest", "kind", "model", "prompt", "response", "context"), PROPOSAL)
+
+
+def decided(proposals: DataFrame, approver: str, *, approve: bool = True, reason: str | None = None) -> DataFrame:
+    """The events of one person's decision on proposals; reading a row whose content is not what its digest says raises."""
     if not approver:
         raise ValueError("an approver is required")
-    body = {k: proposal[k] for k in ("context", "kind", "prompt", "response")}
-    if digest(body) != proposal["digest"]:
-        raise ValueError("the proposal was changed after it was made")
-    return proposal["digest"]
+    same = content_digest("kind", "context", "response") == F.col("digest")
+    rows = proposals.select(F.when(same, F.col("digest")).otherwise(F.raise_error(F.lit("the proposal was changed after it was made"))).alias("digest"), "kind")
+    return _stamped(rows, APPROVAL if approve else REJECTION).withColumns({"approver": F.lit(approver), "reason": F.lit(reason).cast("string")})
+
+
+def _stamped(rows: DataFrame, event: str) -> DataFrame:
+    """One time for all events of a call, which orders calls."""
+    return rows.withColumns({"event": F.lit(event), "ts": F.unix_micros(F.current_timestamp()) / 1e6, "event_id": F.uuid()})
+
+
+class Ledger:
+    """A folder of events, which is only ever added to."""
+
+    def __init__(self, path: str) -> None:
+        self.path = path
+
+    def append(self, events: DataFrame) -> None:
+        events.write.mode("append").json(self.path)
+
+    def records(self, spark: SparkSession) -> DataFrame:
+        """All events; none before the first."""
+        try:
+            return spark.read.schema(EVENTS).json(self.path)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return spark.createDataFrame([], EVENTS)
+
 
+def latest(events: DataFrame, order: Column | None = None) -> DataFrame:
+    """digest, status: each digest's last event. Events of one time: an approval goes behind a rejection, a proposal before all."""
+    rank = F.when(F.col("event") == REJECTION, 2).when(F.col("event") == APPROVAL, 1).otherwise(0)
+    return events.groupBy("digest").agg(F.max_by("event", F.struct("ts", rank) if order is None else order).alias("status"))
 
-def approve(proposal: dict, approver: str, *, ledger: Ledger) -> dict:
-    return ledger.append({"event": "approve", "digest": _checked(proposal, approver), "approver": approver})
 
+def statuses(digests: DataFrame, events: DataFrame) -> DataFrame:
+    """digests' rows with status: the last event, or absent."""
+    return digests.join(latest(events), "digest", "left").withColumn("status", F.coalesce("status", F.lit(ABSENT)))
 
-def reject(proposal: dict, approver: str, *, ledger: Ledger, reason: str = "") -> dict:
-    return ledger.append({"event": "reject", "digest": _checked(proposal, approver), "approver": approver, "reason": reason})
 
+def approved_points(proposals: DataFrame, events: DataFrame) -> DataFrame:
+    """proposals (points and what propose returns) with counted: points where the last word on the exact content is approval, else 0."""
+    now = proposals.withColumn("_now", content_digest("kind", "context", "response"))
+    last = latest(events).select(F.col("digest").alias("_now"), "status")
+    return now.join(last, "_now", "left").withColumn("counted", F.when(F.col("status") == APPROVAL, F.col("points").cast("double")).otherwise(0.0)).drop("_now", "status")
 
-def approved_points(spark: SparkSession, proposal: dict, points: float, *, ledger: Ledger) -> float:
-    """points if the ledger's last word on the proposal's exact content is approval, else 0."""
-    body = {k: proposal[k] for k in ("context", "kind", "prompt", "response")}
-    return points if ledger.status_of(spark, digest(body)) == "approve" else 0.0
