@@ -29,7 +29,7 @@ from varloom.llm.wordscan import Words, byte_class, chunks, find_words
 #: Occurrences and words of a candidate; hundredths of its occurrences in a longer one that make it go; phrases told of each language.
 LEAST_COUNT, MOST_WORDS, SHARE, TOP, SCALE = 10, 3, 50, 2000, 1_000_000
 #: Words of a shard, at least (a text is never cut), and bits of the map of pairs: 16 MB.
-SHARD, BITS = 2_000_000, 27
+SHARD, BITS = 500_000, 27
 _STOPS = ((0x0A, 0x0D), (0x21, 0x21), (0x2C, 0x2C), (0x2E, 0x2E), (0x3A, 0x3B), (0x3F, 0x3F))
 STOPS = byte_class(*_STOPS, beyond=False)
 LETTERS = ~byte_class(*_STOPS, (0x09, 0x09), (0x20, 0x20), beyond=False)
@@ -100,12 +100,13 @@ def _shards(batches: Iterator[pa.RecordBatch], spelled: bool, size: int) -> Iter
         heads = find_words(*_joined(list(names)), np.ones(256, dtype=bool))
         salt = np.zeros(len(names), dtype=np.uint64)  # an empty name has no word
         salt[heads.text] = heads.hashes()
-        for first, data, at in chunks(batch.column("text")):
+        for first, data, at in chunks(batch.column("text"), 2 << 20):
             words = find_words(data, at, LETTERS, first)
             shard.add(words, data, lang, salt[lang])
             if shard.size >= size:
                 yield shard, list(names)
                 shard = Shard(spelled)
+                pa.default_memory_pool().release_unused()
     if shard.size:
         yield shard, list(names)
 
