@@ -42,8 +42,13 @@ PLAIN = (
 BAD = re.compile(f"{_EDGE}(?:{'|'.join(PLAIN + FAINT)}){_END}", re.I)
 SURE = re.compile(f"{_EDGE}(?:{'|'.join(PLAIN)}){_END}", re.I)
 GOOD = re.compile(r"(?:^|[-_\s])(?:article|body|content|entry|main|page|post|story|text|hentry|blog)(?:$|[-_\s])", re.I)
-#: A subtree with more than this share of a page's prose isn't out for its name alone.
-MASS = 0.5
+#: What says how a page is shown, and names none of its parts: no-ads, with-menu, nav-open, footer-fixed.
+STATE = re.compile(r"(?<![\w-])(?:(?:no|has|with|without|is|hide|show)[-_][\w-]+|[\w-]+[-_](?:open|opened|closed|enabled|disabled|given|accepted|fixed|on|off|active|visible|collapsed|expanded))(?![\w-])", re.I)
+#: A subtree with more than this share of a page's prose isn't out for its name alone; nor, whatever its name, one that leaves less
+#: than a share of REST to the others.
+MASS, REST = 0.5, 0.2
+#: Characters of prose, and share of its text within links at most, of what stands beside the main container and belongs to it.
+BESIDE, LINKED = 40, 0.25
 
 #: A comment, a declaration, or a tag. A quote after = opens a value, which is taken whole and may hold < and >; other quotes are
 #: letters. Where that finds no tag, as after a quote that never closes, a tag ends at its first >.
@@ -102,6 +107,8 @@ def parse(page: str | None) -> list[Node]:
     page = page or ""
     root = Node("", "", None, False, False)
     nodes, at, stack = [root], root, [("", root)]  # stack: open elements and the node that is in force within them
+    count = {"": 1}  # open elements by tag
+    endless: set[str] = set()  # raw elements that end nowhere from here on
     text: list[str] = []
     links = [0, 0]  # open links, characters in them
     place = 0
@@ -135,8 +142,10 @@ def parse(page: str | None) -> list[Node]:
             continue
         tag, closing = tag.lower(), bool(slash)
         if tag in RAW and not closing:
-            if not rest.endswith("/") and tag != "head":
+            if not rest.endswith("/") and tag != "head" and tag not in endless:
                 stop = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(page, pos)
+                if not stop:
+                    endless.add(tag)
                 # a title or script that never ends would swallow the page; a select or svg may
                 pos = end = stop.end() if stop else (size if tag in ("script", "style") else pos)
             continue
@@ -149,29 +158,36 @@ def parse(page: str | None) -> list[Node]:
         if tag in ("br", "hr"):
             continue
         if closing:
-            depth = next((i for i in range(len(stack) - 1, 0, -1) if stack[i][0] == tag), 0)
-            if depth:
-                del stack[depth:]
+            if count.get(tag, 0):
+                left = ""
+                while left != tag:
+                    left = stack.pop()[0]
+                    count[left] -= 1
                 at = stack[-1][1]
                 links[0] = 0
             continue
         if tag == "p" or tag in ("li", "td", "th", "tr", "dd", "dt"):  # these end their like
             if stack[-1][0] == tag:
                 stack.pop()
+                count[tag] -= 1
                 at = stack[-1][1]
         else:
             while stack[-1][0] == "p":  # a paragraph holds no block
                 stack.pop()
+                count["p"] -= 1
                 at = stack[-1][1]
         said, general, hidden = _attributes(rest) if rest.strip() else ("", "", False)
         good = tag in ("article", "main") or bool(GOOD.search(said))
         # a page's own frame may be called anything; an article's header is part of it only by its headings
-        out = hidden or tag in ASIDE and not (tag == "header" and at.inside)
-        bad = tag not in ("html", "body", "article", "main") and BAD.search(said)
-        doubt = "" if not bad else "sure" if SURE.search(said) else "faint"
+        out = hidden or tag in ASIDE and tag != "form" and not (tag == "header" and at.inside)
+        named = STATE.sub(" ", said) if "-" in said or "_" in said else said
+        bad = tag not in ("html", "body", "article", "main") and BAD.search(named)
+        # a form may be a page's frame, too
+        doubt = "sure" if tag == "form" else "" if not bad else "sure" if SURE.search(named) else "faint"
         node = Node(tag, f"{tag}.{general}" if general else tag, at, out, good, doubt)
         nodes.append(node)
         stack.append((tag, node))
+        count[tag] = count.get(tag, 0) + 1
         at = node
     say(page[end:])
     close()
@@ -186,7 +202,8 @@ def prose(node: Node) -> int:
 
 def weigh(nodes: list[Node]) -> None:
     """Settles skip: what is within a skipped element is skipped, and so is an element in doubt, unless it holds most of the
-    page's prose and its name is faint, or it or something in it is named like an article and not like anything else.
+    page's prose and its name is faint, or it or something in it is named like an article and not like anything else, or there
+    is hardly any prose but its own.
     """
     mass, likely = [], []
     index = {id(n): i for i, n in enumerate(nodes)}
@@ -200,7 +217,8 @@ def weigh(nodes: list[Node]) -> None:
         likely[up] = likely[up] or likely[i] and mass[i] > 0
     for i, node in enumerate(nodes):
         if node.doubt and not node.skip:
-            node.skip = not (mass[i] > MASS * mass[0] and (node.doubt == "faint" or node.good or likely[i]))
+            most = mass[i] > MASS * mass[0] and (node.doubt == "faint" or node.good or likely[i])
+            node.skip = not (most or mass[i] > (1 - REST) * mass[0])
         node.skip = node.skip or node.parent is not None and node.parent.skip
 
 
@@ -236,6 +254,27 @@ def best_container(nodes: list[Node]) -> Node | None:
     return nodes[0] if any(n.blocks and not n.skip for n in nodes) else None  # text without any container: the page itself
 
 
+def with_beside(nodes: list[Node], chosen: list[Node]) -> list[Node]:
+    """The chosen containers and those beside them, in an element below the page's body, that hold prose and few links."""
+    around = {id(n.parent) for n in chosen if n.parent is not None and n.parent.tag not in ("", "html", "body")}
+    if not around:
+        return chosen
+    held = {id(n) for n in chosen}
+    beside = {id(n): [0, 0] for n in nodes if n.parent is not None and id(n.parent) in around and id(n) not in held and not n.skip and n.tag in CONTAINER}
+    if not beside:
+        return chosen
+    of: dict[int, int] = {}
+    for node in nodes:  # parents come before children
+        own = id(node) if id(node) in beside else of.get(id(node.parent))
+        if own is not None:
+            of[id(node)] = own
+            if not node.skip:
+                for _, block, links in node.blocks:
+                    beside[own][0] += len(block)
+                    beside[own][1] += links
+    return chosen + [n for n in nodes if id(n) in beside and beside[id(n)][0] - beside[id(n)][1] >= BESIDE and beside[id(n)][1] <= LINKED * beside[id(n)][0]]
+
+
 def text_in(nodes: list[Node], chosen: list[Node]) -> str:
     """Blocks within the chosen containers, in page order, joined by one space."""
     inside = {id(n) for n in chosen}
@@ -281,9 +320,9 @@ def extract_pages(pages: DataFrame) -> DataFrame:
                 nodes = parse(page)
                 crc = zlib.crc32(path.encode("utf-8", "surrogatepass")) if path else 0
                 on_path = [n for n in nodes if n.tag and not n.skip and n.crc == crc and path_of(n) == path] if path else []
-                text = text_in(nodes, on_path)
+                text = text_in(nodes, with_beside(nodes, on_path))
                 if not text and (best := best_container(nodes)) is not None:
-                    text, path = text_in(nodes, [best]), None
+                    text, path = text_in(nodes, with_beside(nodes, [best])), None
                 texts.append(text)
                 used.append(path if text else None)
             yield pd.DataFrame({"page_id": pdf["page_id"], "url": pdf["url"], "text": texts, "path": used})
