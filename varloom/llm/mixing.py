@@ -1,11 +1,12 @@
 """Mixing sources to target weights by Sainte-Laguë apportionment.
 
 The words of a source are laid out shard by shard in a seeded order and cut into blocks of equal length. Seats (one seat
-takes one block once) go to sources, then to each source's shards, by highest quotients w / (2 j - 1). A shard takes its
-seats from its blocks evenly, starting at a seeded block; with more seats than blocks every block repeats first.
+takes one block once) go to sources, then to each source's bundles of shards, then to a bundle's shards, by highest quotients
+w / (2 j - 1). A shard takes its seats from its blocks evenly, starting at a seeded block; with more seats than blocks every
+block repeats first.
 
-Only totals of sources and shards are ranked in windows over few rows; documents meet others of their shard alone, and a
-shard holds a bounded share of the words.
+Only totals are ranked in windows: a bundle has BUNDLE shards at most, and bundles are BUNDLE times fewer than shards, which
+have one length at every size. Documents meet others of their shard alone.
 """
 
 from __future__ import annotations
@@ -19,9 +20,9 @@ WEIGHTS = (5.0, 2.0, 1.0)
 BUDGET = 1.5
 MOST = 2
 BLOCK = 64
-#: Words of a shard; a corpus of more than MOST_SHARDS of them has longer ones, so that the ranking of shards stays short.
+#: Words of a shard, or so, and shards of a bundle.
 SHARD = 1 << 17
-MOST_SHARDS = 1 << 16
+BUNDLE = 1 << 12
 SEED = 20240229
 
 
@@ -109,30 +110,31 @@ def mix_sources(
 
     size: words of the text. taken: how many of them the mix takes, counting a repeated block each time.
     Null, empty and blank texts have size 0 and take 0; null sources are a source of their own, the last; null doc_ids are
-    dealt by the hash of the row, like any other. Repeated rows are rows of their own. An empty table gives no rows. Other columns are not read.
+    dealt by the hash of the row, like any other. Repeated rows are rows of their own, counted first and dealt by number. An empty table gives no rows. Other columns are not read.
     """
-    sizes = cut(docs.select("doc_id", row_key(F.col("doc_id"), F.col("source"), F.col("text")).alias("key"), "source", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size")))
+    named = docs.select("doc_id", row_key(F.col("doc_id"), F.col("source"), F.col("text")).alias("key"), "source", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"))
+    counted = named.groupBy("doc_id", "key", "source", "size").agg(F.count(F.lit(1)).alias("_n"))
+    sizes = cut(counted.select("doc_id", "key", "source", "size", F.explode(F.sequence(F.lit(1).cast("long"), "_n")).alias("_copy")))
     sources = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
     every = Window.partitionBy(F.lit(0))
     goals = (
         source_targets(sources, weights, budget, most)
-        .withColumn("_per", F.greatest(F.lit(shard), F.ceil(F.sum("source_size").over(every) / MOST_SHARDS)))
-        .withColumn("shards", F.greatest(F.lit(1), F.ceil(F.col("source_size") / F.col("_per"))).cast("long"))
+        .withColumn("shards", F.greatest(F.lit(1), F.ceil(F.col("source_size") / shard)).cast("long"))
         .select(F.col("source").alias("_source"), "si", "source_size", "target", "shards")
     )
     goals = cut(goals)
     dealt = (
         sizes.join(goals, F.col("source").eqNullSafe(F.col("_source")))
-        .withColumn("_h", F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("key")))
-        .withColumn("shard", F.pmod(F.xxhash64(F.lit(seed + 1), F.col("doc_id"), F.col("key")), F.col("shards")))
-        .select("doc_id", "key", "source", "size", "si", "_h", "shard")
+        .withColumn("_h", F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("key"), F.col("_copy")))
+        .withColumn("shard", F.pmod(F.xxhash64(F.lit(seed + 1), F.col("doc_id"), F.col("key"), F.col("_copy")), F.col("shards")))
+        .select("doc_id", "key", "source", "size", "_copy", "si", "_h", "shard")
     )
     held = (
         dealt.groupBy("si", "shard")
         .agg(F.sum("size").alias("words"))
         .withColumn("blocks", F.when(F.col("words") > 0, F.greatest(F.lit(1), F.round(F.col("words") / block))).otherwise(0).cast("long"))
     )
-    held = cut(held)
+    held = cut(held.withColumn("bundle", F.expr(f"shard div {BUNDLE}")))
     in_blocks = held.groupBy("si").agg(F.sum("blocks").alias("n"))
     contest = (
         goals.join(in_blocks, "si")
@@ -142,22 +144,23 @@ def mix_sources(
         .withColumn("_seats", F.round(F.sum("_share").over(every)).cast("long"))
     )
     seats = apportion(contest, ["_all"], ["si"], "_share", "_seats", "_most").select("si", F.col("quota").alias("_seats"), "source_size", "target")
-    quotas = apportion(
-        held.join(seats, "si").withColumn("_most", F.col("blocks") * most), ["si"], ["shard"], "blocks", "_seats", "_most"
-    ).select("si", "shard", "words", "blocks", "source_size", "target", "quota")
+    bundles = held.groupBy("si", "bundle").agg(F.sum("blocks").alias("blocks")).join(seats, "si").withColumn("_most", F.col("blocks") * most)
+    bundled = apportion(bundles, ["si"], ["bundle"], "blocks", "_seats", "_most").select("si", "bundle", "source_size", "target", F.col("quota").alias("_seats"))
+    quotas = apportion(held.join(bundled, ["si", "bundle"]).withColumn("_most", F.col("blocks") * most), ["si", "bundle"], ["shard"], "blocks", "_seats", "_most")
+    quotas = quotas.select("si", "shard", "words", "blocks", "source_size", "target", "quota")
     quotas = cut(quotas)
 
-    line = Window.partitionBy("si", "shard").orderBy("_h", "doc_id", "key").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    line = Window.partitionBy("si", "shard").orderBy("_h", "doc_id", "key", "_copy").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     n, q = F.col("blocks"), F.col("quota")
     placed = (
         dealt.withColumn("_end", F.sum("size").over(line))
         .withColumn("_begin", F.col("_end") - F.col("size"))
         .join(quotas, ["si", "shard"])
-        .withColumn("_each", F.when(q > 0, F.floor(q / n)).otherwise(0).cast("long"))
+        .withColumn("_each", F.when(q > 0, F.floor(q / F.greatest(n, F.lit(1)))).otherwise(0).cast("long"))
         .withColumn("_more", q - F.col("_each") * n)
-        .withColumn("_len", F.expr("CASE WHEN blocks > 0 THEN words div blocks ELSE 0 END"))
+        .withColumn("_len", F.expr("CASE WHEN blocks > 0 THEN words div greatest(blocks, 1) ELSE 0 END"))
         .withColumn("_long", F.col("words") - F.col("_len") * n)
-        .withColumn("_from", F.when(n > 0, F.pmod(F.xxhash64(F.lit(seed + 2), "si", "shard"), n)).otherwise(0))
+        .withColumn("_from", F.when(n > 0, F.pmod(F.xxhash64(F.lit(seed + 2), "si", "shard"), F.greatest(n, F.lit(1)))).otherwise(0))
     )
     taken = _with_upto(_with_upto(placed, "_begin", "_before"), "_end", "_after")
     return taken.withColumn("taken", (F.col("_after") - F.col("_before")).cast("long")).select(
@@ -166,7 +169,8 @@ def mix_sources(
 
 
 def _div(a: Column, b: Column) -> Column:
-    """Whole quotient of longs that aren't negative."""
+    """Whole quotient of longs that aren't negative; b is taken as 1 at least."""
+    b = F.greatest(b, F.lit(1).cast("long"))
     return F.round((a - F.pmod(a, b)) / b).cast("long")
 
 
