@@ -1,9 +1,9 @@
 """Substring dedup by sliding sentence spans.
 
-A text is cut into sentences. The shortest run of several sentences with enough words that starts at a sentence is a
-span, and so is the shortest one that ends at it. Together they cover every sentence of every run of that size. Spans are compared by hash over the whole corpus, and every sentence that lies in a span which is not that span's first
-place goes. Sentences without stops are cut at words chosen by their own hash, so that a passage is cut alike wherever it
-stands.
+A text is cut into sentences. Every run of three sentences is a span, whatever its words, and so is a run of two that has
+PAIR_WORDS words; longer runs repeat where these do. Spans are compared by hash over the whole corpus, and every sentence that
+lies in a span which is not that span's first place goes. Sentences without stops are cut at words chosen by their own hash,
+so that a passage is cut alike wherever it stands.
 
 Only hashes and places are shuffled to compare spans: a hot passage is counted in part on every task, and each of its
 places then meets one row, its first place.
@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 from varloom.llm.common import read_table, row_key, stored
 from varloom.llm.shingles import mix, word_places
 
-#: A span has so many sentences and words at least.
-SENTENCES, WORDS = 2, 20
+#: Sentences of a span, and words of one that has but two; 0: however few, and pairs alone cover all longer runs.
+SENTENCES, PAIR_WORDS = 3, 20
 #: A sentence is cut where it has so many words and the next word's hash allows it, one in CUT.
 LONG, CUT = 24, 4
 _U = np.uint64
@@ -66,7 +66,7 @@ def _powers(n: int) -> list[np.ndarray]:
     return _kept
 
 
-def spans(pieces: list[str], least_sentences: int = SENTENCES, least_words: int = WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def spans(pieces: list[str], length: int = SENTENCES, pair_words: int = PAIR_WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """First piece, last piece and hash of each span; words count without case and white space."""
     places, w = word_places("".join(pieces))
     bounds = np.cumsum([len(p.encode("utf-8", "surrogatepass")) for p in pieces])
@@ -80,25 +80,22 @@ def spans(pieces: list[str], least_sentences: int = SENTENCES, least_words: int
     ends = np.cumsum(counts)[held]
     begins = ends - counts[held]
     at = np.arange(len(held))
-    last = np.maximum(np.searchsorted(ends, begins + least_words), at + least_sentences - 1)
-    first = np.minimum(np.searchsorted(begins, ends - least_words, side="right"), at - least_sentences + 2) - 1
-    ok = last < len(held)
-    # a run that is the shortest one both ways is one span
-    back = (first >= 0) & (last[first] != at)
-    first, last = np.concatenate([at[ok], first[back]]), np.concatenate([last[ok], at[back]])
+    pair = at[:-1][ends[1:] - begins[:-1] >= pair_words]
+    run = at[: max(0, len(held) - length + 1)] if pair_words else at[:0]
+    first, last = np.concatenate([run, pair]), np.concatenate([run + length - 1, pair + 1])
     a, b = begins[first], ends[last]
     name = mix((sums[b] - sums[a]) * unpower[a] + (b - a).astype(np.uint64))
     return held[first], held[last], name.view(np.int64)
 
 
-def find_spans(docs: DataFrame, least_sentences: int = SENTENCES, least_words: int = WORDS) -> DataFrame:
+def find_spans(docs: DataFrame, length: int = SENTENCES, pair_words: int = PAIR_WORDS) -> DataFrame:
     """doc_id, key, first, last, hash of every span of every row of docs; rows with equal doc_id and text have one key."""
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in parts:
             for at in range(0, len(pdf), 256):
                 some = pdf.iloc[at : at + 256]
-                found = [spans(sentences(t), least_sentences, least_words) for t in some["text"]]
+                found = [spans(sentences(t), length, pair_words) for t in some["text"]]
                 counts = [len(f[0]) for f in found]
                 first, last, name = (np.concatenate([f[i] for f in found]) for i in range(3))
                 ids = some[["doc_id", "key"]].iloc[np.repeat(np.arange(len(some)), counts)]
@@ -108,12 +105,12 @@ def find_spans(docs: DataFrame, least_sentences: int = SENTENCES, least_words: i
     return rows.mapInPandas(run, "doc_id long, key long, first int, last int, hash long")
 
 
-def repeated(docs: DataFrame, least_sentences: int = SENTENCES, least_words: int = WORDS) -> DataFrame:
+def repeated(docs: DataFrame, length: int = SENTENCES, pair_words: int = PAIR_WORDS) -> DataFrame:
     """key, first, last, of: every span that isn't the first of its hash, and the doc_id of the first.
 
     First: the smallest doc_id (null before all), then the smallest key, then the earliest place.
     """
-    found = find_spans(docs, least_sentences, least_words)
+    found = find_spans(docs, length, pair_words)
     place = F.struct("doc_id", "key", F.col("first"))
     # counted in part on every task; written, so that the join deals both sides anew and Spark can split a hot passage
     lead = stored(
@@ -127,7 +124,7 @@ def repeated(docs: DataFrame, least_sentences: int = SENTENCES, least_words: int
     return other.select("key", "first", "last", "of")
 
 
-def substring_dedup(docs: DataFrame, *, least_sentences: int = SENTENCES, least_words: int = WORDS) -> DataFrame:
+def substring_dedup(docs: DataFrame, *, length: int = SENTENCES, pair_words: int = PAIR_WORDS) -> DataFrame:
     """doc_id, text, n_sentences, n_removed, removed_words, first_docs, kept_text for every row of docs.
 
     kept_text is the text without the sentences of repeated spans; first_docs are the documents that keep them (the own
@@ -135,7 +132,7 @@ def substring_dedup(docs: DataFrame, *, least_sentences: int = SENTENCES, least_
     and all keep what it keeps; copies under other ids lose what the smallest id keeps. An empty table gives no rows.
     """
     gone = stored(
-        repeated(docs, least_sentences, least_words)
+        repeated(docs, length, pair_words)
         .groupBy("key")
         .agg(F.collect_set(F.struct("first", "last")).alias("gone"), F.sort_array(F.collect_set("of")).alias("first_docs"))
     )
