@@ -96,6 +96,9 @@ def _prefix_links(rest: DataFrame, diffs: Callable[[DataFrame], DataFrame], leas
     reach = F.floor((100 - least) * (F.col("size") + F.floor(F.col("size") * 100 / least)) / (100 + least))
     ranked = shared.join(sums, ["hub", "id"]).withColumn("rank", F.col("x") - F.col("_all") + F.col("_before") + 1).where(F.col("rank") <= reach + 1)
     rows = stored(ranked.join(rest, ["hub", "id"]).select("hub", "atom", "id", "c", "x", "size", "rank", "sketch", (F.col("rank") <= F.floor(reach / 2) + 1).alias("low")))
+    # an atom whose members all stand in one component joins nothing
+    mixed = rows.groupBy("hub", "atom").agg(F.min("c").alias("_x"), F.max("c").alias("_y")).where(F.col("_x") != F.col("_y")).select("hub", "atom")
+    rows = stored(rows.join(mixed, ["hub", "atom"], "left_semi"))
     names = ("id", "c", "x", "size", "rank", "sketch")
     big = rows.select("hub", "atom", *[F.col(c).alias(f"{c}_i") for c in names])
     low = rows.where("low").select("hub", "atom", *[F.col(c).alias(f"{c}_j") for c in names])
