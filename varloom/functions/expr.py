@@ -111,8 +111,8 @@ def passes(value: Column, least: int) -> Column:
 
 
 def most_severe(terms: Column) -> Column:
-    """The most severe known consequence of an &-joined list of terms, null if none is known."""
-    mapped = F.transform(F.split(terms, "&"), lambda t: lookup(SO_TERMS, F.trim(t)))
+    """The most severe known consequence of a list of terms joined by & or commas, null if none is known."""
+    mapped = F.transform(F.split(terms, "[&,]"), lambda t: lookup(SO_TERMS, F.trim(t)))
     order = F.array(*[F.lit(s) for s in SEVERITY])
     return F.get(F.filter(order, lambda s: F.array_contains(mapped, s)), F.lit(0))
 

@@ -58,6 +58,11 @@ def nmd_escaping(variants: DataFrame, exons: DataFrame, tail: int = 50, width: i
     return joined.select(*variants.columns, F.array_max(hits).alias("nmd_escaping"))
 
 
+def gene_spans(exons: DataFrame) -> DataFrame:
+    """chrom, gene, start_pos, end_pos: from the first base of a gene's exons on a chromosome to the last."""
+    return exons.where(F.col("gene").isNotNull()).groupBy("chrom", "gene").agg(F.min("start_pos").alias("start_pos"), F.max("end_pos").alias("end_pos"))
+
+
 def select_transcript(exons: DataFrame) -> DataFrame:
     """gene, transcript_id, n (its exons): one per gene, by tags first (MANE Select, MANE Plus Clinical, APPRIS principal, basic), then exons, then name."""
     tags = ("mane_select", "mane_plus_clinical", "appris_principal", "basic")
@@ -177,6 +182,21 @@ def load_curation(validity: DataFrame, dosage: DataFrame) -> DataFrame:
     return joined.select("gene", "disease_id", moi.alias("mode_of_inheritance"), "hi_score", "ts_score", F.col("hi_score").isin(3, 30).alias("lof_mechanism"), F.col("classification").alias("gene_disease_validity"))
 
 
+def dosage_sets(dosage: DataFrame) -> DataFrame:
+    """gene, hi, ts: genes of the whole dosage feed that are sensitive to loss or gain, by its words, whatever else is known of them.
+
+    dosage: gene, haploinsufficiency, triplosensitivity; a gene of several rows is sensitive if one says so.
+    """
+    says = lambda c: F.coalesce(F.lower(F.trim(c)).startswith("sufficient evidence"), F.lit(False))
+    return dosage.where(F.col("gene").isNotNull()).groupBy("gene").agg(F.bool_or(says("haploinsufficiency")).alias("hi"), F.bool_or(says("triplosensitivity")).alias("ts"))
+
+
+def gene_modes(curation: DataFrame) -> DataFrame:
+    """gene, moi: a gene's modes of inheritance, each once, sorted and joined by commas; null ones and '' say nothing."""
+    said = curation.where(F.coalesce("mode_of_inheritance", F.lit("")) != "")
+    return said.groupBy("gene").agg(F.array_join(F.array_sort(F.collect_set("mode_of_inheritance")), ",").alias("moi"))
+
+
 def splice_max_delta(text: Column) -> Column:
     """The largest of the four deltas in ALT|SYMBOL|d|d|d|d|...; a field that is no number counts as 0, no text as 0."""
     fields = F.slice(F.split(F.coalesce(text, F.lit("")), r"\|"), 3, 4)

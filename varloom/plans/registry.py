@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from varloom.functions import expr
-from varloom.operators import annotate, case, evidence, family, intervals, kernel, store, text
+from varloom.operators import annotate, case, evidence, family, intervals, kernel, ledger, phenotype, store, text
 from varloom.plans.views import Views, with_views
 from varloom.sources import readers
 
@@ -22,13 +22,12 @@ _QUERIES: dict[str, Query] = {}
 _SQL: dict[str, str] = {}
 
 
-def query(sql: str, keep: tuple[str, ...] = ()) -> Callable[[Callable], Callable]:
-    """Registers f(v), where v(name) is a view, under its name, with the SQL that gives the same rows; keep: views to cache, as f reads them often."""
+def query(sql: str) -> Callable[[Callable], Callable]:
+    """Registers f(v), where v(name) is a view, under its name, with the SQL that gives the same rows."""
 
     def add(f: Callable) -> Callable:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            views = Views(spark, sf_dir, keep)
-            return views.kept(f(views))
+            return f(Views(spark, sf_dir))
 
         _QUERIES[f.__name__] = run
         _SQL[f.__name__] = with_views(sql)
@@ -259,9 +258,15 @@ def curated_panel(v):
     return v("gene_curation").where(F.col("gene_disease_validity").isin("Definitive", "Strong", "Moderate")).select("gene").distinct()
 
 
-@query("""SELECT gene, string_agg(DISTINCT mode_of_inheritance, ',' ORDER BY mode_of_inheritance) AS moi, bool_or(coalesce(hi_score = 3, false)) AS hi FROM {gene_curation} GROUP BY gene""")
+_SETS = "(SELECT gene, bool_or(coalesce(lower(trim(haploinsufficiency)) LIKE 'sufficient evidence%', false)) AS hi, bool_or(coalesce(lower(trim(triplosensitivity)) LIKE 'sufficient evidence%', false)) AS ts FROM {dosage} GROUP BY gene)"
+_MODES = "(SELECT gene, string_agg(DISTINCT mode_of_inheritance, ',' ORDER BY mode_of_inheritance) AS moi FROM {gene_curation} WHERE coalesce(mode_of_inheritance, '') <> '' GROUP BY gene)"
+
+
+@query(f"SELECT coalesce(m.gene, s.gene) AS gene, m.moi, coalesce(s.hi, false) AS hi, coalesce(s.ts, false) AS ts FROM {_MODES} m FULL JOIN {_SETS} s ON m.gene = s.gene")
 def gene_sets(v):
-    return v("gene_curation").groupBy("gene").agg(F.array_join(F.array_sort(F.collect_set("mode_of_inheritance")), ",").alias("moi"), F.bool_or(F.coalesce(F.col("hi_score") == 3, F.lit(False))).alias("hi"))
+    """Modes from the curation, dosage sets from the whole feed, which has genes of its own."""
+    both = evidence.gene_modes(v("gene_curation")).join(evidence.dosage_sets(v("dosage")), "gene", "full")
+    return both.select("gene", "moi", F.coalesce("hi", F.lit(False)).alias("hi"), F.coalesce("ts", F.lit(False)).alias("ts"))
 
 
 # ---- calls and families -----------------------------------------------------------------------------------------------
@@ -271,7 +276,7 @@ _CARRIED = f"(SELECT * FROM {{calls}} WHERE {_GOOD} AND gt NOT IN ('0/0', '0|0')
 _PEDIGREE = """(SELECT family_id, coalesce(max(case_id) FILTER (proband_status = 'proband'), max(case_id) FILTER (proband_status = 'single_member_case'), max(case_id) FILTER (proband_status = 'unclear_multi_affected'),
   max(case_id) FILTER (proband_status = 'unclear'), max(case_id) FILTER (relationship IN ('proband_child', 'proband_son', 'affected_son', 'child', 'affected_child'))) AS proband_id,
   max(case_id) FILTER (relationship = 'mother') AS mother_id, max(case_id) FILTER (relationship IN ('father', 'affected_father')) AS father_id, max(family_size) AS family_size,
-  bool_or(proband_status IN ('unclear', 'unclear_multi_affected')) AND NOT bool_or(proband_status = 'proband') AS proband_ambiguous FROM {calls} GROUP BY family_id)"""
+  bool_or(proband_status IN ('unclear', 'unclear_multi_affected')) AND NOT bool_or(proband_status = 'proband') AS proband_ambiguous FROM {members} GROUP BY family_id)"""
 _DE_NOVO = f"""(SELECT p.family_id, p.proband_id, c.variant_key, c.gene FROM {_CARRIED} c JOIN {_PEDIGREE} p ON c.case_id = p.proband_id
 WHERE EXISTS (SELECT 1 FROM {{calls}} m WHERE {_GOOD} AND m.case_id = p.mother_id AND m.variant_key = c.variant_key AND m.gt IN ('0/0', '0|0'))
   AND EXISTS (SELECT 1 FROM {{calls}} f WHERE {_GOOD} AND f.case_id = p.father_id AND f.variant_key = c.variant_key AND f.gt IN ('0/0', '0|0')))"""
@@ -283,11 +288,13 @@ _SHARED = f"(SELECT family_id, variant_key, min(gene) AS gene, count(DISTINCT ca
 
 
 def _pedigree(v):
-    return family.pedigree_from_labels(v("calls"))
+    return family.pedigree_from_labels(v("members"))
 
 
-def _shared(v):
-    return family.shared_homozygous(v("calls"), HET_LABELS, SHARED_STATUS)
+def _trios(v):
+    if "_trios" not in v.built:
+        v.built["_trios"] = family.trios(v("calls"), _pedigree(v), HET_LABELS, SHARED_STATUS)
+    return v.built["_trios"]
 
 
 @query("SELECT chrom || '-' || CAST(pos AS STRING) || '-A-' || CASE WHEN pos % 5 = 0 THEN 'GT' ELSE 'G' END AS variant_key, case_id, family_id, relationship, chrom, pos, CASE WHEN pos % 5 = 0 THEN 'indel' ELSE 'snv' END AS variant_kind, gt, gq, dp, CAST(NULL AS INT) AS phase_set FROM {sample_call}")
@@ -351,36 +358,36 @@ def ped_proband(v):
     return family.pedigree_from_ped(v("ped"))
 
 
-@query("SELECT c.case_id, c.variant_key, coalesce(p.family_id, 'none') AS family_id FROM {calls} c LEFT JOIN (SELECT * FROM {ped} WHERE affected = 2) p ON c.case_id = p.individual_id")
+@query("SELECT c.case_id, c.variant_key, coalesce(p.family_id, 'none') AS family_id FROM {calls} c LEFT JOIN {ped} p ON c.case_id = p.individual_id")
 def ped_backfill(v):
-    return family.ped_backfill(v("calls").withColumn("family_id", F.lit("none")), v("ped").where("affected = 2")).select("case_id", "variant_key", "family_id")
+    return family.ped_backfill(v("calls").withColumn("family_id", F.lit("none")), v("ped")).select("case_id", "variant_key", "family_id")
 
 
-@query(f"SELECT * FROM {_DE_NOVO}", keep=("sample_call",))
+@query(f"SELECT * FROM {_DE_NOVO}")
 def de_novo(v):
-    return family.de_novo(v("calls"), _pedigree(v))
+    return family.de_novo(_trios(v))
 
 
-@query(f"WITH {_ORIGIN} SELECT * FROM {_COMPOUND}", keep=("sample_call",))
+@query(f"WITH {_ORIGIN} SELECT * FROM {_COMPOUND}")
 def compound_het(v):
-    return family.compound_het(v("calls"), _pedigree(v))
+    return family.compound_het(_trios(v))
 
 
 @query(f"SELECT * FROM {_SHARED}")
 def affected_shared_hom(v):
-    return _shared(v)
+    return family.shared_homozygous(_trios(v))
 
 
 @query(f"""SELECT s.family_id, s.variant_key, s.gene, s.n_affected_hom, k.variant_key IS NOT NULL AS asserted, f.af FROM {_SHARED} s LEFT JOIN (SELECT DISTINCT variant_key FROM {{classes}} WHERE acmg_class = 'Pathogenic') k ON s.variant_key = k.variant_key
 LEFT JOIN (SELECT variant_key, CAST(max(total_points) AS DOUBLE) / 20 AS af FROM {{classes}} WHERE total_points > 0 GROUP BY variant_key) f ON s.variant_key = f.variant_key WHERE k.variant_key IS NOT NULL OR f.af IS NULL OR f.af < 0.2""")
 def sweep_multiplex(v):
     k = v("classes")
-    return family.sweep_multiplex(_shared(v), k.where("acmg_class = 'Pathogenic'"), k.where("total_points > 0").select("variant_key", (F.col("total_points") / 20).alias("af")), 0.2)
+    return family.sweep_multiplex(affected_shared_hom(v), k.where("acmg_class = 'Pathogenic'"), k.where("total_points > 0").select("variant_key", (F.col("total_points") / 20).alias("af")), 0.2)
 
 
-@query(f"SELECT family_id, variant_key, max(b) AS boost FROM (SELECT family_id, variant_key, 1.0::DOUBLE AS b FROM {_DE_NOVO} UNION ALL SELECT family_id, variant_key, 0.7::DOUBLE FROM {_SHARED}) GROUP BY ALL", keep=("sample_call",))
+@query(f"SELECT family_id, variant_key, max(b) AS boost FROM (SELECT family_id, variant_key, 1.0::DOUBLE AS b FROM {_DE_NOVO} UNION ALL SELECT family_id, variant_key, 0.7::DOUBLE FROM {_SHARED}) GROUP BY ALL")
 def segregation_boosts(v):
-    return family.segregation_boosts(de_novo(v), _shared(v))
+    return family.segregation_boosts(de_novo(v), affected_shared_hom(v))
 
 
 _STRUCTURE = """(SELECT p.individual_id, CASE WHEN (f OR m) AND n >= 4 THEN 'quad' WHEN f AND m THEN 'trio' WHEN f OR m THEN 'duo' WHEN a >= 2 THEN 'multiplex' ELSE 'singleton' END AS structure FROM (
@@ -401,10 +408,10 @@ _FACTS = f"""facts AS (SELECT l.case_id, l.variant_key, 'PS2' AS criterion FROM
 
 
 def _facts(v):
-    return case.pedigree_facts(v("case_variants"), de_novo(v), compound_het(v), _shared(v), v("moi"))
+    return case.pedigree_facts(v("case_variants"), de_novo(v), compound_het(v), affected_shared_hom(v), v("moi"))
 
 
-@query(f"WITH {_ORIGIN}, {_FACTS} SELECT * FROM facts", keep=("sample_call", "case_variants", "moi"))
+@query(f"WITH {_ORIGIN}, {_FACTS} SELECT * FROM facts")
 def pedigree_facts(v):
     return _facts(v)
 
@@ -440,11 +447,19 @@ def coding_scope(v):
     return v("annotations").where(F.col("consequence") != "intron").select("variant_key").union(v("clinvar").where("clnsig = 'Pathogenic'").select("variant_key")).distinct()
 
 
-@query("SELECT *, row_number() OVER (PARTITION BY chrom ORDER BY pos, variant_key) AS nth FROM (SELECT variant_key, split_part(variant_key, '-', 1) AS chrom, CAST(split_part(variant_key, '-', 2) AS BIGINT) AS pos FROM {annotations})")
+@query("SELECT *, row_number() OVER (ORDER BY TRY_CAST(chrom AS INT) NULLS LAST, chrom, pos, variant_key) AS nth FROM (SELECT variant_key, split_part(variant_key, '-', 1) AS chrom, CAST(split_part(variant_key, '-', 2) AS BIGINT) AS pos FROM {annotations})")
 def genomic_sort(v):
     return intervals.genomic_rank(_loci(v))
 
 
+@query("""SELECT v.variant_key, v.transcript_id, v.pos, g.gene, g.start_pos, g.end_pos FROM {nmd_variants} v JOIN (SELECT transcript_id, gene, min(start_pos) AS start_pos, max(end_pos) AS end_pos FROM {exon} GROUP BY ALL) g
+ON v.transcript_id = g.transcript_id AND v.pos BETWEEN g.start_pos - 100 AND g.end_pos + 100""")
+def gene_span_join(v):
+    """Variants in the spans of genes, from the first to the last exon."""
+    spans = evidence.gene_spans(v("exon").withColumnRenamed("transcript_id", "chrom"))
+    return intervals.span_join(v("nmd_variants").withColumnRenamed("transcript_id", "chrom"), spans, 100).withColumnRenamed("chrom", "transcript_id")
+
+
 # ---- the store --------------------------------------------------------------------------------------------------------
 
 
@@ -571,12 +586,12 @@ def _structures(v):
     return family.case_structure(v("ped")).withColumnRenamed("individual_id", "case_id")
 
 
-@query(f"SELECT case_id, variant_key, gene, zygosity, genotype_fit FROM {_FIT}", keep=("sample_call", "case_variants", "moi"))
+@query(f"SELECT case_id, variant_key, gene, zygosity, genotype_fit FROM {_FIT}")
 def genotype_fit(v):
     return case.genotype_fit(v("case_variants"), v("moi")).select("case_id", "variant_key", "gene", "zygosity", "genotype_fit")
 
 
-@query(f"WITH {_ORIGIN}, {_FACTS}, {_FOLDED} SELECT * FROM folded", keep=("sample_call", "case_variants", "moi"))
+@query(f"WITH {_ORIGIN}, {_FACTS}, {_FOLDED} SELECT * FROM folded")
 def classify_case(v):
     done = case.classify_case(v("case_variants"), _facts(v), _structures(v))
     return done.select("case_id", "variant_key", "gene", "acmg_class", F.col("case_points").cast("int").alias("case_points"), "case_criteria", F.col("case_total_points").cast("int").alias("case_total_points"), "case_class")
@@ -584,7 +599,7 @@ def classify_case(v):
 
 @query("SELECT gene, hpo_id FROM {edges}")
 def gene_phenotype_edges(v):
-    return case.phenotype_edges(v("part").select(F.col("p_brand").alias("subject_label"), F.concat(F.lit("HP:"), (F.col("p_partkey") % 1999).cast("string")).alias("object")))
+    return case.phenotype_edges(v("part").select(F.col("p_brand").alias("subject_label"), F.concat(F.lit("HP:"), F.floor(F.col("p_partkey") / 4).cast("string")).alias("object")))
 
 
 _IC = "(SELECT hpo_id, -log2(CAST(count(DISTINCT gene) AS DOUBLE) / (SELECT count(DISTINCT gene) FROM {edges})) AS ic FROM {edges} WHERE hpo_id IN (SELECT hpo_id FROM {patient_terms}) GROUP BY hpo_id)"
@@ -611,7 +626,7 @@ _RERANKED = f"""(SELECT *, 0.5 * phenotype_norm + 0.4 * pathogenicity AS combine
   FROM {{case_variants}} c LEFT JOIN {_SCORES} s ON c.case_id = s.case_id AND c.gene = s.gene))"""
 
 
-@query(f"SELECT case_id, variant_key, round(phenotype_norm, 6) AS phenotype_norm, round(combined_score, 6) AS combined_score FROM {_RERANKED}", keep=("sample_call", "case_variants", "moi"))
+@query(f"SELECT case_id, variant_key, round(phenotype_norm, 6) AS phenotype_norm, round(combined_score, 6) AS combined_score FROM {_RERANKED}")
 def rerank(v):
     return case.rerank(v("case_variants"), _scores(v)).select("case_id", "variant_key", F.round("phenotype_norm", 6).alias("phenotype_norm"), F.round("combined_score", 6).alias("combined_score"))
 
@@ -632,12 +647,12 @@ def _candidates(v):
     return case.candidate_table(snv.join(scores, ["case_id", "gene"], "left"), cnv.join(scores, ["case_id", "gene"], "left"), named)
 
 
-@query(f"SELECT case_id, candidate_id, kind, gene, acmg_class, tier AS class_tier, genotype_fit, round(combined_score, 6) AS combined_score FROM {_CANDIDATES}", keep=("sample_call", "case_variants", "moi"))
+@query(f"SELECT case_id, candidate_id, kind, gene, acmg_class, tier AS class_tier, genotype_fit, round(combined_score, 6) AS combined_score FROM {_CANDIDATES}")
 def candidate_rank(v):
     return _candidates(v).select("case_id", "candidate_id", "kind", "gene", "acmg_class", "class_tier", "genotype_fit", F.round("combined_score", 6).alias("combined_score"))
 
 
-@query(f"SELECT case_id, candidate_id, r AS rank FROM (SELECT *, row_number() OVER (PARTITION BY case_id ORDER BY round(combined_score, 6) DESC, candidate_id) AS r FROM {_CANDIDATES}) WHERE r <= 3", keep=("sample_call", "case_variants", "moi"))
+@query(f"SELECT case_id, candidate_id, r AS rank FROM (SELECT *, row_number() OVER (PARTITION BY case_id ORDER BY round(combined_score, 6) DESC, candidate_id) AS r FROM {_CANDIDATES}) WHERE r <= 3")
 def top_n_per_case(v):
     ranked = _candidates(v).drop("rank").withColumn("combined_score", F.round("combined_score", 6))
     order = case.Window.partitionBy("case_id").orderBy(F.desc("combined_score"), "candidate_id")
@@ -647,7 +662,7 @@ def top_n_per_case(v):
 _BIALLELIC = "(zygosity = 'hom' OR count(DISTINCT CASE WHEN acmg_class IN ('Pathogenic', 'Likely Pathogenic') THEN variant_key END) OVER (PARTITION BY case_id, gene) >= 2)"
 
 
-@query(f"SELECT case_id, variant_key, gene, {_BIALLELIC} AS biallelic FROM {{case_variants}}", keep=("sample_call", "case_variants", "moi"))
+@query(f"SELECT case_id, variant_key, gene, {_BIALLELIC} AS biallelic FROM {{case_variants}}")
 def biallelic_flag(v):
     return case.biallelic_flag(v("case_variants")).select("case_id", "variant_key", "gene", "biallelic")
 
@@ -664,13 +679,13 @@ def _triaged(v):
     return case.triage(rows)
 
 
-@query(f"SELECT case_id, variant_key, acmg_class, decision, review FROM {_TRIAGED}", keep=("sample_call", "case_variants", "moi"))
+@query(f"SELECT case_id, variant_key, acmg_class, decision, review FROM {_TRIAGED}")
 def triage(v):
     return _triaged(v).select("case_id", "variant_key", "acmg_class", "decision", "review")
 
 
 @query(f"""SELECT case_id, decision AS go, variant_key AS lead, CASE WHEN decision = 'not_enough_evidence' THEN 'targeted' ELSE review END AS human_review FROM (SELECT *, row_number() OVER (PARTITION BY case_id
-ORDER BY CASE decision WHEN 'reportable' THEN 2 WHEN 'mixed' THEN 1 ELSE 0 END DESC, round(combined_score, 6) DESC, variant_key) AS r FROM {_TRIAGED}) WHERE r = 1""", keep=("sample_call", "case_variants", "moi"))
+ORDER BY CASE decision WHEN 'reportable' THEN 2 WHEN 'mixed' THEN 1 ELSE 0 END DESC, round(combined_score, 6) DESC, variant_key) AS r FROM {_TRIAGED}) WHERE r = 1""")
 def case_decision(v):
     return case.case_decision(_triaged(v).withColumn("combined_score", F.round("combined_score", 6)))
 
@@ -678,19 +693,19 @@ def case_decision(v):
 _TIER = "CASE {0} WHEN 'Pathogenic' THEN 5 WHEN 'Likely Pathogenic' THEN 4 WHEN 'VUS' THEN 3 WHEN 'Likely Benign' THEN 2 WHEN 'Benign' THEN 1 ELSE -1 END"
 _DIFF = f"""(SELECT coalesce(c.variant_key, p.variant_key) AS variant_key, p.acmg_class AS prior_class, c.acmg_class AS current_class, CASE WHEN c.variant_key IS NULL THEN 'dropped' WHEN p.acmg_class IS NULL THEN 'new'
   WHEN {_TIER.replace('{0}', 'c.acmg_class')} > {_TIER.replace('{0}', 'p.acmg_class')} THEN 'upgraded' WHEN {_TIER.replace('{0}', 'c.acmg_class')} < {_TIER.replace('{0}', 'p.acmg_class')} THEN 'downgraded' ELSE 'unchanged' END AS status
-FROM (SELECT * FROM {{classes}} WHERE total_points % 7 <> 0) c FULL JOIN (SELECT * FROM {{prior}} WHERE acmg_class IS NOT NULL) p ON c.variant_key = p.variant_key)"""
+FROM (SELECT * FROM {{classes}} WHERE acmg_class <> 'Likely Benign') c FULL JOIN (SELECT * FROM {{prior}} WHERE acmg_class IS NOT NULL) p ON c.variant_key = p.variant_key)"""
 
 
 def _diff(v):
-    return case.reanalysis_diff(v("classes").where("total_points % 7 <> 0"), v("prior"))
+    return case.reanalysis_diff(v("classes").where("acmg_class <> 'Likely Benign'"), v("prior"))
 
 
-@query(f"SELECT * FROM {_DIFF}", keep=("classes",))
+@query(f"SELECT * FROM {_DIFF}")
 def reanalysis_diff(v):
     return _diff(v)
 
 
-@query(f"SELECT * FROM {_DIFF} WHERE status IN ('new', 'upgraded') AND current_class IN ('Pathogenic', 'Likely Pathogenic')", keep=("classes",))
+@query(f"SELECT * FROM {_DIFF} WHERE status IN ('new', 'upgraded') AND current_class IN ('Pathogenic', 'Likely Pathogenic')")
 def newly_reportable(v):
     return case.newly_reportable(_diff(v))
 
@@ -725,7 +740,7 @@ def referral_genes(v):
 
 
 _TERM_CASE = " ".join(f"WHEN '{k}' THEN '{s}'" for k, s in expr.SO_TERMS.items())
-_SEVERE = f"(SELECT list_filter({list(expr.SEVERITY)}, lambda s: list_contains(list_transform(string_split(consequence, '&'), lambda t: CASE t {_TERM_CASE} END), s))[1])"
+_SEVERE = f"(SELECT list_filter({list(expr.SEVERITY)}, lambda s: list_contains(list_transform(regexp_split_to_array(consequence, '[&,]'), lambda t: CASE trim(t) {_TERM_CASE} END), s))[1])"
 
 
 @query(f"SELECT consequence AS terms, {_SEVERE} AS consequence, count(*) AS n FROM {{vep}} GROUP BY ALL")
@@ -774,9 +789,55 @@ def annotate_pipeline(v):
     return done.select("variant_key", "gene", "consequence", "filtering_af", "gnomad_mis_z", "loeuf", "nmd_escaping", "clinvar_same_aa", "clinvar_same_codon_lp", "pm1")
 
 
+_PIECES = "regexp_extract_all({0}, '[A-Za-z0-9_]+|[^A-Za-z0-9_]+')"
+_MENTIONS = f"""(SELECT note_id, "at", hpo_id, array_to_string(t, '') AS span FROM (SELECT doc_id AS note_id, i AS "at", list_slice(x, i + 1, i + 3) AS t FROM (SELECT doc_id, x, unnest(range(0, len(x))) AS i FROM (SELECT doc_id, {_PIECES.replace('{0}', "coalesce(text, '')")} AS x FROM {{documents}})))
+  JOIN {{phrases}} ON len(t) = 3 AND lower(array_to_string(t, '')) = phrase)"""
+_OFFERED = f"""(SELECT note_id, CAST(note_id AS STRING) || ':' || lpad(CAST(i AS STRING), 4, '0') AS candidate_id, "at", span, hpo_id FROM (SELECT *, row_number() OVER (PARTITION BY note_id ORDER BY "at", hpo_id, span) - 1 AS i
+  FROM (SELECT note_id, hpo_id, min("at") AS "at", arg_min(span, "at") AS span FROM {_MENTIONS} GROUP BY note_id, hpo_id, lower(span))))"""
+
+
+def _notes(v):
+    return v("documents").select(F.col("doc_id").alias("note_id"), "text")
+
+
+@query(f"SELECT * FROM {_MENTIONS}")
+def phrase_mentions(v):
+    """Every mention of a dictionary's phrases in all notes; the dictionary grows with the notes."""
+    return phenotype.mentions(_notes(v), v("phrases"))
+
+
+@query(f"SELECT * FROM {_OFFERED}")
+def phrase_candidates(v):
+    return phenotype.candidates(_notes(v), v("phrases"))
+
+
+@query(f"""SELECT note_id, hpo_id, scope FROM (SELECT note_id, hpo_id, CASE "at" % 4 WHEN 0 THEN 'observed' WHEN 1 THEN 'family' WHEN 2 THEN 'excluded' ELSE 'none' END AS scope, row_number() OVER (PARTITION BY note_id, hpo_id ORDER BY "at") AS r FROM {_OFFERED}) WHERE r = 1 AND scope <> 'none'""")
+def adjudicated_terms(v):
+    """Terms by decisions: replies of a table's worth of notes, read and folded at once."""
+    offered = phenotype.candidates(_notes(v), v("phrases"))
+    turn = F.col("at") % 4
+    context = F.when(turn == 0, "patient").when(turn == 1, "family_history").when(turn == 2, "negated").otherwise("uncertain")
+    made = F.struct("at", F.struct("candidate_id", F.when(turn == 0, "keep").otherwise("drop").alias("decision"), context.alias("patient_context"), F.col("span").alias("evidence_span")).alias("d"))
+    listed = offered.groupBy("note_id").agg(F.array_sort(F.collect_list(made)).alias("m"))
+    said = listed.select("note_id", F.concat(F.lit("```json\n"), F.to_json(F.struct(F.transform("m", lambda x: x["d"]).alias("decisions"))), F.lit("\n```")).alias("reply"))
+    return phenotype.decided_terms(offered, phenotype.decisions(said))
+
+
 @query("SELECT digest, arg_max(event, struct_pack(ts := ts, id := event_id)) AS status FROM {ledger} GROUP BY digest")
 def ledger_latest_status(v):
-    return v("ledger").groupBy("digest").agg(F.max_by("event", F.struct("ts", "event_id")).alias("status"))
+    return ledger.latest(v("ledger"), F.struct("ts", "event_id"))
+
+
+_PROPOSALS = "(SELECT 'd' || CAST(c_custkey AS STRING) AS digest, CAST(c_custkey % 9 - 2 AS DOUBLE) AS points FROM {customer})"
+
+
+@query(f"""SELECT p.digest, coalesce(l.event, 'absent') AS status, CASE WHEN l.event = 'approval' THEN p.points ELSE 0 END AS counted FROM {_PROPOSALS} p LEFT JOIN (SELECT * FROM (SELECT digest, event, row_number() OVER (PARTITION BY digest
+  ORDER BY ts DESC, CASE event WHEN 'rejection' THEN 2 WHEN 'approval' THEN 1 ELSE 0 END DESC) AS r FROM {{ledger}}) WHERE r = 1) l ON p.digest = l.digest""")
+def gated_points(v):
+    """Points count where the last word of the ledger on their digest is approval."""
+    made = v("customer").select(F.concat(F.lit("d"), F.col("c_custkey").cast("string")).alias("digest"), (F.col("c_custkey") % 9 - 2).cast("double").alias("points"))
+    told = ledger.statuses(made, v("ledger"))
+    return told.select("digest", "status", F.when(F.col("status") == ledger.APPROVAL, F.col("points")).otherwise(0.0).alias("counted"))
 
 
 @query("SELECT p_partkey, p_brand, p_size FROM {part} WHERE p_size > 25 AND p_brand <> 'Brand#13'")

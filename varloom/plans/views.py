@@ -33,9 +33,9 @@ UNION ALL SELECT 'Brand#11', CAST(NULL AS DOUBLE), CAST(0.02 AS DOUBLE), CAST(0.
     "frequency": """
 SELECT CAST(p_partkey % 22 + 1 AS STRING) || '-' || CAST(100000 + p_partkey * 37 AS STRING) || '-A-G' AS variant_key,
   CASE WHEN p_size % 2 = 0 THEN 'afr' ELSE 'nfe' END AS population, CAST(p_partkey * 31 % 1000 AS DOUBLE) / 10000 AS af, CAST(p_size * 100 AS BIGINT) AS an
-FROM {part} WHERE p_partkey % 11 = 0""",
+FROM {part}""",
     "exceptions": """
-SELECT CAST(p_partkey % 22 + 1 AS STRING) || '-' || CAST(100000 + p_partkey * 37 AS STRING) || '-A-G' AS variant_key FROM {part} WHERE p_partkey % 10 = 3 AND p_partkey % 9 = 0""",
+SELECT CAST(p_partkey % 22 + 1 AS STRING) || '-' || CAST(100000 + p_partkey * 37 AS STRING) || '-A-G' AS variant_key FROM {part} WHERE p_size = 13""",
     "gene_curation": """
 SELECT gene, 'D1' AS disease_id, CASE n % 3 WHEN 0 THEN 'AD' WHEN 1 THEN 'AR' ELSE 'XL' END AS mode_of_inheritance,
   CASE n % 5 WHEN 0 THEN 3 WHEN 1 THEN 30 WHEN 2 THEN 0 WHEN 3 THEN NULL ELSE 40 END AS hi_score, n % 5 IN (0, 1) AS lof_mechanism,
@@ -55,14 +55,18 @@ SELECT case_id, family_id, relationship, proband_status, family_size, 'snv' AS v
     SELECT 'C' || CAST(o_custkey AS STRING) AS case_id, 'F' || CAST(CAST(floor(o_custkey / 3) AS BIGINT) AS STRING) AS family_id,
       CASE o_custkey % 3 WHEN 0 THEN 'child' WHEN 1 THEN 'mother' ELSE 'affected_father' END AS relationship,
       CASE WHEN o_custkey % 3 = 0 THEN 'proband' WHEN o_custkey % 3 = 2 AND o_custkey % 5 = 0 THEN 'unclear' ELSE 'relative' END AS proband_status, 3 AS family_size,
-      CAST(l_partkey % 60 % 22 + 1 AS STRING) || '-' || CAST(1000 + l_partkey % 60 AS STRING) || '-A-G' AS variant_key,
-      CAST(l_partkey % 60 % 22 + 1 AS STRING) AS chrom, CAST(1000 + l_partkey % 60 AS BIGINT) AS pos,
-      'Brand#' || CAST(CAST(floor(l_partkey % 60 / 6) AS BIGINT) + 11 AS STRING) AS gene,
+      CAST((60 * CAST(floor(o_custkey / 15) AS BIGINT) + l_partkey % 60) % 22 + 1 AS STRING) || '-' || CAST(1000 + (60 * CAST(floor(o_custkey / 15) AS BIGINT) + l_partkey % 60) AS STRING) || '-A-G' AS variant_key,
+      CAST((60 * CAST(floor(o_custkey / 15) AS BIGINT) + l_partkey % 60) % 22 + 1 AS STRING) AS chrom, CAST(1000 + (60 * CAST(floor(o_custkey / 15) AS BIGINT) + l_partkey % 60) AS BIGINT) AS pos,
+      'Brand#' || CAST(CAST(floor((60 * CAST(floor(o_custkey / 15) AS BIGINT) + l_partkey % 60) / 6) AS BIGINT) % 45 + 11 AS STRING) AS gene,
       CASE WHEN l_returnflag = 'A' THEN '0/1' WHEN l_returnflag = 'R' THEN '1/1' WHEN l_linestatus = 'O' THEN '0/0' ELSE './.' END AS gt,
       CAST(l_quantity AS INT) AS gq, CAST(10 + 5 * l_linenumber AS INT) AS dp, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_returnflag, l_linestatus
     FROM {orders} JOIN {lineitem} ON o_orderkey = l_orderkey) a) b WHERE rn = 1""",
     "calls": """
 SELECT * FROM {sample_call}""",
+    "members": """
+SELECT DISTINCT 'C' || CAST(o_custkey AS STRING) AS case_id, 'F' || CAST(CAST(floor(o_custkey / 3) AS BIGINT) AS STRING) AS family_id,
+  CASE o_custkey % 3 WHEN 0 THEN 'child' WHEN 1 THEN 'mother' ELSE 'affected_father' END AS relationship,
+  CASE WHEN o_custkey % 3 = 0 THEN 'proband' WHEN o_custkey % 3 = 2 AND o_custkey % 5 = 0 THEN 'unclear' ELSE 'relative' END AS proband_status, 3 AS family_size FROM {orders}""",
     "raw_loci": """
 SELECT CAST(l_partkey % 22 + 1 AS STRING) AS chrom, CAST(1000 + l_partkey AS BIGINT) AS pos, 'A' AS ref, CASE WHEN l_partkey % 3 = 0 THEN 'G' ELSE 'G,T' END AS alts FROM {lineitem}""",
     "ped": """
@@ -77,7 +81,7 @@ FROM {part} GROUP BY p_brand, p_size""",
 SELECT 'v' || CAST(p_partkey AS STRING) AS variant_key, p_brand AS gene, p_size AS protein_pos, substr('ACDEFGHIKLMNPQRSTVWY*', CAST(p_partkey % 21 + 1 AS INT), 1) AS alt_aa, substr('ACDEFGHIKLMNPQRSTVWY*', CAST(p_partkey % 20 + 2 AS INT), 1) AS ref_aa,
   CAST(1000 + p_partkey % 97 AS BIGINT) AS pos, CASE WHEN p_partkey % 3 = 0 THEN 1 ELSE 0 END AS is_plp FROM {part}""",
     "clinvar": """
-SELECT CAST(p_partkey % 500 % 22 + 1 AS STRING) || '-' || CAST(100000 + p_partkey % 500 * 37 AS STRING) || '-A-G' AS variant_key, p_brand AS gene,
+SELECT CAST(CAST(floor(p_partkey / 3) AS BIGINT) % 22 + 1 AS STRING) || '-' || CAST(100000 + CAST(floor(p_partkey / 3) AS BIGINT) * 37 AS STRING) || '-A-G' AS variant_key, p_brand AS gene,
   CASE p_partkey % 6 WHEN 0 THEN 'Pathogenic' WHEN 1 THEN 'Likely pathogenic' WHEN 2 THEN 'Uncertain significance' WHEN 3 THEN 'Conflicting classifications of pathogenicity' WHEN 4 THEN 'Benign' ELSE 'Pathogenic/Likely pathogenic' END AS clnsig,
   CASE p_size % 6 WHEN 0 THEN 'practice guideline' WHEN 1 THEN 'reviewed by expert panel' WHEN 2 THEN 'criteria provided, multiple submitters, no conflicts'
     WHEN 3 THEN 'criteria provided, conflicting classifications' WHEN 4 THEN 'criteria provided, single submitter' ELSE 'no assertion criteria provided' END AS review_status,
@@ -92,25 +96,26 @@ SELECT CAST(s_nationkey % 22 + 1 AS STRING) AS chrom, s_suppkey * 1000 AS start_
   CASE WHEN s_suppkey % 6 = 0 THEN '' ELSE 'Brand#' || CAST(s_suppkey % 25 + 11 AS STRING) || '; Brand#' || CAST(s_nationkey + 11 AS STRING) || '|Brand#' || CAST(s_suppkey % 10 + 20 AS STRING) END AS genes,
   'C' || CAST(s_suppkey % 50 * 3 AS STRING) AS case_id
 FROM {supplier}""",
-    "edges": "SELECT DISTINCT p_brand AS gene, 'HP:' || CAST(p_partkey % 1999 AS STRING) AS hpo_id FROM {part}",
+    "edges": "SELECT DISTINCT p_brand AS gene, 'HP:' || CAST(CAST(floor(p_partkey / 4) AS BIGINT) AS STRING) AS hpo_id FROM {part}",
     "patient_terms": """
-SELECT DISTINCT 'C' || CAST(o_custkey AS STRING) AS case_id, 'HP:' || CAST(l_partkey % 1999 AS STRING) AS hpo_id FROM {orders} JOIN {lineitem} ON o_orderkey = l_orderkey WHERE o_custkey % 3 = 0""",
+SELECT DISTINCT 'C' || CAST(o_custkey AS STRING) AS case_id, 'HP:' || CAST(CAST(floor(l_partkey / 4) AS BIGINT) AS STRING) AS hpo_id FROM {orders} JOIN {lineitem} ON o_orderkey = l_orderkey WHERE o_custkey % 3 = 0""",
     "classes": """
 SELECT v.variant_key, v.gene, CAST(v.h % 18 - 7 AS INT) AS total_points, CASE WHEN v.h % 13 = 0 THEN 'BA1' WHEN v.h % 5 = 0 THEN NULL ELSE 'PM2_Supporting' END AS criteria,
   CASE WHEN v.h % 13 = 0 THEN 'Benign' WHEN v.h % 18 - 7 >= 10 THEN 'Pathogenic' WHEN v.h % 18 - 7 >= 6 THEN 'Likely Pathogenic' WHEN v.h % 18 - 7 >= 0 THEN 'VUS' WHEN v.h % 18 - 7 >= -6 THEN 'Likely Benign' ELSE 'Benign' END AS acmg_class
-FROM (SELECT variant_key, min(gene) AS gene, CAST(min(pos) * 7 + 3 AS BIGINT) AS h FROM {calls} GROUP BY variant_key) v""",
+FROM (SELECT CAST(vid % 22 + 1 AS STRING) || '-' || CAST(1000 + vid AS STRING) || '-A-G' AS variant_key, 'Brand#' || CAST(CAST(floor(vid / 6) AS BIGINT) % 45 + 11 AS STRING) AS gene, (1000 + vid) * 7 + 3 AS h
+  FROM (SELECT 60 * b + i AS vid FROM (SELECT DISTINCT CAST(floor(c_custkey / 15) AS BIGINT) AS b FROM {customer}) x CROSS JOIN range(60) AS t(i)) y) v""",
     "moi": """
-SELECT DISTINCT gene, CASE CAST(substr(gene, 7) AS INT) % 4 WHEN 0 THEN 'AR' WHEN 1 THEN 'AD' WHEN 2 THEN 'AD,AR' ELSE NULL END AS moi FROM {calls}""",
+SELECT DISTINCT gene, CASE CAST(substr(gene, 7) AS INT) % 4 WHEN 0 THEN 'AR' WHEN 1 THEN 'AD' WHEN 2 THEN 'AD,AR' ELSE NULL END AS moi FROM {classes}""",
     "case_variants": """
 SELECT c.case_id, c.family_id, c.variant_key, c.gene, CASE WHEN c.gt IN ('1/1', '1|1') THEN 'hom' ELSE 'het' END AS zygosity, k.total_points, k.criteria, k.acmg_class
 FROM {calls} c JOIN {classes} k ON c.variant_key = k.variant_key WHERE c.relationship = 'child' AND c.gt IN ('0/1', '1/1') AND c.gq >= 20""",
-    "store_old": "SELECT variant_key, revel AS revel_score, CASE WHEN filtering_af IS NULL THEN NULL ELSE 'r1' END AS revel_release, spliceai AS splice_score, 'r1' AS splice_release FROM {annotations} WHERE CAST(revel * 1000 AS BIGINT) % 10 < 6 OR revel IS NULL",
-    "store_new": "SELECT variant_key, CASE WHEN cadd_phred > 20 THEN NULL ELSE revel + 1 END AS revel_score FROM {annotations} WHERE CAST(cadd_phred AS INT) % 3 = 0",
-    "prior": "SELECT variant_key, CASE WHEN total_points % 4 = 3 THEN NULL WHEN total_points % 3 = 0 THEN 'VUS' WHEN total_points % 3 = 1 THEN 'Likely Pathogenic' ELSE acmg_class END AS acmg_class FROM {classes} WHERE total_points % 5 <> 0",
-    "ledger": "SELECT 'd' || CAST(user_id AS STRING) AS digest, CASE event_type WHEN 'click' THEN 'propose' WHEN 'view' THEN 'approve' ELSE 'reject' END AS event, ts, event_id FROM {events}",
+    "store_old": "SELECT variant_key, revel AS revel_score, CASE WHEN filtering_af IS NULL THEN NULL ELSE 'r1' END AS revel_release, spliceai AS splice_score, 'r1' AS splice_release FROM {annotations} WHERE revel IS NULL OR revel >= 0.4",
+    "store_new": "SELECT variant_key, CASE WHEN cadd_phred > 20 THEN NULL ELSE revel + 1 END AS revel_score FROM {annotations} WHERE loeuf < 1.2",
+    "prior": "SELECT variant_key, CASE WHEN total_points % 4 = 3 THEN NULL WHEN total_points % 3 = 0 THEN 'VUS' WHEN total_points % 3 = 1 THEN 'Likely Pathogenic' ELSE acmg_class END AS acmg_class FROM {classes} WHERE criteria IS NOT NULL",
+    "ledger": "SELECT 'd' || CAST(user_id AS STRING) AS digest, CASE event_type WHEN 'click' THEN 'proposal' WHEN 'view' THEN 'approval' ELSE 'rejection' END AS event, ts, event_id FROM {events}",
     "vep": """
 SELECT CAST(p_partkey % 22 + 1 AS STRING) || '_' || CAST(100000 + p_partkey * 37 AS STRING) || '_A/G' AS uploaded, CAST(p_partkey AS STRING) AS location, p_brand AS symbol,
-  CASE p_size % 5 WHEN 0 THEN 'missense_variant&splice_region_variant' WHEN 1 THEN 'intron_variant' WHEN 2 THEN 'synonymous_variant&stop_gained' WHEN 3 THEN 'regulatory_region_variant' ELSE 'frameshift_variant' END AS consequence,
+  CASE WHEN p_partkey % 17 = 3 THEN 'stop_gained,splice_region_variant' WHEN p_partkey % 17 = 5 THEN 'intron_variant, missense_variant&NMD_transcript_variant' ELSE CASE p_size % 5 WHEN 0 THEN 'missense_variant&splice_region_variant' WHEN 1 THEN 'intron_variant' WHEN 2 THEN 'synonymous_variant&stop_gained' WHEN 3 THEN 'regulatory_region_variant' ELSE 'frameshift_variant' END END AS consequence,
   CASE WHEN p_partkey % 7 = 0 THEN '-' ELSE substr('ACDEFGHIKLMNPQRSTVWY', CAST(p_partkey % 20 + 1 AS INT), 1) || '/' || substr('CDEFGHIKLMNPQRSTVWY*A', CAST(p_partkey % 21 + 1 AS INT), 1) END AS amino_acids,
   CASE WHEN p_partkey % 11 = 0 THEN '-' ELSE CAST(p_size AS STRING) END AS protein_position, CASE WHEN p_partkey % 13 = 0 THEN '-' ELSE 'TX' || CAST(p_partkey % 22 + 1 AS STRING) END AS feature,
   CASE p_partkey % 4 WHEN 0 THEN '-' WHEN 1 THEN '0.5&0.1' WHEN 2 THEN '.' ELSE '0.001' END AS max_af, CASE p_partkey % 3 WHEN 0 THEN '-' ELSE '0.25' END AS gnomad_af, CASE p_partkey % 5 WHEN 0 THEN '-' ELSE 'AFR' END AS max_af_pop,
@@ -119,7 +124,12 @@ SELECT CAST(p_partkey % 22 + 1 AS STRING) || '_' || CAST(100000 + p_partkey * 37
 FROM {part}""",
     "vep_exon": """
 SELECT 'TX' || CAST(p_partkey % 22 + 1 AS STRING) AS transcript_id, CASE WHEN p_partkey % 2 = 0 THEN '+' ELSE '-' END AS strand,
-  CAST(100000 + p_partkey * 37 - p_size AS BIGINT) AS start_pos, CAST(100000 + p_partkey * 37 + 100 AS BIGINT) AS end_pos FROM {part} WHERE p_size > 20""",
+  CAST(100000 + p_partkey * 37 - p_size AS BIGINT) AS start_pos, CAST(100000 + p_partkey * 37 + 100 AS BIGINT) AS end_pos FROM {part}""",
+    "phrases": """
+SELECT phrase, 'HP:' || CAST(min(doc_id) AS STRING) AS hpo_id FROM (SELECT doc_id, regexp_extract(lower(text), '[a-z0-9_]+ [a-z0-9_]+', 0) AS phrase FROM {documents}) p WHERE phrase <> '' GROUP BY phrase""",
+    "dosage": """
+SELECT 'Brand#' || CAST(n AS STRING) AS gene, CASE n % 5 WHEN 0 THEN 'Sufficient evidence for dosage' WHEN 1 THEN 'Gene associated with autosomal recessive phenotype' WHEN 2 THEN ' no evidence available' WHEN 3 THEN NULL ELSE ' Sufficient Evidence' END AS haploinsufficiency,
+  CASE n % 3 WHEN 0 THEN 'sufficient evidence' WHEN 1 THEN 'Little evidence' ELSE NULL END AS triplosensitivity FROM (SELECT DISTINCT CAST(substr(p_brand, 7) AS INT) + j AS n FROM {part} CROSS JOIN range(2) AS t(j)) d""",
 }
 
 
@@ -128,30 +138,16 @@ def _uses(text: str) -> list[str]:
 
 
 class Views:
-    """The tables and views of one query, each built once; those to keep are cached by kept(), when the query's plan stands.
-
-    What the query before kept is let go, so that no more than one query's views stay in memory. Spark's SQL with frames as
-    arguments drops its names for them when it is done, and what is cached under them with these, so caching comes last.
-    """
+    """The tables and views of one query, each built once."""
 
-    _kept: list[DataFrame] = []
-
-    def __init__(self, spark: SparkSession, sf_dir: str, keep: tuple[str, ...] = ()) -> None:
-        self.spark, self.sf_dir, self.keep, self.built = spark, sf_dir, keep, {}
-        for df in Views._kept:
-            df.unpersist()
-        Views._kept = []
+    def __init__(self, spark: SparkSession, sf_dir: str) -> None:
+        self.spark, self.sf_dir, self.built = spark, sf_dir, {}
 
     def __call__(self, name: str) -> DataFrame:
         if name not in self.built:
-            df = table(self.spark, self.sf_dir, name) if name in TABLES else self.spark.sql(VIEWS[name], **{n: self(n) for n in _uses(VIEWS[name])})
-            self.built[name] = df
+            self.built[name] = table(self.spark, self.sf_dir, name) if name in TABLES else self.spark.sql(VIEWS[name], **{n: self(n) for n in _uses(VIEWS[name])})
         return self.built[name]
 
-    def kept(self, result: DataFrame) -> DataFrame:
-        Views._kept = [self.built[name].persist() for name in self.keep if name in self.built]
-        return result
-
 
 def _order(name: str, seen: dict[str, None]) -> dict[str, None]:
     for n in _uses(VIEWS[name]):
