@@ -42,6 +42,27 @@ def annotate_hybrid(rows: DataFrame, *, protein: DataFrame | None = None, codons
     return kernel_columns(done)
 
 
+def fill_site_scores(rows: DataFrame, scores: DataFrame, columns: tuple[str, ...] = ("filtering_af", "revel", "spliceai")) -> DataFrame:
+    """rows with gaps in the columns filled from a table of site scores (chrom, pos, ref, alt and any of the columns); own values stay.
+
+    Columns that neither side has are null, so the kernel abstains on them. A site that is told twice counts by its largest values.
+    """
+    key = F.concat_ws("-", F.regexp_replace(F.col("chrom").cast("string"), "^chr", ""), F.col("pos").cast("string"), "ref", "alt").alias("variant_key")
+    have = [c for c in columns if c in scores.columns]
+    sites = scores.select(key, *have).groupBy("variant_key").agg(*[F.max(F.col(c).cast("double")).alias(f"_s_{c}") for c in have]) if have else None
+    joined = rows if sites is None else rows.join(sites, "variant_key", "left")
+    own = lambda c: F.col(c) if c in rows.columns else F.lit(None).cast("double")
+    return joined.withColumns({c: F.coalesce(own(c), F.col(f"_s_{c}")) if c in have else own(c) for c in columns}).drop(*[f"_s_{c}" for c in have])
+
+
+def assemble_site_scores(loci: DataFrame, sources: dict[str, DataFrame | None], key: str = "variant_key") -> DataFrame:
+    """loci (chrom, pos, ref, alt, variant_key) with one column per source (variant_key, that column), null for a source that is absent; sorted by place."""
+    done = loci
+    for name, source in sources.items():
+        done = done.withColumn(name, F.lit(None).cast("double")) if source is None else done.join(source.select(key, name), key, "left")
+    return done.orderBy(F.col("chrom").try_cast("int").asc_nulls_last(), "chrom", "pos", "ref", "alt")
+
+
 def concordance(truth: DataFrame, classified: DataFrame) -> DataFrame:
     """truth (variant_key, truth: P/LP or B/LB) against the kernel's classes: truth, one column of counts per call, agreement and contradictions."""
     cls = F.col("acmg_class")

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from varloom.functions.expr import GENOTYPE_BOOST, PATHOGENICITY, TIERS, band, is_dominant, is_recessive, lookup
+from varloom.functions.expr import GENOTYPE_BOOST, PATHOGENICITY, TIERS, band, is_dominant, is_recessive, lookup, zygosity
+from varloom.operators import evidence, family, phenotype, text
 from varloom.operators.ledger import APPROVAL, latest
 
 # Points of case criteria, structures that support them, boosts and thresholds.
@@ -255,6 +256,59 @@ def ranked_cases(
     return ranked if n is None else top_n(ranked, n)
 
 
+def cnv_genes(cnv: DataFrame, hi_genes: DataFrame, ts_genes: DataFrame) -> DataFrame:
+    """cnv (case_id, cnv_key, svtype, genes, ...) with gene: the first of its listed genes that is sensitive in its direction, else the first.
+
+    The sets are tables of any size; each listed gene meets them in a join, and the best one comes back by an aggregate.
+    """
+    listed = F.filter(F.split(F.coalesce("genes", F.lit("")), r"[,;|\s]+"), lambda g: g != "")
+    each = cnv.select("case_id", "cnv_key", F.upper("svtype").alias("_sv"), F.posexplode(listed).alias("_at", "gene"))
+    both = hi_genes.select("gene", F.lit(True).alias("_loss")).distinct().join(ts_genes.select("gene", F.lit(True).alias("_gain")).distinct(), "gene", "full")
+    fits = F.coalesce(F.when(F.col("_sv") == "DEL", F.col("_loss")).otherwise(F.col("_gain")), F.lit(False))
+    best = each.join(both, "gene", "left").groupBy("case_id", "cnv_key").agg(F.min_by("gene", F.struct(~fits, "_at")).alias("gene"))
+    return cnv.drop("gene").join(best, ["case_id", "cnv_key"], "left")
+
+
+def compose_cases(
+    notes: DataFrame,
+    phrases: DataFrame,
+    calls: DataFrame,
+    classes: DataFrame,
+    ped: DataFrame,
+    curation: DataFrame,
+    dosage: DataFrame,
+    edges: DataFrame,
+    *,
+    cnv: DataFrame | None = None,
+    pedigree: DataFrame | None = None,
+    affected: tuple[tuple[str, ...], tuple[str, ...]] = ((), ()),
+    judgments: DataFrame | None = None,
+    n: int | None = 10,
+) -> DataFrame:
+    """From notes to a ranking, for all cases of notes (case_id, text) in one plan: what ranked_cases returns.
+
+    Terms that a note observes (phrases: phrase, hpo_id) meet edges (gene, hpo_id); genes that it names in capitals keep variants
+    that BA1 rules out; ped gives structures and, with pedigree or its own best rows, facts of segregation; curation (gene,
+    mode_of_inheritance) gives modes, dosage (see evidence.dosage_sets) the sets for copy numbers (case_id, cnv_key, svtype, cn,
+    genes, cnv_class). calls: canonical; classes: variant_key, gene, total_points, criteria, acmg_class. affected: labels and
+    statuses of those who count for shared variants. Genes that many cases share are few rows on the side that is joined to them.
+    """
+    cases = notes.select("case_id").distinct()
+    own = family.carried(calls).join(cases, "case_id", "left_semi").select("case_id", "family_id", "variant_key", zygosity(F.col("gt")).alias("zygosity"))
+    variants = own.join(classes.select("variant_key", "gene", "total_points", "criteria", "acmg_class"), "variant_key")
+    modes, sets = evidence.gene_modes(curation), evidence.dosage_sets(dosage)
+    hi_genes, ts_genes = sets.where("hi").select("gene"), sets.where("ts").select("gene")
+    asked = notes.select(F.col("case_id").alias("note_id"), "text")
+    terms = phenotype.scoped_terms(asked, phrases).where("scope = 'observed'").select(F.col("note_id").alias("case_id"), "hpo_id").distinct()
+    named = text.referral_genes(asked, classes.where(F.col("gene").isNotNull())).withColumnRenamed("note_id", "case_id")
+    table = family.trios(calls, family.pedigree_from_ped(ped) if pedigree is None else pedigree, *affected)
+    facts = pedigree_facts(variants, family.de_novo(table), family.compound_het(table), family.shared_homozygous(table), modes)
+    structures = family.case_structure(ped).withColumnRenamed("individual_id", "case_id")
+    copies = None if cnv is None else cnv_genes(cnv.join(cases, "case_id", "left_semi"), hi_genes, ts_genes)
+    prepared = prepared_candidates(variants, modes, cnv=copies, hi_genes=hi_genes, ts_genes=ts_genes, named=named)
+    return ranked_cases(prepared, structures, facts=facts, scores=phenotype_scores(edges, terms), named=named, judgments=judgments, n=n)
+
+
 def prioritize_cases(variants: DataFrame, moi: DataFrame, facts: DataFrame, structures: DataFrame, *, cnv: DataFrame | None = None, hi_genes: DataFrame | None = None, ts_genes: DataFrame | None = None, scores: DataFrame | None = None, named: DataFrame | None = None, judgments: DataFrame | None = None, n: int = 10) -> DataFrame:
     """The n best candidates of every case at once, single variants and copy numbers in one ranking, as candidate_table returns them."""
     prepared = prepared_candidates(variants, moi, cnv=cnv, hi_genes=hi_genes, ts_genes=ts_genes, named=named)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from varloom.functions import expr
-from varloom.operators import annotate, case, evidence, family, intervals, kernel, ledger, phenotype, store, text
+from varloom.operators import annotate, case, evidence, family, intervals, kernel, ledger, phenotype, store, text, validation
 from varloom.plans.views import Views, with_views
 from varloom.sources import readers
 
@@ -690,6 +690,40 @@ def case_decision(v):
     return case.case_decision(_triaged(v).withColumn("combined_score", F.round("combined_score", 6)))
 
 
+_NOTES = "(SELECT 'C' || CAST(3 * doc_id AS STRING) AS case_id, doc_id, text FROM {documents})"
+_OWN = f"""(SELECT c.case_id, c.family_id, c.variant_key, k.gene, CASE WHEN c.gt IN ('1/1', '1|1') THEN 'hom' ELSE 'het' END AS zygosity, k.total_points, k.criteria, k.acmg_class
+  FROM {_CARRIED} c JOIN {{classes}} k ON c.variant_key = k.variant_key WHERE c.case_id IN (SELECT case_id FROM {_NOTES}))"""
+_CLEAR = f"(SELECT * FROM {_OWN} WHERE NOT contains(coalesce(criteria, ''), 'BA1'))"
+_OBSERVED = f"""(SELECT 'C' || CAST(3 * doc_id AS STRING) AS case_id, hpo_id FROM (SELECT doc_id, hpo_id, arg_min(scope, pos) AS scope FROM (SELECT doc_id, pos, CASE WHEN regexp_matches(clause, '(^|[^a-z0-9_])FAMILY_WORDS($|[^a-z0-9_])') THEN 'family'
+  WHEN regexp_matches(clause, '(^|[^a-z0-9_])NEGATION_WORDS($|[^a-z0-9_])') THEN 'excluded' ELSE 'observed' END AS scope, list_slice(x, i + 1, i + 3) AS t FROM (SELECT doc_id, pos, clause, x, unnest(range(0, len(x))) AS i FROM (
+  SELECT doc_id, pos, clause, regexp_extract_all(clause, '[A-Za-z0-9_]+|[^A-Za-z0-9_]+') AS x FROM (SELECT doc_id, unnest(regexp_split_to_array(lower(coalesce(text, '')), 'CLAUSE_BREAKS')) AS clause,
+  generate_subscripts(regexp_split_to_array(lower(coalesce(text, '')), 'CLAUSE_BREAKS'), 1) AS pos FROM {{documents}})))) JOIN {{phrases}} ON len(t) = 3 AND array_to_string(t, '') = phrase GROUP BY ALL) WHERE scope = 'observed')"""
+_OBSERVED = _OBSERVED.replace("FAMILY_WORDS", f"({'|'.join(text.RELATIVES)})").replace("NEGATION_WORDS", f"({'|'.join(text.NEGATIONS)})").replace("CLAUSE_BREAKS", "[.,;]|\\b(" + "|".join(text.BREAKS) + ")\\b")
+_CASE_SCORES = _SCORES.replace("{patient_terms}", _OBSERVED)
+_CASE_CNV = f"""(SELECT c.case_id, c.cnv_key, c.svtype, c.cn, c.cnv_class, arg_min(g.g, (CASE WHEN CASE WHEN c.svtype = 'DEL' THEN s.hi ELSE s.ts END THEN 0 ELSE 1 END) * 1000 + g.i) AS gene FROM (SELECT case_id, chrom || ':' || CAST(start_pos AS STRING) AS cnv_key, svtype, cn, genes,
+  CASE WHEN total_score >= 0.99 THEN 'Pathogenic' WHEN total_score >= 0.9 THEN 'Likely Pathogenic' WHEN total_score > -0.9 THEN 'VUS' WHEN total_score > -0.99 THEN 'Likely Benign' ELSE 'Benign' END AS cnv_class
+  FROM {{cnv}} WHERE case_id IN (SELECT case_id FROM {_NOTES})) c LEFT JOIN (SELECT case_id, cnv_key, unnest(l) AS g, generate_subscripts(l, 1) AS i FROM (SELECT case_id, chrom || ':' || CAST(start_pos AS STRING) AS cnv_key,
+  list_filter(regexp_split_to_array(genes, '[,;|\\s]+'), lambda g: g <> '') AS l FROM {{cnv}})) g ON g.case_id = c.case_id AND g.cnv_key = c.cnv_key LEFT JOIN {_SETS} s ON s.gene = g.g GROUP BY ALL)"""
+_FACTS_OWN, _FOLDED_OWN = (x.replace("{case_variants}", t).replace("{moi}", "modes") for x, t in ((_FACTS, _OWN), (_FOLDED, _CLEAR)))
+_FACTS_OWN = _FACTS_OWN.replace("JOIN modes ON h.gene = moi.gene AND moi IN ('AR', 'AD,AR')", "JOIN modes ON h.gene = modes.gene AND moi IN ('AR', 'AD,AR')")
+_FIT_OWN = _FIT.replace("{case_variants}", _CLEAR).replace("{moi}", "modes")
+_FIT_CNV = f"""CASE WHEN svtype = 'DEL' AND cn = 0 THEN 'biallelic_loss' WHEN svtype = 'DEL' AND gene IN (SELECT gene FROM {_SETS} WHERE hi) THEN 'dominant_loss' WHEN svtype = 'DUP' AND gene IN (SELECT gene FROM {_SETS} WHERE ts) THEN 'dominant_gain' ELSE 'uncertain_dosage' END"""
+
+
+@query(f"""WITH {_ORIGIN}, modes AS {_MODES}, {_FACTS_OWN}, {_FOLDED_OWN}, fit AS {_FIT_OWN}, scores AS {_CASE_SCORES},
+every AS (SELECT f.case_id, f.variant_key AS candidate_id, 'snv' AS kind, f.gene, f.case_class AS acmg_class, t.genotype_fit, f.case_points FROM folded f JOIN fit t ON f.case_id = t.case_id AND f.variant_key = t.variant_key
+  UNION ALL SELECT case_id, cnv_key, 'cnv', gene, cnv_class, {_FIT_CNV}, 0 FROM {_CASE_CNV} x),
+scored AS (SELECT e.*, coalesce(s.phenotype_score, 0) AS phenotype_score, CASE acmg_class WHEN 'Pathogenic' THEN 5 WHEN 'Likely Pathogenic' THEN 4 WHEN 'Likely Benign' THEN 2 WHEN 'Benign' THEN 1 ELSE 3 END AS tier FROM every e LEFT JOIN scores s ON e.case_id = s.case_id AND e.gene = s.gene)
+SELECT case_id, candidate_id, kind, gene, acmg_class, tier AS class_tier, genotype_fit, case_points::INT AS case_points, round(tier * 10 + CASE WHEN max(phenotype_score) OVER w > 0 THEN phenotype_score / max(phenotype_score) OVER w ELSE 0 END * 5 + CASE genotype_fit {_BOOSTS} ELSE 0 END, 6) AS combined_score
+FROM scored WINDOW w AS (PARTITION BY case_id)""")
+def composed_cases(v):
+    """Notes to candidates of all cases: terms, named genes, structures, facts, modes, dosage sets and scores in one plan."""
+    notes = v("documents").select(F.concat(F.lit("C"), (3 * F.col("doc_id")).cast("string")).alias("case_id"), "text")
+    cnv = v("cnv").select("case_id", F.concat("chrom", F.lit(":"), F.col("start_pos").cast("string")).alias("cnv_key"), "svtype", "cn", "genes", expr.cnv_band(F.col("total_score")).alias("cnv_class"))
+    done = case.compose_cases(notes, v("phrases"), v("calls"), v("classes"), v("ped"), v("gene_curation"), v("dosage"), v("edges"), cnv=cnv, pedigree=_pedigree(v), affected=(HET_LABELS, SHARED_STATUS), n=None)
+    return done.select("case_id", "candidate_id", "kind", "gene", "acmg_class", "class_tier", "genotype_fit", F.col("case_points").cast("int").alias("case_points"), F.round("combined_score", 6).alias("combined_score"))
+
+
 _TIER = "CASE {0} WHEN 'Pathogenic' THEN 5 WHEN 'Likely Pathogenic' THEN 4 WHEN 'VUS' THEN 3 WHEN 'Likely Benign' THEN 2 WHEN 'Benign' THEN 1 ELSE -1 END"
 _DIFF = f"""(SELECT coalesce(c.variant_key, p.variant_key) AS variant_key, p.acmg_class AS prior_class, c.acmg_class AS current_class, CASE WHEN c.variant_key IS NULL THEN 'dropped' WHEN p.acmg_class IS NULL THEN 'new'
   WHEN {_TIER.replace('{0}', 'c.acmg_class')} > {_TIER.replace('{0}', 'p.acmg_class')} THEN 'upgraded' WHEN {_TIER.replace('{0}', 'c.acmg_class')} < {_TIER.replace('{0}', 'p.acmg_class')} THEN 'downgraded' ELSE 'unchanged' END AS status
@@ -874,3 +908,37 @@ def calibration_corr(v):
     # of pairs without spread the correlation isn't a number; without pairs it is null
     corr = lambda x, y: F.when(F.count_if(F.col(x).isNotNull() & F.col(y).isNotNull()) > 0, F.coalesce(F.round(F.corr(x, y), 6), F.lit(float("nan"))))
     return rows.groupBy("gene").agg(corr("revel", "cadd_phred").alias("pearson"), corr("rx", "ry").alias("spearman"))
+
+
+_ABLATED = "(SELECT * REPLACE (CAST(NULL AS DOUBLE) AS revel) FROM {annotations})"
+
+
+@query(f"""SELECT f.evidence, count(*)::BIGINT AS n, round(corr(f.x, f.y), 6) AS pearson, round(corr(f.rx, f.ry), 6) AS spearman FROM (SELECT *, rank() OVER (PARTITION BY evidence ORDER BY x) + (count(*) OVER (PARTITION BY evidence, x) - 1) / 2.0 AS rx,
+  rank() OVER (PARTITION BY evidence ORDER BY y) + (count(*) OVER (PARTITION BY evidence, y) - 1) / 2.0 AS ry FROM (SELECT e.evidence, e.x, a.cadd_phred AS y FROM (
+  SELECT 'full' AS evidence, variant_key, total_points AS x FROM ({_classified(kernel.KernelConfig(pvs1_constraint=True))} SELECT variant_key, total_points FROM done) p
+  UNION ALL SELECT 'ablated', variant_key, total_points FROM ({_classified(kernel.KernelConfig(pvs1_constraint=True)).replace('{annotations}', _ABLATED)} SELECT variant_key, total_points FROM done) q) e
+  JOIN {{annotations}} a ON e.variant_key = a.variant_key WHERE a.consequence = 'missense' AND a.cadd_phred IS NOT NULL)) f GROUP BY f.evidence""")
+def calibration_global(v):
+    """Points of missense variants against an external score over the whole table, with and without a score that the kernel holds."""
+    config, a = kernel.KernelConfig(pvs1_constraint=True), v("annotations")
+    external = a.where("consequence = 'missense'").select("variant_key", "cadd_phred")
+    out = None
+    for name, rows in (("full", a), ("ablated", a.withColumn("revel", F.lit(None).cast("double")))):
+        points = kernel.classify(rows, v("thresholds"), v("frequency"), v("gene_curation"), v("exceptions"), config).select("variant_key", "total_points")
+        one = validation.correlations(points.join(external, "variant_key"), "total_points", "cadd_phred").select(F.lit(name).alias("evidence"), "n", F.round("pearson", 6).alias("pearson"), F.round("spearman", 6).alias("spearman"))
+        out = one if out is None else out.union(one)
+    return out
+
+
+_ASSERTED = """(SELECT variant_key, gene, ref, alt, 'Pathogenic' AS x, clnsig, CASE WHEN review_status LIKE '%practice%' THEN 'reviewed_by_expert_panel' ELSE review_status END AS review_status, name AS hgvs, af_exac, af_tgp, af_esp, 1 + submitters % 2 AS n_alts,
+  CASE submitters % 5 WHEN 0 THEN 'SO:0001583|missense_variant,SO:0001627|intron_variant' WHEN 1 THEN 'SO:0001587|nonsense' WHEN 2 THEN 'SO:1|unknown,SO:2|synonymous_variant' WHEN 3 THEN 'SO:1|unknown' END AS mc FROM {clinvar})"""
+
+
+@query(f"""SELECT * FROM (SELECT variant_key, split_part(gene, ':', 1) AS gene, CASE WHEN mc LIKE '%missense%' THEN 'missense' WHEN mc LIKE '%nonsense%' THEN 'stop_gained' WHEN mc LIKE '%synonymous%' THEN 'synonymous' END AS consequence,
+  TRY_CAST(nullif(regexp_extract(hgvs, 'p\\.([A-Za-z]{{{{3}}}})([0-9]+)([A-Za-z]{{{{3}}}})', 2), '') AS INT) AS protein_pos, CASE regexp_extract(hgvs, 'p\\.([A-Za-z]{{{{3}}}})([0-9]+)([A-Za-z]{{{{3}}}})', 3) WHEN 'Trp' THEN 'W' WHEN 'Ter' THEN '*' WHEN 'Ala' THEN 'A' END AS alt_aa,
+  greatest(coalesce(af_esp, 0), coalesce(af_exac, 0), coalesce(af_tgp, 0)) AS filtering_af, 'snv' AS variant_kind, CASE WHEN contains(lower(clnsig), 'pathogenic') THEN 'P/LP' WHEN contains(lower(clnsig), 'benign') THEN 'B/LB' END AS truth
+  FROM {_ASSERTED} WHERE review_status ILIKE '%expert%panel%' AND length(ref) = 1 AND length(alt) = 1 AND n_alts = 1 AND gene <> '') WHERE truth IS NOT NULL AND consequence IS NOT NULL""".replace("{{{{3}}}}", "{3}").replace("{{3}}", "{3}"))
+def truth_set(v):
+    """Rows of an assertion file that an expert panel settled, as truth for the harness."""
+    rows = v("clinvar").sparkSession.sql(_ASSERTED.strip("()").replace("SELECT variant_key", "SELECT variant_key", 1), clinvar=v("clinvar"))
+    return validation.truth_set(rows)

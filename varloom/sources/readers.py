@@ -160,7 +160,7 @@ def read_variant_summary(spark: SparkSession, path: str, assembly: str = "GRCh37
 
 
 def read_assertion_vcf(spark: SparkSession, path: str) -> DataFrame:
-    """variant_key, ref, alt, n_alts, gene, clnsig, composition, review_status, af_esp, af_exac, af_tgp of a VCF without samples, a row per allele."""
+    """variant_key, ref, alt, n_alts, gene, clnsig, composition, review_status, mc, hgvs, af_esp, af_exac, af_tgp of a VCF without samples, a row per allele."""
     c = F.split(F.regexp_replace("value", "\r$", ""), "\t")
     rows = spark.read.text(path).where(~F.col("value").startswith("#") & (F.col("value") != "")).select(c.alias("c"))
     rows = rows.select("c", F.expr("str_to_map(c[7], ';', '=')").alias("info"), F.split(F.col("c")[4], ",").alias("alts"))
@@ -169,7 +169,7 @@ def read_assertion_vcf(spark: SparkSession, path: str) -> DataFrame:
     return each.select(
         variant_key(F.col("c")[0], F.col("c")[1].try_cast("long"), F.col("c")[3], F.col("alt")).alias("variant_key"), F.col("c")[3].alias("ref"), "alt", "n_alts",
         F.split_part(info("GENEINFO"), F.lit(":"), F.lit(1)).alias("gene"), info("CLNSIG").alias("clnsig"), info("CLNSIGCONF").alias("composition"),
-        info("CLNREVSTAT").alias("review_status"), *[info(f"AF_{p}").try_cast("double").alias(f"af_{p.lower()}") for p in ("ESP", "EXAC", "TGP")],
+        info("CLNREVSTAT").alias("review_status"), info("MC").alias("mc"), info("CLNHGVS").alias("hgvs"), *[info(f"AF_{p}").try_cast("double").alias(f"af_{p.lower()}") for p in ("ESP", "EXAC", "TGP")],
     )
 
 
