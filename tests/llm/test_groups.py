@@ -61,7 +61,7 @@ def test_a_cloud_of_near_copies_by_characters_and_recall(spark):
     got = [rows[i] for i in range(len(sets))]
     assert all(w >= g for w, g in zip(want, got, strict=True))  # exact checks: nothing goes that need not
     assert got[: len(lines)] == want[: len(lines)]
-    assert sum(got) >= 0.95 * sum(want)
+    assert sum(got[len(lines) :]) >= 0.95 * sum(want[len(lines) :]) and sum(want[len(lines) :]) >= 50  # of the pairs alone
 
 
 def test_long_and_foreign_urls_and_magics_in_payloads(spark, tmp_path):

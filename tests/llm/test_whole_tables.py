@@ -3,11 +3,13 @@
 import re
 import time
 import zlib
+from pathlib import Path
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from varloom.llm import html, mixing, substring_dedup, toxicity
+from varloom.llm import embedding_dedup, html, mixing, quality, substring_dedup, toxicity
 from varloom.llm.common import read_table
 
 SF = "/root/testdata/sf0.001"
@@ -124,3 +126,40 @@ def test_scores_keep_the_order_of_votes(spark):
         return sum((b > g) + 0.5 * (b == g) for b in bad for g in good) / (len(bad) * len(good))
 
     assert auc(scored) >= auc(votes) - 0.005
+
+
+@pytest.mark.parametrize("table", ["sf0.1", "check_s"])
+def test_recall_on_a_table(spark, table):
+    """Links of vectors with ids divisible by 20 against all rows, by brute force; sf0.1 has none."""
+    path = f"/root/testdata/{table}"
+    if not Path(path).exists():
+        pytest.skip("no such table here")
+    rows = read_table(spark, path, "embeddings")
+    found = {r.vec_id: r.n_links for r in embedding_dedup.embedding_dedup(rows).collect()}
+    table = rows.toPandas()
+    x = np.array([v if v is not None else np.zeros(64) for v in table["embedding"]], dtype=np.float64)
+    norm = np.linalg.norm(x, axis=1, keepdims=True)
+    x = np.divide(x, norm, out=np.zeros_like(x), where=norm > 0)
+    want = {}
+    for i in np.flatnonzero(table["vec_id"] % 20 == 0):
+        near = (x @ x[i] >= 0.93) & (table["label"] == table["label"][i]).to_numpy()
+        want[table["vec_id"][i]] = int(near.sum()) - int(near[i])
+    assert all(found[i] <= n for i, n in want.items())
+    assert sum(found[i] for i in want) >= 0.9 * sum(want.values())
+
+
+def test_vectors_that_repeat_or_just_reach_the_threshold(spark):
+    side = float(np.sqrt(1 - 0.93**2))
+    data = [(1, [1.0, 0.0], 1), (1, [1.0, 0.0], 1), (2, [0.93 + 1e-12, side], 1), (3, [0.93 - 1e-6, float(np.sqrt(1 - (0.93 - 1e-6) ** 2))], 1), (None, [0.0, 1.0], 2)]
+    rows = embedding_dedup.embedding_dedup(spark.createDataFrame(data, "vec_id long, embedding array<double>, label int")).collect()
+    assert len(rows) == 5 and {(r.vec_id, r.component_id) for r in rows} == {(1, 1), (2, 1), (3, 2 if any(r.vec_id == 3 and r.component_id == 2 for r in rows) else 1), (None, None)}
+
+
+def test_quality_of_odd_rows(spark):
+    kind = "doc_id long, text string, lang string, source string"
+    good = "a few words that make up one more or less plain line of text"
+    data = [(1, None, None, None), (2, "", "en", "s"), (3, " \n\t", "en", None), (4, good, None, "s"), (4, good, None, "s"), (None, good + " too", "en", "s"), (5, "same five words once more " * 40, "en", "s"), (6, "#" * 50_000, "en", "s")]
+    rows = quality.quality_rules(spark.createDataFrame(data, kind).withColumns({"kept": F.lit(1), "symbol_ratio": F.lit(9)})).collect()
+    failed = sorted((r.doc_id or 0, r.base_failed, r.kept) for r in rows)
+    assert failed == [(0, False, True), (1, True, False), (2, True, False), (3, True, False), (4, False, True), (4, False, True), (5, True, False), (6, True, False)]
+    assert quality.quality_rules(spark.createDataFrame([], kind)).count() == 0
