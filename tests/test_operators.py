@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from varloom.functions import expr
-from varloom.operators import case, evidence, kernel, phenotype, session, text
+from varloom.operators import annotate, case, evidence, kernel, phenotype, session, text, validation
 from varloom.sources import readers, sinks
 
 
@@ -181,3 +181,55 @@ def test_feeds(spark, tmp_path):
     assert picked.first()[0] == "b"
     sinks.write_top(spark.createDataFrame([("c", 1, "x"), ("c", 2, "y"), ("d", 1, "z")], "case_id string, rank int, candidate_id string"), str(tmp_path / "top"), 1)
     assert rows(spark.read.csv(str(tmp_path / "top"), header=True), "case_id", "candidate_id") == [("c", "x"), ("d", "z")]
+
+
+def test_ranked_rows_come_in_order(spark):
+    from varloom.plans import registry
+
+    found = [(r.total_points, r.variant_key) for r in registry.queries()["kernel_ranked"](spark, "/root/testdata/sf0.001").collect()]
+    assert len(found) > 100 and [p for p, _ in found] == sorted((p for p, _ in found), reverse=True)
+
+
+def test_lists_of_consequences(spark):
+    terms = {"stop_gained,splice_region_variant": "stop_gained", "intron_variant, missense_variant&NMD_transcript_variant": "missense", "splice_region_variant&stop_gained": "stop_gained", "unknown,other": None, "": None}
+    df = spark.createDataFrame([(t,) for t in terms], "t string")
+    assert dict((r.t, r.c) for r in df.select("t", expr.most_severe(F.col("t")).alias("c")).collect()) == terms
+
+
+def test_dosage_sets_hold_genes_of_the_feed_alone(spark):
+    feed = [("A", "Sufficient evidence for dosage pathogenicity", None), ("B", "Gene associated with autosomal recessive phenotype", " Sufficient Evidence"), ("C", None, "No evidence"), (None, "Sufficient evidence", None), ("A", None, None)]
+    df = spark.createDataFrame(feed, "gene string, haploinsufficiency string, triplosensitivity string")
+    assert rows(evidence.dosage_sets(df), "gene", "hi", "ts") == [("A", True, False), ("B", False, True), ("C", False, False)]
+    cnv = spark.createDataFrame([("c", "k1", "DEL", "C; B|A"), ("c", "k2", "DUP", "C; B|A"), ("c", "k3", "DUP", "C,A"), ("c", "k4", "DEL", "")], "case_id string, cnv_key string, svtype string, genes string")
+    sets = evidence.dosage_sets(df)
+    done = case.cnv_genes(cnv, sets.where("hi").select("gene"), sets.where("ts").select("gene"))
+    assert {r.cnv_key: r.gene for r in done.collect()} == {"k1": "A", "k2": "B", "k3": "C", "k4": None}
+
+
+def test_truth_and_correlations(spark):
+    names = "variant_key string, ref string, alt string, n_alts int, gene string, clnsig string, review_status string, mc string, hgvs string, af_esp string, af_exac string, af_tgp string"
+    said = [("k1", "A", "G", 1, "X:1", "Likely_pathogenic", "reviewed_by_expert_panel", "SO:1|odd,SO:2|nonsense", "NM:p.Arg10Ter", "0.1", None, "x"), ("k2", "A", "G", 2, "X", "Benign", "reviewed_by_expert_panel", "SO:1|missense_variant", None, None, None, None),
+            ("k3", "A", "G", 1, "X", "Likely benign", "reviewed by expert panel", "SO:1|missense_variant", None, None, "0.2", None), ("k4", "A", "G", 1, "X", "Benign", "practice guideline", "SO:1|missense_variant", None, None, None, None), ("k5", "A", "G", 1, "X", "drug response", "reviewed by expert panel", "SO:1|missense_variant", None, None, None, None)]
+    done = validation.truth_set(spark.createDataFrame(said, names))
+    assert [(r.variant_key, r.consequence, r.protein_pos, r.alt_aa, r.filtering_af, r.truth) for r in done.orderBy("variant_key").collect()] == [("k1", "stop_gained", 10, "*", 0.1, "P/LP"), ("k3", "missense", None, None, 0.2, "B/LB")]
+    import numpy as np
+    import pandas as pd
+
+    rng = np.random.default_rng(1)
+    pdf = pd.DataFrame({"x": rng.integers(-8, 12, 500).astype(float), "y": rng.normal(size=500) ** 3})
+    pdf["y"] += pdf["x"] / 10
+    pdf.loc[::7, "y"] = None
+    row = validation.correlations(spark.createDataFrame(pdf).replace(float("nan"), None), "x", "y").first()
+    left = pdf.dropna()
+    assert row.n == len(left) and row.pearson == pytest.approx(left["x"].corr(left["y"])) and row.spearman == pytest.approx(left["x"].rank().corr(left["y"].rank()))
+    few = validation.correlations(spark.createDataFrame(left.head(19)), "x", "y").first()
+    assert (few.n, few.pearson, few.spearman) == (19, None, None)
+
+
+def test_site_scores_fill_gaps(spark):
+    own = spark.createDataFrame([("1-5-A-G", 0.5, None), ("2-6-C-T", None, 0.1)], "variant_key string, revel double, spliceai double")
+    sites = spark.createDataFrame([("chr1", 5, "A", "G", 0.9, 0.01), ("2", 6, "C", "T", 0.7, None)], "chrom string, pos long, ref string, alt string, revel double, filtering_af double")
+    assert rows(annotate.fill_site_scores(own, sites), "variant_key", "revel", "spliceai", "filtering_af") == [("1-5-A-G", 0.5, None, 0.01), ("2-6-C-T", 0.7, 0.1, None)]
+    loci = spark.createDataFrame([("10", 1, "A", "G", "10-1-A-G"), ("2", 9, "A", "G", "2-9-A-G"), ("X", 1, "A", "G", "X-1-A-G")], "chrom string, pos long, ref string, alt string, variant_key string")
+    done = annotate.assemble_site_scores(loci, {"af": spark.createDataFrame([("X-1-A-G", 0.2)], "variant_key string, af double"), "cadd": None})
+    assert [(r.chrom, r.af, r.cadd) for r in done.collect()] == [("2", None, None), ("10", None, None), ("X", 0.2, None)]
