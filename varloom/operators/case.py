@@ -194,18 +194,22 @@ def biallelic_flag(variants: DataFrame) -> DataFrame:
     return variants.withColumn("biallelic", (F.col("zygosity") == "hom") | both)
 
 
-def pedigree_facts(variants: DataFrame, new: DataFrame, pairs: DataFrame, shared: DataFrame, moi: DataFrame) -> DataFrame:
-    """case_id, variant_key, criterion: PS2, PM3 and PP1 for variants that are uncertain or worse; PM3 in recessive genes alone."""
-    live = variants.where(F.col("acmg_class").isin("Pathogenic", "Likely Pathogenic", "VUS")).select("case_id", "family_id", "variant_key", "gene").distinct()
-    recessive = moi.where(is_recessive(F.col("moi"))).select("gene").distinct()
-    ps2 = live.join(new.select("family_id", "variant_key").distinct(), ["family_id", "variant_key"], "left_semi").withColumn("criterion", F.lit("PS2"))
-    a = live.select("case_id", "family_id", F.col("variant_key").alias("variant_a"))
-    b = live.select("case_id", "family_id", F.col("variant_key").alias("variant_b"))
-    trans = pairs.join(recessive, "gene", "left_semi").join(a, ["family_id", "variant_a"]).join(b, ["case_id", "family_id", "variant_b"])
-    pm3 = trans.select("case_id", F.explode(F.array("variant_a", "variant_b")).alias("variant_key")).distinct().withColumn("criterion", F.lit("PM3"))
-    pp1 = live.join(shared.select("family_id", "variant_key").distinct(), ["family_id", "variant_key"], "left_semi").withColumn("criterion", F.lit("PP1"))
-    names = ["case_id", "variant_key", "criterion"]
-    return ps2.select(*names).unionByName(pm3.select(*names)).unionByName(pp1.select(*names))
+def pedigree_facts(variants: DataFrame, table: DataFrame, moi: DataFrame) -> DataFrame:
+    """case_id, variant_key, criterion: PS2, PM3 and PP1 for variants that are uncertain or worse; PM3 in recessive genes alone.
+
+    table: family.trios, which is read once. Of a case's variants in a gene, one from the father is in trans with one from the
+    mother that comes after it by key, and the other way round, so the first of the one side and the last of the other decide
+    for all, and no pairs are made.
+    """
+    live = variants.where(F.col("acmg_class").isin("Pathogenic", "Likely Pathogenic", "VUS")).select("case_id", "family_id", "variant_key").distinct()
+    recessive = moi.where(is_recessive(F.col("moi"))).select("gene", F.lit(True).alias("_ar")).distinct()
+    says = table.select("family_id", "variant_key", "gene", family.is_new().alias("_new"), family.is_shared().alias("_shared"), family.inherited_from().alias("_from"))
+    rows = live.join(says.where(F.col("_new") | F.col("_shared") | F.col("_from").isNotNull()), ["family_id", "variant_key"]).join(recessive, "gene", "left")
+    own = Window.partitionBy("case_id", "family_id", "gene")
+    first, last = F.min(F.when(F.col("_from") == "f", F.col("variant_key"))).over(own), F.max(F.when(F.col("_from") == "m", F.col("variant_key"))).over(own)
+    trans = ((F.col("_from") == "f") & (F.col("variant_key") < last)) | ((F.col("_from") == "m") & (F.col("variant_key") > first))
+    met = F.filter(F.array(F.when(F.col("_new"), "PS2"), F.when(F.col("_shared"), "PP1"), F.when(trans & F.col("_ar"), "PM3")), lambda c: c.isNotNull())
+    return rows.withColumn("_c", met).select("case_id", "variant_key", F.explode("_c").alias("criterion"))
 
 
 def without_ba1(variants: DataFrame, named: DataFrame | None = None) -> DataFrame:
@@ -302,7 +306,7 @@ def compose_cases(
     terms = phenotype.scoped_terms(asked, phrases).where("scope = 'observed'").select(F.col("note_id").alias("case_id"), "hpo_id").distinct()
     named = text.referral_genes(asked, classes.where(F.col("gene").isNotNull())).withColumnRenamed("note_id", "case_id")
     table = family.trios(calls, family.pedigree_from_ped(ped) if pedigree is None else pedigree, *affected)
-    facts = pedigree_facts(variants, family.de_novo(table), family.compound_het(table), family.shared_homozygous(table), modes)
+    facts = pedigree_facts(variants, table, modes)
     structures = family.case_structure(ped).withColumnRenamed("individual_id", "case_id")
     copies = None if cnv is None else cnv_genes(cnv.join(cases, "case_id", "left_semi"), hi_genes, ts_genes)
     prepared = prepared_candidates(variants, modes, cnv=copies, hi_genes=hi_genes, ts_genes=ts_genes, named=named)

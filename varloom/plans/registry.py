@@ -408,7 +408,7 @@ _FACTS = f"""facts AS (SELECT l.case_id, l.variant_key, 'PS2' AS criterion FROM
 
 
 def _facts(v):
-    return case.pedigree_facts(v("case_variants"), de_novo(v), compound_het(v), affected_shared_hom(v), v("moi"))
+    return case.pedigree_facts(v("case_variants"), _trios(v), v("moi"))
 
 
 @query(f"WITH {_ORIGIN}, {_FACTS} SELECT * FROM facts")
