@@ -81,8 +81,15 @@ def ic_weights(edges: DataFrame, terms: DataFrame, universe: int | None = None)
 
 def phenotype_scores(edges: DataFrame, patient_terms: DataFrame, weighted: bool = True) -> DataFrame:
     """case_id, gene, phenotype_score: weights of the case's terms that the gene has."""
-    weights = ic_weights(edges, patient_terms) if weighted else patient_terms.select("hpo_id").distinct().withColumn("ic", F.lit(1.0))
-    return patient_terms.distinct().join(weights, "hpo_id").join(edges.distinct(), "hpo_id").groupBy("case_id", "gene").agg(F.sum("ic").alias("phenotype_score"))
+    genes = F.collect_set("gene").alias("_genes")  # of one term
+    by_term = edges.groupBy("hpo_id").agg(genes)
+    if weighted:
+        total = edges.agg(F.greatest(F.countDistinct("gene"), F.lit(1)).alias("_all"))  # one row
+        by_term = by_term.crossJoin(F.broadcast(total)).withColumn("ic", -F.log2(F.size("_genes") / F.col("_all"))).drop("_all")
+    else:
+        by_term = by_term.withColumn("ic", F.lit(1.0))
+    met = patient_terms.distinct().join(by_term, "hpo_id").select("case_id", F.explode("_genes").alias("gene"), "ic")
+    return met.groupBy("case_id", "gene").agg(F.sum("ic").alias("phenotype_score"))
 
 
 def _norm(score: Column) -> Column:

@@ -640,11 +640,10 @@ _CANDIDATES = f"""(SELECT *, tier * 10 + CASE WHEN top > 0 THEN phenotype_score
 
 
 def _candidates(v):
-    scores = _scores(v)
     snv = case.genotype_fit(v("case_variants"), v("moi")).select("case_id", F.col("variant_key").alias("candidate_id"), F.lit("snv").alias("kind"), "gene", "acmg_class", "genotype_fit")
     cnv = _cnv_fit(v).select("case_id", F.concat("chrom", F.lit(":"), F.col("start_pos").cast("string")).alias("candidate_id"), F.lit("cnv").alias("kind"), "gene", expr.cnv_band(F.col("total_score")).alias("acmg_class"), "genotype_fit")
-    named = v("case_variants").select("case_id").union(v("cnv").select("case_id")).distinct().withColumn("gene", F.lit("Brand#15"))
-    return case.candidate_table(snv.join(scores, ["case_id", "gene"], "left"), cnv.join(scores, ["case_id", "gene"], "left"), named)
+    named = v("members").select("case_id").union(v("cnv").select("case_id")).distinct().withColumn("gene", F.lit("Brand#15"))
+    return case.rank_candidates(snv.unionByName(cnv).join(_scores(v), ["case_id", "gene"], "left"), named)
 
 
 @query(f"SELECT case_id, candidate_id, kind, gene, acmg_class, tier AS class_tier, genotype_fit, round(combined_score, 6) AS combined_score FROM {_CANDIDATES}")
