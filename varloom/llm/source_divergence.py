@@ -27,7 +27,7 @@ LETTERS = byte_class((0x41, 0x5A), (0x61, 0x7A))
 #: Documents of its language that a kept term stands in, the whole that parts are of, and the terms of a source that are told.
 LEAST_DOCS, SCALE, TOP = 3, 1_000_000_000, 200
 #: Rows that a task gathers before it sends them on, groups (language, source) whose sums are broadcast together, and cells of a matrix.
-GATHER, MOST_GROUPS, CELLS = 1_000_000, 2000, 1 << 21
+GATHER, MOST_GROUPS, CELLS = 600_000, 2000, 1 << 20
 
 
 def _partial(docs: DataFrame) -> DataFrame:
@@ -54,7 +54,7 @@ def _partial(docs: DataFrame) -> DataFrame:
             rank = np.empty(len(group), dtype=np.int64)
             rank[np.argsort(group, kind="stable")] = np.arange(len(group))  # documents by group
             by_rank = np.sort(group)
-            for first, data, at in chunks(batch.column("text")):
+            for first, data, at in chunks(batch.column("text"), 3 << 20):
                 words = find_words(data, at, LETTERS, first)
                 if not len(words):
                     continue
@@ -69,6 +69,7 @@ def _partial(docs: DataFrame) -> DataFrame:
                 if held > GATHER:
                     parts = [summed()]
                     held = parts[0].num_rows
+                    pa.default_memory_pool().release_unused()
                     if 2 * held > GATHER:
                         yield from told(parts[0])
                         parts, held = [], 0
