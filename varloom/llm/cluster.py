@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from varloom.llm.common import broadcast_if_small, cut, stored
@@ -67,12 +67,19 @@ def linked(
     rest = cut(named.join(apart, "hub", "left_semi"))
     if rest.isEmpty():
         return known
-    more = cut(_prefix_links(rest, diffs, least))
-    return known if more.isEmpty() else components(links.union(more))
+    more = cut(_prefix_links(rest, verify, diffs, least))
+    return known if more.isEmpty() else cut(_renamed(known, components(more)))
 
 
-def _prefix_links(rest: DataFrame, diffs: Callable[[DataFrame], DataFrame], least: int) -> DataFrame:
-    """rest: hub, id, c -> (a, b), a < b: the similar pairs among a hub's members in unequal components c.
+def _renamed(known: DataFrame, joined: DataFrame) -> DataFrame:
+    """known (id, component) after components were joined; joined: (id, component) of components, those of one id alone among them."""
+    to = joined.select(F.col("id").alias("component"), F.col("component").alias("_to"))
+    moved = known.join(to, "component", "left").select("id", F.coalesce("_to", "component").alias("component"))
+    return moved.union(joined.join(known.select("id"), "id", "left_anti").select("id", "component"))
+
+
+def _prefix_links(rest: DataFrame, verify: Callable[[DataFrame], DataFrame], diffs: Callable[[DataFrame], DataFrame], least: int) -> DataFrame:
+    """rest: hub, id, c -> (a, b): the components c that similar pairs among a hub's members join.
 
     Sets of sizes m, n are similar if they differ in H(m, n) = (100 - least) (m + n) / (100 + least) elements at most. Members
     that differ from the hub in x >= y elements then share o = (x + y - H) / 2 of these or more, so one that they share is
@@ -96,28 +103,41 @@ def _prefix_links(rest: DataFrame, diffs: Callable[[DataFrame], DataFrame], leas
     reach = F.floor((100 - least) * (F.col("size") + F.floor(F.col("size") * 100 / least)) / (100 + least))
     ranked = shared.join(sums, ["hub", "id"]).withColumn("rank", F.col("x") - F.col("_all") + F.col("_before") + 1).where(F.col("rank") <= reach + 1)
     rows = stored(ranked.join(rest, ["hub", "id"]).select("hub", "atom", "id", "c", "x", "size", "rank", "sketch", (F.col("rank") <= F.floor(reach / 2) + 1).alias("low")))
-    # an atom whose members all stand in one component joins nothing
-    mixed = rows.groupBy("hub", "atom").agg(F.min("c").alias("_x"), F.max("c").alias("_y")).where(F.col("_x") != F.col("_y")).select("hub", "atom")
-    rows = stored(rows.join(mixed, ["hub", "atom"], "left_semi"))
+    def mixed(of: DataFrame) -> DataFrame:
+        """Rows of atoms whose members stand in several components; others join nothing."""
+        groups = of.groupBy("hub", "atom").agg(F.min("c").alias("_x"), F.max("c").alias("_y")).where(F.col("_x") != F.col("_y")).select("hub", "atom")
+        return of.join(groups, ["hub", "atom"], "left_semi")
+
+    def near(size: Column, sketch: Column, other_size: Column, other_sketch: Column) -> Column:
+        bits = sum((F.bit_count(sketch[w].bitwiseXOR(other_sketch[w])) for w in range(WORDS)), F.lit(0))
+        return ((100 + least) * bits <= (100 - least) * (size + other_size)) & (100 * F.least(size, other_size) >= least * F.greatest(size, other_size))
+
+    first = rows.groupBy("hub", "atom").agg(F.min(F.struct("id", "c", "size", "sketch")).alias("f"))
+    starred = rows.select("hub", "atom", "id", "c", "size", "sketch").join(first, ["hub", "atom"]).where((F.col("c") != F.col("f.c")) & near(F.col("size"), F.col("sketch"), F.col("f.size"), F.col("f.sketch")))
+    starred = cut(starred.select(F.least("id", "f.id").alias("a"), F.greatest("id", "f.id").alias("b")).distinct())
+    of = rest.select("id", "c").distinct()
+    stars = cut(verify(starred).join(of.select(F.col("id").alias("a"), F.col("c").alias("_a")), "a").join(of.select(F.col("id").alias("b"), F.col("c").alias("_b")), "b").select(F.col("_a").alias("a"), F.col("_b").alias("b")).distinct())
+    if not stars.isEmpty():
+        to = components(stars).select(F.col("id").alias("c"), F.col("component").alias("_to"))
+        rows = rows.join(broadcast_if_small(cut(to)), "c", "left").withColumn("c", F.coalesce("_to", "c")).drop("_to")
+    rows = mixed(rows)
     names = ("id", "c", "x", "size", "rank", "sketch")
     big = rows.select("hub", "atom", *[F.col(c).alias(f"{c}_i") for c in names])
     low = rows.where("low").select("hub", "atom", *[F.col(c).alias(f"{c}_j") for c in names])
     over = (100 + least) * (F.col("x_i") + F.col("x_j")) - (100 - least) * (F.col("size_i") + F.col("size_j"))
     o = F.ceil(over / (2 * (100 + least)))
-    bits = sum((F.bit_count(F.col("sketch_i")[w].bitwiseXOR(F.col("sketch_j")[w])) for w in range(WORDS)), F.lit(0))
     may = (
         (F.col("c_i") != F.col("c_j"))
         & (F.col("x_i") >= F.col("x_j"))
         & (F.col("rank_i") <= F.col("x_i") - o + 1)
         & (F.col("rank_j") <= F.col("x_j") - o + 1)
-        & ((100 + least) * bits <= (100 - least) * (F.col("size_i") + F.col("size_j")))
-        & (100 * F.least("size_i", "size_j") >= least * F.greatest("size_i", "size_j"))
+        & near(F.col("size_i"), F.col("sketch_i"), F.col("size_j"), F.col("sketch_j"))
     )
-    met = cut(big.join(low, ["hub", "atom"]).where(may).select("hub", F.col("id_i").alias("i"), F.col("id_j").alias("j"), o.alias("o")).distinct())
+    met = cut(big.join(low, ["hub", "atom"]).where(may).select("hub", F.col("id_i").alias("i"), F.col("id_j").alias("j"), "c_i", "c_j", o.alias("o")).distinct())
     # an atom weighs the same wherever it is; lists of atoms, of a text's length at most, meet in place of their elements
     lists = stored(shared.groupBy("hub", "id").agg(F.collect_list(F.struct("atom", "_k")).alias("l")).select("hub", "id", F.col("l.atom").alias("atoms"), F.col("l._k").alias("ks")))
     both = met.join(lists.select("hub", F.col("id").alias("i"), F.col("atoms").alias("_a"), F.col("ks").alias("_w")), ["hub", "i"])
     both = both.join(lists.select("hub", F.col("id").alias("j"), F.col("atoms").alias("_b")), ["hub", "j"]).withColumn("_c", F.array_intersect("_a", "_b"))
     held = F.zip_with("_a", "_w", lambda x, k: F.when(F.array_contains(F.col("_c"), x), k).otherwise(F.lit(0).cast("long")))
     similar = both.where(F.aggregate(held, F.lit(0).cast("long"), lambda s, k: s + k) >= F.col("o"))
-    return similar.select(F.least("i", "j").alias("a"), F.greatest("i", "j").alias("b")).distinct()
+    return stars.union(similar.select(F.col("c_i").alias("a"), F.col("c_j").alias("b"))).distinct()

@@ -23,8 +23,8 @@ _POINTS = [(i * 0x9E3779B97F4A7C15 + 0x1234567) % (1 << 64) - (1 << 63) for i in
 #: A band is the hashes b, b + 1, b + 3, b + 9 (modulo 13): a projective plane, in which any two bands share just one hash.
 #: Lines at the threshold agree on a band with chance 0.976, at a similarity of 0.85 with 0.993, of 0.1 with 0.001.
 _BAND = (0, 1, 3, 9)
-#: Shingles that are hashed side by side in one row: for signatures, and for sets.
-STEP, SET_STEP = 4, 24
+#: Shingles that are hashed side by side in one row, for signatures.
+STEP = 4
 
 
 def _stretches(rows: DataFrame, keep: list[str], line: str, k: int, step: int) -> DataFrame:
@@ -58,13 +58,11 @@ def bands() -> Column:
     return F.array(*[F.xxhash64(F.lit(b), *[F.col(f"m{(b + d) % HASHES}") for d in _BAND]) for b in range(HASHES)])
 
 
-def _sets(pairs: DataFrame, k: int) -> DataFrame:
-    """a, b, x, y: the distinct shingles, as hashes, of the lines x and y of each pair. pairs: a, b, x, y, each pair once."""
-    sides = pairs.select("a", "b", F.explode(F.array(F.struct(F.lit(True).alias("of_a"), F.col("x").alias("line")), F.struct(F.lit(False).alias("of_a"), F.col("y").alias("line")))).alias("s"))
-    rows = _stretches(sides.select("a", "b", "s.of_a", "s.line"), ["a", "b", "of_a"], "line", k, SET_STEP)
-    some = F.array(*[f"h{j}" for j in range(SET_STEP)])
-    held = lambda side: F.array_distinct(F.flatten(F.collect_list(F.when(side, some))))
-    return rows.groupBy("a", "b").agg(held(F.col("of_a")).alias("x"), held(~F.col("of_a")).alias("y"))
+def shingle_set(line: Column, k: int = SHINGLE) -> Column:
+    """The distinct shingles of a line, as hashes; transform over a one-element array binds the encoded line once for all."""
+    cut_at = lambda u: F.sequence(F.lit(1), F.greatest(F.octet_length(u) - 2 * k + 1, F.lit(1)), F.lit(2))
+    every = F.transform(F.array(F.encode(line, "UTF-16BE")), lambda u: F.transform(cut_at(u), lambda i: F.xxhash64(F.substring(u, i, F.lit(2 * k)))))
+    return F.array_distinct(every[0])
 
 
 def line_dedup(docs: DataFrame, *, k: int = SHINGLE, least: int = LEAST) -> DataFrame:
@@ -83,21 +81,24 @@ def line_dedup(docs: DataFrame, *, k: int = SHINGLE, least: int = LEAST) -> Data
     shared = banded.groupBy("bucket").agg(F.min("id").alias("_first"), F.max("id").alias("_last")).where(F.col("_first") != F.col("_last")).select("bucket")
     members = stored(banded.join(shared.hint("shuffle_hash"), "bucket").select("bucket", "id"))
 
-    # the texts of candidates alone, once
+    # the texts of candidates alone, once; a pair's sets are made where its lines meet, as they are larger than these
     ids = cut(members.select("id").distinct())
     lines = stored(found.select("id", "line").join(broadcast_if_small(ids, 500_000), "id", "left_semi").groupBy("id").agg(F.first("line").alias("line")))
 
     def sets(pairs: DataFrame) -> DataFrame:
-        left, right = lines.select(F.col("id").alias("a"), F.col("line").alias("x")), lines.select(F.col("id").alias("b"), F.col("line").alias("y"))
-        return _sets(pairs.join(right, "b").join(left, "a").repartition(parts, "a", "b"), k)
+        left, right = lines.select(F.col("id").alias("a"), F.col("line").alias("_x")), lines.select(F.col("id").alias("b"), F.col("line").alias("_y"))
+        both = F.struct(shingle_set(F.col("_x"), k).alias("x"), shingle_set(F.col("_y"), k).alias("y"))
+        return pairs.select("a", "b").join(right, "b").join(left, "a").select("a", "b", F.array(both).alias("s"))
 
     def verify(pairs: DataFrame) -> DataFrame:
-        counted = sets(pairs).select("a", "b", F.size("x").alias("m"), F.size("y").alias("n"), F.size(F.array_intersect("x", "y")).alias("both"))
-        return counted.where(100 * F.col("both") >= least * (F.col("m") + F.col("n") - F.col("both"))).select("a", "b")
+        shared = F.transform("s", lambda s: F.struct(F.size(s["x"]).alias("m"), F.size(s["y"]).alias("n"), F.size(F.array_intersect(s["x"], s["y"])).alias("both")))
+        similar = F.exists(shared, lambda c: 100 * c["both"] >= least * (c["m"] + c["n"] - c["both"]))
+        return sets(pairs).where(similar).select("a", "b")
 
     def diffs(pairs: DataFrame) -> DataFrame:
-        apart = F.concat(F.array_except("x", "y"), F.array_except("y", "x"))
-        return sets(pairs).select("a", "b", F.size("y").cast("long").alias("size"), F.explode(apart).alias("token"))
+        apart = F.transform("s", lambda s: F.struct(F.size(s["y"]).cast("long").alias("size"), F.concat(F.array_except(s["x"], s["y"]), F.array_except(s["y"], s["x"])).alias("t")))
+        rows = sets(pairs).select("a", "b", F.explode(apart).alias("d"))
+        return rows.select("a", "b", "d.size", F.explode("d.t").alias("token"))
 
     groups = linked(members, verify, diffs, least)
     place = F.struct("doc_id", "key", "pos")
