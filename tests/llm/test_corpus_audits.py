@@ -50,7 +50,7 @@ def docs(spark):
     return smoke.unionByName(odd).withColumn("term", F.lit("x")).withColumn("n_words", F.lit("y")).repartition(5).cache()
 
 
-@pytest.mark.parametrize("most_groups, gather", [(2000, 1_000_000), (12, 50)])
+@pytest.mark.parametrize("most_groups, gather", [(2000, 1_000_000), (24, 50)])
 def test_source_divergence(spark, docs, most_groups, gather, monkeypatch):
     monkeypatch.setattr(source_divergence, "GATHER", gather)
     assert same(source_divergence.source_divergence(docs, most_groups=most_groups), source_divergence.ORACLE, documents=docs)
@@ -78,7 +78,7 @@ def test_collocations_of_four_words(spark):
     assert {r.phrase for r in collocations.collocations(many, most_words=4).collect()} == {"a b c d", "e b c f", "b c"}
 
 
-@pytest.mark.parametrize("block", [1 << 24, 20])
+@pytest.mark.parametrize("block", [1 << 24, 3000])
 def test_decontaminate(spark, docs, block):
     bench = spark.createDataFrame(BENCH, "item_id long, text string").unionByName(read_table(spark, "/root/testdata/sf0.001", "benchmark"))
     found = decontaminate.find_contamination(docs, bench, block=block)
