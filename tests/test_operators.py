@@ -151,6 +151,13 @@ def test_phenotype_modes(spark):
         phenotype.extract(note, phrases)
 
 
+def test_what_meets_the_dictionary_is_mentions_not_first_words(spark):
+    phrases = spark.createDataFrame([(f"the w{i}", f"HP:{i}") for i in range(100, 300)], "phrase string, hpo_id string")
+    notes = spark.createDataFrame([(0, " ".join(f"The w{i}" for i in range(200))), (1, "the the. w100"), (2, None)], "note_id int, text string")
+    assert rows(phenotype.mentions(notes, phrases), "note_id", "at", "hpo_id", "span") == [(0, 4 * i, f"HP:{i}", f"The w{i}") for i in range(100, 200)]
+    assert phenotype._occurrences(notes, phenotype.phrase_index(phrases)).count() < 110
+
+
 def test_mentions_have_their_own_places(spark):
     phrases = spark.createDataFrame(PHRASES, "phrase string, hpo_id string")
     texts = [("n", "Fits and SEIZURES; fits again"), ("m", None), ("o", "short  stature, short stature, xshort, a type-2) RASH"), ("o", ""), ("p", "fits_ fits2 seizuresé")]
