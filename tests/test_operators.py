@@ -158,6 +158,12 @@ def test_what_meets_the_dictionary_is_mentions_not_first_words(spark):
     assert phenotype._occurrences(notes, phenotype.phrase_index(phrases)).count() < 110
 
 
+def test_decisions_of_a_note_without_a_name_find_its_candidates(spark):
+    offered = spark.createDataFrame([(None, ":0000", "HP:1"), (1, "1:0000", "HP:2")], "note_id long, candidate_id string, hpo_id string")
+    made = offered.select("note_id", "candidate_id", F.lit("").alias("hpo_id"), F.lit("keep").alias("decision"), F.lit("patient").alias("patient_context"), F.lit(0).alias("place"))
+    assert {(r.note_id, r.hpo_id, r.scope) for r in phenotype.decided_terms(offered, made).collect()} == {(None, "HP:1", "observed"), (1, "HP:2", "observed")}
+
+
 def test_mentions_have_their_own_places(spark):
     phrases = spark.createDataFrame(PHRASES, "phrase string, hpo_id string")
     texts = [("n", "Fits and SEIZURES; fits again"), ("m", None), ("o", "short  stature, short stature, xshort, a type-2) RASH"), ("o", ""), ("p", "fits_ fits2 seizuresé")]
