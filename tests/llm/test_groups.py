@@ -121,3 +121,13 @@ def test_codec_edges(spark):
     long = "▁" + "abcdefghijklmnopqrstuvwxyz" * 4000
     encoder = sentencepiece_codec.Encoder(sentencepiece_codec.load())
     assert sum(1 for _ in encoder.stream(long)) > 0 and encoder.widest <= 4 * encoder.v.longest
+
+
+def test_search_of_short_segments_is_the_stream_and_the_library():
+    import sentencepiece
+
+    encoder = sentencepiece_codec.Encoder(sentencepiece_codec.load())
+    library = sentencepiece.SentencePieceProcessor(model_file=sentencepiece_codec.MODEL)
+    words = ["a", "ab", "the", "xyzzy", "international", "aaaaaaaaaaaaaaa", "é§ö", "日本語テキスト", "x=1;y=22", "qzx-0x7f3A", "\t\n", "counterrevolutionaries"]
+    for word in words:
+        assert encoder.search("▁" + word) == list(encoder.stream("▁" + word)) == library.encode(word)

@@ -29,6 +29,8 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 #: What the search found for segments up to this length is remembered, for so many of them.
 SHORT, MOST_KNOWN = 40, 1_000_000
+#: Lengths that may end at the first places, and where no longer piece ends.
+FEW = ((), (), (2,), (3, 2))
 
 
 @dataclass
@@ -49,12 +51,12 @@ class Vocabulary:
         self.ids = {p: i for i, p in enumerate(self.pieces) if i not in self.special}
         self.longest = max(map(len, self.ids), default=1)
         spanned = {p[i : i + 2] for p in self.ids for i in range(len(p) - 1)}
-        #: for the last three characters of a piece (or its two), the lengths of pieces that end so, the longest first
+        #: for the last four characters of a piece, the lengths of pieces that end so, the longest first, and shorter ones
         ends: dict[str, set[int]] = {}
         for p in self.ids:
-            if len(p) > 1:
-                ends.setdefault(p[-3:], set()).add(len(p))
-        self.ends = {k: tuple(sorted(v, reverse=True)) for k, v in ends.items()}
+            if len(p) > 3:
+                ends.setdefault(p[-4:], set()).add(len(p))
+        self.ends = {k: (*sorted(v, reverse=True), *((3,) if k[1:] in self.ids else ()), *((2,) if k[2:] in self.ids else ())) for k, v in ends.items()}
         #: a space after anything else starts a segment, as no piece holds one there
         self.space_starts = not any(b[1] == SPACE and b[0] != SPACE for b in spanned)
 
@@ -103,14 +105,18 @@ class Encoder:
     def merged(self, text: str) -> list[str]:
         """BPE by its definition, for short texts: merge the pair of the best score, the first of equals."""
         parts, ids, scores = list(text), self.v.ids, self.v.scores
-        while True:
-            best, at = None, -1
-            for i in range(len(parts) - 1):
-                if (k := ids.get(parts[i] + parts[i + 1])) is not None and (best is None or scores[k] > best):
-                    best, at = scores[k], i
-            if best is None:
-                return parts
+        none = float("-inf")
+        score = lambda x: none if (k := ids.get(x)) is None else scores[k]
+        joined = [score(a + b) for a, b in zip(parts, parts[1:])]  # of each pair of neighbours
+        while joined and (best := max(joined)) > none:
+            at = joined.index(best)
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
+            del joined[at]
+            if at:
+                joined[at - 1] = score(parts[at - 1] + parts[at])
+            if at < len(joined):
+                joined[at] = score(parts[at] + parts[at + 1])
+        return parts
 
     def text_of(self, last: int) -> str:
         """The piece that a place's mark names: an id, -2 less a character's code for one without a piece, -1 for none."""
@@ -138,7 +144,7 @@ class Encoder:
             window += c
             i = len(window)
             if bpe:
-                for n in (*ends.get(window[-3:], ()), 2) if i > 2 else (2,) if i > 1 else ():
+                for n in ends.get(window[-4:], FEW[3]) if i > 3 else FEW[i]:
                     if n > i or (k := ids.get(window[i - n :])) is None:
                         continue
                     key = last[i - n] << 20 | k
@@ -176,6 +182,35 @@ class Encoder:
             pairs.clear()
         yield from self._path(window, back, len(window))
 
+    def search(self, text: str) -> list[int]:
+        """The same search for BPE in a short text, which is one window: its only final boundary is its end."""
+        ids, ends, pairs, fits = self.v.ids.get, self.v.ends.get, self.pairs, self.fits
+        known, few, last, back = pairs.get, FEW[3], [-1], [0]
+        for i, c in enumerate(text, 1):
+            for n in ends(text[i - 4 : i], few) if i > 3 else FEW[i]:
+                if n > i or (k := ids(text[i - n : i])) is None:
+                    continue
+                key = last[i - n] << 20 | k
+                fit = known(key)
+                if fit is None:
+                    fit = pairs[key] = fits(last[i - n], text[i - n : i])
+                if fit:
+                    last.append(k)
+                    back.append(n)
+                    break
+            else:
+                last.append(ids(c, -2 - ord(c)))
+                back.append(1)
+        self.widest = max(self.widest, len(text))
+        if len(pairs) > MOST_KNOWN:
+            pairs.clear()
+        out, end = [], len(text)
+        while end > 0:
+            k = last[end]
+            out.append([k] if k >= 0 else self.give(chr(-2 - k)))
+            end -= back[end]
+        return [k for p in reversed(out) for k in p]
+
     def _path(self, window: str, back: list[int], end: int) -> list[int]:
         """Ids of the pieces on the way back from a place."""
         ids, pieces = self.v.ids, []
@@ -203,7 +238,7 @@ class Encoder:
                 if len(part) > SHORT:
                     out += self.stream(part)
                     continue
-                found = tuple(self.stream(part))
+                found = tuple(self.search(part) if self.bpe else self.stream(part))
                 if len(known) >= MOST_KNOWN:
                     known.clear()
                 known[part] = found
