@@ -12,6 +12,8 @@ from varloom.llm.common import broadcast_if_small, cut, stored
 
 #: Words of a sketch.
 WORDS = 4
+#: So many members of a hub, at most, are compared directly.
+FEW = 4
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -50,7 +52,7 @@ def linked(
     set would do). Members of a hub that stand in one component then need no more. The others are compared by what sets
     them apart from the hub: two sets differ in so many elements as their differences from the hub do, so similar ones share
     some, and at least one among the first few when these are sorted by how rare they are among the hub's members (prefix
-    filter). Pairs of small differences, which need not share any, are similar to the hub and so in one component already.
+    filter). Where a hub has FEW members or fewer, they meet directly. Pairs of small differences, which need not share any, are similar to the hub and so in one component already.
     Work is near linear in a group's size, and no pair is lost.
     """
     sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("_n"))
@@ -67,7 +69,10 @@ def linked(
     rest = cut(named.join(apart, "hub", "left_semi"))
     if rest.isEmpty():
         return known
-    more = cut(_prefix_links(rest, verify, diffs, least))
+    counts = rest.groupBy("hub").agg(F.count(F.lit(1)).alias("_n"))
+    many = rest.join(counts.where(F.col("_n") > FEW).select("hub"), "hub", "left_semi")
+    found = _pair_links(rest.join(counts.where(F.col("_n") <= FEW).select("hub"), "hub", "left_semi"), verify)
+    more = cut(found if many.isEmpty() else found.union(_prefix_links(cut(many), verify, diffs, least)).distinct())
     return known if more.isEmpty() else cut(_renamed(known, components(more)))
 
 
@@ -78,6 +83,14 @@ def _renamed(known: DataFrame, joined: DataFrame) -> DataFrame:
     return moved.union(joined.join(known.select("id"), "id", "left_anti").select("id", "component"))
 
 
+def _pair_links(few: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """few: hub, id, c; FEW to a hub at most -> (a, b): the components c that similar pairs join. So few cost less as pairs, each of
+    which is made once for all hubs, than as lists of differences."""
+    pairs = few.groupBy("hub").agg(F.array_sort(F.collect_list(F.struct("id", "c"))).alias("m")).select(F.explode("m").alias("x"), "m").select("x", F.explode("m").alias("y"))
+    pairs = cut(pairs.where((F.col("x.id") < F.col("y.id")) & (F.col("x.c") != F.col("y.c"))).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"), F.col("x.c").alias("_a"), F.col("y.c").alias("_b")).distinct())
+    return verify(pairs.select("a", "b")).join(pairs, ["a", "b"]).select(F.col("_a").alias("a"), F.col("_b").alias("b")).distinct()
+
+
 def _prefix_links(rest: DataFrame, verify: Callable[[DataFrame], DataFrame], diffs: Callable[[DataFrame], DataFrame], least: int) -> DataFrame:
     """rest: hub, id, c -> (a, b): the components c that similar pairs among a hub's members join.
 

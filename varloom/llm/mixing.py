@@ -144,8 +144,11 @@ def mix_sources(
         .withColumn("_seats", F.round(F.sum("_share").over(every)).cast("long"))
     )
     seats = apportion(contest, ["_all"], ["si"], "_share", "_seats", "_most").select("si", F.col("quota").alias("_seats"), "source_size", "target")
+    # a contest reads its parties twice: what the next one reads is cut, or plans double with each
+    seats = cut(seats)
     bundles = held.groupBy("si", "bundle").agg(F.sum("blocks").alias("blocks")).join(seats, "si").withColumn("_most", F.col("blocks") * most)
     bundled = apportion(bundles, ["si"], ["bundle"], "blocks", "_seats", "_most").select("si", "bundle", "source_size", "target", F.col("quota").alias("_seats"))
+    bundled = cut(bundled)
     quotas = apportion(held.join(bundled, ["si", "bundle"]).withColumn("_most", F.col("blocks") * most), ["si", "bundle"], ["shard"], "blocks", "_seats", "_most")
     quotas = quotas.select("si", "shard", "words", "blocks", "source_size", "target", "quota")
     quotas = cut(quotas)
