@@ -160,6 +160,16 @@ def test_pipeline(spark):
     assert [s[0] for s in corpus_pipeline.STAGES] == ["toxicity", "line_dedup", "ngram_join", "mixing", "sentencepiece"]
 
 
+def test_plans_of_mixing_stay_short(spark):
+    """A filter on taken is written out in terms of what it is worked out from: quotients that name their parts twice made 100,000 characters of it."""
+    import corpus_pipeline
+    from varloom.llm import mixing
+
+    docs = read_table(spark, SF, "documents")
+    for df in (corpus_pipeline.mix(spark, docs, SF), mixing.mix_sources(docs).where("taken > 0")):
+        assert len(df._jdf.queryExecution().optimizedPlan().toString()) < 30_000
+
+
 def test_pipeline_of_nothing(spark):
     import corpus_pipeline
 

@@ -150,21 +150,21 @@ def mix_sources(
     bundled = apportion(bundles, ["si"], ["bundle"], "blocks", "_seats", "_most").select("si", "bundle", "source_size", "target", F.col("quota").alias("_seats"))
     bundled = cut(bundled)
     quotas = apportion(held.join(bundled, ["si", "bundle"]).withColumn("_most", F.col("blocks") * most), ["si", "bundle"], ["shard"], "blocks", "_seats", "_most")
-    quotas = quotas.select("si", "shard", "words", "blocks", "source_size", "target", "quota")
-    quotas = cut(quotas)
-
-    line = Window.partitionBy("si", "shard").orderBy("_h", "doc_id", "key", "_copy").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # what a document needs of its shard is worked out there, a row a shard, and cut: a filter on what follows is then short
     n, q = F.col("blocks"), F.col("quota")
-    placed = (
-        dealt.withColumn("_end", F.sum("size").over(line))
-        .withColumn("_begin", F.col("_end") - F.col("size"))
-        .join(quotas, ["si", "shard"])
+    quotas = (
+        quotas.select("si", "shard", "words", "blocks", "source_size", "target", "quota")
         .withColumn("_each", F.when(q > 0, F.floor(q / F.greatest(n, F.lit(1)))).otherwise(0).cast("long"))
         .withColumn("_more", q - F.col("_each") * n)
-        .withColumn("_len", F.expr("CASE WHEN blocks > 0 THEN words div greatest(blocks, 1) ELSE 0 END"))
+        .withColumn("_len", F.when(n > 0, _div(F.col("words"), n)).otherwise(0).cast("long"))
         .withColumn("_long", F.col("words") - F.col("_len") * n)
         .withColumn("_from", F.when(n > 0, F.pmod(F.xxhash64(F.lit(seed + 2), "si", "shard"), F.greatest(n, F.lit(1)))).otherwise(0))
+        .withColumn("_skip", _div(F.col("_from") * F.col("_more"), n))
     )
+    quotas = cut(quotas)
+
+    line = Window.partitionBy("si", "shard").orderBy("_h", "doc_id", "key", "_copy").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = dealt.withColumn("_end", F.sum("size").over(line)).withColumn("_begin", F.col("_end") - F.col("size")).join(quotas, ["si", "shard"])
     taken = _with_upto(_with_upto(placed, "_begin", "_before"), "_end", "_after")
     return taken.withColumn("taken", (F.col("_after") - F.col("_before")).cast("long")).select(
         "doc_id", "key", "source", "size", "source_size", "target", "taken", "shard", "quota", "blocks"
@@ -172,16 +172,14 @@ def mix_sources(
 
 
 def _div(a: Column, b: Column) -> Column:
-    """Whole quotient of longs that aren't negative; b is taken as 1 at least."""
-    b = F.greatest(b, F.lit(1).cast("long"))
-    return F.round((a - F.pmod(a, b)) / b).cast("long")
+    """Whole quotient of longs that aren't negative; b is taken as 1 at least. Each is named once, so that nested quotients stay short."""
+    return F.call_function("div", a, F.greatest(b, F.lit(1).cast("long")))
 
 
 def _picked(k: Column) -> Column:
     """How many of a shard's first k blocks get one seat more: systematic picking from block `_from`, in a circle."""
-    n, more, start = F.col("blocks"), F.col("_more"), F.col("_from")
-    step = lambda x: _div(x * more, n)
-    return F.when(start + k <= n, step(start + k) - step(start)).otherwise(more - step(start) + step(start + k - n))
+    n, more, at = F.col("blocks"), F.col("_more"), F.col("_from") + k
+    return F.when(at <= n, _div(at * more, n) - F.col("_skip")).otherwise(more - F.col("_skip") + _div((at - n) * more, n))
 
 
 def _with_upto(df: DataFrame, x: str, name: str) -> DataFrame:
