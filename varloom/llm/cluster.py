@@ -12,8 +12,28 @@ from varloom.llm.common import broadcast_if_small, cut, stored
 
 #: Words of a sketch.
 WORDS = 4
-#: So many members of a hub, at most, are compared directly.
-FEW = 4
+#: Words of a whole set's sketch.
+SKETCH = 16
+#: So many members of a hub, at most, meet each other whatever their sizes, and so many where sketches tell their sets apart.
+FEW, PAIRED = 4, 16_000
+
+
+def sketch(token: Column) -> list[Column]:
+    """Aggregates s0, s1, ...: SKETCH * 64 bits, each the parity of a part of a set's tokens. Sets differ in no fewer tokens than
+    their sketches in bits."""
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.shiftright(token, 8), F.lit(64)).cast("int"))
+    return [F.bit_xor(F.when(F.pmod(token, F.lit(SKETCH)) == w, bit).otherwise(F.lit(0).cast("long"))).alias(f"s{w}") for w in range(SKETCH)]
+
+
+def _may_be_alike(x: str, y: str, least: int) -> Column:
+    """Whether the sizes and sketches of the columns with the suffixes x and y allow a similarity of least / 100."""
+    m, n = F.col(f"size{x}"), F.col(f"size{y}")
+    return (100 * F.least(m, n) >= least * F.greatest(m, n)) & ((100 + least) * _bits(x, y) <= (100 - least) * (m + n))
+
+
+def _bits(x: str, y: str) -> Column:
+    """The number of bits in which the sketches with the suffixes x and y differ."""
+    return sum((F.bit_count(F.col(f"s{w}{x}").bitwiseXOR(F.col(f"s{w}{y}"))) for w in range(SKETCH)), F.lit(0))
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -24,27 +44,29 @@ def components(edges: DataFrame) -> DataFrame:
     """
     near = edges.where(F.col("a") != F.col("b"))
     now = cut(near.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-    mark = None
-    while True:
+    while not _stars(now):
         both = now.union(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("_m")).select("a", F.least("a", "_m").alias("m"))
         large = both.join(least, "a").where(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         lowest = large.groupBy("a").agg(F.min("b").alias("m"))
         hung = large.join(lowest, "a")
         now = cut(hung.where(F.col("b") != F.col("m")).select(F.col("b").alias("a"), F.col("m").alias("b")).union(lowest.select("a", F.col("m").alias("b"))).distinct())
-        said = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if tuple(said) == mark:
-            break
-        mark = tuple(said)
     return now.select(F.col("a").alias("id"), F.col("b").alias("component")).union(now.select(F.col("b").alias("id"), F.col("b").alias("component"))).distinct()
 
 
+def _stars(edges: DataFrame) -> bool:
+    """Whether each node hangs on one smaller node, which hangs on none, or is such a node."""
+    ends = edges.select(F.col("a").alias("id"), F.lit(1).alias("up")).union(edges.select("b", F.lit(0)))
+    return ends.groupBy("id").agg(F.sum("up").alias("u"), F.min("up").alias("l")).where((F.col("u") > 1) | ((F.col("u") == 1) & (F.col("l") == 0))).isEmpty()
+
+
 def linked(
-    members: DataFrame, verify: Callable[[DataFrame], DataFrame], diffs: Callable[[DataFrame], DataFrame], least: int
+    members: DataFrame, facts: Callable[[DataFrame], DataFrame], verify: Callable[[DataFrame], DataFrame], diffs: Callable[[DataFrame], DataFrame], least: int
 ) -> DataFrame:
     """Components of all pairs that share a bucket and have a Jaccard similarity of least / 100 or more, as (id, component).
 
     members: bucket, id, each pair once; stored, as it is read several times.
+    facts: (id) -> (id, size, s0, s1, ...), the size and the sketch of each one's set.
     verify: (a, b) -> those of the pairs whose sets are similar.
     diffs: (a, b) -> (a, b, size, token), the elements that only one of the two sets has; size: that of b's set.
 
@@ -52,7 +74,8 @@ def linked(
     set would do). Members of a hub that stand in one component then need no more. The others are compared by what sets
     them apart from the hub: two sets differ in so many elements as their differences from the hub do, so similar ones share
     some, and at least one among the first few when these are sorted by how rare they are among the hub's members (prefix
-    filter). Where a hub has FEW members or fewer, they meet directly. Pairs of small differences, which need not share any, are similar to the hub and so in one component already.
+    filter). Where a hub has PAIRED members or fewer, their sketches meet directly, which is work of PAIRED looks a member at
+    most, and the sets of the pairs that these leave; sketches of sets too large for them tell nothing, so there FEW is the limit. Pairs of small differences, which need not share any, are similar to the hub and so in one component already.
     Work is near linear in a group's size, and no pair is lost.
     """
     sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("_n"))
@@ -69,9 +92,13 @@ def linked(
     rest = cut(named.join(apart, "hub", "left_semi"))
     if rest.isEmpty():
         return known
-    counts = rest.groupBy("hub").agg(F.count(F.lit(1)).alias("_n"))
-    many = rest.join(counts.where(F.col("_n") > FEW).select("hub"), "hub", "left_semi")
-    found = _pair_links(rest.join(counts.where(F.col("_n") <= FEW).select("hub"), "hub", "left_semi"), verify)
+    seen = cut(rest.join(facts(rest.select("id").distinct()), "id"))
+    # pairs that no sketch tells apart are of sets nearly as large as half its bits' worth both
+    vague = F.count_if((100 - least) * 2 * F.col("size") * 100 > (100 + least) * (64 * SKETCH * 2 // 5) * least)
+    groups = seen.groupBy("hub").agg(F.count(F.lit(1)).alias("_n"), vague.alias("_v"))
+    direct = cut(groups.select("hub", ((F.col("_n") <= PAIRED) & ((F.col("_n") <= FEW) | (F.col("_v") * F.col("_v") <= FEW * F.col("_n")))).alias("_direct")))
+    many = rest.join(direct.where(~F.col("_direct")), "hub", "left_semi")
+    found = _pair_links(seen.join(direct.where("_direct"), "hub", "left_semi"), verify, least)
     more = cut(found if many.isEmpty() else found.union(_prefix_links(cut(many), verify, diffs, least)).distinct())
     return known if more.isEmpty() else cut(_renamed(known, components(more)))
 
@@ -83,12 +110,26 @@ def _renamed(known: DataFrame, joined: DataFrame) -> DataFrame:
     return moved.union(joined.join(known.select("id"), "id", "left_anti").select("id", "component"))
 
 
-def _pair_links(few: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """few: hub, id, c; FEW to a hub at most -> (a, b): the components c that similar pairs join. So few cost less as pairs, each of
-    which is made once for all hubs, than as lists of differences."""
-    pairs = few.groupBy("hub").agg(F.array_sort(F.collect_list(F.struct("id", "c"))).alias("m")).select(F.explode("m").alias("x"), "m").select("x", F.explode("m").alias("y"))
-    pairs = cut(pairs.where((F.col("x.id") < F.col("y.id")) & (F.col("x.c") != F.col("y.c"))).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"), F.col("x.c").alias("_a"), F.col("y.c").alias("_b")).distinct())
-    return verify(pairs.select("a", "b")).join(pairs, ["a", "b"]).select(F.col("_a").alias("a"), F.col("_b").alias("b")).distinct()
+def _pair_links(seen: DataFrame, verify: Callable[[DataFrame], DataFrame], least: int) -> DataFrame:
+    """seen: hub, id, c and facts -> (a, b): the components c that similar pairs among a hub's members join. Each pair is verified
+    once for all hubs."""
+    left, right = (seen.select("hub", *[F.col(c).alias(f"{c}_{x}") for c in seen.columns if c != "hub"]) for x in "ab")
+    met = left.join(right, "hub").where((F.col("id_a") < F.col("id_b")) & (F.col("c_a") != F.col("c_b")) & _may_be_alike("_a", "_b", least))
+    pairs = cut(met.select(F.col("id_a").alias("a"), F.col("id_b").alias("b"), "c_a", "c_b", _bits("_a", "_b").alias("_bits")).distinct())
+    # each meets the nearest first; what that joins needs no more
+    ends = pairs.select("a", F.struct("_bits", "b").alias("_to")).union(pairs.select("b", F.struct("_bits", F.col("a").alias("b"))))
+    best = ends.groupBy("a").agg(F.min("_to").alias("_to")).select(F.least("a", "_to.b").alias("a"), F.greatest("a", "_to.b").alias("b")).distinct()
+    links = cut(_joined(pairs, verify(cut(best))))
+    to = cut(components(links))
+    for x in ("a", "b"):
+        pairs = pairs.join(broadcast_if_small(to.select(F.col("id").alias(f"c_{x}"), F.col("component").alias(f"_{x}"))), f"c_{x}", "left").withColumn(f"_{x}", F.coalesce(f"_{x}", f"c_{x}"))
+    left = cut(pairs.where(F.col("_a") != F.col("_b")).select("a", "b", "c_a", "c_b").join(best, ["a", "b"], "left_anti"))
+    return links.union(_joined(left, verify(left.select("a", "b")))).distinct()
+
+
+def _joined(pairs: DataFrame, similar: DataFrame) -> DataFrame:
+    """(a, b): the components of those pairs that are similar."""
+    return similar.join(pairs, ["a", "b"]).select(F.col("c_a").alias("a"), F.col("c_b").alias("b")).distinct()
 
 
 def _prefix_links(rest: DataFrame, verify: Callable[[DataFrame], DataFrame], diffs: Callable[[DataFrame], DataFrame], least: int) -> DataFrame:

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from varloom.llm.cluster import linked
+from varloom.llm.cluster import linked, sketch
 from varloom.llm.common import broadcast_if_light, broadcast_if_small, cut, read_table, row_key, stored
 
 #: Characters of a shingle; the similarity, in hundredths, from which on lines are alike.
@@ -85,6 +85,10 @@ def line_dedup(docs: DataFrame, *, k: int = SHINGLE, least: int = LEAST) -> Data
     ids = cut(members.select("id").distinct())
     lines = stored(found.select("id", "line").join(broadcast_if_small(ids, 500_000), "id", "left_semi").groupBy("id").agg(F.first("line").alias("line")))
 
+    def facts(of: DataFrame) -> DataFrame:
+        shingles = lines.join(of, "id").select("id", F.explode(shingle_set(F.col("line"), k)).alias("t"))
+        return shingles.groupBy("id").agg(F.count(F.lit(1)).alias("size"), *sketch(F.col("t")))
+
     def sets(pairs: DataFrame) -> DataFrame:
         left, right = lines.select(F.col("id").alias("a"), F.col("line").alias("_x")), lines.select(F.col("id").alias("b"), F.col("line").alias("_y"))
         both = F.struct(shingle_set(F.col("_x"), k).alias("x"), shingle_set(F.col("_y"), k).alias("y"))
@@ -100,7 +104,7 @@ def line_dedup(docs: DataFrame, *, k: int = SHINGLE, least: int = LEAST) -> Data
         rows = sets(pairs).select("a", "b", F.explode(apart).alias("d"))
         return rows.select("a", "b", "d.size", F.explode("d.t").alias("token"))
 
-    groups = linked(members, verify, diffs, least)
+    groups = linked(members, facts, verify, diffs, least)
     place = F.struct("doc_id", "key", "pos")
     firsts = places.groupBy("id").agg(F.min(place).alias("first"), F.max(place).alias("_last"))
     named = firsts.join(groups, "id", "left").withColumn("_c", F.coalesce("component", "id"))

@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from varloom.llm.cluster import linked
+from varloom.llm.cluster import SKETCH, linked
 from varloom.llm.common import broadcast_if_small, cut, read_table, row_key, stored
 from varloom.llm.shingles import mix, shingle_set
 
@@ -99,8 +99,14 @@ def signatures(s: np.ndarray, least: int = LEAST) -> tuple[np.ndarray, np.ndarra
     return np.unique(asks).view(np.int64), holds.view(np.int64)
 
 
+def sketch(s: np.ndarray) -> np.ndarray:
+    """SKETCH words, each bit the parity of a part of a set's shingles (see cluster.sketch)."""
+    odd = (np.bincount((s % _U(64 * SKETCH)).astype(np.int64), minlength=64 * SKETCH) & 1).astype(np.uint8)
+    return np.packbits(odd).view(np.int64)
+
+
 def _sets(docs: DataFrame, k: int, least: int) -> DataFrame:
-    """key, doc_id, n, set, asks, holds of each row; a set that its task has met before has no names."""
+    """key, doc_id, n, set, asks, holds, sketch of each row; a set that its task has met before has neither names nor sketch."""
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         met: set[int] = set()
@@ -109,20 +115,20 @@ def _sets(docs: DataFrame, k: int, least: int) -> DataFrame:
             for text in pdf["text"]:
                 s = shingle_set(text, k)
                 if not len(s):
-                    out.append((0, None, None, None))
+                    out.append((0, None, None, None, None))
                     continue
                 name = set_name(s)
                 if name in met:
-                    out.append((len(s), name, None, None))
+                    out.append((len(s), name, None, None, None))
                     continue
                 if len(met) < 1_000_000:
                     met.add(name)
-                out.append((len(s), name, *signatures(s, least)))
-            n, name, asks, holds = zip(*out, strict=True) if out else ((), (), (), ())
-            yield pd.DataFrame({"key": pdf["key"], "doc_id": pdf["doc_id"], "n": n, "set": pd.array(name, dtype="Int64"), "asks": asks, "holds": holds})
+                out.append((len(s), name, *signatures(s, least), sketch(s)))
+            n, name, asks, holds, bits = zip(*out, strict=True) if out else ((), (), (), (), ())
+            yield pd.DataFrame({"key": pdf["key"], "doc_id": pdf["doc_id"], "n": n, "set": pd.array(name, dtype="Int64"), "asks": asks, "holds": holds, "sketch": bits})
 
     rows = docs.select(row_key(F.col("doc_id"), F.col("text")).alias("key"), "doc_id", "text")
-    return rows.mapInPandas(run, "key long, doc_id long, n long, set long, asks array<long>, holds array<long>")
+    return rows.mapInPandas(run, "key long, doc_id long, n long, set long, asks array<long>, holds array<long>, sketch array<long>")
 
 
 def ngram_join(docs: DataFrame, *, k: int = K, least: int = LEAST) -> DataFrame:
@@ -150,6 +156,11 @@ def ngram_join(docs: DataFrame, *, k: int = K, least: int = LEAST) -> DataFrame:
 
     one = rows.where(F.col("set").isNotNull()).groupBy("set").agg(F.min("key").alias("key"))
 
+    def facts(of: DataFrame) -> DataFrame:
+        sketched = rows.where(F.col("sketch").isNotNull()).join(of.withColumnRenamed("id", "set"), "set")
+        words = [F.first(F.col("sketch")[w]).alias(f"s{w}") for w in range(SKETCH)]
+        return sketched.groupBy(F.col("set").alias("id")).agg(F.first("n").alias("size"), *words)
+
     def with_texts(pairs: DataFrame) -> DataFrame:
         """a, s, b, t: pairs of sets with a text of each."""
         sets = cut(one.join(pairs.select(F.col("a").alias("set")).union(pairs.select("b")).distinct(), "set"))
@@ -185,7 +196,7 @@ def ngram_join(docs: DataFrame, *, k: int = K, least: int = LEAST) -> DataFrame:
         found = with_texts(cut(pairs)).mapInPandas(run, "a long, b long, size long, tokens array<long>")
         return found.select("a", "b", "size", F.explode("tokens").alias("token"))
 
-    found = linked(members, verify, diffs, least)
+    found = linked(members, facts, verify, diffs, least)
     lowest = rows.where(F.col("set").isNotNull()).groupBy("set").agg(F.min("doc_id").alias("_d"))
     whole = lowest.join(found, lowest["set"] == found["id"], "left").select("set", "_d", F.coalesce("component", "set").alias("_c"))
     names = whole.groupBy("_c").agg(F.min("_d").alias("component_id"))
