@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from varloom.llm import html, line_dedup, mixing, ngram_join, sentencepiece_codec, toxicity, warc
+from varloom.llm import cluster, html, line_dedup, mixing, ngram_join, sentencepiece_codec, toxicity, warc
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -64,6 +64,37 @@ def test_a_cloud_of_near_copies_by_characters_and_recall(spark):
     assert sum(got[len(lines) :]) >= 0.95 * sum(want[len(lines) :]) and sum(want[len(lines) :]) >= 50  # of the pairs alone
 
 
+@pytest.mark.parametrize("size", [100, 3000])
+def test_members_of_one_bucket_meet_by_sketches_and_large_sets_by_differences(spark, size):
+    rng = np.random.default_rng(size)
+    sets = []
+    for _ in range(8):  # unrelated to each other but for a few tokens, each with two near copies
+        own = set(range(5)) | {int(x) for x in rng.integers(1 << 20, 1 << 62, size - 5)}
+        some = sorted(own)[10:]
+        sets += [own, own - set(some[: size // 12]), own - set(some[-size // 12 :])]
+    ids = list(range(len(sets)))
+    held = spark.createDataFrame([(i, [(x * 0x9E3779B97F4A7C15) % (1 << 63) for x in s]) for i, s in zip(ids, sets, strict=True)], "id long, s array<long>").cache()
+    listed = []
+
+    def both(pairs):
+        return pairs.join(held.select(F.col("id").alias("a"), F.col("s").alias("x")), "a").join(held.select(F.col("id").alias("b"), F.col("s").alias("y")), "b")
+
+    def verify(pairs):
+        return both(pairs).where(100 * F.size(F.array_intersect("x", "y")) >= 80 * F.size(F.array_union("x", "y"))).select("a", "b")
+
+    def diffs(pairs):
+        listed.append(pairs.count())
+        return both(pairs).select("a", "b", F.size("y").cast("long").alias("size"), F.explode(F.concat(F.array_except("x", "y"), F.array_except("y", "x"))).alias("token"))
+
+    def facts(of):
+        return held.join(of, "id").select("id", F.explode("s").alias("t")).groupBy("id").agg(F.count(F.lit(1)).alias("size"), *cluster.sketch(F.col("t")))
+
+    members = spark.createDataFrame([(7, i) for i in ids], "bucket long, id long")
+    rows = {r.id: r.component for r in cluster.linked(members, facts, verify, diffs, 80).collect()}
+    assert [rows.get(i, i) for i in ids] == components(sets, 80)
+    assert bool(listed) == (size > 2000)  # sets that sketches tell apart need no lists of their differences
+
+
 def test_long_and_foreign_urls_and_magics_in_payloads(spark, tmp_path):
     record = "WARC/1.0\r\nWARC-Type: response\r\nContent-Length: 2\r\n\r\nhi\r\n\r\n"
     data = [(1, "http://a/é?ü=ß", "<p>one</p>"), (2, "http://b/" + "x" * 150_000, "<p>two</p>"), (3, "http://c/", record * 3), (4, "http://d/", "<p>one</p>"), (4, "http://d/", "<p>one</p>"), (None, "http://e/", "five")]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
@@ -14,7 +15,7 @@ from varloom.llm.common import broadcast_if_small, cut, stored
 WORDS = 4
 #: Words of a whole set's sketch.
 SKETCH = 16
-#: So many members of a hub, at most, meet each other whatever their sizes, and so many where sketches tell their sets apart.
+#: So many members of a hub meet each other whatever their sizes; so many of a band of sizes where sketches tell their sets apart.
 FEW, PAIRED = 4, 16_000
 
 
@@ -28,12 +29,14 @@ def sketch(token: Column) -> list[Column]:
 def _may_be_alike(x: str, y: str, least: int) -> Column:
     """Whether the sizes and sketches of the columns with the suffixes x and y allow a similarity of least / 100."""
     m, n = F.col(f"size{x}"), F.col(f"size{y}")
-    return (100 * F.least(m, n) >= least * F.greatest(m, n)) & ((100 + least) * _bits(x, y) <= (100 - least) * (m + n))
+    most = (100 - least) * (m + n)
+    # a part of the words says no to most pairs
+    return (100 * F.least(m, n) >= least * F.greatest(m, n)) & ((100 + least) * _bits(x, y, SKETCH // 4) <= most) & ((100 + least) * _bits(x, y) <= most)
 
 
-def _bits(x: str, y: str) -> Column:
-    """The number of bits in which the sketches with the suffixes x and y differ."""
-    return sum((F.bit_count(F.col(f"s{w}{x}").bitwiseXOR(F.col(f"s{w}{y}"))) for w in range(SKETCH)), F.lit(0))
+def _bits(x: str, y: str, words: int = SKETCH) -> Column:
+    """The number of bits in which the first words of the sketches with the suffixes x and y differ."""
+    return sum((F.bit_count(F.col(f"s{w}{x}").bitwiseXOR(F.col(f"s{w}{y}"))) for w in range(words)), F.lit(0))
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -74,8 +77,8 @@ def linked(
     set would do). Members of a hub that stand in one component then need no more. The others are compared by what sets
     them apart from the hub: two sets differ in so many elements as their differences from the hub do, so similar ones share
     some, and at least one among the first few when these are sorted by how rare they are among the hub's members (prefix
-    filter). Where a hub has PAIRED members or fewer, their sketches meet directly, which is work of PAIRED looks a member at
-    most, and the sets of the pairs that these leave; sketches of sets too large for them tell nothing, so there FEW is the limit. Pairs of small differences, which need not share any, are similar to the hub and so in one component already.
+    filter). Where a hub has PAIRED members of a band of sizes or fewer, their sketches meet directly, PAIRED looks a member or so at
+    most, and then the sets of the pairs that these leave; sketches of very large sets tell nothing, so pairs of these are left to the filter. Pairs of small differences, which need not share any, are similar to the hub and so in one component already.
     Work is near linear in a group's size, and no pair is lost.
     """
     sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("_n"))
@@ -94,12 +97,16 @@ def linked(
         return known
     seen = cut(rest.join(facts(rest.select("id").distinct()), "id"))
     # pairs that no sketch tells apart are of sets nearly as large as half its bits' worth both
-    vague = F.count_if((100 - least) * 2 * F.col("size") * 100 > (100 + least) * (64 * SKETCH * 2 // 5) * least)
-    groups = seen.groupBy("hub").agg(F.count(F.lit(1)).alias("_n"), vague.alias("_v"))
-    direct = cut(groups.select("hub", ((F.col("_n") <= PAIRED) & ((F.col("_n") <= FEW) | (F.col("_v") * F.col("_v") <= FEW * F.col("_n")))).alias("_direct")))
-    many = rest.join(direct.where(~F.col("_direct")), "hub", "left_semi")
-    found = _pair_links(seen.join(direct.where("_direct"), "hub", "left_semi"), verify, least)
-    more = cut(found if many.isEmpty() else found.union(_prefix_links(cut(many), verify, diffs, least)).distinct())
+    vague = (100 - least) * 2 * F.col("size") * 100 > (100 + least) * (64 * SKETCH * 2 // 5) * least
+    # similar sets stand in one band of sizes or in neighbouring ones
+    seen = seen.withColumn("vague", vague).withColumn("band", F.floor(F.log("size") / (math.log(100 / least) * 1.0001)))
+    bands = seen.groupBy("hub", "band").agg(F.count(F.lit(1)).alias("_n"), F.count_if("vague").alias("_v"))
+    hubs = bands.groupBy("hub").agg(F.sum("_n").alias("_n"), F.max("_n").alias("_most"), F.sum("_v").alias("_v"))
+    marks = cut(hubs.select("hub", (F.col("_most") > PAIRED).alias("wide"), (F.col("_v") * F.col("_v") > FEW * F.greatest("_n", F.lit(FEW))).alias("long")))
+    marked = cut(seen.join(marks, "hub"))
+    many = cut(marked.where(F.col("wide") | F.col("long") & F.col("vague")).select("hub", "id", "c"))
+    found = _pair_links(marked.where(~F.col("wide")), verify, least)
+    more = cut(found if many.isEmpty() else found.union(_prefix_links(many, verify, diffs, least)).distinct())
     return known if more.isEmpty() else cut(_renamed(known, components(more)))
 
 
@@ -111,11 +118,15 @@ def _renamed(known: DataFrame, joined: DataFrame) -> DataFrame:
 
 
 def _pair_links(seen: DataFrame, verify: Callable[[DataFrame], DataFrame], least: int) -> DataFrame:
-    """seen: hub, id, c and facts -> (a, b): the components c that similar pairs among a hub's members join. Each pair is verified
-    once for all hubs."""
-    left, right = (seen.select("hub", *[F.col(c).alias(f"{c}_{x}") for c in seen.columns if c != "hub"]) for x in "ab")
-    met = left.join(right, "hub").where((F.col("id_a") < F.col("id_b")) & (F.col("c_a") != F.col("c_b")) & _may_be_alike("_a", "_b", least))
-    pairs = cut(met.select(F.col("id_a").alias("a"), F.col("id_b").alias("b"), "c_a", "c_b", _bits("_a", "_b").alias("_bits")).distinct())
+    """seen: hub, id, c, facts, band, vague, long -> (a, b): the components c that similar pairs among a hub's members join, but those of
+    two vague ones where these are long. Each pair is verified once for all hubs."""
+    left, right = (seen.select("hub", "band", *[F.col(c).alias(f"{c}_{x}") for c in seen.columns if c not in ("hub", "band", "wide")]) for x in "ab")
+    left = left.select("*", F.explode(F.array(F.lit(0), F.lit(1))).alias("_up")).withColumn("band", F.col("band") + F.col("_up"))
+    told = ((F.col("_up") == 1) | (F.col("id_a") < F.col("id_b"))) & (F.col("c_a") != F.col("c_b")) & ~(F.col("long_a") & F.col("vague_a") & F.col("vague_b"))
+    met = left.join(right, ["hub", "band"]).where(told & _may_be_alike("_a", "_b", least))
+    turned = F.col("id_a") > F.col("id_b")
+    ends = [F.when(turned, F.col(y)).otherwise(F.col(x)).alias(z) for x, y, z in (("id_a", "id_b", "a"), ("id_b", "id_a", "b"), ("c_a", "c_b", "c_a"), ("c_b", "c_a", "c_b"))]
+    pairs = cut(met.select(*ends, _bits("_a", "_b").alias("_bits")).distinct())
     # each meets the nearest first; what that joins needs no more
     ends = pairs.select("a", F.struct("_bits", "b").alias("_to")).union(pairs.select("b", F.struct("_bits", F.col("a").alias("b"))))
     best = ends.groupBy("a").agg(F.min("_to").alias("_to")).select(F.least("a", "_to.b").alias("a"), F.greatest("a", "_to.b").alias("b")).distinct()
